@@ -211,8 +211,8 @@ def parse_period(c: str | Column, not_applicable: str = "Not Applicable") -> Col
     s = col_(c)
     tokens = F.filter(F.split(F.regexp_replace(strip(s), "[^0-9/a-zA-Z]", " "), " "),
                       lambda t: t != "")
-    first = F.element_at(tokens, 1)
-    last = F.element_at(tokens, -1)
+    first = F.try_element_at(tokens, F.lit(1))
+    last = F.try_element_at(tokens, F.lit(-1))
     ok = s.isNotNull() & (strip(s) != not_applicable) & (F.size(tokens) > 0)
     return F.struct(
         F.when(ok, complete_month(first, "start")).alias("start"),
@@ -229,8 +229,8 @@ def parse_range(c: str | Column) -> Column:
     s = col_(c)
     nums = F.regexp_extract_all(s, F.lit(r"(-?\d+\.?\d*)"), 1)
     n = F.size(nums)
-    first = F.element_at(nums, 1).try_cast("double")
-    last = F.element_at(nums, -1).try_cast("double")
+    first = F.try_element_at(nums, F.lit(1)).try_cast("double")
+    last = F.try_element_at(nums, F.lit(-1)).try_cast("double")
     has_lt = F.instr(s, "<") > 0
     return F.struct(
         F.when(n >= 2, first).when((n == 1) & ~has_lt, first).alias("lower"),
@@ -275,7 +275,7 @@ def _words(c: str | Column) -> Column:
 
 def last_token(c: str | Column) -> Column:
     """SCL-20: last whitespace-separated word of a heading."""
-    return F.element_at(_words(c), -1)
+    return F.try_element_at(_words(c), F.lit(-1))
 
 
 def all_but_last(c: str | Column) -> Column:
