@@ -48,10 +48,12 @@ def parent_name(c: str | Column) -> Column:
 
 
 def _safe_date(y: Column, m: Column, d: Column) -> Column:
-    """make_date that gives null instead of failing on an invalid date."""
-    text = F.format_string("%04d-%02d-%02d", y, m, d)
-    return F.when(y.isNotNull() & m.isNotNull() & d.isNotNull(),
-                  F.try_to_date(text, "yyyy-MM-dd"))
+    """make_date that gives null instead of failing on an invalid date. The
+    guards are nested CASE branches, so ``make_date`` only sees valid
+    parts."""
+    ok = y.between(1, 9999) & m.between(1, 12) & d.between(1, 31)
+    fits = d <= F.dayofmonth(F.last_day(F.make_date(y, m, F.lit(1))))
+    return F.when(ok, F.when(fits, F.make_date(y, m, d)))
 
 
 def year_month_suffix(c: str | Column) -> Column:
@@ -62,18 +64,21 @@ def year_month_suffix(c: str | Column) -> Column:
 
 
 def _year(c: str | Column) -> Column:
-    s = col_(c).cast("string")
-    return F.when(s.rlike(r"^[0-9]{4}$"), s.cast("int"))
+    """A year given as int or as text; null outside 1..9999 or when not a number."""
+    y = col_(c).try_cast("int")
+    return F.when(y.between(1, 9999), y)
 
 
 def year_end(year: str | Column) -> Column:
     """PTH-3: a 4-digit year (text or int) -> Dec 31 of that year."""
-    return _safe_date(_year(year), F.lit(12), F.lit(31))
+    y = _year(year)
+    return F.when(y.isNotNull(), F.make_date(y, F.lit(12), F.lit(31)))
 
 
 def year_start(year: str | Column) -> Column:
     """PTH-3: a 4-digit year -> Jan 1 of that year."""
-    return _safe_date(_year(year), F.lit(1), F.lit(1))
+    y = _year(year)
+    return F.when(y.isNotNull(), F.make_date(y, F.lit(1), F.lit(1)))
 
 
 def two_digit_year(c: str | Column, pos: int = 3) -> Column:

@@ -189,35 +189,41 @@ def parse_zoned_timestamp(c: str | Column,
         zone.isNotNull() & local.isNotNull(), zoned).otherwise(fallback)
 
 
+_THREE_PARTS = r"^[^/]*/[^/]*/[^/]*$"
+_TWO_PARTS = r"^[^/]*/[^/]*$"
+
+
+def _complete_token(tok: Column, position: str) -> Column:
+    month = F.try_to_date(tok, "M/yyyy")
+    if position == "end":
+        month = F.last_day(month)
+    return F.when(tok.rlike(_THREE_PARTS), F.try_to_date(tok, "M/d/yyyy")).when(tok.rlike(_TWO_PARTS), month)
+
+
 def complete_month(c: str | Column, position: str = "start") -> Column:
     """SCL-13: ``MM/YYYY`` -> first (start) or last (end) day of that month;
     ``MM/DD/YYYY`` is taken as is; anything else is null."""
-    s = strip(c)
-    n_parts = F.size(F.split(s, "/"))
-    month = F.try_to_date(s, "M/yyyy")
-    full = F.try_to_date(s, "M/d/yyyy")
-    if position == "end":
-        month = F.last_day(month)
-    return F.when(n_parts == 3, full).when(n_parts == 2, month)
+    return _complete_token(strip(c), position)
+
 
+# first and last token of a period: runs of letters, digits and "/"
+_FIRST_TOKEN = r"^[^0-9/a-zA-Z]*([0-9/a-zA-Z]+)"
+_LAST_TOKEN = r"([0-9/a-zA-Z]+)[^0-9/a-zA-Z]*$"
 
-def parse_period(c: str | Column, not_applicable: str = "Not Applicable") -> Column:
+
+def parse_period(c: str | Column) -> Column:
     """SCL-12: ``02/2025 – 05/2025`` -> struct(start DATE, end DATE).
 
     Every character other than letters, digits and ``/`` separates tokens; the
     first token is the start and the last the end (one token: both). Month
     tokens are completed to the first / last day. ``Not Applicable``, null and
-    text without a parsable token give null dates."""
+    text without a parsable token give null dates. Two regex extractions per
+    value, no arrays, so the whole expression stays in generated code."""
     s = col_(c)
-    tokens = F.filter(F.split(F.regexp_replace(strip(s), "[^0-9/a-zA-Z]", " "), " "),
-                      lambda t: t != "")
-    first = F.try_element_at(tokens, F.lit(1))
-    last = F.try_element_at(tokens, F.lit(-1))
-    ok = s.isNotNull() & (strip(s) != not_applicable) & (F.size(tokens) > 0)
-    return F.struct(
-        F.when(ok, complete_month(first, "start")).alias("start"),
-        F.when(ok, complete_month(last, "end")).alias("end"),
-    )
+    first = F.regexp_extract(s, _FIRST_TOKEN, 1)
+    last = F.regexp_extract(s, _LAST_TOKEN, 1)
+    return F.struct(_complete_token(first, "start").alias("start"),
+                    _complete_token(last, "end").alias("end"))
 
 
 def parse_range(c: str | Column) -> Column:

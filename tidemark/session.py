@@ -37,6 +37,7 @@ def get_session(master: str | None = None, app: str = "tidemark",
         b = b.master(master)
     conf = dict(ENGINE_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
