@@ -1,3 +1,123 @@
-"""Proof queries."""
+"""Proof queries for reshaping (RSH-1, RSH-2 with SRC-5 row layout).
+
+``matrix_to_long`` runs over a report matrix whose data rows are the line
+items: two "files" with different column layouts (the header rows are the
+fixed part of a report; every data row comes from ``lineitem``)."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.dates import base_name, parenthesised_date, path_year, underscore_date, stem
+from ..operators import reshape as R
+from ..sources.files import FILE_PATH
+from .catalog import query, table
+
+
+@query("melt_rates", "RSH-1", """
+SELECT l_orderkey, l_linenumber, 'quantity_rate' AS indicator_key, l_quantity AS rate,
+       'LIN' AS measure_code, NULL::DOUBLE AS lcl, NULL::DOUBLE AS ucl FROM lineitem
+UNION ALL
+SELECT l_orderkey, l_linenumber, 'price_rate', l_extendedprice, 'LIN', NULL, NULL FROM lineitem
+UNION ALL
+SELECT l_orderkey, l_linenumber, 'tax_rate', l_tax, 'LIN', NULL, NULL FROM lineitem
+""")
+def q_melt(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return R.melt(li, ["l_orderkey", "l_linenumber"],
+                  {"l_quantity": "quantity_rate", "l_extendedprice": "price_rate", "l_tax": "tax_rate"},
+                  constants={"measure_code": F.lit("LIN"), "lcl": F.lit(None).cast("double"),
+                             "ucl": F.lit(None).cast("double")},
+                  value_type="double")
+
+
+FILE_A = "file:/reports/2024/2024 Star Ratings Measure Data (Oct 11 2023).csv"
+FILE_B = "file:/reports/2024/2024_Star_Ratings_Measure_2023_10_11_data.csv"
+WIDTH = 9
+_N = None
+# header rows of the two layouts (row 0 title, 1 attribute names, 2 headings, 3 periods)
+HEADERS = [
+    (FILE_A, 0, ["2024 Star Ratings Data Table - Measure Data", _N, _N, _N, _N, _N, _N, _N, _N]),
+    (FILE_A, 1, ["CONTRACT_NUMBER", "Organization Type", "Contract Name", "Organization Marketing Name",
+                 "Parent Organization", _N, _N, _N, _N]),
+    (FILE_A, 2, [_N, _N, _N, _N, _N, "C01: Quantity Measure", "C02: Discount Rate", _N, "D01: Tax: Rate"]),
+    (FILE_A, 3, [_N, _N, _N, _N, _N, "01/01/2022 - 12/31/2022", "01/2022 – 06/2022", _N,
+                 "(Monday - Friday) 07/01/2022 - 12/31/2022\u0096"]),
+    (FILE_B, 0, ["2024 Star Ratings Data Table", _N, _N, _N, _N, _N, _N, _N, _N]),
+    (FILE_B, 1, ["Contract Number", "Organization Type", _N, "Contract Name", "Organization Marketing Name",
+                 "Parent Organization", _N, _N, _N]),
+    (FILE_B, 2, [_N, _N, "C02: Discount Rate", _N, _N, _N, "C01: Quantity Measure", "D01: Tax: Rate", _N]),
+    (FILE_B, 3, [_N, _N, "01/2022 - 06/2022", _N, _N, _N, "01/01/2022 - 12/31/2022",
+                 "07/01/2022 – 12/31/2022", _N]),
+]
+
+
+def lineitem_matrix(spark, sf_dir):
+    """Report matrix rows ``(src_file_path, row_idx, cells)``: fixed header
+    rows plus one data row per line item."""
+    schema = T.StructType([T.StructField(FILE_PATH, T.StringType()), T.StructField("row_idx", T.LongType()),
+                           T.StructField("cells", T.ArrayType(T.StringType()))])
+    heads = spark.createDataFrame(HEADERS, schema)
+    li = table(spark, sf_dir, "lineitem")
+    contract = F.concat(F.lit("H"), F.col("l_orderkey").cast("string"))
+    org = F.col("l_returnflag")
+    name = F.concat(F.lit("Contract "), F.col("l_orderkey").cast("string"))
+    mkt = F.concat(F.lit(" Plan "), F.col("l_linenumber").cast("string"), F.lit(" "))
+    parent = F.lit(None).cast("string")
+    qty = F.col("l_quantity").cast("string")
+    disc = F.concat(F.round(F.col("l_discount") * 100).cast("int").cast("string"), F.lit("%"))
+    tax = F.when(F.col("l_returnflag") == "R", F.lit("Plan too new")).otherwise(F.col("l_tax").cast("string"))
+    null = F.lit(None).cast("string")
+    a = F.array(contract, org, name, mkt, parent, qty, disc, null, tax)
+    b = F.array(contract, org, disc, name, mkt, parent, qty, tax, null)
+    is_a = F.col("l_linestatus") == "F"
+    rows = li.filter(F.col("l_linestatus").isin("F", "O")).select(
+        F.when(is_a, F.lit(FILE_A)).otherwise(F.lit(FILE_B)).alias(FILE_PATH),
+        (F.lit(4) + F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_idx"),
+        F.when(is_a, a).otherwise(b).alias("cells"))
+    return heads.unionByName(rows)
+
+
+_MATRIX_SQL = """
+WITH li AS (
+  SELECT *, CASE WHEN l_linestatus = 'F' THEN '2024 Star Ratings Measure Data (Oct 11 2023).csv'
+                 ELSE '2024_Star_Ratings_Measure_2023_10_11_data.csv' END AS src_file_name
+  FROM lineitem WHERE l_linestatus IN ('F', 'O')),
+b AS (
+  SELECT 'H' || CAST(l_orderkey AS VARCHAR) AS contract_id, l_returnflag AS organization_type,
+         'Contract ' || CAST(l_orderkey AS VARCHAR) AS contract_name,
+         'Plan ' || CAST(l_linenumber AS VARCHAR) AS organization_marketing_name,
+         NULL::VARCHAR AS parent_organization, src_file_name, l_quantity, l_discount, l_tax, l_returnflag
+  FROM li)
+SELECT contract_id, organization_type, contract_name, organization_marketing_name, parent_organization,
+       'C01' AS measure_code, 'quantity_measure' AS measure_desc, DATE '2022-01-01' AS measure_start,
+       DATE '2022-12-31' AS measure_end, CAST(l_quantity AS VARCHAR) AS measure_value_raw,
+       l_quantity AS measure_value, src_file_name, DATE '2023-10-11' AS src_file_date, 2024 AS performance_year
+FROM b
+UNION ALL
+SELECT contract_id, organization_type, contract_name, organization_marketing_name, parent_organization,
+       'C02', 'discount_rate', DATE '2022-01-01', DATE '2022-06-30',
+       CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) || '%',
+       CAST(CAST(round(l_discount * 100) AS INTEGER) AS DOUBLE), src_file_name, DATE '2023-10-11', 2024
+FROM b
+UNION ALL
+SELECT contract_id, organization_type, contract_name, organization_marketing_name, parent_organization,
+       'D01', 'rate', DATE '2022-07-01', DATE '2022-12-31',
+       CASE WHEN l_returnflag = 'R' THEN 'Plan too new' ELSE CAST(l_tax AS VARCHAR) END,
+       CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_tax END, src_file_name, DATE '2023-10-11', 2024
+FROM b
+"""
+
+
+@query("matrix_to_long", "RSH-2 RSH-5 SCL-6 SCL-12 SCL-16 PTH-8 PTH-9 PTH-10", _MATRIX_SQL)
+def q_matrix_to_long(spark, sf_dir):
+    m = lineitem_matrix(spark, sf_dir)
+    long = R.matrix_to_long(m)
+    name = base_name(F.col(FILE_PATH))
+    folder = F.regexp_extract(F.col(FILE_PATH), r"([^/]*)/[^/]*$", 1)
+    file_date = F.coalesce(parenthesised_date(name), underscore_date(stem(name)))
+    file_date = F.coalesce(file_date, F.raise_error(F.concat(F.lit("no file date in "), name)).cast("date"))
+    return long.select(*R.MEASURE_ATTRS, "measure_code", "measure_desc", "measure_start", "measure_end",
+                       "measure_value_raw", "measure_value", name.alias("src_file_name"),
+                       file_date.alias("src_file_date"), path_year(folder).alias("performance_year"))
