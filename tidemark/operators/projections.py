@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from ..functions.names import camel_name, dedupe_names, normalize_name
 from ..functions.scalars import parse_number
 from ..session import checked_broadcast
+from ..sources.files import metadata_name
 
 LINEAGE_COLUMNS = ("src_file_date", "src_file_name", "load_date")
 
@@ -160,7 +161,7 @@ def with_lineage(df: DataFrame, file_date: Column | _dt.date | str | None = None
 
     name = (file_name if isinstance(file_name, Column)
             else F.lit(file_name) if file_name is not None
-            else F.col("_metadata.file_name"))
+            else metadata_name())
     ld = as_date(load_date if load_date is not None else _dt.date.today())
     return df.withColumns({
         "src_file_date": as_date(file_date),

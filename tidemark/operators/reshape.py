@@ -159,7 +159,7 @@ def display_matrix_to_long(matrix: DataFrame, offset: Column | int = 1,
 
 
 def cutpoints_to_long(matrix: DataFrame, part: Column | str, default_org_type: str = "MA-PD",
-                      header_row: int = 0, names_row: int = 2, periods_row: int = 3,
+                      names_row: int = 2, periods_row: int = 3,
                       data_from: int = 4) -> DataFrame:
     """RSH-4: cut-point grids (star level x measure) to rows.
 
@@ -167,19 +167,13 @@ def cutpoints_to_long(matrix: DataFrame, part: Column | str, default_org_type: s
     ``org_type`` = ``MA-PD``) or ``Part_D`` (org type in column 0, label in
     column 1, measures from column 2); a Column gives it per file. Only rows
     whose lower-cased label matches ``(\\d+)\\s?star`` are kept; cells with an
-    empty measure name or a null value are skipped. Columns beyond the file's
-    header row are ignored, as a header-driven reader does."""
+    empty measure name or a null value are skipped."""
     p = part if isinstance(part, Column) else F.lit(part)
     m = matrix.withColumn("part_type", p)
-    heads = _header_rows(m, {"hdr": header_row, "n": names_row, "per": periods_row})
+    heads = _header_rows(m, {"n": names_row, "per": periods_row})
     heads = heads.join(m.select(FILE_PATH, "part_type").distinct(), FILE_PATH)
     first_measure = F.when(F.col("part_type") == "Part_D", 2).otherwise(1)
-    width = F.size(F.col("hdr"))
-    # header-driven width: trailing columns without a header cell are dropped
-    last_named = F.aggregate(F.sequence(F.lit(0), width - 1), F.lit(-1),
-                             lambda acc, i: F.when(F.get(F.col("hdr"), i).isNotNull(), i).otherwise(acc))
-    idx = F.sequence(first_measure, F.greatest(last_named, first_measure - 1))
-    idx = F.when(last_named >= first_measure, idx).otherwise(F.array().cast("array<int>"))
+    idx = F.sequence(first_measure, F.greatest(F.size(F.col("n")) - 1, first_measure))
 
     def measure(i):
         name = F.get(F.col("n"), i)

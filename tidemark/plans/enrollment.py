@@ -46,7 +46,7 @@ def cpsc_enrollment(spark: SparkSession, root: str, target: str, load_date: _dt.
         return 0
     df = prj.normalize_headers(src.read_csv_text(spark, paths, with_path=False))
     df = flt.drop_sentinel(df, "enrollment", "*").withColumn("enrollment", parse_int("enrollment"))
-    name = F.col("_metadata.file_name")
+    name = src.metadata_name()
     df = prj.with_lineage(df, file_date=year_month_suffix(stem(name)), load_date=load_date, file_name=name)
     df = flt.require(df, ["enrollment"])
     snk.replace_slice(df, target, "src_file_date")
@@ -62,7 +62,7 @@ def cpsc_contract(spark: SparkSession, root: str, target: str, load_date: _dt.da
         return 0
     df = prj.normalize_headers(src.read_csv_text(spark, paths, with_path=False))
     df = df.withColumn("contract_effective_date", date_prefix("contract_effective_date"))
-    name = F.col("_metadata.file_name")
+    name = src.metadata_name()
     df = prj.with_lineage(df, file_date=year_month_suffix(stem(name)), load_date=load_date, file_name=name)
     snk.replace_slice(df, target, "src_file_date")
     return len(paths)
@@ -89,7 +89,7 @@ def mapd_plan_directory(spark: SparkSession, root: str, target: str, load_date:
     df = df.withColumns({"enrollment": parse_int_commas("enrollment"),
                          "contract_effective_date": parse_us_date("contract_effective_date"),
                          "directory_contact_last_update": parse_us_date("directory_contact_last_update")})
-    name = F.col("_metadata.file_name")
+    name = src.metadata_name()
     df = prj.with_lineage(df, file_date=year_month_suffix(stem(name)), load_date=load_date, file_name=name)
     snk.replace_slice(df, target, "src_file_name")
     return len(paths)

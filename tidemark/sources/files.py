@@ -19,6 +19,17 @@ from ..session import checked_broadcast
 FILE_PATH = "src_file_path"
 
 
+def metadata_path() -> Column:
+    """Path of the file a row was read from, decoded (``_metadata.file_path``
+    is a URI: spaces come as ``%20``). ``+`` is protected from decoding."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def metadata_name() -> Column:
+    """Decoded name of the file a row was read from."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
@@ -37,7 +48,7 @@ def read_csv_text(spark: SparkSession, paths: str | Sequence[str], sep: str = ",
         r = r.option(k, v)
     df = r.csv(_paths(paths))
     if with_path:
-        df = df.select("*", F.col("_metadata.file_path").alias(FILE_PATH))
+        df = df.select("*", metadata_path().alias(FILE_PATH))
     return df
 
 
@@ -65,7 +76,7 @@ def read_matrix(spark: SparkSession, paths: str | Sequence[str], width: int = 64
     df = (spark.read.schema(matrix_schema(width)).option("header", False)
           .option("multiLine", True).option("encoding", encoding).option("sep", sep)
           .option("mode", "PERMISSIVE").csv(_paths(paths)))
-    df = df.select(F.col("_metadata.file_path").alias(FILE_PATH),
+    df = df.select(metadata_path().alias(FILE_PATH),
                    F.monotonically_increasing_id().alias("_mid"),
                    F.array(*[F.col(f"c{i}") for i in range(width)]).alias("cells"))
     first = df.groupBy(FILE_PATH).agg(F.min("_mid").alias("_mid0"))
@@ -185,7 +196,7 @@ def read_json_docs(spark: SparkSession, paths: str | Sequence[str], schema: T.St
     r = spark.read.option("multiLine", True)
     if schema is not None:
         r = r.schema(schema)
-    return r.json(_paths(paths)).select("*", F.col("_metadata.file_path").alias(FILE_PATH))
+    return r.json(_paths(paths)).select("*", metadata_path().alias(FILE_PATH))
 
 
 def assign_header(df: DataFrame, names: Sequence[str], optional_tail: Sequence[str] = (),

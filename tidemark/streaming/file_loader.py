@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..session import scratch_path
 from ..sinks.tables import replace_slice
+from ..sources.files import metadata_name, metadata_path
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -47,8 +48,8 @@ def start_csv_load(spark: SparkSession, source_dir: str, columns: list[str], tar
     for k, v in csv_options.items():
         reader = reader.option(k, v)
     raw = reader.load(source_dir).select(
-        "*", F.col("_metadata.file_name").alias("src_file_name"),
-        F.col("_metadata.file_path").alias("src_file_path"))
+        "*", metadata_name().alias("src_file_name"),
+        metadata_path().alias("src_file_path"))
     rows = transform(raw) if transform else raw
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
