@@ -38,7 +38,9 @@ def read_csv_text(spark: SparkSession, paths: str | Sequence[str], sep: str = ",
                   encoding: str | None = None, quote: str | None = None,
                   multiline: bool = False, with_path: bool = True, **options) -> DataFrame:
     """SRC-1: delimited text with a header row; every column a string."""
-    r = (spark.read.option("header", True).option("inferSchema", False)
+    # enforceSchema=false: a file whose header differs from the batch's fails
+    # the read instead of being mapped by position
+    r = (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
          .option("sep", sep).option("multiLine", multiline))
     if encoding:
         r = r.option("encoding", encoding)
@@ -163,10 +165,18 @@ def decode_with_fallback(spark: SparkSession, paths: str | Sequence[str]) -> Dat
                      .otherwise(F.lit("ISO-8859-1")).alias("encoding"))
 
 
-def read_sheets(spark: SparkSession, root: str, **csv_options) -> DataFrame:
+def read_sheets(spark: SparkSession, root: str, sheet: str | int | None = None, **csv_options) -> DataFrame:
     """SRC-7: workbook sheets landed as ``<workbook>/<idx>__<sheet>.csv``.
-    Adds ``workbook``, ``sheet_index`` and ``sheet_name`` from the path."""
-    df = read_csv_text(spark, root, recursiveFileLookup=True, pathGlobFilter="*.csv", **csv_options)
+    ``sheet`` picks one sheet kind by name or index (sheets of one kind share
+    a header, so read each kind separately). Adds ``workbook``,
+    ``sheet_index`` and ``sheet_name`` from the path."""
+    if sheet is None:
+        glob = "*.csv"
+    elif isinstance(sheet, int):
+        glob = f"{sheet}__*.csv"
+    else:
+        glob = f"*__{sheet}.csv"
+    df = read_csv_text(spark, root, recursiveFileLookup=True, pathGlobFilter=glob, **csv_options)
     fname = base_name(F.col(FILE_PATH))
     return df.withColumns({
         "workbook": parent_name(F.col(FILE_PATH)),
@@ -175,6 +185,15 @@ def read_sheets(spark: SparkSession, root: str, **csv_options) -> DataFrame:
     })
 
 
+def list_sheets(spark: SparkSession, root: str) -> DataFrame:
+    """One row per landed sheet ``(workbook, sheet_index, sheet_name, path)``,
+    from the file listing only (no content read)."""
+    files = list_files(spark, root, "*.csv")
+    return files.select(F.col("parent").alias("workbook"),
+                        F.regexp_extract("name", r"^(\d+)__", 1).cast("int").alias("sheet_index"),
+                        F.regexp_extract("name", r"^\d+__(.*)\.csv$", 1).alias("sheet_name"), "path")
+
+
 def pick_sheet(sheets: DataFrame, prefix: str, workbook: str = "workbook",
                index: str = "sheet_index", name: str = "sheet_name") -> DataFrame:
     """SRC-8: per workbook, the first sheet whose name starts with ``prefix``,
