@@ -57,6 +57,7 @@ def load_all() -> dict[str, Registered]:
     from . import (  # noqa: F401
         q_dictionary,
         q_entities,
+        q_files,
         q_links,
         q_nested,
         q_paths,

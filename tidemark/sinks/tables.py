@@ -31,8 +31,16 @@ def _fs(spark: SparkSession, path: str):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a readable table (an empty folder left by a
+    failed first write does not count)."""
     fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
+    if not fs.exists(p):
+        return False
+    try:
+        spark.read.parquet(path).schema
+    except Exception:  # noqa: BLE001 - no data files yet
+        return False
+    return True
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -148,7 +156,7 @@ def dictionary_comments(dictionary: DataFrame, name: str = "name", title: str =
     """Comment text per column from a dictionary (``title: field_title``);
     one row per column, collected after a size check."""
     rows = (dictionary.select(name, F.concat_ws(": ", F.col(title), F.col(field_title)).alias("t"))
-            .dropDuplicates([name]).limit(max_rows + 1).collect())
+            .groupBy(name).agg(F.min("t").alias("t")).limit(max_rows + 1).collect())
     if len(rows) > max_rows:
         raise ValueError("dictionary too large to turn into comments")
     return {r[name]: r["t"] for r in rows}

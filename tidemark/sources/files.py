@@ -155,11 +155,15 @@ def list_files(spark: SparkSession, root: str, pattern: str | None = None,
                      "modificationTime", "length")
 
 
-def decode_with_fallback(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def decode_with_fallback(spark: SparkSession, paths: str | Sequence[str],
+                         pattern: str | None = None) -> DataFrame:
     """SRC-6: per file, the first encoding that decodes it: ``UTF-8`` (a BOM is
     allowed) else ``ISO-8859-1``. Returns ``(path, encoding)``; read each group
     with SRC-5 using that encoding. Only the validity test touches content."""
-    df = spark.read.format("binaryFile").load(_paths(paths))
+    r = spark.read.format("binaryFile")
+    if pattern:
+        r = r.option("pathGlobFilter", pattern)
+    df = r.load(_paths(paths))
     text = F.col("content").cast("string")
     return df.select("path", F.when(F.is_valid_utf8(text), F.lit("UTF-8"))
                      .otherwise(F.lit("ISO-8859-1")).alias("encoding"))
@@ -196,17 +200,12 @@ def list_sheets(spark: SparkSession, root: str) -> DataFrame:
 
 def pick_sheet(sheets: DataFrame, prefix: str, workbook: str = "workbook",
                index: str = "sheet_index", name: str = "sheet_name") -> DataFrame:
-    """SRC-8: per workbook, the first sheet whose name starts with ``prefix``,
-    else sheet 0. Input: one row per sheet. Output: ``(workbook, index)``."""
-    miss = F.when(F.col(name).startswith(prefix), 0).otherwise(1)
-    one_sheet = F.count(F.lit(1)) == 1
-    best = F.min(F.struct(miss.alias("m"), F.col(index).alias("i")))
-    # a workbook with one sheet reads sheet 0 whatever its name
-    return (sheets.groupBy(workbook)
-            .agg(best.alias("_b"), one_sheet.alias("_one"), F.min(index).alias("_first"))
-            .select(workbook, F.when(F.col("_one"), F.col("_first"))
-                    .when(F.col("_b.m") == 0, F.col("_b.i"))
-                    .otherwise(F.lit(0)).alias(index)))
+    """SRC-8 / ORD-3: per workbook, the first sheet whose name starts with
+    ``prefix``, else the first sheet (sheet 0). Input: one row per sheet
+    (``list_sheets``). Output: ``(workbook, sheet_index)``. One aggregation,
+    no window."""
+    hit = F.min(F.when(F.col(name).startswith(prefix), F.col(index)))
+    return sheets.groupBy(workbook).agg(F.coalesce(hit, F.min(index)).alias(index))
 
 
 def read_json_docs(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None) -> DataFrame:
