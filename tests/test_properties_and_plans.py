@@ -147,3 +147,13 @@ def test_one_per_key_has_no_window_and_dictionary_broadcasts(spark):
     assert "Window" not in plan and "partial_min" in plan
     plan = _plan(reg["attach_dictionary"].fn(spark, SF_SMALL))
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(90, 110).map(float))),
+                     min_size=1, max_size=30))
+def test_median_exceeds_matches_exact_median(spark, rows):
+    df = spark.createDataFrame(rows, "g INT, x DOUBLE")
+    got = {r.g: r.median_exceeds for r in A.median_exceeds(df, ["g"], "x", 100.0).collect()}
+    exact = {r.g: (r.m is not None and r.m > 100.0) for r in df.groupBy("g").agg(F.median("x").alias("m")).collect()}
+    assert got == exact

@@ -59,6 +59,7 @@ DEFAULT_ZONE_NAME = "Eastern Standard Time"
 
 # Whitespace that Python's str.strip() removes for ASCII text.
 _WS = "[ \\t\\n\\r\\f\\u000b]"
+_WS_CHARS = " \t\n\r\f\u000b"
 
 
 def col_(c: str | Column) -> Column:
@@ -67,8 +68,9 @@ def col_(c: str | Column) -> Column:
 
 
 def strip(c: str | Column) -> Column:
-    """Remove leading and trailing whitespace (tabs and newlines too)."""
-    return F.regexp_replace(col_(c), f"^{_WS}+|{_WS}+$", "")
+    """Remove leading and trailing whitespace (tabs and newlines too); a
+    character-set trim, no regex."""
+    return F.btrim(col_(c), F.lit(_WS_CHARS))
 
 
 def _map_literal(mapping: Mapping[str, str]) -> Column:

@@ -129,6 +129,26 @@ def group_median(df: DataFrame, keys: Sequence[str], column: str, name: str = "m
     return df.groupBy(*keys).agg(F.median(column).alias(name))
 
 
+def median_exceeds(df: DataFrame, keys: Sequence[str], column: str, threshold: float,
+                   name: str = "median_exceeds") -> DataFrame:
+    """Per group: is the exact median of ``column`` (nulls ignored; mean of
+    the two middle values for an even count) above ``threshold``?
+
+    Answered from four algebraic aggregates (count, count above, largest
+    value at or below, smallest value above), so every map task combines its
+    part and a hot group costs O(1) memory; no group's values are gathered.
+    Empty groups give false."""
+    c = F.col(column)
+    agg = df.groupBy(*keys).agg(
+        F.count(c).alias("_n"), F.count(F.when(c > threshold, c)).alias("_above"),
+        F.max(F.when(c <= threshold, c)).alias("_lo"), F.min(F.when(c > threshold, c)).alias("_hi"))
+    n, above = F.col("_n"), F.col("_above")
+    odd = (n % 2) == 1
+    even_tie = (above * 2 == n) & ((F.col("_lo") + F.col("_hi")) / 2 > threshold)
+    result = F.when(n == 0, F.lit(False)).when(odd, above * 2 > n).otherwise((above * 2 > n) | even_tie)
+    return agg.select(*keys, F.coalesce(result, F.lit(False)).alias(name))
+
+
 def most_common(df: DataFrame, group: Sequence[str], value: str,
                 name: str | None = None, count_name: str = "n") -> DataFrame:
     """AGG-8: the most frequent value per group; ties go to the smallest

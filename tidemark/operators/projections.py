@@ -115,10 +115,12 @@ def swap_columns_if(df: DataFrame, a: str, b: str, threshold: float,
     exceeds ``threshold`` the two columns were exported in swapped order;
     swap them back for that group only.
 
-    The medians form one row per group: the flags are broadcast after a
-    size check and joined back, with no shuffle of the fact rows."""
-    flags = (df.groupBy(*by).agg(F.median(a).alias("_med"))
-             .select(*by, (F.coalesce(F.col("_med") > threshold, F.lit(False))).alias("_swap")))
+    The test "median > threshold" is exact and skew-proof (``median_exceeds``:
+    fixed-size partial aggregates, no group gathered in one task). The flags
+    form one row per group, broadcast after a size check and joined back,
+    with no shuffle of the fact rows."""
+    from .aggregates import median_exceeds
+    flags = median_exceeds(df, list(by), a, threshold, "_swap")
     j = df.join(checked_broadcast(flags), list(by), "left")
     swap = F.coalesce(F.col("_swap"), F.lit(False))
     out = j.withColumns({a: F.when(swap, F.col(b)).otherwise(F.col(a)),

@@ -81,23 +81,24 @@ def _positions(pred_arr: Column) -> Column:
 
 
 def _explode_measures(data: DataFrame, desc: DataFrame, attrs: Sequence[str],
-                      measure_fields: Sequence[str]) -> DataFrame:
+                      measure_fields: Sequence[str], file_fields: Sequence[str] = ()) -> DataFrame:
     """Join data rows with their file's descriptor (broadcast) and emit one
-    row per measure column."""
+    row per measure column. Attribute cells are stripped once per data row,
+    before the explode; per-file values ride along from the descriptor."""
     j = data.join(checked_broadcast(desc, MAX_FILES), FILE_PATH)
     j = j.filter(F.concat_ws("", "cells") != "")  # fully blank rows are skipped
     attr_cols = [strip(F.get(F.col("cells"), F.get(F.col("attr_pos"), k))).alias(a)
                  for k, a in enumerate(attrs)]
-    ex = j.select(FILE_PATH, "row_idx", *attr_cols, F.explode("measures").alias("m"),
-                  F.col("cells"))
+    wide = j.select(FILE_PATH, "row_idx", *attr_cols, *file_fields, "measures", "cells")
+    ex = wide.select(FILE_PATH, "row_idx", *attrs, *file_fields, "cells", F.explode("measures").alias("m"))
     value = strip(F.get(F.col("cells"), F.col("m.i")))
     return ex.select(FILE_PATH, "row_idx", *attrs, *[F.col(f"m.{f}").alias(f) for f in measure_fields],
-                     value.alias("measure_value_raw"))
+                     value.alias("measure_value_raw"), *file_fields)
 
 
 def matrix_to_long(matrix: DataFrame, attrs: Sequence[str] = MEASURE_ATTRS,
                    attr_row: int = 1, heading_row: int = 2, period_row: int = 3,
-                   data_from: int = 4) -> DataFrame:
+                   data_from: int = 4, file_columns: Mapping[str, Column] | None = None) -> DataFrame:
     """RSH-2: star-rating measure matrices to rows.
 
     A column is skipped when its attribute, heading and period cells are all
@@ -105,7 +106,12 @@ def matrix_to_long(matrix: DataFrame, attrs: Sequence[str] = MEASURE_ATTRS,
     measure with code = text before the first ``:`` of the heading,
     description = normalised text after the last ``:``, and period from the
     period cell (``(Monday - Friday)`` and ``\\x96`` removed). Attributes are
-    named by position with ``attrs``. A null data cell stays null."""
+    named by position with ``attrs``. A null data cell stays null.
+
+    ``file_columns`` are expressions over ``src_file_path`` (file date, year,
+    name); they are evaluated once per file on the descriptor side and carried
+    to the rows by the broadcast join."""
+    file_columns = dict(file_columns or {})
     heads = _header_rows(matrix, {"a": attr_row, "h": heading_row, "p": period_row})
     z = F.arrays_zip(F.col("a").alias("a"), F.col("h").alias("h"), F.col("p").alias("p"))
     is_attr = F.transform(z, lambda x: ~(x["a"].isNull() & x["h"].isNull() & x["p"].isNull())
@@ -121,9 +127,11 @@ def matrix_to_long(matrix: DataFrame, attrs: Sequence[str] = MEASURE_ATTRS,
                         period["start"].alias("measure_start"), period["end"].alias("measure_end"))
 
     desc = heads.select(FILE_PATH, _positions(is_attr).alias("attr_pos"),
-                        F.transform(_positions(is_meas), measure).alias("measures"))
+                        F.transform(_positions(is_meas), measure).alias("measures"),
+                        *[c.alias(n) for n, c in file_columns.items()])
     data = matrix.filter(F.col("row_idx") >= data_from)
-    out = _explode_measures(data, desc, attrs, ["measure_code", "measure_desc", "measure_start", "measure_end"])
+    out = _explode_measures(data, desc, attrs, ["measure_code", "measure_desc", "measure_start", "measure_end"],
+                            list(file_columns))
     return out.withColumn("measure_value", parse_percent("measure_value_raw"))
 
 

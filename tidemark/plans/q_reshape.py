@@ -113,14 +113,15 @@ FROM b
 @query("matrix_to_long", "RSH-2 RSH-5 SCL-6 SCL-12 SCL-16 PTH-8 PTH-9 PTH-10", _MATRIX_SQL)
 def q_matrix_to_long(spark, sf_dir):
     m = lineitem_matrix(spark, sf_dir)
-    long = R.matrix_to_long(m)
     name = base_name(F.col(FILE_PATH))
     folder = F.regexp_extract(F.col(FILE_PATH), r"([^/]*)/[^/]*$", 1)
     file_date = F.coalesce(parenthesised_date(name), underscore_date(stem(name)))
     file_date = F.coalesce(file_date, F.raise_error(F.concat(F.lit("no file date in "), name)).cast("date"))
+    # file-level values: evaluated once per file, not per row
+    long = R.matrix_to_long(m, file_columns={"src_file_name": name, "src_file_date": file_date,
+                                             "performance_year": path_year(folder)})
     return long.select(*R.MEASURE_ATTRS, "measure_code", "measure_desc", "measure_start", "measure_end",
-                       "measure_value_raw", "measure_value", name.alias("src_file_name"),
-                       file_date.alias("src_file_date"), path_year(folder).alias("performance_year"))
+                       "measure_value_raw", "measure_value", "src_file_name", "src_file_date", "performance_year")
 
 
 DISPLAY_H = "file:/reports/2024 Display/2024_Display_HEDIS_2023_10_12.csv"

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import base_name, parent_name
-from ..session import checked_broadcast
+from ..session import checked_broadcast, cut_lineage
 
 FILE_PATH = "src_file_path"
 
@@ -67,14 +67,20 @@ def matrix_schema(width: int) -> T.StructType:
 
 
 def read_matrix(spark: SparkSession, paths: str | Sequence[str], width: int = 64,
-                encoding: str = "UTF-8", sep: str = ",") -> DataFrame:
+                encoding: str = "UTF-8", sep: str = ",", stage: bool = False) -> DataFrame:
     """SRC-5: a headerless report file as indexed rows
     ``(src_file_path, row_idx, cells array<string>)``.
 
     Quoted newlines are kept (multi-line mode: each file is one task; files
     run in parallel). ``row_idx`` counts rows from 0 within each file; it is
     ``id - min(id)`` over the file, the minimum being one row per file
-    (broadcast after a size check). ``width`` must cover the widest file."""
+    (broadcast after a size check). ``width`` must cover the widest file.
+
+    With ``stage`` the parsed rows are written once as Parquet under the
+    shared checkpoint folder and read back: later passes (header rows,
+    descriptors, data) then read columnar data, and the ``row_idx`` filter of
+    the header pass skips all but the first row group of each file, instead
+    of parsing the text again. This also cuts the lineage."""
     df = (spark.read.schema(matrix_schema(width)).option("header", False)
           .option("multiLine", True).option("encoding", encoding).option("sep", sep)
           .option("mode", "PERMISSIVE").csv(_paths(paths)))
@@ -83,7 +89,8 @@ def read_matrix(spark: SparkSession, paths: str | Sequence[str], width: int = 64
                    F.array(*[F.col(f"c{i}") for i in range(width)]).alias("cells"))
     first = df.groupBy(FILE_PATH).agg(F.min("_mid").alias("_mid0"))
     out = df.join(checked_broadcast(first, 1_000_000), FILE_PATH)
-    return out.select(FILE_PATH, (F.col("_mid") - F.col("_mid0")).alias("row_idx"), "cells")
+    out = out.select(FILE_PATH, (F.col("_mid") - F.col("_mid0")).alias("row_idx"), "cells")
+    return cut_lineage(out, spark, "matrix") if stage else out
 
 
 def to_cells(matrix: DataFrame) -> DataFrame:
@@ -159,14 +166,19 @@ def decode_with_fallback(spark: SparkSession, paths: str | Sequence[str],
                          pattern: str | None = None) -> DataFrame:
     """SRC-6: per file, the first encoding that decodes it: ``UTF-8`` (a BOM is
     allowed) else ``ISO-8859-1``. Returns ``(path, encoding)``; read each group
-    with SRC-5 using that encoding. Only the validity test touches content."""
-    r = spark.read.format("binaryFile")
+    with SRC-1/SRC-5 using that encoding.
+
+    The files are scanned as split text lines (any size, many tasks per
+    file; the text source keeps the raw bytes), and a file is Latin-1 when
+    any of its lines is not valid UTF-8."""
+    r = spark.read.format("text")
     if pattern:
         r = r.option("pathGlobFilter", pattern)
-    df = r.load(_paths(paths))
-    text = F.col("content").cast("string")
-    return df.select("path", F.when(F.is_valid_utf8(text), F.lit("UTF-8"))
-                     .otherwise(F.lit("ISO-8859-1")).alias("encoding"))
+    lines = r.load(_paths(paths)).select(metadata_path().alias("path"),
+                                         (~F.is_valid_utf8("value")).alias("bad"))
+    per_file = lines.groupBy("path").agg(F.bool_or("bad").alias("bad"))
+    return per_file.select("path", F.when(F.col("bad"), F.lit("ISO-8859-1"))
+                           .otherwise(F.lit("UTF-8")).alias("encoding"))
 
 
 def read_sheets(spark: SparkSession, root: str, sheet: str | int | None = None, **csv_options) -> DataFrame:
