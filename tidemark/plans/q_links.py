@@ -30,7 +30,7 @@ WITH a AS (
          regexp_extract_all(html, '{_sql(L.ANCHOR)}', 2) AS texts
   FROM pages),
 b AS (SELECT page_id, url, hrefs, texts, unnest(range(len(hrefs))) AS pos FROM a)
-SELECT page_id, url, pos, hrefs[pos + 1] AS href, {_text_of_sql("texts[pos + 1]")} AS link_text FROM b
+SELECT page_id, url, CAST(pos AS INTEGER) AS pos, hrefs[pos + 1] AS href, {_text_of_sql("texts[pos + 1]")} AS link_text FROM b
 """
 
 
@@ -90,8 +90,11 @@ def q_stamped_name(spark, sf_dir):
 
 
 @query("recent_rows", "LNK-4", f"""
-WITH r AS (SELECT page_id, unnest(regexp_extract_all(html, '{_sql(L.ROW)}', 1)) AS row_html FROM pages)
-SELECT page_id FROM r WHERE false
+WITH r AS (SELECT page_id, unnest(regexp_extract_all(html, '{_sql(L.ROW)}', 1)) AS row_html FROM pages),
+c AS (SELECT page_id, row_html, list_transform(regexp_extract_all(row_html, '{_sql(L.CELL)}', 1),
+                                               lambda x: {_text_of_sql("x")}) AS cells FROM r)
+SELECT page_id FROM c
+WHERE len(cells) = 2 AND TRY_CAST(right(cells[-1], 4) AS INTEGER) >= 2024
 """)
 def q_recent_rows(spark, sf_dir):
     rows = L.recent_rows(table(spark, sf_dir, "pages"), as_of_year=2025)
@@ -99,8 +102,12 @@ def q_recent_rows(spark, sf_dir):
 
 
 @query("recent_months", "LNK-5", f"""
-WITH r AS (SELECT page_id, unnest(regexp_extract_all(html, '{_sql(L.ROW)}', 1)) AS row_html FROM pages)
-SELECT page_id FROM r WHERE false
+WITH r AS (SELECT page_id, unnest(regexp_extract_all(html, '{_sql(L.ROW)}', 1)) AS row_html FROM pages),
+c AS (SELECT page_id, row_html, list_transform(regexp_extract_all(row_html, '{_sql(L.CELL)}', 1),
+                                               lambda x: {_text_of_sql("x")}) AS cells FROM r)
+SELECT page_id FROM c
+WHERE len(cells) = 2 AND regexp_matches(right(cells[-1], 7), '^[0-9]{{4}}-[0-9]{{2}}$')
+  AND right(cells[-1], 7) >= '2025-04'
 """)
 def q_recent_months(spark, sf_dir):
     rows = L.recent_months(table(spark, sf_dir, "pages"), as_of=_dt.date(2025, 6, 30))
