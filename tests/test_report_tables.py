@@ -218,3 +218,29 @@ def test_streaming_incremental_load(spark, tmp_dir):
     assert t.count() == 4
     assert sorted(r.src_file_name for r in t.select("src_file_name").distinct().collect()) == [
         "dir_2024_01.csv", "dir_2024_02.csv", "dir_2024_03.csv"]
+
+
+def test_plan_level_payments_and_hedis_sheets(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "plans")
+    write(f"{root}/2024PartCPlanLevel.xlsx/0__result.csv",
+          "a,b,c,d,e,f,g\nH1,001,Plan,HMO,950.5,1.1,20\nH2,002,Plan,PPO,900,0.9,30\n")
+    write(f"{root}/2024PartDPlans.xlsx/0__Sheet1.csv", "a,b,c,d,e,f,g,h\nS1,001,Plan,PDP,10,0.95,5,2\n")
+    c = {r.contract_number: r for r in R.payment_plan_partc(src.read_sheets(spark, root, "result"), LOAD).collect()}
+    assert c["H1"].avg_partc_risk_score == 1.1 and c["H1"].avg_ab_pmpm_payment == 950.5
+    d = R.payment_plan_partd(src.read_sheets(spark, root, "Sheet1"), LOAD).collect()[0]
+    assert d.avg_partd_risk_score == 0.95 and d.src_file_date == dt.date(2024, 12, 31)
+    h = os.path.join(tmp_dir, "hedis2")
+    write(f"{h}/HEDIS2024.xlsx/0__hedis_rau_measures.csv",
+          "CMSContractNumber,MeasureCode,IndicatorKey,Denominator,ObservedCount\nH1,AHU,ahu_rate,100,x\n")
+    write(f"{h}/HEDIS2024.xlsx/1__general.csv", "CMSContractNumber,General-0010,General-0050\nH1,HMO,1200\n")
+    write(f"{h}/HEDIS2024.xlsx/2__national_rates.csv", "N-R0010,N-R0020,N-R0050\n2024,BCS,0.7\n")
+    write(f"{h}/MADictionary2024.xlsx/0__Sheet1.csv",
+          "MeasureCode,IndicatorKey,MeasureName,ShortIndicatorName\nAHU,ahu_rate,Acute,AHU\n")
+    dic = src.read_sheets(spark, os.path.join(h, "MADictionary2024.xlsx"), 0)
+    rau = R.hedis_rau(src.read_sheets(spark, h, "hedis_rau_measures"), dic, 2024, LOAD, "HEDIS2024.xlsx").collect()[0]
+    assert rau.contract_number == "H1" and rau.denominator == 100.0 and rau.measure_name == "Acute"
+    gen = R.hedis_general(src.read_sheets(spark, h, "general"), 2024, LOAD, "HEDIS2024.xlsx").collect()[0]
+    assert gen.organization_type == "HMO" and gen.enrollment_yearend == 1200.0 and gen.contract_number == "H1"
+    nat = R.hedis_national_rates(src.read_sheets(spark, h, "national_rates"), 2024, LOAD, "HEDIS2024.xlsx")
+    row = nat.collect()[0]
+    assert row.measure_code == "BCS" and row.rate == "0.7" and row.hedis_year == "2024"

@@ -63,6 +63,37 @@ MSA_TAIL = ("avg_msa_monthly_deposit_payment",)
 RECONCILIATION_HEADER = ("contract_number", "contract_name", "number_of_plans", "reconciliation_amount",
                          "lics_amount", "reinsurance_amount", "risk_sharing_amount")
 LIS_HEADER = ("contract_id", "contract_name", "pbp_id", "pbp_name", "enrolled", "lis_enrolled")
+PARTC_PLAN_HEADER = ("contract_number", "plan_benefit_package", "contract_name", "plan_type",
+                     "avg_partc_risk_score", "avg_ab_pmpm_payment", "avg_rebate_pmpm_payment")
+PARTD_PLAN_HEADER = ("contract_number", "plan_benefit_package", "contract_name", "organization_type",
+                     "avg_partd_direct_subsidy_pmpm_payment", "avg_partd_risk_score",
+                     "avg_reinsurance_pmpm_payment", "avg_low_income_cost_sharing_pmpm_payment")
+RAU_NUMERIC = ("denominator", "observed_count", "expected_count", "member_count", "outlier_member_count",
+               "non_outlier_member_count", "count_variance")
+GENERAL_COLUMNS = {
+    "general0010": "organization_type",
+    "general0011": "plan_type",
+    "general0014": "snp_offered",
+    "general0015": "partd_offered",
+    "general0016": "partd_offered",
+    "general0020": "line_of_business",
+    "general0050": "enrollment_yearend",
+    "general0060": "cms_region_number",
+    "general0070": "cms_region_name",
+    "general_0070": "cms_region_name",
+    "general0080": "population_type",
+    "general0085": "sumitted_to_ncqa",
+    "general0087": "hos_included",
+}
+NATIONAL_COLUMNS = {
+    "n_r0010": "hedis_year",
+    "n_r0020": "measure_name",
+    "n_r0030": "indicator_description",
+    "n_r0040": "indicator_key",
+    "n_r0050": "rate",
+    "n_r0060": "num_reporting_contracts",
+    "n_r0070": "tot_num_enrollees",
+}
 HOS_RATES = {
     "FRM": {"rate1": "discussing_fall_risk_rate", "rate2": "managing_fall_risk_rate"},
 }
@@ -145,6 +176,26 @@ def payment_county(sheets: DataFrame, load_date: _dt.date) -> DataFrame:
     return out.drop(*META)
 
 
+def payment_plan_partc(sheets: DataFrame, load_date: _dt.date) -> DataFrame:
+    """partc_payment_plan_level: as the county table without code padding."""
+    df = src.assign_header(sheets, PARTC_PLAN_HEADER, MSA_TAIL, ignore=META)
+    df = prj.cast_columns(df, parse_number, suffixes=("payment", "score"))
+    df = df.withColumn("src_file_name", F.col("workbook"))
+    df = prj.swap_columns_if(df, "avg_partc_risk_score", "avg_ab_pmpm_payment", 100.0, by=["src_file_name"])
+    year = F.substring(F.col("workbook"), 1, 4)
+    out = prj.with_lineage(df, file_date=year_end(year), load_date=load_date, file_name=F.col("src_file_name"))
+    return out.drop(*META)
+
+
+def payment_plan_partd(sheets: DataFrame, load_date: _dt.date) -> DataFrame:
+    """partd_payment_plan_level: positional header, numbers; no swap check."""
+    df = src.assign_header(sheets, PARTD_PLAN_HEADER, ignore=META)
+    df = prj.cast_columns(df, parse_number, suffixes=("payment", "score"))
+    year = F.substring(F.col("workbook"), 1, 4)
+    out = prj.with_lineage(df, file_date=year_end(year), load_date=load_date, file_name=F.col("workbook"))
+    return out.drop(*META)
+
+
 def reconciliation(sheets: DataFrame, load_date: _dt.date, header: Sequence[str] = RECONCILIATION_HEADER,
                    label: str = "contract_number") -> DataFrame:
     """partd_reconciliation_*: SRC-12, FLT-3 totals row, PRJ-10 amounts,
@@ -199,3 +250,36 @@ def camel_headers_only(df: DataFrame) -> DataFrame:
     """PRJ-2 on data columns; sheet metadata columns dropped."""
     data = _data_columns(df)
     return df.select(*[F.col(f"`{c}`").alias(camel_name(c)) for c in data])
+
+
+def hedis_rau(rau: DataFrame, dictionary: DataFrame, year: int, load_date: _dt.date,
+              workbook: str) -> DataFrame:
+    """hedis_rau_measures: PRJ-2, JON-2 dictionary, SCL-3 counts, PTH-3."""
+    df = prj.rename(camel_headers_only(rau), {"c_m_s_contract_number": "contract_number"})
+    df = df.withColumn("hedis_year", F.lit(year))
+    d = camel_headers_only(dictionary).select("measure_code", "indicator_key", "measure_name",
+                                              "short_indicator_name")
+    df = attach_dictionary(df, d, ["measure_code", "indicator_key"])
+    df = prj.cast_columns(df, parse_number, names=RAU_NUMERIC)
+    return prj.with_lineage(df, file_date=_dt.date(year, 12, 31), load_date=load_date, file_name=workbook)
+
+
+def hedis_general(general: DataFrame, year: int, load_date: _dt.date, workbook: str) -> DataFrame:
+    """hedis_general: PRJ-2 then the general-code names (PRJ-3), year-end
+    enrollment as a number."""
+    df = camel_headers_only(general)
+    df = df.toDF(*[GENERAL_COLUMNS.get(c, c) for c in df.columns])
+    df = prj.rename(df, {"c_m_s_contract_number": "contract_number"})
+    if "enrollment_yearend" in df.columns:
+        df = df.withColumn("enrollment_yearend", parse_number("enrollment_yearend"))
+    df = df.withColumn("hedis_year", F.lit(year))
+    return prj.with_lineage(df, file_date=_dt.date(year, 12, 31), load_date=load_date, file_name=workbook)
+
+
+def hedis_national_rates(rates: DataFrame, year: int, load_date: _dt.date, workbook: str) -> DataFrame:
+    """hedis_national_rates: PRJ-2 then the national-rate code names; the
+    measure name column holds the measure code."""
+    df = camel_headers_only(rates)
+    df = df.toDF(*[NATIONAL_COLUMNS.get(c, c) for c in df.columns])
+    df = prj.rename(df, {"measure_name": "measure_code"})
+    return prj.with_lineage(df, file_date=_dt.date(year, 12, 31), load_date=load_date, file_name=workbook)
