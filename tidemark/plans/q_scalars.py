@@ -342,20 +342,25 @@ def q_concat_label(spark, sf_dir):
 
 
 @query("heading_tokens", "SCL-20", """
-WITH t AS (
-  SELECT doc_id, list_filter(string_split_regex(
-           regexp_replace(split_part(text, chr(10), 1), '^[ \\t\\n\\r\\f\\v]+|[ \\t\\n\\r\\f\\v]+$', '', 'g'),
+WITH l AS (
+  SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS line_no,
+         string_split(text, chr(10)) AS lines FROM documents),
+t AS (
+  SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, list_filter(string_split_regex(
+           regexp_replace(lines[line_no + 1], '^[ \\t\\n\\r\\f\\v]+|[ \\t\\n\\r\\f\\v]+$', '', 'g'),
            '[ \\t\\n\\r\\f\\v]+'), lambda w: w <> '') AS words
-  FROM documents)
-SELECT doc_id, words[-1] AS measure_code,
+  FROM l)
+SELECT doc_id, line_no, words[-1] AS measure_code,
        array_to_string(list_slice(words, 1, greatest(len(words) - 1, 0)), ' ') AS measure_desc
 FROM t
 """)
 def q_heading_tokens(spark, sf_dir):
+    """Every line of every document read as a heading: last word (code) and
+    the words before it (description)."""
     d = table(spark, sf_dir, "documents")
-    first = F.substring_index("text", "\n", 1)
-    return d.select("doc_id", S.last_token(first).alias("measure_code"),
-                    S.all_but_last(first).alias("measure_desc"))
+    lines = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return lines.select("doc_id", "line_no", S.last_token("line").alias("measure_code"),
+                        S.all_but_last("line").alias("measure_desc"))
 
 
 @query("split_heading", "RSH-5", """

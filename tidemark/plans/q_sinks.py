@@ -176,3 +176,26 @@ SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
 def q_json_props(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     return e.select("event_id", F.from_json("props", "k INT")["k"].alias("k"))
+
+
+@query("incremental_stream_load", "INC-1 SNK-1 SRC-1", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders
+""")
+def q_stream_load(spark, sf_dir):
+    """Orders land as CSV files in two waves; an availableNow file stream
+    loads each wave, skipping files already loaded (its checkpoint), and
+    replaces the slice of every new file."""
+    from ..streaming.file_loader import run_csv_load
+    root = scratch_path(spark, "stream_load")
+    landing, target, ckpt = f"{root}/landing", f"{root}/table", f"{root}/checkpoint"
+    o = table(spark, sf_dir, "orders").select(*[F.col(c).cast("string").alias(c) for c in
+                                                ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")])
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
+    o.filter(F.col("o_orderstatus") != "P").write.mode("append").option("header", True).csv(landing)
+    run_csv_load(spark, landing, cols, target, checkpoint=ckpt)
+    o.filter(F.col("o_orderstatus") == "P").write.mode("append").option("header", True).csv(landing)
+    run_csv_load(spark, landing, cols, target, checkpoint=ckpt)  # only the new files
+    t = snk.read_table(spark, target)
+    return t.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
+                    F.col("o_custkey").cast("bigint").alias("o_custkey"), "o_orderstatus",
+                    parse_number("o_totalprice").alias("o_totalprice"))
