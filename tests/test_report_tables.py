@@ -5,7 +5,6 @@ import datetime as dt
 import json
 import os
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.plans import benefits as B

@@ -70,10 +70,6 @@ def _header_rows(matrix: DataFrame, rows: Mapping[str, int]) -> DataFrame:
     return h.groupBy(FILE_PATH).agg(*aggs)
 
 
-def _attr_name(c: Column) -> Column:
-    return F.replace(normalize_name_col(c), F.lit("contract_number"), F.lit("contract_id"))
-
-
 def _positions(pred_arr: Column) -> Column:
     """0-based positions where a boolean array is true."""
     idx = F.sequence(F.lit(0), F.size(pred_arr) - 1)

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import functions as F
-
 from ..operators import links as L
 from .catalog import query, table
 

@@ -19,7 +19,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.aggregates import Order, one_per_key
 
@@ -114,18 +113,25 @@ def replace_slice(df: DataFrame, path: str, key: str, value=None,
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """SNK-3: replace the whole table. Written to a staging folder first and
-    swapped in, so a failed write leaves the old table readable and the
-    input may be the table itself."""
+    """SNK-3: replace the whole table. The new content is written to a
+    staging folder first; the old table is then moved aside, the staging
+    folder moved in, and the old copy deleted last. A failed write leaves the
+    old table untouched, a crash between the moves leaves a complete copy
+    under ``<path>.__old``, and the input may be the table itself."""
     spark = df.sparkSession
-    staging = path.rstrip("/") + ".__staging"
+    base = path.rstrip("/")
+    staging, old = base + ".__staging", base + ".__old"
     _delete(spark, staging)
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(staging)
-    _delete(spark, path)
-    _rename(spark, staging, path)
+    _delete(spark, old)
+    fs, p = _fs(spark, base)
+    if fs.exists(p):
+        _rename(spark, base, old)
+    _rename(spark, staging, base)
+    _delete(spark, old)
 
 
 def upsert(df: DataFrame, path: str, keys: Sequence[str], order: Order | None = None) -> None:
@@ -177,7 +183,3 @@ def write_json_docs(df: DataFrame, path: str, keys: Sequence[str] = (),
     key (last writer by ``order``), replacing the folder."""
     out = one_per_key(df, list(keys), order) if keys else df
     out.write.mode("overwrite").json(path)
-
-
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
