@@ -243,3 +243,15 @@ def test_plan_level_payments_and_hedis_sheets(spark, tmp_dir):
     nat = R.hedis_national_rates(src.read_sheets(spark, h, "national_rates"), 2024, LOAD, "HEDIS2024.xlsx")
     row = nat.collect()[0]
     assert row.measure_code == "BCS" and row.rate == "0.7" and row.hedis_year == "2024"
+
+
+def test_landscape_premium_report(spark, tmp_dir):
+    old = os.path.join(tmp_dir, "prem", "CY2023_Landscape_Plan_Premium_Report_20221001.csv")
+    new = os.path.join(tmp_dir, "prem", "CY2024_Landscape_Plan_Premium_Report_20231001.csv")
+    write(old, "t1\nt2\nt3\nState,Part C Premium2,Star Rating Part D,Overall Star Rating\nAL,$1.50,4,Not Applicable\n",
+          "latin-1")
+    write(new, "State,Part C Premium,2024 Star Rating Part D,2024 Overall Star Rating\nAK,($2.00),3.5,4\n", "latin-1")
+    rows = {r.state: r for r in R.landscape_premium_report(spark, [old, new], LOAD).collect()}
+    assert rows["AL"].part_c_premium == 1.5 and rows["AL"].star_rating_part_d == 4.0
+    assert rows["AL"].overall_star_rating is None and rows["AL"].src_file_date == dt.date(2023, 1, 1)
+    assert rows["AK"].part_c_premium == -2.0 and rows["AK"].overall_star_rating == 4.0

@@ -57,6 +57,31 @@ PLAN_TYPE_REMAP = {
     "Regional PPO C-SNP": "Regional PPO", "Regional PPO D-SNP": "Regional PPO",
     "PDP": "Medicare Prescription Drug Plan", "Cost": "1876 Cost",
 }
+PREMIUM_RENAMES = {
+    "part_c_premium2": "part_c_premium",
+    "part_c_premium_2": "part_c_premium",
+    "part_d_basic_premium3": "part_d_basic_premium",
+    "part_d_supplemental_premium4": "part_d_supplemental_premium",
+    "part_d_total_premium5": "part_d_total_premium",
+    "part_d_premium_obligation_with_full_premium_assistance6": "part_d_premium_obligation_with_full_premium_assistance",
+    "part_d_premium_obligation_with_full_premium_assistance_6": "part_d_premium_obligation_with_full_premium_assistance",
+    "tiers_not_subject_to_deductible7": "tiers_not_subject_to_deductible",
+    "increased_initial_coverage_limit8": "increased_initial_coverage_limit",
+    "part_d_supplemental_premium_4": "part_d_supplemental_premium",
+    "2024_star_rating_part_c": "star_rating_part_c",
+    "2024_star_rating_part_d": "star_rating_part_d",
+    "2024_overall_star_rating": "overall_star_rating",
+}
+# money / rating columns of the premium report (the source's missing comma
+# between the last two names is fixed: both are parsed)
+PREMIUM_NUMERIC = (
+    "part_c_premium", "part_d_basic_premium", "part_d_supplemental_premium", "part_d_total_premium",
+    "part_d_premium_obligation_with_full_premium_assistance",
+    "part_d_premium_obligation_with_75_premium_assistance",
+    "part_d_premium_obligation_with_50_premium_assistance",
+    "part_d_premium_obligation_with_25_premium_assistance",
+    "part_d_drug_deductible", "star_rating_part_c", "star_rating_part_d", "overall_star_rating",
+)
 COUNTY_HEADER = ("county_code", "state", "county_name", "plan_type", "snp_plan_type", "avg_risk_score",
                  "avg_ab_pmpm_payment", "avg_rebate_pmpm_payment")
 MSA_TAIL = ("avg_msa_monthly_deposit_payment",)
@@ -138,13 +163,15 @@ def route_landscape(df: DataFrame, column: str = "contract_category_type") -> di
 
 
 def landscape_before_2024(spark: SparkSession, paths: Sequence[str], skip_rows: int, year: int,
-                          money_columns: Sequence[str], load_date: _dt.date) -> DataFrame:
+                          money_columns: Sequence[str], load_date: _dt.date,
+                          renames: Mapping[str, str] | None = None) -> DataFrame:
     """landscape tables (to 2024): SRC-3 title rows, PRJ-11 duplicate headers,
-    PRJ-1, PRJ-5, FLT-4 blank rows, SCL-1 money columns, PTH-3 year start."""
-    df = src.read_with_preamble(spark, list(paths), skip_rows)
+    PRJ-1/3, PRJ-5, FLT-4 blank rows, SCL-1 money columns, PTH-3 year start."""
+    df = src.read_with_preamble(spark, list(paths), skip_rows, encoding="ISO-8859-1")
     data = [c for c in df.columns if c not in (src.FILE_PATH, "row_idx")]
     df = df.select(src.FILE_PATH, *[F.col(f"`{c}`") for c in data]).toDF(
         src.FILE_PATH, *[normalize_name(c) for c in data])
+    df = prj.rename(df, dict(renames or {}))
     df = prj.drop_unnamed(df)
     df = _drop_blank(df)
     df = prj.cast_columns(df, parse_money, names=[c for c in money_columns if c in df.columns])
@@ -153,6 +180,24 @@ def landscape_before_2024(spark: SparkSession, paths: Sequence[str], skip_rows:
         .drop(src.FILE_PATH)
 
 
+def landscape_premium_report(spark: SparkSession, paths: Sequence[str], load_date: _dt.date) -> DataFrame:
+    """landscape_plan_premium_report (to 2024): files named
+    ``CYyyyy_..._Plan_Premium_Report_<yyyymmdd>.csv``; files dated before
+    2023-07-01 carry 3 title rows. Files are grouped by (year, title rows)
+    from their names (metadata only); each group is one read, and the groups
+    are unioned by name (SET-1)."""
+    import os
+
+    groups: dict[tuple[int, int], list[str]] = {}
+    for path in paths:
+        stem_ = os.path.splitext(os.path.basename(path))[0]
+        skip = 3 if stem_[-8:] < "20230701" else 0
+        groups.setdefault((int(stem_[2:6]), skip), []).append(path)
+    parts = [landscape_before_2024(spark, group, skip, year, PREMIUM_NUMERIC, load_date, PREMIUM_RENAMES)
+             for (year, skip), group in sorted(groups.items())]
+    return union_by_name(parts)
+
+
 def _drop_blank(df: DataFrame) -> DataFrame:
     """FLT-4 on the data columns only (the path column is never null)."""
     data = [c for c in df.columns if c != src.FILE_PATH]
