@@ -108,7 +108,9 @@ def replace_slice(df: DataFrame, path: str, key: str, value=None,
     if value is not None and df.isEmpty():
         _delete(spark, f"{path.rstrip('/')}/{key}={_partition_text(value)}")
         return
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # rebalance by the slice key: AQE evens the output files per slice and
+    # splits a hot slice over several tasks instead of one
+    (df.hint("rebalance", key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(key).parquet(path))
 
 
@@ -122,6 +124,8 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     base = path.rstrip("/")
     staging, old = base + ".__staging", base + ".__old"
     _delete(spark, staging)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
