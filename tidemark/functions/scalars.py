@@ -278,7 +278,11 @@ def concat_label(code: str | Column, value: str | Column, sep: str = ": ") -> Co
 
 
 def _words(c: str | Column) -> Column:
-    return F.filter(F.split(strip(c), f"{_WS}+"), lambda t: t != "")
+    """Whitespace-separated words. After stripping, splitting on whitespace
+    runs yields no empty word (an empty text gives an empty array), so no
+    lambda is needed and the expression stays in generated code."""
+    s = strip(c)
+    return F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, f"{_WS}+"))
 
 
 def last_token(c: str | Column) -> Column:
