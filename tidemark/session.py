@@ -91,14 +91,21 @@ def cut_lineage(df: DataFrame, spark: SparkSession | None = None, name: str = "s
     return spark.read.parquet(path)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
+def checked_broadcast(df: DataFrame, max_rows: int = 1_000_000,
+                      max_bytes: int = 256 * 1024 * 1024) -> DataFrame:
+    """Broadcast ``df`` only after proving it small: at most ``max_rows`` rows
+    and about ``max_bytes`` bytes (the JSON length of its rows, a close upper
+    estimate of the in-memory size).
 
-    The proof is a bounded count (``limit(max_rows + 1)``), so a side that
+    The proof is one bounded job over ``limit(max_rows + 1)``, so a side that
     has grown past the bound is never pulled whole; it then joins by shuffle
     and AQE may still pick a broadcast from runtime sizes."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    probe = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))),
+                   F.lit(0)).alias("bytes")).first()
+    small = probe["n"] <= max_rows and probe["bytes"] <= max_bytes
+    return F.broadcast(df) if small else df
 
 
 def data_path(sf_dir: str, table: str) -> str:
