@@ -213,6 +213,11 @@ def test_streaming_incremental_load(spark, tmp_dir):
     assert snk.read_table(spark, target).count() == 3
     write(f"{src_dir}/dir_2024_03.csv", "Contract,Enrollment\nH3,30\n")
     run_csv_load(spark, src_dir, ["Contract", "Enrollment"], target, checkpoint=ckpt)  # only the new file
+    other = os.path.join(tmp_dir, "stream_table_default_ckpt")
+    run_csv_load(spark, src_dir, ["Contract", "Enrollment"], other)
+    write(f"{src_dir}/dir_2024_04.csv", "Contract,Enrollment\nH4,40\n")
+    run_csv_load(spark, src_dir, ["Contract", "Enrollment"], other)  # default checkpoint is stable
+    assert snk.read_table(spark, other).count() == 5
     t = snk.read_table(spark, target)
     assert t.count() == 4
     assert sorted(r.src_file_name for r in t.select("src_file_name").distinct().collect()) == [

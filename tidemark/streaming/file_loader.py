@@ -7,8 +7,8 @@ which files were read, so every run picks up exactly the new files; an
 loads. Each micro-batch replaces the slices of the files it holds, so a
 re-delivered batch after a failure rewrites the same slices (idempotent).
 
-The checkpoint lives under the cluster's shared checkpoint folder, never on
-a machine-local disk.
+The stream checkpoint must be stable across runs and on shared storage; by
+default it is ``<target>/_stream_checkpoint`` (readers skip ``_`` folders).
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..session import scratch_path
 from ..sinks.tables import replace_slice
 from ..sources.files import metadata_name, metadata_path
 
@@ -54,7 +53,9 @@ def start_csv_load(spark: SparkSession, source_dir: str, columns: list[str], tar
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         replace_slice(batch, target, key)
 
-    ckpt = checkpoint or scratch_path(spark, "stream-checkpoint")
+    # the checkpoint must be stable across runs (it is what remembers loaded
+    # files); by default it sits beside the table, where readers ignore it
+    ckpt = checkpoint or target.rstrip("/") + "/_stream_checkpoint"
     return (rows.writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())
