@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import col_
-from ..session import checked_broadcast
+from ..session import checked_broadcast, cut_lineage
 
 # ---------------------------------------------------------------------------
 # Fixed values
@@ -133,6 +133,9 @@ def canonical_names(raw: DataFrame, column: str, min_dist: int = 2,
     itself."""
     counts = raw.groupBy(F.col(column).alias("raw_name")).agg(F.count(F.lit(1)).alias("n"))
     counts = counts.filter(F.col("raw_name").isNotNull()).withColumn("std", standardize_name("raw_name"))
+    # one row per distinct spelling, used by four branches below: written once
+    # to the shared folder so the facts are aggregated once, not per branch
+    counts = cut_lineage(counts, name="name_counts")
     std_counts = counts.groupBy("std").agg(F.sum("n").alias("n"))
     fix = typo_map(std_counts, "std", "n", min_dist, ignore_words)
     spelling = _commonest_spelling(counts)
