@@ -124,8 +124,17 @@ def any_match(df: DataFrame, keys: Sequence[str], predicate: Column, name: str =
     return df.groupBy(*keys).agg(F.coalesce(F.bool_or(predicate), F.lit(False)).alias(name))
 
 
-def group_median(df: DataFrame, keys: Sequence[str], column: str, name: str = "median") -> DataFrame:
-    """AGG-7: exact median (mean of the two middle values for even counts)."""
+def group_median(df: DataFrame, keys: Sequence[str], column: str, name: str = "median",
+                 accuracy: int | None = None) -> DataFrame:
+    """AGG-7: exact median (mean of the two middle values for even counts).
+
+    The exact form keeps a value-to-count map per group (partial per map
+    task). For groups too large for one task's memory pass ``accuracy``: the
+    median then comes from ``percentile_approx`` sketches of fixed size.
+    Threshold decisions ("median above t") are exact and O(1) per group with
+    :func:`median_exceeds`."""
+    if accuracy:
+        return df.groupBy(*keys).agg(F.percentile_approx(column, 0.5, accuracy).alias(name))
     return df.groupBy(*keys).agg(F.median(column).alias(name))
 
 

@@ -135,7 +135,7 @@ def snpdata(spark: SparkSession, root: str, target: str, load_date: _dt.date, wi
     paths = _paths(files)
     if not paths:
         return 0
-    m = src.read_matrix(spark, paths, width, stage=True)
+    m = src.read_matrix(spark, paths, width, stage=True, files=True)
     folder = parent_name(F.col(src.FILE_PATH))
     hdr = src.detect_header(m, "Contract Number")
     hdr = hdr.withColumn("header_row", F.col("header_row")

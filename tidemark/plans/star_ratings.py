@@ -61,7 +61,7 @@ def measure_values(spark: SparkSession, root: str, patterns: Sequence[str], load
     """starrating_measure_value / _star: every matching file through
     read_matrix + matrix_to_long, with performance year and file date."""
     paths = _paths(spark, root, patterns, exclude)
-    m = src.read_matrix(spark, paths, width, encoding, stage=True)
+    m = src.read_matrix(spark, paths, width, encoding, stage=True, files=True)
     name = base_name(F.col(src.FILE_PATH))
     long = matrix_to_long(m, file_columns={"performance_year": _year_folder(),
                                            "src_file_date": measure_file_date(name), "src_file_name": name})
@@ -74,7 +74,7 @@ def display_measures(spark: SparkSession, root: str, load_date: _dt.date, patter
     """starrating_display_hedis_measure: offset 0 for files whose stem holds
     ``HEDIS``, 1 otherwise; file date from the trailing ``YYYY_MM_DD``."""
     paths = _paths(spark, root, [pattern])
-    m = src.read_matrix(spark, paths, width, encoding, stage=True)
+    m = src.read_matrix(spark, paths, width, encoding, stage=True, files=True)
     name = base_name(F.col(src.FILE_PATH))
     offset = F.when(stem(name).contains("HEDIS"), 0).otherwise(1)
     long = display_matrix_to_long(m, offset)
@@ -96,7 +96,7 @@ def cutpoints(spark: SparkSession, root: str, load_date: _dt.date, width: int =
         groups.setdefault(r["encoding"], []).append(r["path"])
     parts = []
     for encoding, group in sorted(groups.items()):
-        m = src.read_matrix(spark, group, width, encoding, stage=True)
+        m = src.read_matrix(spark, group, width, encoding, stage=True, files=True)
         # a UTF-8 byte-order mark is not part of the first cell
         m = m.withColumn("cells", F.transform("cells", lambda c: F.regexp_replace(c, "^\\x{FEFF}", "")))
         name = base_name(F.col(src.FILE_PATH))

@@ -67,7 +67,8 @@ def matrix_schema(width: int) -> T.StructType:
 
 
 def read_matrix(spark: SparkSession, paths: str | Sequence[str], width: int = 64,
-                encoding: str = "UTF-8", sep: str = ",", stage: bool = False) -> DataFrame:
+                encoding: str = "UTF-8", sep: str = ",", stage: bool = False,
+                files: bool = False) -> DataFrame:
     """SRC-5: a headerless report file as indexed rows
     ``(src_file_path, row_idx, cells array<string>)``.
 
@@ -80,7 +81,11 @@ def read_matrix(spark: SparkSession, paths: str | Sequence[str], width: int = 64
     shared checkpoint folder and read back: later passes (header rows,
     descriptors, data) then read columnar data, and the ``row_idx`` filter of
     the header pass skips all but the first row group of each file, instead
-    of parsing the text again. This also cuts the lineage."""
+    of parsing the text again. This also cuts the lineage.
+
+    With ``files`` the paths are known to be files (from a listing), so the
+    per-file table has at most ``len(paths)`` rows and is broadcast without a
+    probe job; otherwise its size is proven first."""
     df = (spark.read.schema(matrix_schema(width)).option("header", False)
           .option("multiLine", True).option("encoding", encoding).option("sep", sep)
           .option("mode", "PERMISSIVE").csv(_paths(paths)))
@@ -88,7 +93,10 @@ def read_matrix(spark: SparkSession, paths: str | Sequence[str], width: int = 64
                    F.monotonically_increasing_id().alias("_mid"),
                    F.array(*[F.col(f"c{i}") for i in range(width)]).alias("cells"))
     first = df.groupBy(FILE_PATH).agg(F.min("_mid").alias("_mid0"))
-    out = df.join(checked_broadcast(first, 1_000_000), FILE_PATH)
+    plist = _paths(paths)
+    # one row of (path, long) per file: small whenever the file count is
+    small = F.broadcast(first) if files and len(plist) <= 1_000_000 else checked_broadcast(first, 1_000_000)
+    out = df.join(small, FILE_PATH)
     out = out.select(FILE_PATH, (F.col("_mid") - F.col("_mid0")).alias("row_idx"), "cells")
     return cut_lineage(out, spark, "matrix") if stage else out
 
