@@ -92,3 +92,21 @@ def test_snpdata_header_detection(spark, tmp_dir):
     assert rows["H1"].geographic_name == "Statewide"
     assert not any(c.startswith("unnamed") for c in snk.read_table(spark, target).columns)
     assert rows["H1"].src_file_date == dt.date(2024, 3, 1)
+
+
+def test_bad_strict_date_fails_the_load(spark, tmp_dir):
+    import pytest
+    src = os.path.join(tmp_dir, "dir_bad")
+    write(f"{src}/MA_Contract_directory_2024_04.csv",
+          "Contract Number,Legal Entity St2,Enrollment,Contract Effective Date,Directory Contact Last Update\n"
+          "H1,,1,13/45/2024,1/1/2024\n")
+    with pytest.raises(Exception):
+        P.mapd_plan_directory(spark, src, os.path.join(tmp_dir, "directory_bad"), LOAD)
+
+
+def test_missing_header_row_fails_the_load(spark, tmp_dir):
+    import pytest
+    root = os.path.join(tmp_dir, "snp_bad")
+    write(f"{root}/SNP_2024_05/SNP_Report.csv", "Title only\nno header here\nH1,001,5\n")
+    with pytest.raises(Exception, match="no header row"):
+        P.snpdata(spark, root, os.path.join(tmp_dir, "snp_bad_t"), LOAD)

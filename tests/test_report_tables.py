@@ -135,13 +135,15 @@ def test_benefit_tables(spark, tmp_dir):
           "latin-1")
     write(f"{root}/pbp-benefits-2024/pbp_b1.txt", "pbp_a_hnumber\tpbp_b1_amt\nH1\t5\n", "latin-1")
     write(f"{root}/pbp-other-shape-2024-x-y-z/pbp_b1.txt", "x\n1\n", "latin-1")
+    write(f"{root}/pbp-benefits-2024-quarter-2/pbp_b1.txt", "pbp_a_hnumber\tpbp_b1_amt\n", "latin-1")  # empty
     files = B.latest_files(spark, root, "pbp_b1.txt", since=dt.date(2024, 1, 1))
-    assert sorted(r.src_file_date for r in files.collect()) == [dt.date(2024, 1, 1), dt.date(2024, 7, 1)]
+    assert sorted(r.src_file_date for r in files.collect()) == [dt.date(2024, 1, 1), dt.date(2024, 4, 1),
+                                                                dt.date(2024, 7, 1)]
     dictionary = spark.createDataFrame(
         [("pbp_b1", "pbp_b1_amt", "NUM"), ("pbp_b1", "version", "NUM"), ("pbp_b1", "empty", "NUM"),
          ("pbp_b1", "pbp_b1_note", "CHAR")], "file STRING, name STRING, type STRING")
     target = os.path.join(tmp_dir, "pbp_b1")
-    assert B.dictionary_typed(spark, files, dictionary, "pbp_b1", target, LOAD) == 2
+    assert B.dictionary_typed(spark, files, dictionary, "pbp_b1", target, LOAD) == 2  # the empty file is skipped
     rows = {r.src_file_date: r for r in snk.read_table(spark, target).collect()}
     q3 = rows["2024-07-01"]
     assert q3.pbp_b1_amt == 1234.0 and q3.version == "1" and q3.pbp_b1_note == 'says "hi" é'
