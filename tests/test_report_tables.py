@@ -262,3 +262,11 @@ def test_landscape_premium_report(spark, tmp_dir):
     assert rows["AL"].part_c_premium == 1.5 and rows["AL"].star_rating_part_d == 4.0
     assert rows["AL"].overall_star_rating is None and rows["AL"].src_file_date == dt.date(2023, 1, 1)
     assert rows["AK"].part_c_premium == -2.0 and rows["AK"].overall_star_rating == 4.0
+
+
+def test_default_category_labels(spark):
+    meta = spark.createDataFrame([(dt.date(2025, 1, 1), "Opt Sup Deduct Cats", "13b: Over-the-counter items")],
+                                 "src_file_date DATE, title STRING, code_and_values STRING")
+    lab = {r.code: r.label for r in B.category_labels(meta, 2025).collect()}
+    assert lab["13b"] == "Over-the-counter items" and lab["RICS"] == "Reductions in Cost Sharing"
+    assert lab["1a"] == "Inpatient Hospital - Acute" and len(lab) == 93

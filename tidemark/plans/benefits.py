@@ -23,6 +23,7 @@ from ..operators import nested as N
 from ..operators import projections as prj
 from ..sinks import tables as snk
 from ..sources import files as src
+from .benefit_categories import DEFAULT_CATEGORY_LABELS
 
 
 def latest_files(spark: SparkSession, root: str, pattern: str, since: _dt.date | None = None) -> DataFrame:
@@ -91,7 +92,8 @@ def plan_area(text: DataFrame, file_date: _dt.date, load_date: _dt.date) -> Data
     return prj.drop_all_null_columns(df)
 
 
-def category_labels(metadata: DataFrame, year: int, defaults: Mapping[str, str],
+def category_labels(metadata: DataFrame, year: int,
+                    defaults: Mapping[str, str] = DEFAULT_CATEGORY_LABELS,
                     title: str = "Opt Sup Deduct Cats") -> DataFrame:
     """NST-6: code -> label for benefit categories: the dictionary rows of
     ``year`` titled ``title`` (as a date range, FLT-7), split and merged over
