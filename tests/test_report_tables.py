@@ -7,6 +7,8 @@ import os
 
 from pyspark.sql import types as T
 
+from pyspark.sql import functions as F
+
 from tidemark.plans import benefits as B
 from tidemark.plans import reports as R
 from tidemark.sinks import tables as snk
@@ -270,3 +272,33 @@ def test_default_category_labels(spark):
     lab = {r.code: r.label for r in B.category_labels(meta, 2025).collect()}
     assert lab["13b"] == "Over-the-counter items" and lab["RICS"] == "Reductions in Cost Sharing"
     assert lab["1a"] == "Inpatient Hospital - Acute" and len(lab) == 93
+
+
+def test_landscape_end_to_end_and_hedis_pairs(spark, tmp_dir):
+    csv = os.path.join(tmp_dir, "land2", "CY2026_Landscape_202509.csv")
+    write(csv, "Contract Category Type,Parent Organization Name,Plan Type,Monthly Premium\n"
+               "MA,Aetna Lfe,PPO,$12.30\nPDP,Humana Inc.,PDP,($5.00)\nSNP,X,HMO,$1\nOTHER,Y,HMO,$2\n", "latin-1")
+    targets = {}
+    for t, cols in [("landscape_medicare_advantage", "monthly_premium DOUBLE, organization_name STRING, plan_type STRING"),
+                    ("landscape_prescription_drug_plan", "monthly_premium DOUBLE, organization_name STRING")]:
+        path = os.path.join(tmp_dir, t)
+        spark.createDataFrame([], f"{cols}, src_file_date DATE, src_file_name STRING, load_date DATE") \
+            .write.parquet(path)
+        spark.createDataFrame([(1.0, "seed", "2020.csv")], "monthly_premium DOUBLE, organization_name STRING, "
+                              "src_file_name STRING").write.mode("append").partitionBy("src_file_name").parquet(path)
+        targets[t] = path
+    hist = spark.createDataFrame([("Aetna Life",)] * 3 + [("Aetna Lfe",)], "organization_name STRING")
+    missing = R.load_landscape_after_2024(spark, csv, targets, hist, 2026, LOAD)
+    assert missing["landscape_medicare_advantage"] == []
+    ma = {r.src_file_name: r for r in snk.read_table(spark, targets["landscape_medicare_advantage"]).collect()}
+    new = ma["CY2026_Landscape_202509.csv"]
+    assert new.organization_name == "Aetna Life" and new.plan_type == "Local PPO" and new.monthly_premium == 12.3
+    pdp = snk.read_table(spark, targets["landscape_prescription_drug_plan"])
+    assert pdp.filter(F.col("src_file_name") == "CY2026_Landscape_202509.csv").first().monthly_premium == -5.0
+    h = os.path.join(tmp_dir, "pairs")
+    for wb in ("HEDIS2024.xlsx", "MADictionary2024.xlsx", "HEDIS2025.xlsx", "MADictionary2025.xlsx",
+               "HEDIS2023.xlsx"):
+        write(f"{h}/{wb}/0__s.csv", "a\n1\n")
+    pairs = {r.year: (r.data, r.dictionary) for r in R.hedis_pairs(spark, h).collect()}
+    assert pairs == {"2024": ("HEDIS2024.xlsx", "MADictionary2024.xlsx"),
+                     "2025": ("HEDIS2025.xlsx", "MADictionary2025.xlsx")}

@@ -328,3 +328,45 @@ def hedis_national_rates(rates: DataFrame, year: int, load_date: _dt.date, workb
     df = df.toDF(*[NATIONAL_COLUMNS.get(c, c) for c in df.columns])
     df = prj.rename(df, {"measure_name": "measure_code"})
     return prj.with_lineage(df, file_date=_dt.date(year, 12, 31), load_date=load_date, file_name=workbook)
+
+
+def load_landscape_after_2024(spark: SparkSession, csv_path: str, targets: Mapping[str, str],
+                              organization_history: DataFrame | None, year: int,
+                              load_date: _dt.date) -> dict[str, list[str]]:
+    """The landscape tables from 2024 on, end to end: the file is read and
+    renamed once and staged in the shared folder (SURVEY §4: one read for
+    several sinks); each target (``landscape_medicare_advantage`` ...) gets the
+    rows of its categories (FLT-5), conformed to that table's own schema
+    (PRJ-7), and the file's slice replaced (SNK-1, SNK-4). Returns, per target,
+    the table columns the file lacks."""
+    from ..session import cut_lineage
+    from ..sinks import tables as snk
+
+    name = csv_path.rstrip("/").split("/")[-1]
+    mapping = organization_names(organization_history) if organization_history is not None else None
+    raw = cut_lineage(src.read_csv_text(spark, csv_path, encoding="ISO-8859-1"), spark, "landscape")
+    missing: dict[str, list[str]] = {}
+    for table_name, rows in route_landscape(prj.normalize_headers(raw)).items():
+        path = targets.get(table_name)
+        if path is None:
+            continue
+        schema = snk.read_table(spark, path).schema if snk.path_exists(spark, path) else None
+        if schema is None:
+            raise ValueError(f"{table_name}: the target table must exist to conform to it")
+        data = [f for f in schema.fields if f.name not in ("src_file_date", "src_file_name", "load_date")]
+        out, miss = landscape(rows, T.StructType(data), mapping, name, year, load_date)
+        snk.replace_slice(out, path, "src_file_name", value=name)
+        missing[table_name] = miss
+    return missing
+
+
+def hedis_pairs(spark: SparkSession, root: str, min_year: str = "2024") -> DataFrame:
+    """INC-6 for HEDIS: per year, the data workbook (``HEDIS<yyyy>``) and its
+    dictionary (``MADictionary<yyyy>``), from the sheet landing folders; a
+    year missing either fails the job."""
+    sheets = src.list_sheets(spark, root).select("workbook").distinct()
+    year = F.regexp_extract(F.regexp_replace("workbook", r"\.[^.]*$", ""), r"(\d{4})$", 1)
+    files = sheets.select(year.alias("year"), F.col("workbook").alias("name"),
+                          F.col("workbook").alias("path")).filter((F.col("year") != "") & (F.col("year") >= min_year))
+    from ..operators.incremental import pair_files
+    return pair_files(files, "year", {"data": "HEDIS", "dictionary": "MADictionary"})
