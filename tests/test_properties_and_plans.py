@@ -157,3 +157,11 @@ def test_median_exceeds_matches_exact_median(spark, rows):
     got = {r.g: r.median_exceeds for r in A.median_exceeds(df, ["g"], "x", 100.0).collect()}
     exact = {r.g: (r.m is not None and r.m > 100.0) for r in df.groupBy("g").agg(F.median("x").alias("m")).collect()}
     assert got == exact
+
+
+def test_quarter_start_rules(spark):
+    from tidemark.functions.dates import quarter_start
+    rows = [("pbp-benefits-2024-quarter-3",), ("pbp-benefits-2024",), ("a-quarter-2023",),
+            ("pbp-benefits-2024-extra-x",), ("pbp-benefits",)]
+    got = [r[0] for r in spark.createDataFrame(rows, "f STRING").select(quarter_start("f")).collect()]
+    assert got == [dt.date(2024, 7, 1), dt.date(2024, 1, 1), dt.date(2023, 1, 1), None, None]

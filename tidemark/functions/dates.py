@@ -103,8 +103,8 @@ def quarter_start(folder: str | Column) -> Column:
     year = _year(F.get(tokens, 2))
     q = F.get(tokens, 4)
     q = F.when(q.rlike(r"^[0-9]+$"), q.cast("int"))
-    return (F.when(F.instr(f, "quarter") > 0,
-                   F.when(n == 5, _safe_date(year, q * 3 - 2, F.lit(1))))
+    # a "quarter" name of another length falls through to the 3-token rule
+    return (F.when((F.instr(f, "quarter") > 0) & (n == 5), _safe_date(year, q * 3 - 2, F.lit(1)))
             .when(n == 3, _safe_date(year, F.lit(1), F.lit(1))))
 
 
