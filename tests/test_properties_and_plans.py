@@ -165,3 +165,11 @@ def test_quarter_start_rules(spark):
             ("pbp-benefits-2024-extra-x",), ("pbp-benefits",)]
     got = [r[0] for r in spark.createDataFrame(rows, "f STRING").select(quarter_start("f")).collect()]
     assert got == [dt.date(2024, 7, 1), dt.date(2024, 1, 1), dt.date(2023, 1, 1), None, None]
+
+
+def test_paren_text_date_forms(spark):
+    from tidemark.functions.dates import paren_text_date
+    names = [("x (Oct 11 2023).csv",), ("x (October 11, 2023).csv",), ("x (10/11/2023).csv",),
+             ("x (2023-10-11).csv",), ("x (no date).csv",), ("x.csv",)]
+    got = [r[0] for r in spark.createDataFrame(names, "n STRING").select(paren_text_date("n")).collect()]
+    assert got == [dt.date(2023, 10, 11)] * 4 + [None, None]

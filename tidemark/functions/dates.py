@@ -163,3 +163,14 @@ def classify_name(c: str | Column, rules: Sequence[tuple[str, str]] = PART_TYPE_
 def year_range(year: str | Column) -> tuple[Column, Column]:
     """PTH-12: year -> (performance_date_start, performance_date_end)."""
     return year_start(year), year_end(year)
+
+
+def paren_text_date(c: str | Column) -> Column:
+    """Date written inside the first parentheses of a name, in any of the
+    common forms: ``(Oct 11 2023)``, ``(October 11, 2023)``, ``(10/11/2023)``,
+    ``(2023-10-11)``; null otherwise."""
+    t = F.trim(F.replace(F.regexp_extract(col_(c), r"\(([^)]*)\)", 1), F.lit(","), F.lit("")))
+    t = F.regexp_replace(t, r"\s+", " ")
+    return F.when(t != "", F.coalesce(parenthesised_date(F.concat(F.lit("("), t, F.lit(")"))),
+                                      F.try_to_date(t, "MMMM d yyyy"), F.try_to_date(t, "M/d/yyyy"),
+                                      F.try_to_date(t, "yyyy-MM-dd")))

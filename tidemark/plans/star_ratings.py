@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import (
     base_name,
     classify_name,
+    paren_text_date,
     parenthesised_date,
     path_year,
     stem,
@@ -45,7 +46,7 @@ def _required_date(d, name):
 def measure_file_date(name):
     """File date of a measure data / stars file: ``(... date)`` in the name,
     or ``YYYY_MM_DD`` before a ``_data`` / ``_stars`` suffix; required."""
-    return _required_date(F.coalesce(parenthesised_date(name), underscore_date(stem(name))), name)
+    return _required_date(F.coalesce(paren_text_date(name), underscore_date(stem(name))), name)
 
 
 def _paths(spark: SparkSession, root: str, patterns: Sequence[str], exclude: Sequence[str] = ()) -> list[str]:
@@ -139,7 +140,7 @@ def overall_summary(spark: SparkSession, paths: Sequence[str], performance_year:
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast("string"))
     name = base_name(F.col(src.FILE_PATH))
-    date = _required_date(parenthesised_date(name), name)
+    date = _required_date(paren_text_date(name), name)
     return df.select(*SUMMARY_COLUMNS, F.lit(performance_year).alias("performance_year"),
                      date.alias("src_file_date"), name.alias("src_file_name"), F.lit(load_date).alias("load_date"))
 
