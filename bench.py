@@ -44,7 +44,7 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = get_session(f"local[{cpus}]", app="tidemark-bench",
                         shuffle_partitions=int(cpus) * 2,
-                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
+                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "4g")})
     spark.sparkContext.setLogLevel("ERROR")
     reg = load_all()
     names = [n for n in HEADLINE if n in reg]
