@@ -173,3 +173,12 @@ def test_paren_text_date_forms(spark):
              ("x (2023-10-11).csv",), ("x (no date).csv",), ("x.csv",)]
     got = [r[0] for r in spark.createDataFrame(names, "n STRING").select(paren_text_date("n")).collect()]
     assert got == [dt.date(2023, 10, 11)] * 4 + [None, None]
+
+
+def test_checked_broadcast_respects_row_and_byte_bounds(spark):
+    from tidemark.session import checked_broadcast
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(checked_broadcast(o, max_rows=10_000_000))
+    assert not hinted(checked_broadcast(o, max_rows=10))
+    assert not hinted(checked_broadcast(o, max_rows=10_000_000, max_bytes=1000))

@@ -58,7 +58,7 @@ def dictionary_typed(spark: SparkSession, files: DataFrame, dictionary: DataFram
     for r in files.select("path", "src_file_date").collect():
         text = src.read_tsv_text(spark, r["path"], with_path=False)
         out = D.load_by_dictionary(text, dictionary, file, file_date=r["src_file_date"],
-                                   file_name=_name_of(src.metadata_path()), load_date=load_date)
+                                   file_name=_name_of(src.metadata_path()), load_date=load_date, stage=True)
         if out is None:
             continue
         snk.replace_slice(out, target, "src_file_date", value=r["src_file_date"])
