@@ -182,3 +182,10 @@ def test_checked_broadcast_respects_row_and_byte_bounds(spark):
     assert hinted(checked_broadcast(o, max_rows=10_000_000))
     assert not hinted(checked_broadcast(o, max_rows=10))
     assert not hinted(checked_broadcast(o, max_rows=10_000_000, max_bytes=1000))
+
+
+def test_one_per_key_with_map_columns(spark):
+    df = spark.createDataFrame([(1, 2, {"a": 1}), (1, 1, {"b": 2}), (2, 5, {"c": 3})],
+                               "k INT, v INT, m MAP<STRING, INT>")
+    got = {r.k: (r.v, r.m) for r in A.one_per_key(df, ["k"], [("v", "asc")]).collect()}
+    assert got == {1: (1, {"b": 2}), 2: (5, {"c": 3})}

@@ -3,8 +3,8 @@
 Skew rule: any key may hold a third of all rows. Every operator here is a
 hash/sort aggregation with a map-side partial step, so a hot key is reduced
 inside each map task before the shuffle. "One row per key" in particular is
-a ``min`` over a struct whose leading fields are the sort key, never a window
-that would sort a whole hot key inside one task.
+a ``min_by`` over the row keyed by a sort-key struct, never a window that
+would sort a whole hot key inside one task.
 """
 
 from __future__ import annotations
@@ -60,23 +60,29 @@ def sort_key(df: DataFrame, order: Order) -> Column:
     return F.struct(*parts)
 
 
+def _orderable(dtype: str) -> bool:
+    return not dtype.startswith("map<") and "map<" not in dtype
+
+
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Order | None = None) -> DataFrame:
     """AGG-6 / ORD-2: the first row per key under a total ``order``.
 
     ``order`` defaults to all non-key columns ascending, which makes the pick
     deterministic where the source kept an arbitrary duplicate. Ties left by
-    an explicit ``order`` are broken by the remaining columns.
+    an explicit ``order`` are broken by the remaining (orderable) columns.
 
-    Plan: a partial ``min(struct(sort_key, row))`` in every map task, one
-    shuffle of at most (tasks x keys) rows, a final ``min``. No window."""
+    Plan: a partial ``min_by(row, sort_key)`` in every map task, one shuffle
+    of at most (tasks x keys) rows, a final ``min_by``. No window. The row
+    itself may hold any type (maps included); only the key is compared."""
     keys = list(keys)
+    types = dict(df.dtypes)
     rest = [c for c in df.columns if c not in keys]
     order = _norm_order(order or [])
-    tie = [(c, "asc") for c in rest if c not in {n for n, _ in order}]
+    tie = [(c, "asc") for c in rest if c not in {n for n, _ in order} and _orderable(types[c])]
     k = sort_key(df, order + tie)
     payload = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(0)
-    picked = df.groupBy(*keys).agg(F.min(F.struct(k.alias("k"), payload.alias("v"))).alias("_m"))
-    return picked.select(*keys, *[F.col("_m.v").getField(c).alias(c) for c in rest]).select(*df.columns)
+    picked = df.groupBy(*keys).agg(F.min_by(payload, k).alias("_v"))
+    return picked.select(*keys, *[F.col("_v").getField(c).alias(c) for c in rest]).select(*df.columns)
 
 
 def group_count(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
