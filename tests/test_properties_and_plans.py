@@ -189,3 +189,13 @@ def test_one_per_key_with_map_columns(spark):
                                "k INT, v INT, m MAP<STRING, INT>")
     got = {r.k: (r.v, r.m) for r in A.one_per_key(df, ["k"], [("v", "asc")]).collect()}
     assert got == {1: (1, {"b": 2}), 2: (5, {"c": 3})}
+
+
+def test_scratch_scope_removes_staging(spark):
+    from tidemark.session import cut_lineage, local_path, scratch_scope
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey")
+    with scratch_scope(spark) as created:
+        staged = cut_lineage(o)
+        assert staged.count() == o.count()
+        paths = list(created)
+    assert len(paths) == 1 and not os.path.exists(local_path(paths[0]))

@@ -8,8 +8,10 @@ has none (local tests).
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,10 +73,44 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_SCOPES = threading.local()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
+    """A fresh, unique folder under the shared checkpoint root. Inside a
+    :func:`scratch_scope` the folder is deleted when the scope ends."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    for scope in getattr(_SCOPES, "stack", []):
+        scope.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the scratch folders (staged matrices, lineage cuts) created
+    inside the ``with`` block once it ends, i.e. after the load that used
+    them has been written:
+
+        with scratch_scope(spark):
+            write_full(measure_values(spark, root, patterns, today), target)
+    """
+    stack = getattr(_SCOPES, "stack", None)
+    if stack is None:
+        stack = _SCOPES.stack = []
+    created: list[str] = []
+    stack.append(created)
+    try:
+        yield created
+    finally:
+        stack.remove(created)
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in created:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            fs = p.getFileSystem(conf)
+            if fs.exists(p):
+                fs.delete(p, True)
 
 
 def local_path(path: str) -> str:
