@@ -199,3 +199,24 @@ def test_scratch_scope_removes_staging(spark):
         assert staged.count() == o.count()
         paths = list(created)
     assert len(paths) == 1 and not os.path.exists(local_path(paths[0]))
+
+
+def test_read_matrix_splittable_keeps_header_rows(spark, tmp_dir):
+    from tidemark.sources.files import read_matrix
+    path = os.path.join(tmp_dir, "big", "report.csv")
+    os.makedirs(os.path.dirname(path))
+    with open(path, "w") as f:
+        f.write("title,,\nName,Code,Value\nperiod,,\n")
+        for i in range(5000):
+            f.write(f"row{i},C{i % 7},{i}\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        m = read_matrix(spark, [path], width=3, multiline=False, files=True)
+        assert m.rdd.getNumPartitions() > 3  # the one file is read by several tasks
+        rows = m.orderBy("row_idx").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [r.row_idx for r in rows[:4]] == [0, 1, 2, 3]
+    assert rows[1].cells[:2] == ["Name", "Code"] and rows[3].cells[0] == "row0"
+    assert [r.cells[0] for r in rows[3:]] == [f"row{i}" for i in range(5000)]  # order kept

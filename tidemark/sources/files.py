@@ -68,7 +68,7 @@ def matrix_schema(width: int) -> T.StructType:
 
 def read_matrix(spark: SparkSession, paths: str | Sequence[str], width: int = 64,
                 encoding: str = "UTF-8", sep: str = ",", stage: bool = False,
-                files: bool = False) -> DataFrame:
+                files: bool = False, multiline: bool = True) -> DataFrame:
     """SRC-5: a headerless report file as indexed rows
     ``(src_file_path, row_idx, cells array<string>)``.
 
@@ -85,9 +85,16 @@ def read_matrix(spark: SparkSession, paths: str | Sequence[str], width: int = 64
 
     With ``files`` the paths are known to be files (from a listing), so the
     per-file table has at most ``len(paths)`` rows and is broadcast without a
-    probe job; otherwise its size is proven first."""
+    probe job; otherwise its size is proven first.
+
+    ``multiline=False`` (files without quoted line breaks) makes a large file
+    splittable, so one huge file is read by many tasks instead of one. Splits
+    of a file keep their offset order in the partition numbering, so
+    ``row_idx`` is exact within the first split (which holds the header rows)
+    and increasing, with gaps, after it: enough for header detection and for
+    data-row identity and order."""
     df = (spark.read.schema(matrix_schema(width)).option("header", False)
-          .option("multiLine", True).option("encoding", encoding).option("sep", sep)
+          .option("multiLine", multiline).option("encoding", encoding).option("sep", sep)
           .option("mode", "PERMISSIVE").csv(_paths(paths)))
     df = df.select(metadata_path().alias(FILE_PATH),
                    F.monotonically_increasing_id().alias("_mid"),
