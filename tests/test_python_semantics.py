@@ -109,3 +109,28 @@ def test_typo_map_matches_brute_force(spark, names):
         if cands:
             want[a] = min(cands, key=lambda b: rank[b])
     assert got == want
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(items=st.lists(st.tuples(st.datetimes(min_value=__import__("datetime").datetime(2015, 1, 1),
+                                             max_value=__import__("datetime").datetime(2030, 12, 31)),
+                                st.sampled_from(sorted(S.ZONE_NAMES) + [""])), min_size=1, max_size=20))
+def test_zoned_timestamp_matches_zoneinfo(spark, items):
+    import datetime as dt
+    from zoneinfo import ZoneInfo
+    texts, want = [], []
+    for local, zone in items:
+        local = local.replace(microsecond=0)
+        tz = ZoneInfo(S.ZONE_NAMES[zone or S.DEFAULT_ZONE_NAME])
+        aware = local.replace(tzinfo=tz)
+        # skip the ambiguous / missing hour around DST changes (Q16)
+        if aware.utcoffset() != local.replace(tzinfo=tz, fold=1).utcoffset():
+            continue
+        if aware.astimezone(dt.timezone.utc).astimezone(tz).replace(tzinfo=None) != local:
+            continue
+        texts.append(local.strftime("%m/%d/%Y %I:%M:%S %p") + (" " + zone if zone else ""))
+        want.append(aware.astimezone(dt.timezone.utc).replace(tzinfo=None))
+    if not texts:
+        return
+    got = [r[0] for r in _run(spark, texts, S.parse_zoned_timestamp("t").cast("timestamp_ntz"))]
+    assert got == want
