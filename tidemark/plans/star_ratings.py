@@ -97,9 +97,8 @@ def cutpoints(spark: SparkSession, root: str, load_date: _dt.date, width: int =
         groups.setdefault(r["encoding"], []).append(r["path"])
     parts = []
     for encoding, group in sorted(groups.items()):
+        # (Spark's CSV reader already drops a UTF-8 byte-order mark)
         m = src.read_matrix(spark, group, width, encoding, stage=True, files=True)
-        # a UTF-8 byte-order mark is not part of the first cell
-        m = m.withColumn("cells", F.transform("cells", lambda c: F.regexp_replace(c, "^\\x{FEFF}", "")))
         name = base_name(F.col(src.FILE_PATH))
         part = classify_name(name)
         part = F.when(part == "Unknown", F.raise_error(F.concat(F.lit("unknown cut-point format: "), name))
