@@ -49,9 +49,13 @@ def test_reconciliation_totals(spark, tmp_dir):
     root = os.path.join(tmp_dir, "rec")
     write(f"{root}/PD23Reconciliation.xlsx/0__contract.csv",
           "a,b,c,d,e,f,g\nH1,Plan,2,100.5,1,2,3\nTotals,,,999,,,\n,Null label,1,5,,,\n")
-    out = R.reconciliation(src.read_sheets(spark, root), LOAD).collect()
+    write(f"{root}/PD23Reconciliation.xlsx/1__parent.csv",
+          "a,b,c,d,e,f\nParent A,3,10,1,2,3\nTotals,3,10,1,2,3\n")
+    out = R.reconciliation(src.read_sheets(spark, root, 0), LOAD).collect()
     assert sorted(r.contract_name for r in out) == ["Null label", "Plan"]
     assert {r.src_file_date for r in out} == {dt.date(2023, 12, 31)}
+    parent = R.reconciliation_parent(src.read_sheets(spark, root, 1), LOAD).collect()
+    assert [(r.parent_organization_name, r.reconciliation_amount) for r in parent] == [("Parent A", 10.0)]
 
 
 def test_lis_and_mpf(spark, tmp_dir):

@@ -87,6 +87,8 @@ COUNTY_HEADER = ("county_code", "state", "county_name", "plan_type", "snp_plan_t
 MSA_TAIL = ("avg_msa_monthly_deposit_payment",)
 RECONCILIATION_HEADER = ("contract_number", "contract_name", "number_of_plans", "reconciliation_amount",
                          "lics_amount", "reinsurance_amount", "risk_sharing_amount")
+PARENT_RECONCILIATION_HEADER = ("parent_organization_name", "number_of_contracts", "reconciliation_amount",
+                                "lics_amount", "reinsurance_amount", "risk_sharing_amount")
 LIS_HEADER = ("contract_id", "contract_name", "pbp_id", "pbp_name", "enrolled", "lis_enrolled")
 PARTC_PLAN_HEADER = ("contract_number", "plan_benefit_package", "contract_name", "plan_type",
                      "avg_partc_risk_score", "avg_ab_pmpm_payment", "avg_rebate_pmpm_payment")
@@ -253,6 +255,12 @@ def reconciliation(sheets: DataFrame, load_date: _dt.date, header: Sequence[str]
                             load_date=load_date, file_name=F.col("workbook")).drop("workbook")
 
 
+def reconciliation_parent(sheets: DataFrame, load_date: _dt.date) -> DataFrame:
+    """partd_reconciliation_parent_level: the workbook's second sheet, one
+    row per parent organisation; totals row dropped by the parent name."""
+    return reconciliation(sheets, load_date, PARENT_RECONCILIATION_HEADER, "parent_organization_name")
+
+
 def lis_enrollment(sheets: DataFrame, year: int, load_date: _dt.date) -> DataFrame:
     """lis_enrollment_by_plan: both sheets (SET-1), positional header,
     comma numbers (SCL-2), PTH-3 year end."""
