@@ -28,6 +28,7 @@ from ..operators.reshape import cutpoints_to_long, display_matrix_to_long, matri
 from ..sinks import tables as snk
 from ..sources import files as src
 
+MAX_FILES = 1_000_000
 MEASURE_OUTPUT = ("contract_id", "organization_type", "contract_name", "organization_marketing_name",
                   "parent_organization", "measure_code", "measure_desc", "measure_start", "measure_end",
                   "measure_value_raw", "measure_value")
@@ -54,7 +55,10 @@ def _paths(spark: SparkSession, root: str, patterns: Sequence[str], exclude: Seq
     files = union_by_name(listings).dropDuplicates(["path"])
     for word in exclude:
         files = files.filter(~F.col("name").contains(word))
-    return [r[0] for r in files.select("path").collect()]
+    rows = files.select("path").limit(MAX_FILES + 1).collect()  # file paths only, bounded
+    if len(rows) > MAX_FILES:
+        raise ValueError("too many files for one load; load in batches")
+    return [r[0] for r in rows]
 
 
 def measure_values(spark: SparkSession, root: str, patterns: Sequence[str], load_date: _dt.date,
