@@ -95,20 +95,21 @@ def _key(s):
     return re.sub(r"\s+", "", re.sub(r"\b(and|inc|care|group)\b", "", s))
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(names=st.dictionaries(st.text(alphabet=st.sampled_from(list("ab c")), max_size=5),
                              st.integers(1, 4), min_size=1, max_size=25))
 def test_typo_map_matches_brute_force(spark, names):
     from tidemark.operators.entities import typo_map
     df = spark.createDataFrame(list(names.items()), "name STRING, n LONG")
-    got = {r.name: r.target for r in typo_map(df, "name", "n").collect()}
     rank = {k: (-v, k) for k, v in names.items()}
-    want = {}
-    for a in names:
-        cands = [b for b in names if b != a and _lev(_key(a), _key(b)) <= 1 and rank[b] < rank[a]]
-        if cands:
-            want[a] = min(cands, key=lambda b: rank[b])
-    assert got == want
+    for min_dist in (2, 3):
+        got = {r.name: r.target for r in typo_map(df, "name", "n", min_dist=min_dist).collect()}
+        want = {}
+        for a in names:
+            cands = [b for b in names if b != a and _lev(_key(a), _key(b)) < min_dist and rank[b] < rank[a]]
+            if cands:
+                want[a] = min(cands, key=lambda b: rank[b])
+        assert got == want, min_dist
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -1,8 +1,9 @@
 """Organisation-name resolution (ENT-1..4).
 
 ``typo_map`` finds, for every name, a more frequent name at edit distance
-below ``min_dist`` (``min_dist=2``: distance 0 or 1 after ignored words are
-dropped). It never enumerates pairs. Two keys are within distance 1 iff
+below ``min_dist`` (``min_dist=2``: distance 0 or 1; ``min_dist=3``: up to 2,
+after ignored words are dropped). It never enumerates pairs. Two keys are
+within distance 1 iff
 
 * they are equal, or
 * deleting the same position ``i`` from both gives the same text (one
@@ -71,47 +72,75 @@ def _best_two(df: DataFrame, group: Sequence[str], rank: str = "rank") -> DataFr
     return best.join(second, group, "left")
 
 
+def _deletions(df: DataFrame, src: str = "key") -> DataFrame:
+    """One row per single-character deletion of ``src``: ``(..., i, variant)``."""
+    out = df.filter(F.length(src) > 0).select("*", F.explode(F.sequence(F.lit(1), F.length(src))).alias("i"))
+    return out.withColumn("variant", F.concat(F.expr(f"substring({src}, 1, i - 1)"),
+                                              F.expr(f"substring({src}, i + 1)")))
+
+
+def _other_best(df: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Per member of a clique group, the best other member: ``(name, rank, cand)``."""
+    best = _best_two(df, group)
+    return df.join(best, list(group)).select(
+        "name", "rank", F.when(F.col("best1") != F.col("rank"), F.col("best1"))
+        .otherwise(F.col("best2")).alias("cand"))
+
+
+def _key_best(df: DataFrame, key: str, into: str) -> DataFrame:
+    """Best rank per value of ``key``, renamed so it joins on ``into``."""
+    return df.groupBy(F.col(key).alias(into)).agg(F.min("rank").alias("cand"))
+
+
 def typo_map(names: DataFrame, name: str = "name", count: str = "n", min_dist: int = 2,
              ignore_words: Sequence[str] = TYPO_IGNORE_WORDS) -> DataFrame:
     """ENT-2: ``(name, target)`` for each name that has a strictly better
     (more frequent, then smaller) name within edit distance ``< min_dist`` of
     its comparison key; the target is the best such name.
 
-    Exact for ``min_dist <= 2`` (distance 0 or 1). ``names`` holds one row per
-    distinct name with its count."""
-    if min_dist > 2:
-        raise ValueError("typo_map is exact for edit distance <= 1 (min_dist <= 2)")
+    Exact for ``min_dist`` up to 3 (distance 0, 1 or 2), with no pair
+    enumeration: every relation below is an equality on a derived key, found
+    by grouping (cliques: keep the best two members) or by equi-joins.
+    ``names`` holds one row per distinct name with its count."""
+    if min_dist > 3:
+        raise ValueError("typo_map is exact for edit distance <= 2 (min_dist <= 3)")
     base = names.select(F.col(name).alias("name"), F.col(count).cast("long").alias("n"))
     base = base.withColumns({"key": comparison_key(F.col("name"), ignore_words),
-                             "rank": _rank(F.col("n"), F.col("name"))})
-    cands = []
-
-    # distance 0: equal keys (clique per key)
-    eq = _best_two(base, ["key"])
-    cands.append(base.join(eq, ["key"]).select(
-        "name", "rank", F.when(F.col("best1") != F.col("rank"), F.col("best1"))
-        .otherwise(F.col("best2")).alias("cand")))
-
-    if min_dist == 2:
-        pos = F.sequence(F.lit(1), F.length("key"))
-        variants = base.filter(F.length("key") > 0).select(
-            "name", "rank", "key", F.explode(pos).alias("i"))
-        variants = variants.withColumn(
-            "variant", F.concat(F.expr("substring(key, 1, i - 1)"), F.expr("substring(key, i + 1)")))
-        # one substitution: same variant at the same position (clique per group)
-        sub = _best_two(variants, ["variant", "i"])
-        cands.append(variants.join(sub, ["variant", "i"]).select(
-            "name", "rank", F.when(F.col("best1") != F.col("rank"), F.col("best1"))
-            .otherwise(F.col("best2")).alias("cand")))
-        # best name per exact key
-        best_key = base.groupBy(F.col("key").alias("variant")).agg(F.min("rank").alias("kbest"))
-        # one deletion: a variant of my key is another name's key
-        cands.append(variants.join(best_key, "variant")
-                     .select("name", "rank", F.col("kbest").alias("cand")))
-        # one insertion: my key is a variant of another name's key
-        best_var = variants.groupBy(F.col("variant").alias("key")).agg(F.min("rank").alias("vbest"))
-        cands.append(base.join(best_var, "key")
-                     .select("name", "rank", F.col("vbest").alias("cand")))
+                             "rank": _rank(F.col("n"), F.col("name"))}).select("name", "rank", "key")
+    cands = [_other_best(base, ["key"])]  # distance 0: equal keys
+
+    if min_dist >= 2:
+        d1 = _deletions(base).select("name", "rank", "key", "i", "variant")
+        # one substitution: same variant at the same position (a clique)
+        cands.append(_other_best(d1, ["variant", "i"]))
+        # one deletion / insertion: a variant of one key is the other key
+        cands.append(d1.join(_key_best(base, "key", "variant"), "variant").select("name", "rank", "cand"))
+        cands.append(base.join(_key_best(d1, "variant", "key"), "key").select("name", "rank", "cand"))
+
+    if min_dist >= 3:
+        # same length, one insertion and one deletion (or one substitution):
+        # a shared one-deletion variant at any position; any two are within 2
+        d1v = d1.select("name", "rank", "variant").distinct()
+        cands.append(_other_best(d1v, ["variant"]))
+        # two deletions from each key, at the same two positions: two substitutions
+        d2 = _deletions(d1.withColumnRenamed("variant", "v1").withColumnRenamed("i", "i1"), "v1") \
+            .filter(F.col("i") >= F.col("i1"))  # second position after the first (in the shortened key)
+        d2s = d2.select("name", "rank", "i1", F.col("i").alias("i2"), "variant")
+        cands.append(_other_best(d2s, ["variant", "i1", "i2"]))
+        # two deletions / insertions: a two-deletion variant of one key is the other key
+        d2v = d2.select("name", "rank", "variant").distinct()
+        cands.append(d2v.join(_key_best(base, "key", "variant"), "variant").select("name", "rank", "cand"))
+        cands.append(base.join(_key_best(d2v, "variant", "key"), "key").select("name", "rank", "cand"))
+        # one deletion plus one substitution (lengths differ by one): the longer key
+        # minus any character, then minus position q, equals the shorter key minus
+        # position q; every cross pair in a (variant, q) group is within 2
+        longer = _deletions(d1v.withColumnRenamed("variant", "v1"), "v1") \
+            .select("name", "rank", F.col("i").alias("q"), "variant").distinct()
+        shorter = d1.select("name", "rank", F.col("i").alias("q"), "variant")
+        best_short = shorter.groupBy("variant", "q").agg(F.min("rank").alias("cand"))
+        best_long = longer.groupBy("variant", "q").agg(F.min("rank").alias("cand"))
+        cands.append(longer.join(best_short, ["variant", "q"]).select("name", "rank", "cand"))
+        cands.append(shorter.join(best_long, ["variant", "q"]).select("name", "rank", "cand"))
 
     allc = cands[0]
     for c in cands[1:]:
