@@ -26,13 +26,13 @@ def _key_sql(x: str) -> str:
     return f"regexp_replace(regexp_replace({x}, '{_IGNORE_RE}', '', 'g'), '\\s+', '', 'g')"
 
 
-def _typo_sql(names_cte: str) -> str:
+def _typo_sql(names_cte: str, max_distance: int = 1) -> str:
     """Brute-force twin of typo_map over a CTE ``(name, n)``."""
     return f"""
 keyed AS (SELECT name, n, {_key_sql("name")} AS key FROM {names_cte}),
 pairs AS (
   SELECT a.name, b.name AS target, b.n AS tn FROM keyed a JOIN keyed b
-    ON a.name <> b.name AND levenshtein(a.key, b.key) <= 1
+    ON a.name <> b.name AND levenshtein(a.key, b.key) <= {max_distance}
    AND (b.n > a.n OR (b.n = a.n AND b.name < a.name))),
 fix AS (
   SELECT name, target FROM (
@@ -84,6 +84,17 @@ def q_typo_map(spark, sf_dir):
     return E.typo_map(names, "name", "n", min_dist=2)
 
 
+@query("typo_map_distance2", "ENT-2", f"""
+WITH names AS (SELECT {_TYPO_NAMES_SQL} AS name, count(*) AS n FROM part GROUP BY 1),
+{_typo_sql("names", 2)}
+SELECT name, target FROM fix
+""")
+def q_typo_map2(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    names = p.groupBy(_typo_names().alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return E.typo_map(names, "name", "n", min_dist=3)
+
+
 @query("canonical_names", "ENT-3 ENT-4 AGG-8 AGG-9", f"""
 WITH raw AS (
   SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN upper(p_name)
