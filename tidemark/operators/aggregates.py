@@ -125,11 +125,6 @@ def all_match(df: DataFrame, keys: Sequence[str], predicate: Column, name: str =
     return df.groupBy(*keys).agg(F.every(F.coalesce(predicate, F.lit(False))).alias(name))
 
 
-def any_match(df: DataFrame, keys: Sequence[str], predicate: Column, name: str = "any_match") -> DataFrame:
-    """DIC-3 helper: true when the predicate holds for at least one row."""
-    return df.groupBy(*keys).agg(F.coalesce(F.bool_or(predicate), F.lit(False)).alias(name))
-
-
 def group_median(df: DataFrame, keys: Sequence[str], column: str, name: str = "median",
                  accuracy: int | None = None) -> DataFrame:
     """AGG-7: exact median (mean of the two middle values for even counts).

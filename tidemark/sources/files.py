@@ -108,13 +108,6 @@ def read_matrix(spark: SparkSession, paths: str | Sequence[str], width: int = 64
     return cut_lineage(out, spark, "matrix") if stage else out
 
 
-def to_cells(matrix: DataFrame) -> DataFrame:
-    """Wide matrix rows to long cells ``(src_file_path, row_idx, col_idx,
-    value)``; null cells are kept so positions stay intact."""
-    return matrix.select(FILE_PATH, "row_idx",
-                         F.posexplode("cells").alias("col_idx", "value"))
-
-
 def header_rows(matrix: DataFrame, header_row: Column | int) -> DataFrame:
     """Per file, the cells of its header row (one small row per file)."""
     h = header_row if not isinstance(header_row, int) else F.lit(header_row)
