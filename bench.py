@@ -54,14 +54,21 @@ def main() -> None:
         reg[name].fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t
 
-    results = {}
+    results, errors = {}, {}
     for name in names:
-        run(name)  # warm-up
-        results[name] = round(statistics.median(run(name) for _ in range(repeat)), 3)
-    total = round(sum(results.values()), 3)
+        try:
+            run(name)  # warm-up
+            results[name] = round(statistics.median(run(name) for _ in range(repeat)), 3)
+        except Exception as e:  # noqa: BLE001 - report and go on with the others
+            results[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+    total = round(sum(v for v in results.values() if v is not None), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "headline_queries_total_median", "value": total, "unit": "sec",
-                      "queries": results, "sf": sf, "cpus": int(cpus), "repeat": repeat}))
+    out = {"metric": "headline_queries_total_median", "value": total, "unit": "sec",
+           "queries": results, "sf": sf, "cpus": int(cpus), "repeat": repeat}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
