@@ -220,3 +220,17 @@ def test_read_matrix_splittable_keeps_header_rows(spark, tmp_dir):
     assert [r.row_idx for r in rows[:4]] == [0, 1, 2, 3]
     assert rows[1].cells[:2] == ["Name", "Code"] and rows[3].cells[0] == "row0"
     assert [r.cells[0] for r in rows[3:]] == [f"row{i}" for i in range(5000)]  # order kept
+
+
+def test_read_with_preamble_mixed_headers(spark, tmp_dir):
+    from tidemark.sources.files import read_with_preamble
+    a = os.path.join(tmp_dir, "mixed", "a.csv")
+    b = os.path.join(tmp_dir, "mixed", "b.csv")
+    os.makedirs(os.path.dirname(a))
+    with open(a, "w") as f:
+        f.write("Title A\nState,Premium\nAL,1\n")
+    with open(b, "w") as f:
+        f.write("Title B\nState,Premium,Stars\nAK,2,4\n")
+    rows = {r.State: r for r in read_with_preamble(spark, [a, b], 1).collect()}
+    assert rows["AL"].Premium == "1" and rows["AL"].Stars is None
+    assert rows["AK"].Premium == "2" and rows["AK"].Stars == "4"

@@ -124,23 +124,38 @@ def promote_header(matrix: DataFrame, skip: Column | int, names: Sequence[str])
 
 
 def read_with_preamble(spark: SparkSession, paths: str | Sequence[str], skip_rows: int,
-                       width: int = 64, encoding: str = "UTF-8") -> DataFrame:
+                       width: int = 64, encoding: str = "UTF-8", stage: bool = False) -> DataFrame:
     """SRC-3: skip ``skip_rows`` title lines; the next line is the header.
 
-    The header row (one per file) is the only thing collected; files in one
-    call must share it. Columns beyond the header are dropped; duplicate
-    names are suffixed ``.1``; blank names become ``unnamed_<i>``."""
+    Files whose headers differ are grouped by header (the header row of each
+    file is the only thing collected: one row per file), each group is named
+    by its own header, and the groups are unioned by name (SET-1). Columns
+    beyond the header are dropped; duplicate names get ``.1``; blank names
+    become ``unnamed_<i>``. With several header groups the parsed text is
+    staged once so that the groups do not re-read it."""
     from ..functions.names import dedupe_names
 
-    m = read_matrix(spark, paths, width, encoding)
-    heads = header_rows(m, skip_rows).select("header").distinct().collect()
-    if len(heads) != 1:
-        raise ValueError(f"expected one header across files, found {len(heads)}")
-    raw = [h for h in heads[0]["header"]]
-    while raw and raw[-1] is None:
-        raw.pop()
-    names = dedupe_names([h if h is not None else f"unnamed_{i}" for i, h in enumerate(raw)])
-    return promote_header(m, skip_rows, names)
+    m = read_matrix(spark, paths, width, encoding, stage=stage)
+    heads = header_rows(m, skip_rows).collect()
+    groups: dict[tuple, list[str]] = {}
+    for r in heads:
+        groups.setdefault(tuple(r["header"]), []).append(r[FILE_PATH])
+    if len(groups) > 1 and not stage:
+        return read_with_preamble(spark, paths, skip_rows, width, encoding, stage=True)
+    parts = []
+    for header, files in groups.items():
+        raw = list(header)
+        while raw and raw[-1] is None:
+            raw.pop()
+        names = dedupe_names([h if h is not None else f"unnamed_{i}" for i, h in enumerate(raw)])
+        part = m.filter(F.col(FILE_PATH).isin(*files)) if len(groups) > 1 else m
+        parts.append(promote_header(part, skip_rows, names))
+    if not parts:
+        raise ValueError("no header row found")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
 
 
 def detect_header(matrix: DataFrame, first_cell: str, max_scan: int = 30) -> DataFrame:
