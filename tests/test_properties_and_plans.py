@@ -234,3 +234,9 @@ def test_read_with_preamble_mixed_headers(spark, tmp_dir):
     rows = {r.State: r for r in read_with_preamble(spark, [a, b], 1).collect()}
     assert rows["AL"].Premium == "1" and rows["AL"].Stars is None
     assert rows["AK"].Premium == "2" and rows["AK"].Stars == "4"
+
+
+def test_flagship_scans_are_pruned(spark):
+    plan = _plan(load_all()["cpsc_combined"].fn(spark, SF_SMALL))
+    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double,l_shipdate:timestamp_ntz>" in plan
+    assert "l_extendedprice" not in plan and "l_comment" not in plan
