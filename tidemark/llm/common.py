@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +27,13 @@ def col(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    while name.lower() in [c.lower() for c in df.columns]:
+        name += "_"
+    return name
+
+
 def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 *more: str) -> DataFrame:
     """``doc_id`` and ``text`` (null: empty) alone, whatever else ``df``
@@ -95,7 +101,3 @@ def _checkpoint(spark: SparkSession, df: DataFrame) -> DataFrame:
 
     checkpoint_root(spark)
     return df.checkpoint(eager=True)
-
-
-def int_array(values, dtype=np.int64) -> np.ndarray:
-    return np.fromiter(values, dtype=dtype)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import col
+from .common import col, fresh_name
 
 WEIGHTS = (5, 2, 1)
 SHARE = Fraction(3, 2)
@@ -194,3 +194,15 @@ def mixed(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", t
     rows = cut_lineage(sized(docs, F.array(col(source_col).cast("string")), id_col, text_col, seed), docs.sparkSession, "mixing")
     runs, sizes, goal = plan(rows)
     return mix(rows, runs), sizes, goal
+
+
+def repeated(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text",
+             seed: int = SEED) -> DataFrame:
+    """The mix as documents: every row as often as the mix takes it."""
+    key = fresh_name(docs, "row_key")
+    keyed = docs.withColumn(key, F.struct(col(id_col).alias("i"), F.xxhash64(*map(col, docs.columns)).alias("h")))
+    got, _, _ = mixed(keyed, source_col, key, text_col, seed)
+    times = (got.where("size > 0").groupBy(F.col("doc_id").alias("of"))
+             .agg(F.sum(F.expr("taken div size")).cast("int").alias("times")).where("times > 0"))
+    once = keyed.dropDuplicates([key]).join(times, col(key) == F.col("of"))
+    return once.withColumn(key, F.explode(F.sequence(F.lit(1), F.col("times")))).select(*map(col, docs.columns))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, id_and_text, over_batches, utf8
+from .common import bounded_batches, col, id_and_text, over_batches, utf8
 
 MIN_WORDS = 20
 WINDOW = 8
@@ -147,14 +147,20 @@ def trusted_flags(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         "text", F.col("label_id").isNotNull().alias("trusted"))
 
 
+_COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> np.ndarray:
+    """The log ratios of trusted documents against all of ``docs``."""
+    return log_ratios(ngram_counts(trusted_flags(docs, labels, id_col, text_col), buckets), buckets)
+
+
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
-    """Base counts, score and verdict of every row of ``docs``."""
-    ratios = log_ratios(ngram_counts(trusted_flags(docs, labels, id_col, text_col), buckets), buckets)
-    held = docs.sparkSession.sparkContext.broadcast(ratios)
+    """Id, base counts, score and verdict of every row of ``docs``."""
+    held = docs.sparkSession.sparkContext.broadcast(model(docs, labels, id_col, text_col, buckets))
     base = id_and_text(docs, id_col, text_col)
     kind = base.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = held.value
@@ -163,8 +169,30 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
             counts = np.array([base_counts(t) for t in texts], np.int64).reshape(-1, 5)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), *[pa.array(counts[:, i]) for i in range(5)],
-                 pa.array([score(t, w) for t in texts], pa.float64())], names)
+                 pa.array([score(t, w) for t in texts], pa.float64())], ["doc_id", *_COUNTS, "score"])
 
-    judged = over_batches(base, run, f"doc_id {kind}, " + ", ".join(f"{n} long" for n in names[1:6]) + ", score double")
+    judged = over_batches(base, run, f"doc_id {kind}, " + ", ".join(f"{n} long" for n in _COUNTS) + ", score double")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return judged.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= threshold))
+
+
+def passes(text: bytes, ratios: np.ndarray, threshold: float = THRESHOLD) -> bool:
+    """The verdict on one text."""
+    words = text.split()
+    if len(words) < MIN_WORDS or 100 * repeated_words(word_ids(words)[0]) > MAX_REPEAT_PERCENT * len(words):
+        return False
+    return score(text, ratios) >= threshold
+
+
+def kept(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+         buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that pass, as they are."""
+    held = docs.sparkSession.sparkContext.broadcast(model(docs, labels, id_col, text_col, buckets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = held.value
+        for b in batches:
+            yield b.filter(pa.array([passes(t or b"", w, threshold) for t in utf8(b.column(text_col))], pa.bool_()))
+
+    bounded_batches(docs.sparkSession)
+    return docs.mapInArrow(run, docs.schema)

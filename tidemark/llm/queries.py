@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import apply_engine_conf, read_table, scratch_path
-from . import mixing, quality, simhash, token_counts, token_files
+from . import decontamination, mixing, quality, simhash, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,14 @@ def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, out)
 
 
+def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in all documents."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = decontamination.with_hits(docs, read_table(spark, sf_dir, "benchmark"), "items")
+    return got.select("doc_id", F.col("items").alias("item_ids"), F.size("items").cast("long").alias("n_items"),
+                      (F.size("items") > 0).alias("contaminated"))
+
+
 def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of all documents."""
     got = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -56,6 +64,7 @@ def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_token_files": token_files_query,
+    "op6_decontamination": decontamination_query,
     "op7_simhash": simhash_query,
     "op8_quality": quality_query,
     "op9_mixing": mixing_query,

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import connected_components, id_and_text, over_batches, utf8
+from .common import col, connected_components, fresh_name, id_and_text, over_batches, utf8
 
 SEED = 42
 SIZE = 4
@@ -251,5 +251,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(of, F.col("fp") == F.col("of_fp")).select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents with the smallest id of each class, as they are. Rows
+    that are equal in id and text count as one."""
+    key = fresh_name(docs, "row_key")
+    keyed = docs.withColumn(key, F.struct(col(id_col).alias("i"), F.xxhash64(F.coalesce(col(text_col), F.lit(""))).alias("h")))
+    stay = near_duplicates(keyed, key, text_col).select(F.col("component_id").alias("stays")).distinct()
+    return keyed.dropDuplicates([key]).join(stay, col(key) == F.col("stays"), "left_semi").drop(key)
+
+
 def hex16(c) -> F.Column:
     return F.lower(F.lpad(F.hex(c), 16, "0"))
