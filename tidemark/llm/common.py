@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +18,29 @@ BATCH_BYTES = "16m"
 BATCH_ROWS = "4096"
 
 
+def _ship(spark: SparkSession) -> None:
+    """Give the executors this package, once for a Spark application: they
+    may have neither it nor the driver's working folder."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    out = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+    with zipfile.ZipFile(out, "w") as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    sc.addPyFile(str(out))
+    _SHIPPED.add(sc.applicationId)
+
+
+_SHIPPED: set[str] = set()
+
+
 def bounded_batches(spark: SparkSession) -> None:
-    """Bound Arrow batches by bytes as well as by rows, so that long texts do
-    not add up in a Python worker."""
+    """Make a session ready for Python workers: they get this package, and
+    Arrow batches are bounded by bytes as well as by rows, so that long texts
+    do not add up in a worker."""
+    _ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import apply_engine_conf, read_table, scratch_path
-from . import decontamination, mixing, quality, simhash, token_counts, token_files
+from . import decontamination, mixing, quality, simhash, suffix_dedup, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,11 @@ def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, out)
 
 
+def suffix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of all documents without repeated strings of 100 bytes."""
+    return suffix_dedup.deduplicated(read_table(spark, sf_dir, "documents"))
+
+
 def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in all documents."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -64,6 +69,7 @@ def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_token_files": token_files_query,
+    "op4_suffix_dedup": suffix_query,
     "op6_decontamination": decontamination_query,
     "op7_simhash": simhash_query,
     "op8_quality": quality_query,
