@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import apply_engine_conf, read_table, scratch_path
-from . import decontamination, mixing, quality, simhash, suffix_dedup, token_counts, token_files
+from . import decontamination, licences, mixing, quality, simhash, suffix_dedup, token_counts, token_files, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,16 @@ def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, out)
 
 
+def url_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of all page urls."""
+    return url_filter.filtered(read_table(spark, sf_dir, "pages"))
+
+
+def licence_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences stated in all documents."""
+    return licences.scan(read_table(spark, sf_dir, "documents"))
+
+
 def suffix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of all documents without repeated strings of 100 bytes."""
     return suffix_dedup.deduplicated(read_table(spark, sf_dir, "documents"))
@@ -69,14 +79,18 @@ def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_token_files": token_files_query,
+    "op3_url_filter": url_query,
     "op4_suffix_dedup": suffix_query,
+    "op5_licences": licence_query,
     "op6_decontamination": decontamination_query,
     "op7_simhash": simhash_query,
     "op8_quality": quality_query,
     "op9_mixing": mixing_query,
     "op10_token_counts": token_counts_query,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_licences": licences.oracle(),
+}
 
 
 def queries() -> dict[str, Query]:
