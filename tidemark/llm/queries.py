@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import apply_engine_conf, read_table, scratch_path
-from . import decontamination, licences, mixing, quality, simhash, suffix_dedup, token_counts, token_files, url_filter
+from . import decontamination, html_text, licences, mixing, quality, simhash, suffix_dedup, token_counts, token_files, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,11 @@ def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, out)
 
 
+def html_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_text.extracted(read_table(spark, sf_dir, "pages"))
+
+
 def url_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict of all page urls."""
     return url_filter.filtered(read_table(spark, sf_dir, "pages"))
@@ -78,6 +83,7 @@ def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_html_text": html_query,
     "op2_token_files": token_files_query,
     "op3_url_filter": url_query,
     "op4_suffix_dedup": suffix_query,
