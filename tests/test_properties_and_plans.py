@@ -6,6 +6,8 @@ filters, broadcast of proven-small sides, no window for one-per-key)."""
 import datetime as dt
 import os
 
+import pytest
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -119,7 +121,7 @@ def test_comments(spark, tmp_dir):
         snk.comment_columns(spark, "tm_commented", snk.dictionary_comments(d))
         snk.comment_table(spark, "tm_commented", "Plan benefit package, Section A")
         cols = {c.name: c.description for c in spark.catalog.listColumns("tm_commented")}
-        assert cols == {"pbp_a_hnumber": "Section A: Contract number", "pbp_a_name": "Section A: Plan's name"}
+        assert cols == {"pbp_a_hnumber": "Section A; Contract number", "pbp_a_name": "Section A; Plan's name"}
         desc = {r[0]: r[1] for r in spark.sql("DESCRIBE TABLE EXTENDED tm_commented").collect()}
         assert desc.get("Comment") == "Plan benefit package, Section A"
     finally:
@@ -175,13 +177,54 @@ def test_paren_text_date_forms(spark):
     assert got == [dt.date(2023, 10, 11)] * 4 + [None, None]
 
 
-def test_checked_broadcast_respects_row_and_byte_bounds(spark):
-    from tidemark.session import checked_broadcast
-    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
-    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-    assert hinted(checked_broadcast(o, max_rows=10_000_000))
-    assert not hinted(checked_broadcast(o, max_rows=10))
-    assert not hinted(checked_broadcast(o, max_rows=10_000_000, max_bytes=1000))
+def test_swap_broken_off_anywhere_keeps_all_rows(spark, tmp_dir):
+    import shutil
+    one = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k INT, v STRING")
+    more = spark.createDataFrame([(4, "d")], "k INT, v STRING")
+    for state in ("moved aside", "both written", "old left"):
+        path = os.path.join(tmp_dir, state.replace(" ", "_"))
+        snk.upsert(one, path, ["k"])
+        if state == "moved aside":  # staging not whole yet
+            os.rename(path, path + ".__old")
+            os.makedirs(path + ".__staging")
+        elif state == "both written":
+            shutil.copytree(path, path + ".__staging")
+            os.rename(path, path + ".__old")
+        else:
+            shutil.copytree(path, path + ".__old")
+        snk.upsert(more, path, ["k"])
+        assert sorted(r.k for r in snk.read_table(spark, path).collect()) == [1, 2, 3, 4], state
+        assert not os.path.exists(path + ".__old")
+
+
+def test_misfit_values_fail_and_name_the_column(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "strict")
+    snk.replace_slice(spark.createDataFrame([(1, "a")], "n INT, f STRING"), path, "f")
+    bad = spark.createDataFrame([("abc", "b")], "n STRING, f STRING")
+    with pytest.raises(Exception, match="column n"):
+        snk.replace_slice(bad, path, "f")
+    wide = spark.createDataFrame([(1099511627776, "c")], "n LONG, f STRING")
+    snk.replace_slice(wide, path, "f")
+    assert sorted(r.n for r in snk.read_table(spark, path).collect()) == [1, 1099511627776]
+
+
+def test_too_many_attribute_columns_fail(spark):
+    from tidemark.operators.reshape import matrix_to_long
+    head = [("f", 1, ["a"] * 6 + [None]), ("f", 2, [None] * 6 + ["C01: x"]), ("f", 3, [None] * 6 + ["01/2022 - 06/2022"]),
+            ("f", 4, ["1", "2", "3", "4", "5", "6", "7"])]
+    m = spark.createDataFrame(head, "src_file_path STRING, row_idx LONG, cells ARRAY<STRING>")
+    with pytest.raises(Exception, match="6 attribute columns"):
+        matrix_to_long(m).collect()
+
+
+def test_records_wider_than_said_fail(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "wide.csv")
+    with open(path, "w") as f:
+        f.write(",".join(map(str, range(70))) + "\n")
+    from tidemark.sources.files import read_matrix
+    assert len(read_matrix(spark, path).first()["cells"]) == 70
+    with pytest.raises(Exception, match="more than 64 fields"):
+        read_matrix(spark, path, width=64).collect()
 
 
 def test_one_per_key_with_map_columns(spark):

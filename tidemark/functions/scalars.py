@@ -103,9 +103,13 @@ def parse_money(c: str | Column, legacy: bool = False) -> Column:
 
 
 def parse_int_commas(c: str | Column) -> Column:
-    """SCL-2: ``1,234`` -> 1234 (bigint); junk or a fraction -> null."""
-    v = parse_number(F.replace(col_(c), F.lit(","), F.lit("")))
-    return F.when(v == F.floor(v), v.cast("bigint"))
+    """SCL-2: ``1,234`` -> 1234 (bigint); junk or a fraction -> null. Plain
+    digits are cast as they are, exact up to the bigint range; a form such as
+    ``5.0`` or ``1e3`` goes through a double and counts if it is whole."""
+    s = F.replace(strip(c), F.lit(","), F.lit(""))
+    v = parse_number(s)
+    return F.when(s.rlike(r"^[+-]?\d+$"), s.try_cast("bigint")).otherwise(
+        F.when(v == F.floor(v), v.cast("bigint")))
 
 
 def parse_number_strict(c: str | Column) -> Column:

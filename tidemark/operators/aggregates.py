@@ -42,6 +42,11 @@ def _desc_key(c: Column, dtype: str) -> Column:
         return -F.unix_micros(c.cast("timestamp"))
     if dtype == "boolean":
         return ~c
+    if dtype in ("string", "binary") or dtype.startswith(("char", "varchar")):
+        # byte order reversed: each hex digit by its complement, then an end
+        # mark above all digits, so that a text stands before its own prefix
+        digits = F.translate(F.hex(c.cast("binary")), "0123456789ABCDEF", "FEDCBA9876543210")
+        return F.concat(digits, F.lit("G"))
     raise TypeError(f"cannot order {dtype} descending inside a mixed key")
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import col_
-from ..session import checked_broadcast, cut_lineage
+from ..session import cut_lineage
 
 # ---------------------------------------------------------------------------
 # Fixed values
@@ -184,10 +184,10 @@ def _commonest_spelling(counts: DataFrame) -> DataFrame:
 
 
 def apply_canonical(df: DataFrame, column: str, mapping: DataFrame, raw: str = "raw_name",
-                    canonical: str = "canonical_name", max_rows: int = 5_000_000) -> DataFrame:
+                    canonical: str = "canonical_name") -> DataFrame:
     """ENT-4: replace ``column`` by its canonical name where one is known.
-    The mapping (one row per distinct raw name) is broadcast when proven
-    small."""
+    The mapping is one row per distinct raw name; adaptive execution picks
+    the join from its measured size."""
     m = mapping.select(F.col(raw).alias("__raw"), F.col(canonical).alias("__canon"))
-    j = df.join(checked_broadcast(m, max_rows), F.col(column) == F.col("__raw"), "left")
+    j = df.join(m, F.col(column) == F.col("__raw"), "left")
     return j.withColumn(column, F.coalesce(F.col("__canon"), F.col(column))).drop("__raw", "__canon")

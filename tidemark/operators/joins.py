@@ -1,7 +1,7 @@
 """Joins (JON-1..5). Strategy is left to Catalyst and AQE except where a side
-is a dictionary: that side is broadcast only after a bounded row count proves
-it small (``checked_broadcast``); otherwise both sides shuffle on the keys
-and AQE's skew-join split handles hot keys on the fact side."""
+has one row per file: adaptive execution broadcasts a side whose measured size
+is below the session's threshold; otherwise both sides shuffle on the keys and
+its skew-join split handles hot keys on the fact side."""
 
 from __future__ import annotations
 
@@ -11,11 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import col_
-from ..session import checked_broadcast
 from .aggregates import Order, one_per_key
 
-DICTIONARY_MAX_ROWS = 2_000_000
-
 
 def enrich(fact: DataFrame, attrs: DataFrame, keys: Sequence[str],
            order: Order | None = None) -> DataFrame:
@@ -24,10 +21,10 @@ def enrich(fact: DataFrame, attrs: DataFrame, keys: Sequence[str],
     return fact.join(one_per_key(attrs, keys, order), list(keys), "left")
 
 
-def attach_dictionary(fact: DataFrame, dictionary: DataFrame, keys: Sequence[str],
-                      max_rows: int = DICTIONARY_MAX_ROWS) -> DataFrame:
-    """JON-2: left join of a distinct dictionary; broadcast when proven small."""
-    return fact.join(checked_broadcast(dictionary.distinct(), max_rows), list(keys), "left")
+def attach_dictionary(fact: DataFrame, dictionary: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """JON-2: left join of a distinct dictionary. Adaptive execution broadcasts
+    the dictionary when its measured size is below the session's threshold."""
+    return fact.join(dictionary.distinct(), list(keys), "left")
 
 
 def attach_labels(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -57,17 +54,17 @@ def only_in(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def remap(df: DataFrame, column: str, mapping: Mapping[str, str] | DataFrame,
-          from_col: str = "from", to_col: str = "to",
-          max_rows: int = DICTIONARY_MAX_ROWS) -> DataFrame:
+          from_col: str = "from", to_col: str = "to") -> DataFrame:
     """JON-5: replace values found in ``mapping``; others stay. One pass:
     a replaced value is not looked up again.
 
     A Python dict becomes a literal map (fixed, small); a DataFrame mapping
-    is reduced to one row per key and joined (broadcast when proven small)."""
+    is reduced to one row per key and joined (adaptive execution picks the
+    join from its measured size)."""
     if isinstance(mapping, DataFrame):
         m = one_per_key(mapping.select(F.col(from_col).alias("__from"), F.col(to_col).alias("__to")),
                         ["__from"])
-        j = df.join(checked_broadcast(m, max_rows), F.col(column) == F.col("__from"), "left")
+        j = df.join(m, F.col(column) == F.col("__from"), "left")
         return j.withColumn(column, F.coalesce(F.col("__to"), F.col(column))).drop("__from", "__to")
     if not mapping:
         return df

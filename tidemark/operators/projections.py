@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 from ..functions.names import camel_name, dedupe_names, normalize_name
 from ..functions.scalars import parse_number
-from ..session import checked_broadcast
 from ..sources.files import metadata_name
 
 LINEAGE_COLUMNS = ("src_file_date", "src_file_name", "load_date")
@@ -117,11 +116,11 @@ def swap_columns_if(df: DataFrame, a: str, b: str, threshold: float,
 
     The test "median > threshold" is exact and skew-proof (``median_exceeds``:
     fixed-size partial aggregates, no group gathered in one task). The flags
-    form one row per group, broadcast after a size check and joined back,
-    with no shuffle of the fact rows."""
+    form one row per group and are joined back; adaptive execution broadcasts
+    them when they are small and splits a hot group otherwise."""
     from .aggregates import median_exceeds
     flags = median_exceeds(df, list(by), a, threshold, "_swap")
-    j = df.join(checked_broadcast(flags), list(by), "left")
+    j = df.join(flags, list(by), "left")
     swap = F.coalesce(F.col("_swap"), F.lit(False))
     out = j.withColumns({a: F.when(swap, F.col(b)).otherwise(F.col(a)),
                          b: F.when(swap, F.col(a)).otherwise(F.col(b))})

@@ -34,7 +34,6 @@ from ..functions.scalars import (
     split_heading,
     strip,
 )
-from ..session import checked_broadcast
 from ..sources.files import FILE_PATH
 
 # ---------------------------------------------------------------------------
@@ -45,7 +44,6 @@ MEASURE_ATTRS = ("contract_id", "organization_type", "contract_name",
                  "organization_marketing_name", "parent_organization")
 DISPLAY_ATTRS = ("contract_id", "contract_name", "organization_marketing_name", "parent_organization")
 STAR_LABEL = r"(\d+)\s?star"
-MAX_FILES = 1_000_000
 
 
 def melt(df: DataFrame, ids: Sequence[str], columns: Mapping[str, str],
@@ -77,11 +75,20 @@ def _positions(pred_arr: Column) -> Column:
 
 
 def _explode_measures(data: DataFrame, desc: DataFrame, attrs: Sequence[str],
-                      measure_fields: Sequence[str], file_fields: Sequence[str] = ()) -> DataFrame:
-    """Join data rows with their file's descriptor (broadcast) and emit one
-    row per measure column. Attribute cells are stripped once per data row,
-    before the explode; per-file values ride along from the descriptor."""
-    j = data.join(checked_broadcast(desc, MAX_FILES), FILE_PATH)
+                      measure_fields: Sequence[str], file_fields: Sequence[str] = (),
+                      is_data: Column | None = None) -> DataFrame:
+    """Join data rows with their file's descriptor and emit one row per
+    measure column. The descriptor is one row per file, made from the header
+    rows alone, and broadcast: data rows never shuffle. Attribute cells are
+    stripped once per data row, before the explode; per-file values ride
+    along from the descriptor, and ``is_data`` may filter by them. A file
+    with more or fewer attribute columns than ``attrs`` fails the job."""
+    n = len(attrs)
+    desc = desc.withColumn("attr_pos", F.when(F.size("attr_pos") == n, F.col("attr_pos")).otherwise(F.raise_error(F.concat(
+        F.size("attr_pos").cast("string"), F.lit(f" attribute columns, expected {n}, in "), F.col(FILE_PATH))).cast("array<int>")))
+    j = data.join(F.broadcast(desc), FILE_PATH)
+    if is_data is not None:
+        j = j.filter(is_data)
     j = j.filter(F.concat_ws("", "cells") != "")  # fully blank rows are skipped
     attr_cols = [strip(F.get(F.col("cells"), F.get(F.col("attr_pos"), k))).alias(a)
                  for k, a in enumerate(attrs)]
@@ -139,10 +146,11 @@ def display_matrix_to_long(matrix: DataFrame, offset: Column | int = 1,
     the measure code is the heading's last word and the description the
     normalised rest; data start on row ``2 + offset``."""
     off = offset if isinstance(offset, Column) else F.lit(offset)
-    m = matrix.withColumn("_off", off)
-    info = m.filter(F.col("row_idx") == 1).select(FILE_PATH, F.col("cells").alias("a"))
-    head = m.filter(F.col("row_idx") == 1 + F.col("_off")).select(FILE_PATH, F.col("cells").alias("h"), "_off")
-    heads = info.join(head, FILE_PATH)
+    first = matrix.filter((F.col("row_idx") == 1) | (F.col("row_idx") == 1 + off)).withColumn("_off", off)
+    heads = first.groupBy(FILE_PATH, "_off").agg(
+        F.max(F.when(F.col("row_idx") == 1, F.col("cells"))).alias("a"),
+        F.max(F.when(F.col("row_idx") == 1 + F.col("_off"), F.col("cells"))).alias("h"))
+    heads = heads.filter(F.col("a").isNotNull() & F.col("h").isNotNull())
     z = F.arrays_zip(F.col("a").alias("a"), F.col("h").alias("h"))
     keep = F.transform(z, lambda x: ~(x["a"].isNull() & x["h"].isNull()))
     idx = F.sequence(F.lit(0), F.size(keep) - 1)
@@ -156,9 +164,8 @@ def display_matrix_to_long(matrix: DataFrame, offset: Column | int = 1,
 
     desc = heads.select(FILE_PATH, "_off", attr_pos.alias("attr_pos"),
                         F.transform(meas_pos, measure).alias("measures"))
-    data = m.drop("_off").join(desc.select(FILE_PATH, "_off"), FILE_PATH)
-    data = data.filter(F.col("row_idx") >= 2 + F.col("_off")).drop("_off")
-    out = _explode_measures(data, desc.drop("_off"), attrs, ["measure_code", "measure_desc"])
+    out = _explode_measures(matrix, desc, attrs, ["measure_code", "measure_desc"],
+                            is_data=F.col("row_idx") >= 2 + F.col("_off"))
     return out.withColumn("measure_value", parse_percent("measure_value_raw"))
 
 
@@ -173,9 +180,8 @@ def cutpoints_to_long(matrix: DataFrame, part: Column | str, default_org_type: s
     whose lower-cased label matches ``(\\d+)\\s?star`` are kept; cells with an
     empty measure name or a null value are skipped."""
     p = part if isinstance(part, Column) else F.lit(part)
-    m = matrix.withColumn("part_type", p)
-    heads = _header_rows(m, {"n": names_row, "per": periods_row})
-    heads = heads.join(m.select(FILE_PATH, "part_type").distinct(), FILE_PATH)
+    # the part follows from the path: it is taken on the one row per file
+    heads = _header_rows(matrix, {"n": names_row, "per": periods_row}).withColumn("part_type", p)
     first_measure = F.when(F.col("part_type") == "Part_D", 2).otherwise(1)
     idx = F.sequence(first_measure, F.greatest(F.size(F.col("n")) - 1, first_measure))
 
@@ -189,8 +195,8 @@ def cutpoints_to_long(matrix: DataFrame, part: Column | str, default_org_type: s
                         period["end"].alias("measure_period_end"))
 
     desc = heads.select(FILE_PATH, "part_type", F.transform(idx, measure).alias("measures"))
-    data = m.filter(F.col("row_idx") >= data_from).drop("part_type")
-    j = data.join(checked_broadcast(desc, MAX_FILES), FILE_PATH)
+    data = matrix.filter(F.col("row_idx") >= data_from)
+    j = data.join(F.broadcast(desc), FILE_PATH)  # one row per file
     is_d = F.col("part_type") == "Part_D"
     label = F.when(is_d, F.get(F.col("cells"), 1)).otherwise(F.get(F.col("cells"), 0))
     org = F.when(is_d, F.get(F.col("cells"), 0)).otherwise(F.lit(default_org_type))

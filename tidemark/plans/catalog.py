@@ -61,6 +61,7 @@ def load_all() -> dict[str, Registered]:
         q_links,
         q_nested,
         q_paths,
+        q_proofs,
         q_relational,
         q_reshape,
         q_scalars,

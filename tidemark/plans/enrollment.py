@@ -22,7 +22,8 @@ from ..sources import files as src
 
 
 def _loaded(spark: SparkSession, target: str, key: str) -> DataFrame | None:
-    return snk.read_table(spark, target).select(key) if snk.path_exists(spark, target) else None
+    """Keys of the loaded slices, from the target's partition listing."""
+    return snk.loaded_slices(spark, target, key) if snk.path_exists(spark, target) else None
 
 
 def _new_files(spark: SparkSession, root: str, pattern: str, target: str, key: str, key_col) -> DataFrame:
@@ -30,11 +31,9 @@ def _new_files(spark: SparkSession, root: str, pattern: str, target: str, key: s
     return inc.unprocessed(files.filter(F.col(key).isNotNull()), _loaded(spark, target, key), key)
 
 
-def _paths(files: DataFrame, max_files: int = 1_000_000) -> list[str]:
-    rows = files.select("path").limit(max_files + 1).collect()
-    if len(rows) > max_files:
-        raise ValueError("too many new files for one load; load in batches")
-    return [r[0] for r in rows]
+def _paths(files: DataFrame) -> list[str]:
+    """The new files' paths: what the reader must be told, one per file."""
+    return [r[0] for r in files.select("path").toLocalIterator()]
 
 
 def cpsc_enrollment(spark: SparkSession, root: str, target: str, load_date: _dt.date) -> int:
@@ -123,7 +122,7 @@ def plan_crosswalk(spark: SparkSession, root: str, target: str, load_date: _dt.d
     return 1
 
 
-def snpdata(spark: SparkSession, root: str, target: str, load_date: _dt.date, width: int = 64) -> int:
+def snpdata(spark: SparkSession, root: str, target: str, load_date: _dt.date, width: int | None = None) -> int:
     """snpdata: INC-5, INC-1, SRC-5, SRC-4 (header row found per file),
     PRJ-1/3/5, SCL-3, PTH-2, SNK-1, SNK-4. Files land as
     ``<..._YYYY_MM>/<name>.csv``; ``Raw*`` files are excluded; in the

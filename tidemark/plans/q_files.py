@@ -1,9 +1,8 @@
 """Proof queries for file sources and header operators over files written
 from the driver tables (SRC-3..6, SRC-8/ORD-3, PRJ-4, PRJ-5, FLT-9).
 
-The report file is the orders table rendered as a report: two title lines,
-a header line, then one line per order, in one text file under the shared
-scratch folder."""
+The report files are the orders table rendered as reports, one a month: two
+title lines, a header line, then one line per order."""
 
 from __future__ import annotations
 
@@ -25,16 +24,18 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders
 """)
 def q_report_with_preamble(spark, sf_dir):
     path = scratch_path(spark, "report_with_preamble")
-    o = table(spark, sf_dir, "orders")
-    body = o.select((F.col("o_orderkey") + len(TITLE)).alias("k"),
+    o = table(spark, sf_dir, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    body = o.select("month", (F.col("o_orderkey") + len(TITLE)).alias("k"),
                     F.concat_ws(",", *[F.col(c).cast("string") for c in
                                        ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")]).alias("line"))
-    lines = spark.createDataFrame(TITLE, "k LONG, line STRING").unionByName(body)
-    # one report file, lines in order (a range sort, then one writer)
-    lines.orderBy("k").coalesce(1).select("line").write.text(path)
-    m = src.read_matrix(spark, path, width=8)
+    titles = F.explode(F.array(*[F.struct(F.lit(k).cast("long").alias("k"), F.lit(line).alias("line")) for k, line in TITLE]))
+    lines = o.select("month").distinct().select("month", titles.alias("t")).select("month", "t.k", "t.line").unionByName(body)
+    # one report file a month, its lines in order; months are written in parallel
+    (lines.repartition("month").sortWithinPartitions("month", "k").select("month", "line")
+     .write.partitionBy("month").text(path))
+    m = src.read_matrix(spark, path)
     header_row = src.detect_header(m, "o_orderkey").select("header_row").first()[0]
-    df = src.read_with_preamble(spark, path, int(header_row), width=8)
+    df = src.read_with_preamble(spark, path, int(header_row))
     return df.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
                      F.col("o_custkey").cast("bigint").alias("o_custkey"), "o_orderstatus",
                      parse_number("o_totalprice").alias("o_totalprice"))

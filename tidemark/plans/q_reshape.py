@@ -2,7 +2,8 @@
 
 ``matrix_to_long`` runs over a report matrix whose data rows are the line
 items: two "files" with different column layouts (the header rows are the
-fixed part of a report; every data row comes from ``lineitem``)."""
+fixed part of a report; every data row comes from ``lineitem``, status F in
+the first file and every other status in the second)."""
 
 from __future__ import annotations
 
@@ -72,7 +73,7 @@ def lineitem_matrix(spark, sf_dir):
     a = F.array(contract, org, name, mkt, parent, qty, disc, null, tax)
     b = F.array(contract, org, disc, name, mkt, parent, qty, tax, null)
     is_a = F.col("l_linestatus") == "F"
-    rows = li.filter(F.col("l_linestatus").isin("F", "O")).select(
+    rows = li.select(
         F.when(is_a, F.lit(FILE_A)).otherwise(F.lit(FILE_B)).alias(FILE_PATH),
         (F.lit(4) + F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_idx"),
         F.when(is_a, a).otherwise(b).alias("cells"))
@@ -83,7 +84,7 @@ _MATRIX_SQL = """
 WITH li AS (
   SELECT *, CASE WHEN l_linestatus = 'F' THEN '2024 Star Ratings Measure Data (Oct 11 2023).csv'
                  ELSE '2024_Star_Ratings_Measure_2023_10_11_data.csv' END AS src_file_name
-  FROM lineitem WHERE l_linestatus IN ('F', 'O')),
+  FROM lineitem),
 b AS (
   SELECT 'H' || CAST(l_orderkey AS VARCHAR) AS contract_id, l_returnflag AS organization_type,
          'Contract ' || CAST(l_orderkey AS VARCHAR) AS contract_name,
@@ -147,7 +148,7 @@ WITH b AS (
   SELECT 'H' || CAST(l_orderkey AS VARCHAR) AS contract_id, 'Contract ' || CAST(l_orderkey AS VARCHAR) AS contract_name,
          'Plan ' || CAST(l_linenumber AS VARCHAR) AS organization_marketing_name,
          NULL::VARCHAR AS parent_organization, l_linestatus, l_quantity, l_tax, l_discount
-  FROM lineitem WHERE l_linestatus IN ('F', 'O'))
+  FROM lineitem)
 SELECT contract_id, contract_name, organization_marketing_name, parent_organization, 'DMH01' AS measure_code,
        'quantity_shipped' AS measure_desc, CAST(l_quantity AS VARCHAR) AS measure_value_raw,
        l_quantity AS measure_value, '2024_Display_HEDIS_2023_10_12.csv' AS src_file_name
@@ -159,14 +160,14 @@ UNION ALL
 SELECT contract_id, contract_name, organization_marketing_name, parent_organization, 'DMC01', 'discount_percent',
        CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) || '%',
        CAST(CAST(round(l_discount * 100) AS INTEGER) AS DOUBLE), '2024_Display_Measures_2023_10_11.csv'
-FROM b WHERE l_linestatus = 'O'
+FROM b WHERE l_linestatus <> 'F'
 UNION ALL
 SELECT contract_id, contract_name, organization_marketing_name, parent_organization, 'DMC02', 'quantity_shipped',
-       CAST(l_quantity AS VARCHAR), l_quantity, '2024_Display_Measures_2023_10_11.csv' FROM b WHERE l_linestatus = 'O'
+       CAST(l_quantity AS VARCHAR), l_quantity, '2024_Display_Measures_2023_10_11.csv' FROM b WHERE l_linestatus <> 'F'
 """)
 def q_display_matrix(spark, sf_dir):
     heads = spark.createDataFrame(DISPLAY_HEADERS, _matrix_schema())
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus").isin("F", "O"))
+    li = table(spark, sf_dir, "lineitem")
     contract = F.concat(F.lit("H"), F.col("l_orderkey").cast("string"))
     name = F.concat(F.lit("Contract "), F.col("l_orderkey").cast("string"))
     mkt = F.concat(F.lit(" Plan "), F.col("l_linenumber").cast("string"))
@@ -203,7 +204,7 @@ WITH b AS (
   SELECT 4 + l_orderkey * 8 + l_linenumber AS row_idx, l_linestatus, l_returnflag,
          CAST(l_linenumber AS INTEGER) AS star, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS q,
          CAST(CAST(l_quantity AS INTEGER) + 5 AS VARCHAR) AS q5, CAST(floor(l_extendedprice) AS BIGINT) AS p
-  FROM lineitem WHERE l_linestatus IN ('F', 'O') AND l_returnflag <> 'R'),
+  FROM lineitem WHERE l_returnflag <> 'R'),
 m AS (
   SELECT row_idx, l_linestatus, l_returnflag, star, 1 AS k, '>= ' || q || ' to < ' || q5 AS original_text,
          CAST(q AS DOUBLE) AS lower_bound, CAST(q5 AS DOUBLE) AS upper_bound FROM b
@@ -215,15 +216,15 @@ SELECT row_idx, CASE WHEN l_linestatus = 'F' THEN 'Part_C' ELSE 'Part_D' END AS
        CASE WHEN l_linestatus = 'F' THEN 'C0' ELSE 'D0' END || CAST(k AS VARCHAR) AS measure_code,
        CASE WHEN k = 1 THEN 'Quantity Cut' ELSE 'Cut' END AS measure_name,
        CASE WHEN k = 1 AND l_linestatus = 'F' THEN DATE '2022-01-01' WHEN k = 1 THEN DATE '2020-02-01'
-            WHEN l_linestatus = 'O' THEN DATE '2021-07-01' END AS measure_period_start,
+            WHEN l_linestatus <> 'F' THEN DATE '2021-07-01' END AS measure_period_start,
        CASE WHEN k = 1 AND l_linestatus = 'F' THEN DATE '2022-12-31' WHEN k = 1 THEN DATE '2020-02-29'
-            WHEN l_linestatus = 'O' THEN DATE '2021-12-31' END AS measure_period_end,
+            WHEN l_linestatus <> 'F' THEN DATE '2021-12-31' END AS measure_period_end,
        star, lower_bound, upper_bound, original_text
 FROM m
 """)
 def q_cutpoints(spark, sf_dir):
     heads = spark.createDataFrame(CUT_HEADERS, _matrix_schema())
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus").isin("F", "O"))
+    li = table(spark, sf_dir, "lineitem")
     label = F.when(F.col("l_returnflag") == "R", F.lit("Total")).otherwise(
         F.concat(F.col("l_linenumber").cast("string"), F.when(F.col("l_linenumber") % 2 == 0, F.lit(" Stars"))
                  .otherwise(F.lit("star"))))

@@ -82,25 +82,62 @@ def q_replace_table(spark, sf_dir):
 
 
 @query("evolve_schema", "SNK-4", """
-SELECT o_orderkey, o_totalprice, NULL::VARCHAR AS o_orderpriority, o_orderstatus FROM orders
+SELECT o_orderkey, o_custkey, o_totalprice, NULL::VARCHAR AS o_orderpriority, o_orderstatus FROM orders
 WHERE o_orderstatus = 'F'
 UNION ALL
-SELECT o_orderkey, o_totalprice, o_orderpriority, o_orderstatus FROM orders WHERE o_orderstatus = 'O'
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, o_orderstatus FROM orders WHERE o_orderstatus = 'O'
+UNION ALL
+SELECT o_orderkey, o_custkey + 4294967296, o_totalprice, o_orderpriority, o_orderstatus FROM orders
+WHERE o_orderstatus NOT IN ('F', 'O')
 """)
 def q_evolve_schema(spark, sf_dir):
     path = scratch_path(spark, "evolve_schema")
     o = table(spark, sf_dir, "orders")
-    first = o.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    first = o.filter(F.col("o_orderstatus") == "F").select("o_orderkey", F.col("o_custkey").cast("int").alias("o_custkey"),
+                                                           "o_totalprice", "o_orderstatus")
     snk.replace_slice(first, path, "o_orderstatus")
     # a later file: one more column, and the price exported as text
     second = o.filter(F.col("o_orderstatus") == "O").select(
-        "o_orderkey", F.col("o_totalprice").cast("string").alias("o_totalprice"),
+        "o_orderkey", F.col("o_custkey").cast("int").alias("o_custkey"), F.col("o_totalprice").cast("string").alias("o_totalprice"),
         "o_orderpriority", "o_orderstatus")
     snk.replace_slice(second, path, "o_orderstatus", value="O")
-    return snk.read_table(spark, path).select("o_orderkey", "o_totalprice", "o_orderpriority",
+    # then every other status, with customer numbers beyond the column's int
+    third = o.filter(~F.col("o_orderstatus").isin("F", "O")).select(
+        "o_orderkey", (F.col("o_custkey").cast("bigint") + F.lit(1 << 32)).alias("o_custkey"), "o_totalprice",
+        "o_orderpriority", "o_orderstatus")
+    snk.replace_slice(third, path, "o_orderstatus")
+    return snk.read_table(spark, path).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority",
                                               "o_orderstatus")
 
 
+@query("upsert_partitioned", "SNK-5", """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'P' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+       o_orderstatus FROM orders
+""")
+def q_upsert_partitioned(spark, sf_dir):
+    path = scratch_path(spark, "upsert_partitioned")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    keys = ["o_orderkey", "o_orderstatus"]
+    snk.upsert(o.filter(F.col("o_orderkey") % 3 > 0), path, keys, partition_by=["o_orderstatus"])
+    snk.upsert(o.filter(F.col("o_orderkey") % 3 == 0), path, keys, partition_by=["o_orderstatus"])
+    snk.upsert(o.filter(F.col("o_orderstatus") == "P").withColumn("o_totalprice", F.col("o_totalprice") * 2), path, keys,
+               partition_by=["o_orderstatus"])  # the other partitions stay as they are
+    return snk.read_table(spark, path).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+
+
+@query("replace_slice_nested_name", "SNK-1", """
+SELECT o_orderkey, 'reports/' || o_orderpriority || '/x=1.csv' AS src_file_name FROM orders WHERE o_orderpriority <> '1-URGENT'
+""")
+def q_replace_slice_nested(spark, sf_dir):
+    """Slice names with slashes and other characters that paths escape."""
+    path = scratch_path(spark, "replace_slice_nested")
+    name = F.concat(F.lit("reports/"), F.col("o_orderpriority"), F.lit("/x=1.csv"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", name.alias("src_file_name"))
+    snk.replace_slice(o, path, "src_file_name")
+    snk.replace_slice(o.filter(F.lit(False)), path, "src_file_name", value="reports/1-URGENT/x=1.csv")
+    return snk.read_table(spark, path).select("o_orderkey", "src_file_name")
+
+
 @query("upsert", "SNK-5 AGG-6", """
 SELECT o_orderkey, o_custkey, o_orderstatus,
        CASE WHEN o_orderdate >= DATE '1995-01-01' THEN o_totalprice + 1 ELSE o_totalprice END

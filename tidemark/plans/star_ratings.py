@@ -28,7 +28,6 @@ from ..operators.reshape import cutpoints_to_long, display_matrix_to_long, matri
 from ..sinks import tables as snk
 from ..sources import files as src
 
-MAX_FILES = 1_000_000
 MEASURE_OUTPUT = ("contract_id", "organization_type", "contract_name", "organization_marketing_name",
                   "parent_organization", "measure_code", "measure_desc", "measure_start", "measure_end",
                   "measure_value_raw", "measure_value")
@@ -55,14 +54,12 @@ def _paths(spark: SparkSession, root: str, patterns: Sequence[str], exclude: Seq
     files = union_by_name(listings).dropDuplicates(["path"])
     for word in exclude:
         files = files.filter(~F.col("name").contains(word))
-    rows = files.select("path").limit(MAX_FILES + 1).collect()  # file paths only, bounded
-    if len(rows) > MAX_FILES:
-        raise ValueError("too many files for one load; load in batches")
+    rows = files.select("path").collect()  # what the reader must be told, one per file
     return [r[0] for r in rows]
 
 
 def measure_values(spark: SparkSession, root: str, patterns: Sequence[str], load_date: _dt.date,
-                   exclude: Sequence[str] = (), width: int = 256, encoding: str = "ISO-8859-1") -> DataFrame:
+                   exclude: Sequence[str] = (), width: int | None = None, encoding: str = "ISO-8859-1") -> DataFrame:
     """starrating_measure_value / _star: every matching file through
     read_matrix + matrix_to_long, with performance year and file date."""
     paths = _paths(spark, root, patterns, exclude)
@@ -75,7 +72,7 @@ def measure_values(spark: SparkSession, root: str, patterns: Sequence[str], load
 
 
 def display_measures(spark: SparkSession, root: str, load_date: _dt.date, pattern: str = "*Display*.csv",
-                     width: int = 256, encoding: str = "ISO-8859-1") -> DataFrame:
+                     width: int | None = None, encoding: str = "ISO-8859-1") -> DataFrame:
     """starrating_display_hedis_measure: offset 0 for files whose stem holds
     ``HEDIS``, 1 otherwise; file date from the trailing ``YYYY_MM_DD``."""
     paths = _paths(spark, root, [pattern])
@@ -90,7 +87,7 @@ def display_measures(spark: SparkSession, root: str, load_date: _dt.date, patter
                        name.alias("src_file_name"), F.lit(load_date).alias("load_date"))
 
 
-def cutpoints(spark: SparkSession, root: str, load_date: _dt.date, width: int = 128) -> DataFrame:
+def cutpoints(spark: SparkSession, root: str, load_date: _dt.date, width: int | None = None) -> DataFrame:
     """star_ratings_cutpoints: files named ``*Cut Points*`` or ``*Cutpoints*``;
     encoding chosen per file (SRC-6); part type, year and generation date
     from the name (PTH-8/10/11); an unknown part type fails the job."""
@@ -129,7 +126,7 @@ def overall_summary(spark: SparkSession, paths: Sequence[str], performance_year:
     one title row, then the header (SRC-3); headers renamed by substring
     rules relative to the year (PRJ-4); parsed values beside the raw text
     (PRJ-12); file date from ``(...)`` in the name."""
-    df = src.read_with_preamble(spark, list(paths), 1, width=64, encoding=encoding)
+    df = src.read_with_preamble(spark, list(paths), 1, encoding=encoding)
     df = df.toDF(*[c if c in (src.FILE_PATH, "row_idx") else normalize_name(c) for c in df.columns])
     rules = [("part_c_summary", "part_c_summary_raw"), ("part_d_summary", "part_d_summary_raw"),
              ("overall", "overall_summary_raw"),

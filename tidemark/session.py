@@ -1,21 +1,21 @@
-"""Session settings, shared scratch space and a size-checked broadcast.
+"""Session settings and shared scratch space.
 
 Scratch data (lineage cuts, staged tables, sink round trips) goes under the
 folder the cluster names in ``spark.checkpoint.dir``: a shared file system
 that survives the loss of an executor. A folder is set only when the session
-has none (local tests).
+has none and runs on one machine (local tests); a cluster must name one.
 """
 
 from __future__ import annotations
 
 import contextlib
 import os
+import re
 import tempfile
 import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Session settings every job here relies on.
 ENGINE_CONF = {
@@ -57,8 +57,9 @@ def apply_engine_conf(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; one under the system temp
-    folder is set only when none is configured (local tests)."""
+    """The shared checkpoint folder of the session. A session in local mode
+    that names none gets one under the system temp folder; on a cluster that
+    would be a different folder on every machine, so there it is an error."""
     root = None
     try:
         root = spark.sparkContext.getCheckpointDir()
@@ -67,6 +68,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
@@ -127,23 +130,6 @@ def cut_lineage(df: DataFrame, spark: SparkSession | None = None, name: str = "s
     return spark.read.parquet(path)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 1_000_000,
-                      max_bytes: int = 256 * 1024 * 1024) -> DataFrame:
-    """Broadcast ``df`` only after proving it small: at most ``max_rows`` rows
-    and about ``max_bytes`` bytes (the JSON length of its rows, a close upper
-    estimate of the in-memory size).
-
-    The proof is one bounded job over ``limit(max_rows + 1)``, so a side that
-    has grown past the bound is never pulled whole; it then joins by shuffle
-    and AQE may still pick a broadcast from runtime sizes."""
-    probe = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))),
-                   F.lit(0)).alias("bytes")).first()
-    small = probe["n"] <= max_rows and probe["bytes"] <= max_bytes
-    return F.broadcast(df) if small else df
-
-
 def data_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")
 

@@ -7,20 +7,27 @@ from plain Spark writes:
   plus two rules dynamic overwrite lacks: an empty input removes the slice,
   and rows outside the declared slice are rejected;
 * schema evolution = conform the batch to the table on write (new columns
-  allowed, types of existing columns kept) and ``mergeSchema`` on read;
-* upsert = anti-join of the old rows + one row per key of the new, written
-  to a fresh folder and swapped in.
+  and wider numbers allowed, other misfits rejected). The table's schema is
+  kept beside its data (``_table_schema.json``), so neither reads nor writes
+  open the footers of old slices;
+* upsert = anti-join of the old rows + one row per key of the new, for the
+  touched partitions alone if the table is partitioned by a part of the key,
+  otherwise written to a fresh folder and swapped in;
+* a swap interrupted anywhere is finished or undone by the next access.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.aggregates import Order, one_per_key
+from ..session import cut_lineage
 
 
 def _fs(spark: SparkSession, path: str):
@@ -30,16 +37,41 @@ def _fs(spark: SparkSession, path: str):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable table (an empty folder left by a
-    failed first write does not count)."""
+    """True when ``path`` holds a table: at least one data file (an empty
+    folder left by a failed first write does not count). A swap that broke
+    off is finished or undone first; errors of the file system propagate."""
+    recover(spark, path)
+    return _has_data(spark, path)
+
+
+def _has_data(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return False
-    try:
-        spark.read.parquet(path).schema
-    except Exception:  # noqa: BLE001 - no data files yet
-        return False
-    return True
+    base = fs.makeQualified(p).toUri().getPath().rstrip("/")
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        inner = files.next().getPath().toUri().getPath()[len(base) + 1:]
+        if not any(part.startswith(("_", ".")) for part in inner.split("/")):
+            return True
+    return False
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Bring a table whose swap broke off back to one complete copy: the new
+    one if it was written to its end, otherwise the old one."""
+    base = path.rstrip("/")
+    staging, old = base + ".__staging", base + ".__old"
+    fs, p = _fs(spark, base)
+    there = lambda x: fs.exists(_fs(spark, x)[1])
+    if fs.exists(p):
+        if there(old):
+            _delete(spark, old)  # the new copy is in place
+    elif there(staging + "/_SUCCESS") and there(old):
+        _rename(spark, staging, base)
+        _delete(spark, old)
+    elif there(old):
+        _rename(spark, old, base)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -55,39 +87,121 @@ def _rename(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"rename {src} -> {dst} failed")
 
 
+_SCHEMA_FILE = "_table_schema.json"
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema kept beside a table, if there is one."""
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{_SCHEMA_FILE}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return T.StructType.fromJson(json.loads(text))
+
+
+def _store_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{_SCHEMA_FILE}")
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(schema.json().encode()))
+    finally:
+        stream.close()
+
+
 def read_table(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
-    """Read a table written by these sinks (schemas of all slices merged)."""
+    """Read a table written by these sinks. Its kept schema covers all slices;
+    a table without one is read by merging the schemas in its files."""
+    recover(spark, path)
+    schema = stored_schema(spark, path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
+def loaded_slices(spark: SparkSession, path: str, key: str) -> DataFrame | None:
+    """The values of the partition column ``key`` that a table has, from its
+    folder names alone; ``None`` without a table."""
+    recover(spark, path)
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    values = [unescape(n[len(key) + 1:]) for n in names if n.startswith(key + "=")]
+    rows = [(None if v == "__HIVE_DEFAULT_PARTITION__" else v,) for v in values]
+    return spark.createDataFrame(rows, T.StructType([T.StructField(key, T.StringType())]))
+
+
 def _partition_text(value) -> str:
     if isinstance(value, (_dt.date, _dt.datetime)):
         return value.isoformat()[:10]
     return str(value)
 
 
+def _partition_folder(spark: SparkSession, path: str, key: str, value) -> str:
+    """The folder of a slice, its name escaped as Spark writes it."""
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return f"{path.rstrip('/')}/{escape(key)}={escape(_partition_text(value))}"
+
+
+# Types in order of widening; a value of an earlier one always fits a later one.
+_WIDER = (("tinyint", "smallint", "int", "bigint"), ("float", "double"), ("tinyint", "smallint", "int", "double"))
+
+
+def _widened(old: T.DataType, new: T.DataType) -> T.DataType:
+    """The wider of two types where one holds the other without loss, else
+    the table's."""
+    a, b = old.simpleString(), new.simpleString()
+    for chain in _WIDER:
+        if a in chain and b in chain:
+            return old if chain.index(a) >= chain.index(b) else new
+    return old
+
+
 def conform_to_table(spark: SparkSession, df: DataFrame, path: str,
                      partition_key: str | None = None) -> DataFrame:
     """SNK-4 (write side): give every column the table already has its table
-    type (``try_cast``; a value that does not fit becomes null rather than
-    making the merged read fail) and null-fill table columns the batch lacks.
-    New columns pass through and extend the schema."""
+    type, and null-fill table columns the batch lacks. New columns pass
+    through and extend the schema; a column of a wider number type widens the
+    table's. A value that does not fit its column fails the job and names the
+    column: nothing is stored as null in its place."""
     if not path_exists(spark, path):
         return df
-    table = read_table(spark, path)
-    ttypes = {f.name: f.dataType for f in table.schema.fields if f.name != partition_key}
+    table = stored_schema(spark, path) or read_table(spark, path).schema
+    ttypes = {f.name: f.dataType for f in table.fields if f.name != partition_key}
     cols = []
     for c in df.columns:
+        raw = F.col(f"`{c}`")
         if c in ttypes and df.schema[c].dataType != ttypes[c]:
-            cols.append(F.col(f"`{c}`").try_cast(ttypes[c]).alias(c))
+            to = _widened(ttypes[c], df.schema[c].dataType)
+            got = raw.try_cast(to)
+            misfit = F.raise_error(F.concat(F.lit(f"column {c}: no {to.simpleString()}: "), F.coalesce(raw.cast("string"), F.lit(""))))
+            cols.append(F.when(raw.isNotNull() & got.isNull(), misfit.cast(to)).otherwise(got).alias(c))
         else:
-            cols.append(F.col(f"`{c}`"))
+            cols.append(raw)
     for name, dtype in ttypes.items():
         if name not in df.columns:
             cols.append(F.lit(None).cast(dtype).alias(name))
     return df.select(*cols)
 
 
+def _extend_schema(spark: SparkSession, path: str, df: DataFrame, keys: Sequence[str]) -> None:
+    """Keep the schema of the table as it is after writing ``df``: its data
+    columns, then the partition columns as text."""
+    before = stored_schema(spark, path)
+    fields = {f.name: f.dataType for f in before.fields} if before else {}
+    for f in df.schema.fields:
+        fields[f.name] = _widened(fields[f.name], f.dataType) if f.name in fields else f.dataType
+    data = [T.StructField(n, t) for n, t in fields.items() if n not in keys]
+    after = T.StructType(data + [T.StructField(k, T.StringType()) for k in keys])
+    if after != before:
+        _store_schema(spark, path, after)
+
+
 def replace_slice(df: DataFrame, path: str, key: str, value=None,
                   evolve: bool = True) -> None:
     """SNK-1 / SNK-2: overwrite only the slices (partitions of ``key``) present
@@ -106,23 +220,30 @@ def replace_slice(df: DataFrame, path: str, key: str, value=None,
     if evolve:
         df = conform_to_table(spark, df, path, key)
     if value is not None and df.isEmpty():
-        _delete(spark, f"{path.rstrip('/')}/{key}={_partition_text(value)}")
+        _delete(spark, _partition_folder(spark, path, key, value))
         return
     # rebalance by the slice key: AQE evens the output files per slice and
     # splits a hot slice over several tasks instead of one
     (df.hint("rebalance", key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(key).parquet(path))
+    if evolve:
+        _extend_schema(spark, path, df, [key])
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """SNK-3: replace the whole table. The new content is written to a
     staging folder first; the old table is then moved aside, the staging
-    folder moved in, and the old copy deleted last. A failed write leaves the
-    old table untouched, a crash between the moves leaves a complete copy
-    under ``<path>.__old``, and the input may be the table itself."""
+    folder moved in, and the old copy deleted last. Whatever step it stops
+    at, ``recover`` (run by every access of these sinks) finds one complete
+    copy: the old one until the staging folder is whole, the new one after.
+    The input may be the table itself.
+
+    On an object store a rename is a copy; there the swap takes longer but
+    keeps these rules."""
     spark = df.sparkSession
     base = path.rstrip("/")
     staging, old = base + ".__staging", base + ".__old"
+    recover(spark, base)
     _delete(spark, staging)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
@@ -130,7 +251,10 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(staging)
-    _delete(spark, old)
+    _extend_schema(spark, staging, df, list(partition_by))
+    fs, s = _fs(spark, staging + "/_SUCCESS")
+    if not fs.exists(s):  # the mark that recover goes by
+        fs.create(s, True).close()
     fs, p = _fs(spark, base)
     if fs.exists(p):
         _rename(spark, base, old)
@@ -138,19 +262,36 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     _delete(spark, old)
 
 
-def upsert(df: DataFrame, path: str, keys: Sequence[str], order: Order | None = None) -> None:
+def upsert(df: DataFrame, path: str, keys: Sequence[str], order: Order | None = None,
+           partition_by: Sequence[str] = ()) -> None:
     """SNK-5: replace the stored row of every key present in ``df`` and insert
     new keys; one row per key afterwards (AGG-6 picks among new duplicates
-    by ``order``, so the winner does not depend on file order)."""
+    by ``order``, so the winner does not depend on file order).
+
+    With ``partition_by``, columns of the key, the table is partitioned by
+    them and only the partitions that ``df`` has keys in are read and
+    rewritten; without, the whole table is written anew and swapped in."""
     spark = df.sparkSession
-    keys = list(keys)
+    keys, parts = list(keys), list(partition_by)
+    if not set(parts) <= set(keys):
+        raise ValueError("a row's partition must follow from its key")
     new = one_per_key(df, keys, order)
-    if path_exists(spark, path):
-        old = read_table(spark, path)
-        out = old.join(new.select(*keys), keys, "left_anti").unionByName(new, allowMissingColumns=True)
-    else:
-        out = new
-    replace_table(out, path)
+    if not path_exists(spark, path):
+        replace_table(new, path, parts)
+        return
+    new = cut_lineage(conform_to_table(spark, new, path), spark, "upsert") if parts else conform_to_table(spark, new, path)
+    old = read_table(spark, path)
+    if parts:
+        touched = new.select(*parts).distinct()
+        old = old.join(touched, parts, "left_semi")  # prunes the other partitions
+    out = old.join(new.select(*keys), keys, "left_anti").unionByName(new, allowMissingColumns=True)
+    if not parts:
+        replace_table(out, path)
+        return
+    staged = cut_lineage(out, spark, "upsert")  # the table is read to its end before it is written
+    (staged.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).parquet(path))
+    _extend_schema(spark, path, staged, parts)
 
 
 def comment_columns(spark: SparkSession, table: str, comments: Mapping[str, str]) -> None:
@@ -161,14 +302,16 @@ def comment_columns(spark: SparkSession, table: str, comments: Mapping[str, str]
             spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{column}` COMMENT {_sql_string(text)}")
 
 
-def dictionary_comments(dictionary: DataFrame, name: str = "name", title: str = "title",
-                        field_title: str = "field_title", max_rows: int = 100_000) -> dict[str, str]:
-    """Comment text per column from a dictionary (``title: field_title``);
-    one row per column, collected after a size check."""
-    rows = (dictionary.select(name, F.concat_ws(": ", F.col(title), F.col(field_title)).alias("t"))
-            .groupBy(name).agg(F.min("t").alias("t")).limit(max_rows + 1).collect())
-    if len(rows) > max_rows:
-        raise ValueError("dictionary too large to turn into comments")
+def dictionary_comments(dictionary: DataFrame, file: str | None = None, name: str = "name", title: str = "title",
+                        field_title: str = "field_title", file_col: str = "file", order: str | None = None) -> dict[str, str]:
+    """Comment text per column from a dictionary: ``title; field_title`` of the
+    column's first row (by ``order`` if given, else by both titles), of the
+    rows of ``file`` if given. One short text per column of one table."""
+    d = dictionary if file is None else dictionary.filter(F.col(file_col) == file)
+    text = F.concat(F.coalesce(F.col(title), F.lit("")), F.when(F.coalesce(F.col(field_title), F.lit("")) != "",
+                    F.concat(F.lit("; "), F.col(field_title))).otherwise(F.lit("")))
+    first = F.struct(*([F.col(order)] if order else []), F.col(title), F.col(field_title))
+    rows = d.groupBy(name).agg(F.min_by(text, first).alias("t")).collect()
     return {r[name]: r["t"] for r in rows}
 
 

@@ -8,13 +8,14 @@ files are read by one scan; Spark splits and schedules them.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import base_name, parent_name
-from ..session import checked_broadcast, cut_lineage
+from ..session import cut_lineage
 
 FILE_PATH = "src_file_path"
 
@@ -34,24 +35,63 @@ def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
+def _quote_breaks(spark: SparkSession, paths: list[str], quote: str, options: dict) -> DataFrame:
+    """Per file ``(path, broken)``: whether some line has an odd number of
+    quotes, that is, whether a quoted value may run over a line end. One
+    distributed pass over the lines; large files are split."""
+    r = spark.read.format("text")
+    for k in ("recursiveFileLookup", "pathGlobFilter"):
+        if k in options:
+            r = r.option(k, options[k])
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit(quote), F.lit("")))
+    lines = r.load(paths).select(F.col("_metadata.file_path").alias("path"), (quotes % 2 == 1).alias("odd"))
+    return lines.groupBy("path").agg(F.bool_or("odd").alias("broken"))
+
+
 def read_csv_text(spark: SparkSession, paths: str | Sequence[str], sep: str = ",",
                   encoding: str | None = None, quote: str | None = None,
-                  multiline: bool = False, with_path: bool = True, **options) -> DataFrame:
-    """SRC-1: delimited text with a header row; every column a string."""
-    # enforceSchema=false: a file whose header differs from the batch's fails
-    # the read instead of being mapped by position
-    r = (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
-         .option("sep", sep).option("multiLine", multiline))
-    if encoding:
-        r = r.option("encoding", encoding)
-    if quote is not None:
-        r = r.option("quote", quote)
-    for k, v in options.items():
-        r = r.option(k, v)
-    df = r.csv(_paths(paths))
-    if with_path:
-        df = df.select("*", metadata_path().alias(FILE_PATH))
-    return df
+                  multiline: bool | None = None, with_path: bool = True, **options) -> DataFrame:
+    """SRC-1: delimited text with a header row; every column a string.
+
+    A doubled quote inside a quoted value is a quote, and a quoted value may
+    run over line ends. Only files in which that may be so are read whole by
+    one task each; a pass over the lines finds them (``multiline`` given:
+    taken as said, without that pass). ``quote=""`` makes quotes literal."""
+    paths = _paths(paths)
+    quoted = quote != ""
+
+    def read(some: list[str], whole: bool) -> DataFrame:
+        # enforceSchema=false: a file whose header differs from the batch's
+        # fails the read instead of being mapped by position
+        r = (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
+             .option("sep", sep).option("multiLine", whole))
+        if quoted:
+            r = r.option("escape", quote or '"')
+        if encoding:
+            r = r.option("encoding", encoding)
+        if quote is not None:
+            r = r.option("quote", quote)
+        for k, v in options.items():
+            r = r.option(k, v)
+        df = r.csv(some)
+        return df.select("*", metadata_path().alias(FILE_PATH)) if with_path else df
+
+    if multiline is not None or not quoted:
+        return read(paths, bool(multiline))
+    found = _quote_breaks(spark, paths, quote or '"', options).cache()
+    broken = [r[0] for r in found.filter("broken").select("path").toLocalIterator()]
+    rest = [r[0] for r in found.filter("NOT broken").select("path").toLocalIterator()] if broken else paths
+    found.unpersist()
+    if not broken:
+        return read(paths, False)
+    options = {k: v for k, v in options.items() if k not in ("recursiveFileLookup", "pathGlobFilter")}
+    whole = read([_decoded(p) for p in broken], True)
+    return whole if not rest else read([_decoded(p) for p in rest], False).unionByName(whole)
+
+
+def _decoded(uri: str) -> str:
+    """A file's path as readers take it, from its URI."""
+    return unquote(uri)
 
 
 def read_tsv_text(spark: SparkSession, paths: str | Sequence[str], encoding: str = "ISO-8859-1",
@@ -66,7 +106,17 @@ def matrix_schema(width: int) -> T.StructType:
     return T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
 
 
-def read_matrix(spark: SparkSession, paths: str | Sequence[str], width: int = 64,
+def matrix_width(spark: SparkSession, paths: str | Sequence[str], sep: str = ",") -> int:
+    """The most fields that a record of the files may have, from one pass over
+    their lines: separators in a line, and twice those of a line that opens or
+    closes a quoted line break (its record goes on in the next line)."""
+    lines = spark.read.text(_paths(paths)).select("value")
+    count = lambda x: F.octet_length("value") - F.octet_length(F.replace("value", F.lit(x), F.lit("")))
+    n = lines.agg(F.max(F.when(count('"') % 2 == 1, 2 * count(sep)).otherwise(count(sep)))).first()[0]
+    return (n or 0) + 1
+
+
+def read_matrix(spark: SparkSession, paths: str | Sequence[str], width: int | None = None,
                 encoding: str = "UTF-8", sep: str = ",", stage: bool = False,
                 files: bool = False, multiline: bool = True) -> DataFrame:
     """SRC-5: a headerless report file as indexed rows
@@ -74,8 +124,9 @@ def read_matrix(spark: SparkSession, paths: str | Sequence[str], width: int = 64
 
     Quoted newlines are kept (multi-line mode: each file is one task; files
     run in parallel). ``row_idx`` counts rows from 0 within each file; it is
-    ``id - min(id)`` over the file, the minimum being one row per file
-    (broadcast after a size check). ``width`` must cover the widest file.
+    ``id - min(id)`` over the file, the minimum being one row per file, which
+    is broadcast. ``width`` is taken from the files unless given; a record of
+    more fields than that fails the job, none is dropped.
 
     With ``stage`` the parsed rows are written once as Parquet under the
     shared checkpoint folder and read back: later passes (header rows,
@@ -83,27 +134,23 @@ def read_matrix(spark: SparkSession, paths: str | Sequence[str], width: int = 64
     the header pass skips all but the first row group of each file, instead
     of parsing the text again. This also cuts the lineage.
 
-    With ``files`` the paths are known to be files (from a listing), so the
-    per-file table has at most ``len(paths)`` rows and is broadcast without a
-    probe job; otherwise its size is proven first.
-
     ``multiline=False`` (files without quoted line breaks) makes a large file
     splittable, so one huge file is read by many tasks instead of one. Splits
     of a file keep their offset order in the partition numbering, so
     ``row_idx`` is exact within the first split (which holds the header rows)
     and increasing, with gaps, after it: enough for header detection and for
     data-row identity and order."""
-    df = (spark.read.schema(matrix_schema(width)).option("header", False)
-          .option("multiLine", multiline).option("encoding", encoding).option("sep", sep)
+    width = width or matrix_width(spark, paths, sep)
+    df = (spark.read.schema(matrix_schema(width + 1)).option("header", False)
+          .option("multiLine", multiline).option("encoding", encoding).option("sep", sep).option("escape", '"')
           .option("mode", "PERMISSIVE").csv(_paths(paths)))
+    too_wide = F.raise_error(F.concat(F.lit(f"a record of more than {width} fields in "), metadata_path()))
+    first_cell = F.when(F.col(f"c{width}").isNotNull(), too_wide.cast("string")).otherwise(F.col("c0"))
     df = df.select(metadata_path().alias(FILE_PATH),
                    F.monotonically_increasing_id().alias("_mid"),
-                   F.array(*[F.col(f"c{i}") for i in range(width)]).alias("cells"))
+                   F.array(first_cell, *[F.col(f"c{i}") for i in range(1, width)]).alias("cells"))
     first = df.groupBy(FILE_PATH).agg(F.min("_mid").alias("_mid0"))
-    plist = _paths(paths)
-    # one row of (path, long) per file: small whenever the file count is
-    small = F.broadcast(first) if files and len(plist) <= 1_000_000 else checked_broadcast(first, 1_000_000)
-    out = df.join(small, FILE_PATH)
+    out = df.join(F.broadcast(first), FILE_PATH)  # one row of (path, long) per file
     out = out.select(FILE_PATH, (F.col("_mid") - F.col("_mid0")).alias("row_idx"), "cells")
     return cut_lineage(out, spark, "matrix") if stage else out
 
@@ -124,17 +171,18 @@ def promote_header(matrix: DataFrame, skip: Column | int, names: Sequence[str])
 
 
 def read_with_preamble(spark: SparkSession, paths: str | Sequence[str], skip_rows: int,
-                       width: int = 64, encoding: str = "UTF-8", stage: bool = False) -> DataFrame:
+                       width: int | None = None, encoding: str = "UTF-8", stage: bool = False) -> DataFrame:
     """SRC-3: skip ``skip_rows`` title lines; the next line is the header.
 
     Files whose headers differ are grouped by header (the header row of each
     file is the only thing collected: one row per file), each group is named
-    by its own header, and the groups are unioned by name (SET-1). Columns
-    beyond the header are dropped; duplicate names get ``.1``; blank names
-    become ``unnamed_<i>``. With several header groups the parsed text is
+    by its own header, and the groups are unioned by name (SET-1). Cells
+    beyond the header's last name fail the job; duplicate names get ``.1``;
+    blank names become ``unnamed_<i>``. With several header groups the parsed text is
     staged once so that the groups do not re-read it."""
     from ..functions.names import dedupe_names
 
+    width = width or matrix_width(spark, paths)
     m = read_matrix(spark, paths, width, encoding, stage=stage)
     heads = header_rows(m, skip_rows).collect()
     groups: dict[tuple, list[str]] = {}
@@ -149,6 +197,10 @@ def read_with_preamble(spark: SparkSession, paths: str | Sequence[str], skip_row
             raw.pop()
         names = dedupe_names([h if h is not None else f"unnamed_{i}" for i, h in enumerate(raw)])
         part = m.filter(F.col(FILE_PATH).isin(*files)) if len(groups) > 1 else m
+        rest = F.concat_ws("", F.slice("cells", len(names) + 1, width))
+        over = F.raise_error(F.concat(F.lit("cells beyond the header in "), F.col(FILE_PATH)))
+        part = part.withColumn("cells", F.when((F.col("row_idx") > skip_rows) & (rest != ""), over.cast("array<string>"))
+                               .otherwise(F.col("cells")))
         parts.append(promote_header(part, skip_rows, names))
     if not parts:
         raise ValueError("no header row found")
