@@ -113,15 +113,16 @@ def _path(source, patterns, by_source, used, flow, level) -> list | None:
     return None
 
 
-def sized(docs: DataFrame, sources: F.Column, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED) -> DataFrame:
+def sized(docs: DataFrame, sources: F.Column, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED,
+          order_col: str | None = None) -> DataFrame:
     """``doc_id``, ``size``, ``members`` (array of sources) and the seeded
-    order ``rank`` of every row."""
+    order ``rank`` (by ``order_col``, else the id, and the text) of every row."""
     text = F.coalesce(col(text_col).cast("string"), F.lit(""))
     size = F.size(F.split(F.regexp_replace(text, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""), r"[\x20\x09-\x0D]+"))
     empty = ~text.rlike(r"[^\x20\x09-\x0D]")
     return docs.select(
         col(id_col).alias("doc_id"), F.when(empty, 0).otherwise(size).cast("long").alias("size"),
-        sources.alias("members"), F.xxhash64(F.lit(seed), col(id_col), text).alias("rank"))
+        sources.alias("members"), F.xxhash64(F.lit(seed), col(order_col or id_col), text).alias("rank"))
 
 
 def plan(docs: DataFrame, weights=WEIGHTS, share: Fraction = SHARE, repeats: int = REPEATS) -> tuple[list, dict, dict]:
@@ -188,10 +189,10 @@ def mix(docs: DataFrame, runs: list, repeats: int = REPEATS) -> DataFrame:
 
 
 def mixed(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text",
-          seed: int = SEED) -> tuple[DataFrame, dict, dict]:
+          seed: int = SEED, order_col: str | None = None) -> tuple[DataFrame, dict, dict]:
     """The mix of documents of one source each, with its sources' sizes and
     targets. The sized rows are staged: the plan and the mix both read them."""
-    rows = cut_lineage(sized(docs, F.array(col(source_col).cast("string")), id_col, text_col, seed), docs.sparkSession, "mixing")
+    rows = cut_lineage(sized(docs, F.array(col(source_col).cast("string")), id_col, text_col, seed, order_col), docs.sparkSession, "mixing")
     runs, sizes, goal = plan(rows)
     return mix(rows, runs), sizes, goal
 
@@ -201,7 +202,7 @@ def repeated(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id"
     """The mix as documents: every row as often as the mix takes it."""
     key = fresh_name(docs, "row_key")
     keyed = docs.withColumn(key, F.struct(col(id_col).alias("i"), F.xxhash64(*map(col, docs.columns)).alias("h")))
-    got, _, _ = mixed(keyed, source_col, key, text_col, seed)
+    got, _, _ = mixed(keyed, source_col, key, text_col, seed, id_col)
     times = (got.where("size > 0").groupBy(F.col("doc_id").alias("of"))
              .agg(F.sum(F.expr("taken div size")).cast("int").alias("times")).where("times > 0"))
     once = keyed.dropDuplicates([key]).join(times, col(key) == F.col("of"))
