@@ -82,10 +82,15 @@ def test_hedis_measures(spark, tmp_dir):
           "BCS,bcs_rate,Breast,BCS\nFRM,managing_fall_risk_rate,Falls,FRM\n")
     meas = src.read_sheets(spark, root, "hedis_measures")
     frm = src.read_sheets(spark, root, "hedishos_frm")
+    write(f"{root}/HEDIS2024.xlsx/2__hedishos_pao.csv", "ContractNumber,Rate1,Rate2\nH1,0.4,0.3\n")
+    write(f"{root}/HEDIS2024.xlsx/3__hedishos_mui.csv", "ContractNumber,Rate1,Rate2,Rate3\nH1,0.1,0.2,0.9\n")
+    pao, mui = src.read_sheets(spark, root, "hedishos_pao"), src.read_sheets(spark, root, "hedishos_mui")
     dic = src.read_sheets(spark, os.path.join(root, "MADictionary2024.xlsx"), 0)
     out = {(r.contract_number, r.indicator_key): r
-           for r in R.hedis_measures(meas, frm, dic, 2024, LOAD, "HEDIS2024.xlsx").collect()}
-    assert len(out) == 5
+           for r in R.hedis_measures(meas, {"FRM": frm, "PAO-HOS": pao, "MUI-HOS": mui}, dic, 2024, LOAD, "HEDIS2024.xlsx").collect()}
+    assert len(out) == 10
+    assert out[("H1", "impact_of_urinary_incontinence_rate")].rate == 0.9
+    assert out[("H1", "advising_physical_activity_rate")].measure_code == "PAO-HOS"
     h1 = out[("H1", "bcs_rate")]
     assert h1.rate == 0.81 and h1.measure_name == "Breast" and not h1.rate_nq
     assert out[("H2", "bcs_rate")].rate_nq and out[("H2", "bcs_rate")].rate is None
@@ -270,6 +275,38 @@ def test_landscape_premium_report(spark, tmp_dir):
     assert rows["AK"].part_c_premium == -2.0 and rows["AK"].overall_star_rating == 4.0
 
 
+def test_landscape_tables_before_2024(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "closed")
+    write(f"{root}/CY2023_Landscape_MA_20221014.csv", "a\n" * 5 + "State,In-Network MOOP Amount,Overall Star Rating\nAL,$500,4\n", "latin-1")
+    write(f"{root}/CY2024_Landscape_MA_20230801.csv", "State,2024 Overall Star Rating\nAK,3.5\n", "latin-1")
+    write(f"{root}/CY2024_Landscape_PDP_20230801.csv", "State,Organization Name,2024 Star Rating Part D\nAK,Org,3\n", "latin-1")
+    for day, n in (("20221014", 6), ("20220930", 4), ("20230801", 0)):
+        write(f"{root}/CY2023_Landscape_SNP_{day}.csv", "t\n" * n + f"State,Drug Benefit Type,Drug Benefit Type\n{day},x,y\n", "latin-1")
+    target = os.path.join(tmp_dir, "ma_closed")
+    assert R.load_landscape_before_2024(spark, root, "landscape_medicare_advantage", target, LOAD) == 2
+    ma = {r.state: r for r in snk.read_table(spark, target).collect()}
+    assert ma["AL"].innetwork_moop_amount == 500.0 and ma["AK"].overall_star_rating == 3.5
+    paths = [r[0] for r in src.list_files(spark, root, "*_PDP_*").select("path").collect()]
+    pdp = R.landscape_table_before_2024(spark, paths, "landscape_prescription_drug_plan", LOAD).first()
+    assert pdp.company_name == "Org" and pdp.summary_star_rating == 3.0
+    paths = [r[0] for r in src.list_files(spark, root, "*_SNP_*").select("path").collect()]
+    snp = R.landscape_table_before_2024(spark, paths, "landscape_special_needs_plan", LOAD).collect()
+    assert {(r.state, r.drug_benefit_type, r.drug_benefit_type_detail) for r in snp} == {(d, "x", "y") for d in ("20221014", "20220930", "20230801")}
+
+
+def test_workbook_tables_load_new_workbooks_alone(spark, tmp_dir):
+    root, target = os.path.join(tmp_dir, "books"), os.path.join(tmp_dir, "lis_table")
+    sheet, table = R.WORKBOOK_TABLES["lis_enrollment_by_plan"]
+    load = lambda: R.load_workbooks(spark, root, target, sheet, table, LOAD)
+    for i in range(2):
+        write(f"{root}/LIS by Contract 2015.xlsx/{i}__S{i}.csv", 'a,b,c,d,e,f\nH1,Plan,001,PBP,"1,234",56\n')
+    assert load() == 1 and load() == 0
+    write(f"{root}/LIS by Contract 2016.xlsx/0__S0.csv", "a,b,c,d,e,f\nH2,Plan,001,PBP,1,2\n")
+    assert load() == 1
+    rows = snk.read_table(spark, target).collect()
+    assert sorted((r.contract_id, r.src_file_date.year) for r in rows) == [("H1", 2015), ("H1", 2015), ("H2", 2016)]
+
+
 def test_default_category_labels(spark):
     meta = spark.createDataFrame([(dt.date(2025, 1, 1), "Opt Sup Deduct Cats", "13b: Over-the-counter items")],
                                  "src_file_date DATE, title STRING, code_and_values STRING")
@@ -281,24 +318,29 @@ def test_default_category_labels(spark):
 def test_landscape_end_to_end_and_hedis_pairs(spark, tmp_dir):
     csv = os.path.join(tmp_dir, "land2", "CY2026_Landscape_202509.csv")
     write(csv, "Contract Category Type,Parent Organization Name,Plan Type,Monthly Premium\n"
-               "MA,Aetna Lfe,PPO,$12.30\nPDP,Humana Inc.,PDP,($5.00)\nSNP,X,HMO,$1\nOTHER,Y,HMO,$2\n", "latin-1")
+               "MA,Aetna Lfe,PPO,$12.30\nPDP,Café Inc.,PDP,($5.00)\nSNP,X,HMO,$1\nOTHER,Y,HMO,$2\n", "utf-8")
     targets = {}
-    for t, cols in [("landscape_medicare_advantage", "monthly_premium DOUBLE, organization_name STRING, plan_type STRING"),
-                    ("landscape_prescription_drug_plan", "monthly_premium DOUBLE, organization_name STRING")]:
+    for t, cols in [("landscape_medicare_advantage", "monthly_premium DOUBLE, organization_name STRING, type_of_medicare_health_plan STRING"),
+                    ("landscape_plan_premium_report", "monthly_premium DOUBLE, organization_name STRING, plan_type STRING"),
+                    ("landscape_prescription_drug_plan", "monthly_premium DOUBLE, company_name STRING")]:
         path = os.path.join(tmp_dir, t)
         spark.createDataFrame([], f"{cols}, src_file_date DATE, src_file_name STRING, load_date DATE") \
             .write.parquet(path)
-        spark.createDataFrame([(1.0, "seed", "2020.csv")], "monthly_premium DOUBLE, organization_name STRING, "
-                              "src_file_name STRING").write.mode("append").partitionBy("src_file_name").parquet(path)
+        second = cols.split(", ")[1]
+        spark.createDataFrame([(1.0, "seed", "2020.csv")], f"monthly_premium DOUBLE, {second}, src_file_name STRING").write.mode("append").partitionBy("src_file_name").parquet(path)
         targets[t] = path
     hist = spark.createDataFrame([("Aetna Life",)] * 3 + [("Aetna Lfe",)], "organization_name STRING")
     missing = R.load_landscape_after_2024(spark, csv, targets, hist, 2026, LOAD)
     assert missing["landscape_medicare_advantage"] == []
     ma = {r.src_file_name: r for r in snk.read_table(spark, targets["landscape_medicare_advantage"]).collect()}
     new = ma["CY2026_Landscape_202509.csv"]
-    assert new.organization_name == "Aetna Life" and new.plan_type == "Local PPO" and new.monthly_premium == 12.3
+    assert new.organization_name == "Aetna Life" and new.type_of_medicare_health_plan == "PPO" and new.monthly_premium == 12.3
+    report = snk.read_table(spark, targets["landscape_plan_premium_report"]).filter("src_file_name <> '2020.csv'").collect()
+    assert sorted((r.organization_name, r.plan_type) for r in report) == [
+        ("Aetna Life", "Local PPO"), ("Café Inc.", "Medicare Prescription Drug Plan"), ("X", "HMO"), ("Y", "HMO")]
     pdp = snk.read_table(spark, targets["landscape_prescription_drug_plan"])
-    assert pdp.filter(F.col("src_file_name") == "CY2026_Landscape_202509.csv").first().monthly_premium == -5.0
+    row = pdp.filter(F.col("src_file_name") == "CY2026_Landscape_202509.csv").first()
+    assert row.monthly_premium == -5.0 and row.company_name == "Café Inc."
     h = os.path.join(tmp_dir, "pairs")
     for wb in ("HEDIS2024.xlsx", "MADictionary2024.xlsx", "HEDIS2025.xlsx", "MADictionary2025.xlsx",
                "HEDIS2023.xlsx"):

@@ -103,7 +103,7 @@ def plan_crosswalk(spark: SparkSession, root: str, target: str, load_date: _dt.d
     """plan_crosswalk: INC-1, SRC-7 (sheet 0), PRJ-1/3, SCL-8, PTH-7, PTH-12,
     SNK-1. A workbook lands as ``<folder ending in YYYY>/<workbook>/0__<sheet>.csv``
     (``<workbook>`` = ``PlanCrosswalk2024_01022024.xlsx``)."""
-    sheets = src.read_sheets(spark, root).filter(F.col("sheet_index") == 0)
+    sheets = src.read_sheets(spark, root, 0)
     sheets = sheets.withColumn("src_file_name", F.col("workbook"))
     sheets = inc.unprocessed(sheets, _loaded(spark, target, "src_file_name"), "src_file_name")
     meta = {src.FILE_PATH, "workbook", "sheet_index", "sheet_name", "src_file_name"}

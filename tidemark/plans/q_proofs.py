@@ -91,6 +91,23 @@ def q_comments(spark, sf_dir):
     return spark.createDataFrame(rows, "name string, comment string")
 
 
+@query("melt_hos_rates", "RSH-1", """
+SELECT CAST(c_custkey AS VARCHAR) AS contract_number, indicator_key, CAST(c_acctbal AS VARCHAR) AS rate, measure_code
+FROM customer, (VALUES ('discussing_fall_risk_rate', 'FRM'), ('managing_fall_risk_rate', 'FRM'),
+  ('discussing_physical_activity_rate', 'PAO-HOS'), ('advising_physical_activity_rate', 'PAO-HOS'),
+  ('discussing_urinary_incontinence_rate', 'MUI-HOS'), ('treatment_of_urinary_incontinence_rate', 'MUI-HOS'),
+  ('impact_of_urinary_incontinence_rate', 'MUI-HOS')) t(indicator_key, measure_code)
+""")
+def q_hos_rates(spark, sf_dir):
+    """Two, two and three rates a contract."""
+    from .reports import HOS_RATES, hos_rates
+    rate = F.col("c_acctbal").cast("string")
+    sheet = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("contract_number"),
+                                                    *[rate.alias(f"rate{k}") for k in (1, 2, 3)])
+    parts = [hos_rates(sheet, code) for code in HOS_RATES]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("contract_number", "indicator_key", "rate", "measure_code")
+
+
 @query("parse_int_commas_large", "SCL-2", """
 SELECT l_orderkey, l_linenumber, 9007199254740993 + l_orderkey AS n FROM lineitem
 """)

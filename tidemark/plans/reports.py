@@ -50,6 +50,29 @@ LANDSCAPE_PREMIUM = {
     "annual_part_d_deductible_amount": "part_d_drug_deductible",
     "drug_benefit_type": "benefit_type",
 }
+# per target from 2024 on: renames after the common ones, the contract
+# categories it takes (None: all), and whether plan types and organisation
+# names are replaced in it
+LANDSCAPE_AFTER_2024 = {
+    "landscape_plan_premium_report": (LANDSCAPE_PREMIUM, None, True, True),
+    "landscape_medicare_advantage": ({
+        "parent_organization_name": "organization_name",
+        "plan_type": "type_of_medicare_health_plan",
+        "annual_part_d_deductible_amount": "annual_drug_deductible",
+    }, ("MA", "MAPD", "MA-PD"), False, True),
+    "landscape_prescription_drug_plan": ({
+        "parent_organization_name": "company_name",
+        "drug_benefit_type": "benefit_type",
+        "annual_part_d_deductible_amount": "annual_drug_deductible",
+        "part_d_total_premium": "monthly_drug_premium",
+    }, ("PDP",), True, False),
+    "landscape_special_needs_plan": ({
+        "part_d_total_premium": "monthly_drug_premium",
+        "parent_organization_name": "organization_name",
+        "plan_type": "type_of_medicare_health_plan",
+        "annual_part_d_deductible_amount": "annual_drug_deductible",
+    }, ("SNP",), False, True),
+}
 PLAN_TYPE_REMAP = {
     "HMO C-SNP": "HMO", "HMO D-SNP": "HMO", "HMO I-SNP": "HMO",
     "HMO-POS": "HMOPOS", "HMO-POS C-SNP": "HMOPOS", "HMO-POS D-SNP": "HMOPOS", "HMO-POS I-SNP": "HMOPOS",
@@ -82,6 +105,22 @@ PREMIUM_NUMERIC = (
     "part_d_premium_obligation_with_25_premium_assistance",
     "part_d_drug_deductible", "star_rating_part_c", "star_rating_part_d", "overall_star_rating",
 )
+# per target to 2024: file name pattern, renames, number columns, and the title
+# rows by the date that ends a file's name (the first entry that holds)
+LANDSCAPE_BEFORE_2024 = {
+    "landscape_plan_premium_report": ("*Premium_Report*", PREMIUM_RENAMES, PREMIUM_NUMERIC, (("before", "20230701", 3),)),
+    "landscape_medicare_advantage": (
+        "*_MA_*", {"2024_overall_star_rating": "overall_star_rating"},
+        ("monthly_consolidated_premium_includes_part_c_d", "annual_drug_deductible", "overall_star_rating",
+         "innetwork_moop_amount"), (("before", "20230701", 5),)),
+    "landscape_prescription_drug_plan": (
+        "*_PDP_*", {"2024_star_rating_part_d": "summary_star_rating", "organization_name": "company_name"},
+        ("monthly_drug_premium", "annual_drug_deductible", "summary_star_rating"), (("before", "20230701", 3),)),
+    "landscape_special_needs_plan": (
+        "*_SNP_*", {"2024_overall_star_rating": "overall_star_rating", "drug_benefit_type1": "drug_benefit_type_detail"},
+        ("monthly_consolidated_premium_includes_part_c_d", "annual_drug_deductible", "overall_star_rating"),
+        (("on", "20221014", 6), ("before", "20221014", 4))),
+}
 COUNTY_HEADER = ("county_code", "state", "county_name", "plan_type", "snp_plan_type", "avg_risk_score",
                  "avg_ab_pmpm_payment", "avg_rebate_pmpm_payment")
 MSA_TAIL = ("avg_msa_monthly_deposit_payment",)
@@ -123,6 +162,9 @@ NATIONAL_COLUMNS = {
 }
 HOS_RATES = {
     "FRM": {"rate1": "discussing_fall_risk_rate", "rate2": "managing_fall_risk_rate"},
+    "PAO-HOS": {"rate1": "discussing_physical_activity_rate", "rate2": "advising_physical_activity_rate"},
+    "MUI-HOS": {"rate1": "discussing_urinary_incontinence_rate", "rate2": "treatment_of_urinary_incontinence_rate",
+                "rate3": "impact_of_urinary_incontinence_rate"},
 }
 
 
@@ -132,16 +174,16 @@ def _data_columns(df: DataFrame) -> list[str]:
 
 def landscape(df: DataFrame, target_schema: T.StructType, organization_map: DataFrame | None,
               file_name: str, year: int, load_date: _dt.date,
-              renames: Mapping[str, str] = LANDSCAPE_PREMIUM) -> tuple[DataFrame, list[str]]:
+              renames: Mapping[str, str] = LANDSCAPE_PREMIUM, plan_types: bool = True) -> tuple[DataFrame, list[str]]:
     """landscape tables (from 2024): PRJ-1/3 renames in two ordered passes,
-    JON-5 plan-type remap, ENT-4 canonical organisation names, PRJ-7 conform
+    JON-5 plan-type remap (if the target has it), ENT-4 canonical organisation names, PRJ-7 conform
     to the target table's schema (double columns through SCL-1 money
     parsing), lineage. Returns the table rows and the target columns the
     file lacks."""
     df = prj.normalize_headers(df.select(*_data_columns(df)))
     df = prj.rename(df, LANDSCAPE_COMMON)
     df = prj.rename(df, renames)
-    if "plan_type" in df.columns:
+    if plan_types and "plan_type" in df.columns:
         df = remap(df, "plan_type", PLAN_TYPE_REMAP)
     if organization_map is not None and "organization_name" in df.columns:
         df = apply_canonical(df, "organization_name", organization_map)
@@ -158,10 +200,7 @@ def organization_names(history: DataFrame, column: str = "organization_name") ->
 def route_landscape(df: DataFrame, column: str = "contract_category_type") -> dict[str, DataFrame]:
     """FLT-5: one landscape file feeds the MA, PDP and SNP tables."""
     return flt.route_by_category(df, column, {
-        "landscape_medicare_advantage": ["MA", "MAPD", "MA-PD"],
-        "landscape_prescription_drug_plan": ["PDP"],
-        "landscape_special_needs_plan": ["SNP"],
-    })
+        table: list(categories) for table, (_, categories, _, _) in LANDSCAPE_AFTER_2024.items() if categories})
 
 
 def landscape_before_2024(spark: SparkSession, paths: Sequence[str], skip_rows: int, year: int,
@@ -182,24 +221,41 @@ def landscape_before_2024(spark: SparkSession, paths: Sequence[str], skip_rows:
         .drop(src.FILE_PATH)
 
 
-def landscape_premium_report(spark: SparkSession, paths: Sequence[str], load_date: _dt.date) -> DataFrame:
-    """landscape_plan_premium_report (to 2024): files named
-    ``CYyyyy_..._Plan_Premium_Report_<yyyymmdd>.csv``; files dated before
-    2023-07-01 carry 3 title rows. Files are grouped by (year, title rows)
-    from their names (metadata only); each group is one read, and the groups
-    are unioned by name (SET-1)."""
+def landscape_table_before_2024(spark: SparkSession, paths: Sequence[str], table: str, load_date: _dt.date) -> DataFrame:
+    """One landscape table (to 2024) from its files, named
+    ``CYyyyy_..._<yyyymmdd>.csv``. The title rows follow from the date in the
+    name; files are grouped by (year, title rows) from their names (metadata
+    only), each group is one read, and the groups are unioned by name (SET-1)."""
     import os
 
+    _, renames, numeric, titles = LANDSCAPE_BEFORE_2024[table]
     groups: dict[tuple[int, int], list[str]] = {}
     for path in paths:
         stem_ = os.path.splitext(os.path.basename(path))[0]
-        skip = 3 if stem_[-8:] < "20230701" else 0
+        day = stem_[-8:]
+        skip = next((n for how, at, n in titles if (day == at if how == "on" else day < at)), 0)
         groups.setdefault((int(stem_[2:6]), skip), []).append(path)
-    parts = [landscape_before_2024(spark, group, skip, year, PREMIUM_NUMERIC, load_date, PREMIUM_RENAMES)
+    parts = [landscape_before_2024(spark, group, skip, year, numeric, load_date, renames)
              for (year, skip), group in sorted(groups.items())]
     return union_by_name(parts)
 
 
+def landscape_premium_report(spark: SparkSession, paths: Sequence[str], load_date: _dt.date) -> DataFrame:
+    """landscape_plan_premium_report (to 2024)."""
+    return landscape_table_before_2024(spark, paths, "landscape_plan_premium_report", load_date)
+
+
+def load_landscape_before_2024(spark: SparkSession, root: str, table: str, target: str, load_date: _dt.date) -> int:
+    """A landscape table (to 2024), end to end: its files under ``root`` make
+    the whole table anew (SNK-3), as these years are closed."""
+    from ..sinks import tables as snk
+
+    paths = [r[0] for r in src.list_files(spark, root, LANDSCAPE_BEFORE_2024[table][0]).select("path").collect()]
+    if paths:
+        snk.replace_table(landscape_table_before_2024(spark, paths, table, load_date), target)
+    return len(paths)
+
+
 def _drop_blank(df: DataFrame) -> DataFrame:
     """FLT-4 on the data columns only (the path column is never null)."""
     data = [c for c in df.columns if c != src.FILE_PATH]
@@ -279,18 +335,24 @@ def mpf_benefit_summary(sheets: DataFrame, load_date: _dt.date) -> DataFrame:
                             load_date=load_date, file_name=F.col("workbook")).drop("workbook")
 
 
-def hedis_measures(measures: DataFrame, frm: DataFrame, dictionary: DataFrame, year: int,
+def hos_rates(sheet: DataFrame, code: str) -> DataFrame:
+    """RSH-1: one row for each rate of a HOS sheet (FRM and PAO-HOS have two,
+    MUI-HOS three), without confidence limits."""
+    return melt(sheet, ["contract_number"], HOS_RATES[code], "indicator_key", "rate",
+                constants={"measure_code": F.lit(code), "lcl": F.lit(None).cast("string"),
+                           "ucl": F.lit(None).cast("string")})
+
+
+def hedis_measures(measures: DataFrame, hos: Mapping[str, DataFrame], dictionary: DataFrame, year: int,
                    load_date: _dt.date, workbook: str) -> DataFrame:
-    """hedis_measures: PRJ-2 camel headers, RSH-1 HOS rates to rows, SET-1,
+    """hedis_measures: PRJ-2 camel headers, RSH-1 rates of the HOS sheets (by
+    measure code: FRM, PAO-HOS, MUI-HOS) to rows, SET-1,
     JON-2 dictionary, SCL-17 flags from the raw rate text (not after
     coercion), SCL-3 numbers, PTH-3."""
     m = camel_headers_only(measures)
     m = prj.rename(m, {"c_m_s_contract_number": "contract_number"})
-    f = camel_headers_only(frm)
-    f = melt(f, ["contract_number"], HOS_RATES["FRM"], "indicator_key", "rate",
-             constants={"measure_code": F.lit("FRM"), "lcl": F.lit(None).cast("string"),
-                        "ucl": F.lit(None).cast("string")})
-    allm = union_by_name([m, f]).withColumn("hedis_year", F.lit(year))
+    rates = [hos_rates(camel_headers_only(sheet), code) for code, sheet in hos.items()]
+    allm = union_by_name([m, *rates]).withColumn("hedis_year", F.lit(year))
     d = camel_headers_only(dictionary).select("measure_code", "indicator_key", "measure_name",
                                               "short_indicator_name")
     allm = attach_dictionary(allm, d, ["measure_code", "indicator_key"])
@@ -341,20 +403,24 @@ def hedis_national_rates(rates: DataFrame, year: int, load_date: _dt.date, workb
 def load_landscape_after_2024(spark: SparkSession, csv_path: str, targets: Mapping[str, str],
                               organization_history: DataFrame | None, year: int,
                               load_date: _dt.date) -> dict[str, list[str]]:
-    """The landscape tables from 2024 on, end to end: the file is read and
-    renamed once and staged in the shared folder (SURVEY §4: one read for
-    several sinks); each target (``landscape_medicare_advantage`` ...) gets the
-    rows of its categories (FLT-5), conformed to that table's own schema
-    (PRJ-7), and the file's slice replaced (SNK-1, SNK-4). Returns, per target,
-    the table columns the file lacks."""
+    """The landscape tables from 2024 on, end to end: the file is read once in
+    its own encoding (SRC-6) and staged in the shared folder (SURVEY §4: one
+    read for several sinks); the premium report gets every row, the other
+    targets those of their categories (FLT-5), each with its own renames and
+    replacements, conformed to that table's own schema (PRJ-7), and the file's
+    slice replaced (SNK-1, SNK-4). Returns, per target, the table columns the
+    file lacks."""
     from ..session import cut_lineage
     from ..sinks import tables as snk
 
     name = csv_path.rstrip("/").split("/")[-1]
     mapping = organization_names(organization_history) if organization_history is not None else None
-    raw = cut_lineage(src.read_csv_text(spark, csv_path, encoding="ISO-8859-1"), spark, "landscape")
+    encoding = src.decode_with_fallback(spark, csv_path).select("encoding").first()[0]
+    raw = cut_lineage(src.read_csv_text(spark, csv_path, encoding=encoding), spark, "landscape")
+    raw = prj.normalize_headers(raw)
+    routes = route_landscape(raw)
     missing: dict[str, list[str]] = {}
-    for table_name, rows in route_landscape(prj.normalize_headers(raw)).items():
+    for table_name, (renames, categories, plan_types, names) in LANDSCAPE_AFTER_2024.items():
         path = targets.get(table_name)
         if path is None:
             continue
@@ -362,14 +428,67 @@ def load_landscape_after_2024(spark: SparkSession, csv_path: str, targets: Mappi
         if schema is None:
             raise ValueError(f"{table_name}: the target table must exist to conform to it")
         data = [f for f in schema.fields if f.name not in ("src_file_date", "src_file_name", "load_date")]
-        out, miss = landscape(rows, T.StructType(data), mapping, name, year, load_date)
+        rows = routes[table_name] if categories else raw
+        out, miss = landscape(rows, T.StructType(data), mapping if names else None, name, year, load_date, renames, plan_types)
         snk.replace_slice(out, path, "src_file_name", value=name)
         missing[table_name] = miss
     return missing
 
 
-def hedis_pairs(spark: SparkSession, root: str, min_year: str = "2024") -> DataFrame:
-    """INC-6 for HEDIS: per year, the data workbook (``HEDIS<yyyy>``) and its
+def load_workbooks(spark: SparkSession, root: str, target: str, sheet: str | int | None, transform, load_date: _dt.date) -> int:
+    """A table of workbooks, end to end: those under ``root`` that the target
+    has no slice of (INC-1), their sheets of one kind read together (SRC-7),
+    ``transform(sheets, load_date)``, and their slices replaced (SNK-1).
+    Returns how many workbooks were new."""
+    from ..operators.incremental import unprocessed
+    from ..sinks import tables as snk
+
+    listed = src.list_sheets(spark, root)
+    if isinstance(sheet, int):
+        listed = listed.filter(F.col("sheet_index") == sheet)
+    elif sheet is not None:
+        listed = listed.filter(F.col("sheet_name") == sheet)
+    done = snk.loaded_slices(spark, target, "src_file_name") if snk.path_exists(spark, target) else None
+    new = unprocessed(listed.withColumn("src_file_name", F.col("workbook")), done, "src_file_name")
+    found = new.select("workbook", "path").collect()  # what the reader must be told, one per sheet
+    if not found:
+        return 0
+    sheets = src.sheet_columns(src.read_csv_text(spark, [r["path"] for r in found]))
+    snk.replace_slice(transform(sheets, load_date), target, "src_file_name")
+    return len({r["workbook"] for r in found})
+
+
+def _of_year(table):
+    """A HEDIS or LIS table whose year is in the workbook's name."""
+    def run(sheets: DataFrame, load_date: _dt.date) -> DataFrame:
+        books = [r[0] for r in sheets.select("workbook").distinct().collect()]
+        return union_by_name([table(sheets.filter(F.col("workbook") == b), int(_year_in(b)), load_date, b) for b in books])
+    return run
+
+
+def _year_in(workbook: str) -> str:
+    import re
+
+    return re.search(r"(\d{4})(?=\.[^.]*$|$)", workbook)[1]
+
+
+# The sheet and the transform of each table of workbooks.
+WORKBOOK_TABLES = {
+    "partc_payment_county_level": (0, payment_county),
+    "partc_payment_plan_level": (0, payment_plan_partc),
+    "partd_payment_plan_level": (0, payment_plan_partd),
+    "partd_reconciliation_plan_level": (0, reconciliation),
+    "partd_reconciliation_parent_level": (1, reconciliation_parent),
+    "lis_enrollment_by_plan": (None, _of_year(lambda s, y, d, b: lis_enrollment(s, y, d))),
+    "mpf_benefit_summary": (None, mpf_benefit_summary),
+    "hedis_general": ("general", _of_year(hedis_general)),
+    "hedis_national_rates": ("national_rates", _of_year(hedis_national_rates)),
+}
+
+
+def hedis_pairs(spark: SparkSession, root: str, min_year: str = "2024", loaded: DataFrame | None = None) -> DataFrame:
+    """INC-6 for HEDIS, without the data workbooks that ``loaded`` names in
+    ``src_file_name`` (INC-1): per year, the data workbook (``HEDIS<yyyy>``) and its
     dictionary (``MADictionary<yyyy>``), from the sheet landing folders; a
     year missing either fails the job."""
     sheets = src.list_sheets(spark, root).select("workbook").distinct()
@@ -377,4 +496,7 @@ def hedis_pairs(spark: SparkSession, root: str, min_year: str = "2024") -> DataF
     files = sheets.select(year.alias("year"), F.col("workbook").alias("name"),
                           F.col("workbook").alias("path")).filter((F.col("year") != "") & (F.col("year") >= min_year))
     from ..operators.incremental import pair_files
-    return pair_files(files, "year", {"data": "HEDIS", "dictionary": "MADictionary"})
+    pairs = pair_files(files, "year", {"data": "HEDIS", "dictionary": "MADictionary"})
+    if loaded is not None:
+        pairs = pairs.join(loaded.select(F.col("src_file_name").alias("data")), "data", "left_anti")
+    return pairs

@@ -268,6 +268,11 @@ def read_sheets(spark: SparkSession, root: str, sheet: str | int | None = None,
     else:
         glob = f"*__{sheet}.csv"
     df = read_csv_text(spark, root, recursiveFileLookup=True, pathGlobFilter=glob, **csv_options)
+    return sheet_columns(df)
+
+
+def sheet_columns(df: DataFrame) -> DataFrame:
+    """Workbook, index and name of the sheet that each row was read from."""
     fname = base_name(F.col(FILE_PATH))
     return df.withColumns({
         "workbook": parent_name(F.col(FILE_PATH)),
