@@ -108,8 +108,8 @@ def recent_rows(pages: DataFrame, as_of_year: int, years_back: int = 1, n_cells:
 
 def recent_months(pages: DataFrame, as_of: _dt.date, days: int = 90, n_cells: int = 2,
                   html: str = "html", keep: Sequence[str] = ("page_id",)) -> DataFrame:
-    """LNK-5: table rows whose last cell ends in ``YYYY-MM`` (or a month name
-    and year) no older than the month of ``as_of - days``."""
+    """LNK-5: table rows whose last cell ends in ``YYYY-MM`` no older than the
+    month of ``as_of - days``."""
     threshold = (as_of - _dt.timedelta(days=days)).strftime("%Y-%m")
     rows = table_rows(pages, html, keep)
     last = F.try_element_at(F.col("cells"), F.lit(-1))

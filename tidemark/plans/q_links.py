@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.sql import functions as F
+
 from ..operators import links as L
 from .catalog import query, table
 
@@ -87,26 +89,41 @@ def q_stamped_name(spark, sf_dir):
     return out.select("page_id", "period", L.stamped_name("link", "period").alias("file_name"))
 
 
-@query("recent_rows", "LNK-4", f"""
-WITH r AS (SELECT page_id, unnest(regexp_extract_all(html, '{_sql(L.ROW)}', 1)) AS row_html FROM pages),
+# Pages with a table of reports: a year and a month that follow from the page.
+_WITH_TABLE = """(SELECT page_id, html || '<table><tr><td><a href="' || url || '">x</a></td><td>Report ' || (2019 + page_id % 8)
+  || '</td></tr><tr><td><a href="/m">y</a></td><td>' || (2024 + page_id % 2) || '-0' || (1 + page_id % 9) || '</td></tr></table>' AS html
+  FROM pages)"""
+
+
+def _with_table(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    year, month = (F.lit(2019) + F.col("page_id") % 8).cast("string"), (F.lit(1) + F.col("page_id") % 9).cast("string")
+    rows = F.concat(F.lit('<table><tr><td><a href="'), F.col("url"), F.lit('">x</a></td><td>Report '), year,
+                    F.lit('</td></tr><tr><td><a href="/m">y</a></td><td>'), (F.lit(2024) + F.col("page_id") % 2).cast("string"),
+                    F.lit("-0"), month, F.lit("</td></tr></table>"))
+    return p.select("page_id", F.concat("html", rows).alias("html"))
+
+
+_ROWS_SQL = f"""
+WITH r AS (SELECT page_id, unnest(regexp_extract_all(html, '{_sql(L.ROW)}', 1)) AS row_html FROM {_WITH_TABLE}),
 c AS (SELECT page_id, row_html, list_transform(regexp_extract_all(row_html, '{_sql(L.CELL)}', 1),
                                                lambda x: {_text_of_sql("x")}) AS cells FROM r)
-SELECT page_id FROM c
-WHERE len(cells) = 2 AND TRY_CAST(right(cells[-1], 4) AS INTEGER) >= 2024
+"""
+
+
+@query("recent_rows", "LNK-4", _ROWS_SQL + """
+SELECT page_id, cells[-1] AS period, CAST(right(cells[-1], 4) AS INTEGER) AS year FROM c
+WHERE len(cells) = 2 AND regexp_matches(right(cells[-1], 4), '^[0-9]{4}$') AND TRY_CAST(right(cells[-1], 4) AS INTEGER) >= 2024
 """)
 def q_recent_rows(spark, sf_dir):
-    rows = L.recent_rows(table(spark, sf_dir, "pages"), as_of_year=2025)
-    return rows.select("page_id")
+    return L.recent_rows(_with_table(spark, sf_dir), as_of_year=2025).select("page_id", "period", "year")
 
 
-@query("recent_months", "LNK-5", f"""
-WITH r AS (SELECT page_id, unnest(regexp_extract_all(html, '{_sql(L.ROW)}', 1)) AS row_html FROM pages),
-c AS (SELECT page_id, row_html, list_transform(regexp_extract_all(row_html, '{_sql(L.CELL)}', 1),
-                                               lambda x: {_text_of_sql("x")}) AS cells FROM r)
-SELECT page_id FROM c
-WHERE len(cells) = 2 AND regexp_matches(right(cells[-1], 7), '^[0-9]{{4}}-[0-9]{{2}}$')
+@query("recent_months", "LNK-5", _ROWS_SQL + """
+SELECT page_id, right(cells[-1], 7) AS year_month, '/m' AS href FROM c
+WHERE len(cells) = 2 AND regexp_matches(right(cells[-1], 7), '^[0-9]{4}-[0-9]{2}$')
   AND right(cells[-1], 7) >= '2025-04'
 """)
 def q_recent_months(spark, sf_dir):
-    rows = L.recent_months(table(spark, sf_dir, "pages"), as_of=_dt.date(2025, 6, 30))
-    return rows.select("page_id")
+    rows = L.recent_months(_with_table(spark, sf_dir), as_of=_dt.date(2025, 6, 30))
+    return rows.select("page_id", "year_month", "href")

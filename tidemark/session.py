@@ -77,13 +77,21 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 _SCOPES = threading.local()
+_BASES: set[str] = set()  # scratch folders that go with their application
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root. Inside a
-    :func:`scratch_scope` the folder is deleted when the scope ends."""
-    root = checkpoint_root(spark).rstrip("/")
-    path = f"{root}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    :func:`scratch_scope` the folder is deleted when the scope ends, otherwise
+    with the application."""
+    base = f"{checkpoint_root(spark).rstrip('/')}/tidemark-{spark.sparkContext.applicationId}"
+    if base not in _BASES:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+        _BASES.add(base)
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
     for scope in getattr(_SCOPES, "stack", []):
         scope.append(path)
     return path
