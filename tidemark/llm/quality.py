@@ -6,9 +6,12 @@ multinomials over hashed word unigrams and bigrams: the trusted target
 document's score is the sum of its n-grams' log ratios divided by their
 number; every document is held against one fixed threshold.
 
-Counts cover every document: each task adds up its own, a grouped sum merges
-them, and the ``BUCKETS`` log ratios (a size fixed by a parameter, not by the
-data) are what the scoring pass gets.
+The trusted target is a bounded sample of the labelled rows: at most
+``TRUSTED`` documents, those whose ids have the least hashes. A list of ids of
+that size goes to the tasks, so that no text is shuffled to meet its label.
+The raw counts cover every document: each task adds up its own, a grouped sum
+merges them, and the ``BUCKETS`` counts of both (a size fixed by a parameter,
+not by the data) are what the scoring pass gets.
 
 Cases: null and empty texts have no words, zero counts and ``base_failed``; a
 label that repeats counts as good only if all its rows are; labels with nulls
@@ -24,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,13 +36,15 @@ from .common import bounded_batches, col, id_and_text, over_batches, utf8
 MIN_WORDS = 20
 WINDOW = 8
 MAX_REPEAT_PERCENT = 30
+#: Trusted documents that the target is fitted on, at most.
+TRUSTED = 50_000
 #: Hash buckets of the n-grams.
 BUCKETS = 1 << 18
 #: Occurrences at the overall trusted rate that each bucket gets besides its
 #: own: a rare n-gram then says little for or against its only document.
 SMOOTHING = 20.0
 #: Least score (log ratio an n-gram) of a document that is kept.
-THRESHOLD = -0.12
+THRESHOLD = -0.15
 
 _SYMBOLS = b"#*$%&|<>"
 _KIND = np.zeros(256, np.uint8)  # 0: starts a code point of a word
@@ -100,99 +106,108 @@ def ngram_buckets(text: bytes, buckets: int = BUCKETS) -> np.ndarray:
     return ((both >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
 
 
-def ngram_counts(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """``(bucket, raw, trusted)`` over all rows of ``docs(text, trusted)``."""
+def ngram_counts(docs: DataFrame, trusted: pa.Array, buckets: int = BUCKETS) -> DataFrame:
+    """``(bucket, raw, trusted)`` over all rows of ``docs(doc_id, text)``."""
+    held = docs.sparkSession.sparkContext.broadcast(trusted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, good = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for b in batches:
-            flags = b.column("trusted").to_numpy(zero_copy_only=False)
-            for text, trusted in zip(utf8(b.column("text")), flags.tolist()):
-                at = ngram_buckets(text, buckets)
-                into = good if trusted else raw
-                np.add.at(into, at, 1)
+            for text, is_good in zip(utf8(b.column("text")), _flags(b.column("doc_id"), held.value)):
+                np.add.at(good if is_good else raw, ngram_buckets(text, buckets), 1)
         total = raw + good
         have = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(have), pa.array(total[have]), pa.array(good[have])], ["bucket", "raw", "trusted"])
 
-    parts = over_batches(docs.select("text", "trusted"), run, "bucket long, raw long, trusted long")
+    parts = over_batches(docs, run, "bucket long, raw long, trusted long")
     return parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
 
 
-def log_ratios(counts: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> np.ndarray:
-    """The log ratio of each bucket. At most ``buckets`` rows are fetched."""
+def fetched(counts: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
+    """The raw and the trusted count of each bucket: ``buckets`` rows at most."""
     got = counts.toArrow()
-    raw, good = np.zeros(buckets), np.zeros(buckets)
-    at = got.column("bucket").to_numpy()
-    raw[at], good[at] = got.column("raw").to_numpy(), got.column("trusted").to_numpy()
-    if not good.sum():
-        return np.zeros(buckets, np.float32)
-    rate = good.sum() / raw.sum()
-    return np.log((good + smoothing * rate) / (rate * (raw + smoothing))).astype(np.float32)
-
-
-def score(text: bytes, ratios: np.ndarray) -> float:
-    at = ngram_buckets(text, len(ratios))
-    return float(ratios[at].sum(dtype=np.float64) / len(at)) if len(at) else 0.0
-
-
-def trusted_flags(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(text, trusted)`` of every document."""
-    base = id_and_text(docs, id_col, text_col)
+    out = np.zeros((2, buckets))
+    out[:, got.column("bucket").to_numpy()] = got.column("raw").to_numpy(), got.column("trusted").to_numpy()
+    return out
+
+
+def score(text: bytes, counts: np.ndarray, trusted: bool = False, smoothing: float = SMOOTHING) -> float:
+    """The mean log ratio of a text's n-grams. Its own n-grams are taken out
+    of the counts first, so that a document says nothing about itself and a
+    trusted one has no advantage."""
+    raw, good = counts
+    at, own = np.unique(ngram_buckets(text, counts.shape[1]), return_counts=True)
+    n, rest = own.sum(), good.sum()
+    if not n or not rest:
+        return 0.0
+    rate = rest / raw.sum()
+    target = np.maximum(good[at] - own * trusted, 0) + smoothing * rate
+    base = np.maximum(raw[at] - own, 0) + smoothing
+    return float((own * np.log(target / (rate * base))).sum() / n)
+
+
+def trusted_ids(labels: DataFrame, bound: int = TRUSTED) -> pa.Array:
+    """At most ``bound`` ids of trusted rows, those of least hash."""
     good = (labels.select(col("doc_id").alias("label_id"), col("quality").alias("q"), col("toxic").alias("t"))
             .where("label_id IS NOT NULL").groupBy("label_id")
             .agg(F.min((F.coalesce("q", F.lit(0)) == 1) & (F.coalesce("t", F.lit(1)) == 0)).alias("good"))
-            .where("good").select("label_id"))
-    return base.join(good, F.col("doc_id") == F.col("label_id"), "left").select(
-        "text", F.col("label_id").isNotNull().alias("trusted"))
+            .where("good").orderBy(F.xxhash64("label_id"), "label_id").limit(bound))
+    return good.select("label_id").toArrow().column(0).combine_chunks()
 
 
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> np.ndarray:
-    """The log ratios of trusted documents against all of ``docs``."""
-    return log_ratios(ngram_counts(trusted_flags(docs, labels, id_col, text_col), buckets), buckets)
+def model(docs: DataFrame, trusted: pa.Array, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> np.ndarray:
+    """The counts of ``trusted`` documents and of all of ``docs``."""
+    return fetched(ngram_counts(id_and_text(docs, id_col, text_col), trusted, buckets), buckets)
+
+
+def _flags(ids: pa.Array, trusted: pa.Array) -> list[bool]:
+    return pc.is_in(ids, value_set=trusted.cast(ids.type)).to_pylist()
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
     """Id, base counts, score and verdict of every row of ``docs``."""
-    held = docs.sparkSession.sparkContext.broadcast(model(docs, labels, id_col, text_col, buckets))
+    trusted = trusted_ids(labels)
+    held = docs.sparkSession.sparkContext.broadcast((model(docs, trusted, id_col, text_col, buckets), trusted))
     base = id_and_text(docs, id_col, text_col)
     kind = base.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = held.value
+        counts, good = held.value
         for b in batches:
             texts = utf8(b.column("text"))
-            counts = np.array([base_counts(t) for t in texts], np.int64).reshape(-1, 5)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), *[pa.array(counts[:, i]) for i in range(5)],
-                 pa.array([score(t, w) for t in texts], pa.float64())], ["doc_id", *_COUNTS, "score"])
+            base = np.array([base_counts(t) for t in texts], np.int64).reshape(-1, 5)
+            scores = [score(t, counts, f) for t, f in zip(texts, _flags(b.column("doc_id"), good))]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(base[:, i]) for i in range(5)],
+                                              pa.array(scores, pa.float64())], ["doc_id", *_COUNTS, "score"])
 
     judged = over_batches(base, run, f"doc_id {kind}, " + ", ".join(f"{n} long" for n in _COUNTS) + ", score double")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return judged.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= threshold))
 
 
-def passes(text: bytes, ratios: np.ndarray, threshold: float = THRESHOLD) -> bool:
+def passes(text: bytes, counts: np.ndarray, trusted: bool = False, threshold: float = THRESHOLD) -> bool:
     """The verdict on one text."""
     words = text.split()
     if len(words) < MIN_WORDS or 100 * repeated_words(word_ids(words)[0]) > MAX_REPEAT_PERCENT * len(words):
         return False
-    return score(text, ratios) >= threshold
+    return score(text, counts, trusted) >= threshold
 
 
 def kept(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that pass, as they are."""
-    held = docs.sparkSession.sparkContext.broadcast(model(docs, labels, id_col, text_col, buckets))
+    trusted = trusted_ids(labels)
+    held = docs.sparkSession.sparkContext.broadcast((model(docs, trusted, id_col, text_col, buckets), trusted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = held.value
+        counts, good = held.value
         for b in batches:
-            yield b.filter(pa.array([passes(t or b"", w, threshold) for t in utf8(b.column(text_col))], pa.bool_()))
+            texts, flags = utf8(b.column(text_col)), _flags(b.column(id_col), good)
+            yield b.filter(pa.array([passes(t or b"", counts, f, threshold) for t, f in zip(texts, flags)], pa.bool_()))
 
     bounded_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
