@@ -294,6 +294,29 @@ def test_landscape_tables_before_2024(spark, tmp_dir):
     assert {(r.state, r.drug_benefit_type, r.drug_benefit_type_detail) for r in snp} == {(d, "x", "y") for d in ("20221014", "20220930", "20230801")}
 
 
+def test_benefit_tables_and_plan_areas_end_to_end(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "pbp")
+    write(f"{root}/pbp-benefits-2024/pbp_mrx.txt", "pbp_a_hnumber\tmrx_formulary_tiers_num\nH1\t1,005\n", "latin-1")
+    write(f"{root}/pbp-benefits-2024/PlanArea.txt", "contract_id\tcontract_year\tnote\nH1\t2024\t\n", "latin-1")
+    d = spark.createDataFrame([("pbp_mrx", "mrx_formulary_tiers_num", "CHAR"), ("pbp_mrx", "pbp_a_hnumber", "CHAR")],
+                              "file STRING, name STRING, type STRING")
+    target = os.path.join(tmp_dir, "mrx")
+    assert "pbp_mrx" in B.BENEFIT_TABLES and len(B.BENEFIT_TABLES) == 18
+    assert B.load_benefit_table(spark, root, "pbp_mrx", d, target, LOAD) == 1
+    assert snk.read_table(spark, target).first().mrx_formulary_tiers_num == 1005.0
+    area = os.path.join(tmp_dir, "area")
+    assert B.load_snapshots(spark, root, "PlanArea", area, lambda t, day: B.plan_area(t, day, LOAD)) == 1
+    assert snk.read_table(spark, area).first().contract_year == 2024
+
+
+def test_last_file_wins_among_documents_of_a_plan(spark, tmp_dir):
+    docs = spark.createDataFrame([("H1", "1", "0", 2025, '{"v":1}', "a/2.json"), ("H1", "1", "0", 2025, '{"v":2}', "a/1.json")],
+                                 "contractId STRING, planId STRING, segmentId STRING, contractYear INT, document STRING, src_file_path STRING")
+    target = os.path.join(tmp_dir, "docs")
+    B.export_documents(docs, target)
+    assert [r.document for r in snk.read_table(spark, target).collect()] == ['{"v":1}']
+
+
 def test_workbook_tables_load_new_workbooks_alone(spark, tmp_dir):
     root, target = os.path.join(tmp_dir, "books"), os.path.join(tmp_dir, "lis_table")
     sheet, table = R.WORKBOOK_TABLES["lis_enrollment_by_plan"]

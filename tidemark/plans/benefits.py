@@ -21,6 +21,7 @@ from ..operators import dictionary as D
 from ..operators import incremental as inc
 from ..operators import nested as N
 from ..operators import projections as prj
+from ..operators.aggregates import one_per_key
 from ..sinks import tables as snk
 from ..sources import files as src
 from .benefit_categories import DEFAULT_CATEGORY_LABELS
@@ -66,6 +67,40 @@ def dictionary_typed(spark: SparkSession, files: DataFrame, dictionary: DataFram
     return loaded
 
 
+# The dictionary-driven benefit tables, by file name.
+BENEFIT_TABLES = (
+    "pbp_b15_partb_rx_drugs", "pbp_Section_D", "pbp_Section_D_opt", "pbp_b13i_b19b_services_vbid_ssbci",
+    "pbp_b14c_b19b_preventive_vbid_uf", "pbp_b16_dental", "pbp_b16_b19b_dental_vbid_uf", "pbp_mrx", "pbp_mrx_vbid",
+    "pbp_mrx_gapCoverage", "pbp_mrx_p", "pbp_mrx_p_vbid", "pbp_mrx_tier", "pbp_mrx_tier_vbid", "pbp_b10_amb_trans",
+    "pbp_b17_eye_exams_wear", "pbp_b18_hearing_exams_aids", "pbp_b18_b19b_hearing_exams_aids_vbid_uf",
+)
+# Columns whose type the dictionary of some year gives wrongly.
+TYPE_OVERRIDES = (("mrx_formulary_tiers_num", "CHAR", "NUM"),)
+PLAN_AREA_FILES = ("PlanArea", "PlanRegionArea")
+
+
+def load_benefit_table(spark: SparkSession, root: str, file: str, dictionary: DataFrame, target: str,
+                       load_date: _dt.date, since: _dt.date | None = None) -> int:
+    """One of ``BENEFIT_TABLES``, end to end: the newest file of each snapshot
+    date under ``root`` (INC-3/4), the dictionary with its corrections
+    (DIC-4), typed and written slice by slice (DIC-5, SNK-2)."""
+    for name, wrong, right in TYPE_OVERRIDES:
+        dictionary = D.override_types(dictionary, name, wrong, right)
+    return dictionary_typed(spark, latest_files(spark, root, f"{file}.txt", since), dictionary, file, target, load_date)
+
+
+def load_snapshots(spark: SparkSession, root: str, file: str, target: str, transform, since: _dt.date | None = None) -> int:
+    """The newest file of each snapshot date, each read, given to
+    ``transform(text, file_date)`` (Section A, plan areas), and written as
+    its date's slice (SNK-2)."""
+    loaded = 0
+    for r in latest_files(spark, root, f"{file}.txt", since).select("path", "src_file_date").collect():
+        text = src.read_tsv_text(spark, r["path"], with_path=False)
+        snk.replace_slice(transform(text, r["src_file_date"]), target, "src_file_date", value=r["src_file_date"])
+        loaded += 1
+    return loaded
+
+
 def section_a(text: DataFrame, dictionary: DataFrame, file_date: _dt.date, load_date: _dt.date,
               file: str = "pbp_Section_A") -> DataFrame:
     """pbp_section_a: headers normalised, numeric columns where any
@@ -110,8 +145,9 @@ def benefit_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     (NST-3), plan characteristics lifted (NST-2), category codes replaced at
     any depth (NST-4), empty fields removed (NST-5). Returns the plan keys
     beside the cleaned JSON document."""
-    plans = N.explode_children(docs, "pbp", keep=["contractYear"], alias="plan")
-    plans = plans.select("contractYear", "plan.*")
+    keep = ["contractYear"] + [src.FILE_PATH] * (src.FILE_PATH in docs.columns)
+    plans = N.explode_children(docs, "pbp", keep=keep, alias="plan")
+    plans = plans.select(*keep, "plan.*")
     if "planCharacteristics" in plans.columns:
         plans = N.lift_struct(plans, "planCharacteristics")
     plans = N.remap_field_deep(plans, "categoryCode", N.labels_map(labels))
@@ -120,12 +156,16 @@ def benefit_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _with_keys(plans: DataFrame) -> DataFrame:
     pruned = N.prune_empty_deep(plans, json_column=None)
-    doc = F.to_json(F.struct(*[F.col(f"`{c}`") for c in pruned.columns]))
-    return pruned.select("contractId", "planId", "segmentId", "contractYear", doc.alias("document"))
+    doc = F.to_json(F.struct(*[F.col(f"`{c}`") for c in pruned.columns if c != src.FILE_PATH]))
+    path = [src.FILE_PATH] * (src.FILE_PATH in pruned.columns)
+    return pruned.select("contractId", "planId", "segmentId", "contractYear", doc.alias("document"), *path)
 
 
 def export_documents(documents: DataFrame, target: str) -> None:
-    """SNK-5/SNK-8: one document per plan key; a later year's document
-    replaces the stored one."""
-    snk.upsert(documents, target, ["contractId", "planId", "segmentId", "contractYear"],
-               order=[("document", "asc")])
+    """SNK-5/SNK-8: one document per plan key. Of several for one key the
+    last in the order of source folders and files wins (Q20), and it replaces
+    the stored one."""
+    keys = ["contractId", "planId", "segmentId", "contractYear"]
+    if src.FILE_PATH in documents.columns:
+        documents = one_per_key(documents, keys, [(src.FILE_PATH, "desc"), ("document", "asc")]).drop(src.FILE_PATH)
+    snk.upsert(documents, target, keys, order=[("document", "asc")])
