@@ -7,11 +7,15 @@ around them, so equal pieces between spaces always get equal ids:
   to the word that follows it;
 - ``word``: white space collapsed and dropped, lower-cased, word ends marked.
 
-For these, ids are remembered by piece. A piece not met before that is a run
-of Latin letters with ASCII punctuation after it goes straight to the
-library's merge model; every other piece goes through the whole library. A
-file of another family, and a text with space beside other white space in the
-byte family, is encoded whole.
+A text of plain characters alone (ASCII without the apostrophe, Latin letters
+with marks, spaces and line feeds) is cut by the family's pattern, which is
+simple for them, and its runs go to the library's merge model, once for each
+different run that a worker remembers. In other texts ids are remembered by
+piece between spaces: a piece of letters with punctuation after it goes to
+the merge model, every other piece through the whole library. A file of
+another family, and a text with space beside other white space in the byte
+family, is encoded whole. Each file's encoder first proves on a few texts that
+it gives the library's ids.
 """
 
 from __future__ import annotations
@@ -29,9 +33,13 @@ REMEMBERED = 400_000
 #: Latin letters that have one-character lower case and no decomposed form
 #: here, then ASCII punctuation without the apostrophe (it begins endings).
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: A text of plain characters, and the runs in it, by family.
+_SAFE = re.compile(r"[ \n!-&(-~À-ÖØ-öø-ÿ]*")
+_RUNS = {"byte": re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+|\s+(?!\S)|\s+"),
+         "word": re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")}
 _NEAR = re.compile(r" \s|\s |^\s|\s$")
 #: Texts on which the piecewise way must agree with the library at the start.
-_PROBES = ("The quick, brown\nfox; it's 12 o'clock!! Ünïted straße ÿ x-y (z) <|endoftext|> a<|endoftext|>b",
+_PROBES = ("The quick, brown\nfox; is 12 oclock!!  Ünïted straße\n\n ÿ x-y (z) 345 a1b2 %%% ### a|b\n", " \n x", "a <| b", "The quick, brown\nfox; it's 12 o'clock!! Ünïted straße ÿ x-y (z) <|endoftext|> a<|endoftext|>b",
            "one  two\t three\n\nfour ", "", " ", "###&&& word%%% A1b2 ...", "«été» — 北京 İstanbul ǅ")
 
 
@@ -110,9 +118,12 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         if self.family is None:
             return self.whole(text)
-        if len(self.pieces) > REMEMBERED:
+        if len(self.pieces) > REMEMBERED or len(self.runs) > REMEMBERED:
             self.pieces.clear()
             self.runs.clear()
+        if _SAFE.fullmatch(text) and "<|" not in text:
+            runs = _RUNS[self.family].findall(text.lower() if self.family == "word" else text)
+            return b"".join(map(self.runs.__getitem__, runs))
         if self.family == "word":
             return b"".join(map(self.pieces.__getitem__, text.replace("\n", " ").split(" ")))
         if not text or _NEAR.search(text):

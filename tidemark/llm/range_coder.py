@@ -25,84 +25,91 @@ import zlib
 
 import numpy as np
 
-BLOCK = 4096
-LANES = 1024
+BLOCK = 1024
+LANES = 4096
 WINDOW = 512
 _REFRESH = 256
-_SLOTS = 1 << 12
-_TOTAL = 20  # bits of the total
+_SLOT_BITS = 10
+_SLOTS = 1 << _SLOT_BITS
+_TOTAL = 16  # bits of the total
 _T = 1 << _TOTAL
-_LEAST = 16  # least width of anything that can be coded
-_RATE = 5
+_RATE = 4
 _MAGIC = b"TKB1"
 _HEAD = struct.Struct("<4sIIIII")  # magic, vocabulary, ids, words, checksum of the ids, of the words
 _MASK32 = (1 << 32) - 1
 
 
 class _Lanes:
-    """The models of some blocks, at the same place in each."""
+    """The models of some blocks, at the same place in each. Chances are
+    parts of the total, as unsigned 32-bit integers."""
 
     def __init__(self, n: int, vocab: int):
         self.n = n
-        self.row = np.arange(n) * _SLOTS
-        self.pick = np.arange(n) * 4
-        self.table = [np.zeros(n * _SLOTS, np.uint32) for _ in range(2)]  # (id + 1) << 2 | run of successes
-        self.chance = [np.tile(np.array([_T // 16, _T // 4, _T // 2, 3 * _T // 4]), n) for _ in range(2)]
-        self.escape = np.full(n, _T // 2)
+        self.row = (np.arange(n) * _SLOTS).astype(np.int32)
+        self.table = [np.zeros(n * _SLOTS, np.uint32) for _ in range(2)]  # the id + 1; 0: none
+        self.chance = [np.full(n, _T // 4, np.int32) for _ in range(2)]
+        self.escape = np.full(n, _T // 2, np.int32)
         self.p1 = np.zeros(n, np.uint32)
         self.p2 = np.zeros(n, np.uint32)
         self.window = None
         self.slots = 0
-        self.digits = [(0, _T // vocab)] if _T // vocab >= _LEAST else [(12, _T // (-(-vocab >> 12))), (0, _T >> 12)]
+        self.digits = [(0, _T // vocab)] if vocab <= _T else [(12, _T // (-(-vocab >> 12))), (0, _T >> 12)]
 
     def shrink(self, n: int) -> None:
         """Go on with the first ``n`` lanes."""
-        self.n, self.row, self.pick = n, self.row[:n], self.pick[:n]
+        self.n, self.row, self.chance = n, self.row[:n], [c[:n] for c in self.chance]
         self.escape, self.p1, self.p2 = self.escape[:n], self.p1[:n], self.p2[:n]
         if self.window is not None:
-            self.window = self.window[:n]
+            self.window, self.first, self.many = self.window[:n], self.first[:n], self.many[:n]
 
     def refresh(self, past: np.ndarray) -> None:
-        """Order 0 from the last ids of each lane."""
-        self.window = np.sort(past[:, -WINDOW:], axis=1)
-        self.slots = self.window.shape[1]
+        """Order 0 from the last ids of each lane: the ids in order, and for
+        each slot the first slot of its id and how many it has."""
+        w = self.window = np.sort(past[:, -WINDOW:], axis=1)
+        self.slots = w.shape[1]
+        slots = np.arange(self.slots, dtype=np.int32)
+        new = np.ones(w.shape, bool)
+        new[:, 1:] = w[:, 1:] != w[:, :-1]
+        self.first = np.maximum.accumulate(np.where(new, slots, np.int32(0)), axis=1)
+        new[:, :-1] = new[:, 1:]
+        new[:, -1] = True
+        last = np.minimum.accumulate(np.where(new, slots, np.int32(self.slots))[:, ::-1], axis=1)[:, ::-1]
+        self.many = last - self.first + np.int32(1)
 
     def predict(self) -> None:
         """Lay out the shares: order 2 up to ``a``, order 1 up to ``base``,
-        order 0 in slots of ``unit`` up to ``tail``, then the escape. A
-        chance may reach 0; ``_LEAST`` keeps every share open."""
-        h1 = self.p1 * np.uint32(0x9E3779B1)
-        h2 = h1 + self.p2 * np.uint32(0x85EBCA77)
-        self.at = (self.row + (h2 >> np.uint32(20)), self.row + (h1 >> np.uint32(20)))
-        e2, e1 = self.table[0][self.at[0]], self.table[1][self.at[1]]
-        self.have = (e2, e1)
-        self.hits = (e2 & np.uint32(3), e1 & np.uint32(3))
-        self.run = (self.pick + self.hits[0], self.pick + self.hits[1])
-        self.share = (self.chance[0][self.run[0]], self.chance[1][self.run[1]])
-        self.c2, self.c1 = e2 >> np.uint32(2), e1 >> np.uint32(2)  # the id + 1; 0: none
-        self.ok2 = self.c2 > 0
-        self.ok1 = (self.c1 > 0) & (self.c1 != self.c2)
-        self.a = (_LEAST + self.share[0] - (self.share[0] >> 3)) * self.ok2
+        order 0 in slots of ``unit`` up to ``tail``, then the escape. No share
+        that can be coded is empty."""
+        h = self.p1 * np.uint32(0x9E3779B1)
+        one = self.row + (h >> np.uint32(32 - _SLOT_BITS)).view(np.int32)
+        h += self.p2 * np.uint32(0x85EBCA77)
+        two = self.row + (h >> np.uint32(32 - _SLOT_BITS)).view(np.int32)
+        self.at = (two, one)
+        self.c2, self.c1 = self.table[0][two], self.table[1][one]
+        self.ok2 = self.c2 != 0
+        self.ok1 = (self.c1 != 0) & (self.c1 != self.c2)
+        p2, p1 = self.chance
+        self.a = (1 + p2 - (p2 >> 3)) * self.ok2
         rest = _T - self.a
-        self.base = self.a + (_LEAST + (rest * self.share[1] >> _TOTAL + 1)) * self.ok1
+        self.base = self.a + (1 + ((rest >> 1) * (p1 >> 1) >> _TOTAL - 1)) * self.ok1
         rest = _T - self.base
         if self.slots:
-            rest -= _LEAST + (rest * self.escape >> _TOTAL + 1)
-            self.unit = rest // self.slots
-            self.tail = self.base + self.unit * self.slots
+            rest -= 1 + ((rest >> 1) * (self.escape >> 1) >> _TOTAL - 1)
+            self.unit = rest // np.int32(self.slots)
+            self.tail = self.base + self.unit * np.int32(self.slots)
         else:
             self.tail = self.base
 
     def update(self, x: np.ndarray, kind: np.ndarray) -> None:
         """Learn ``x`` (an id + 1); kind: 0 order 2, 1 order 1, 2 order 0, 3
         escape. An order learns where those above it were wrong."""
-        fresh = x << np.uint32(2)
-        for k, ok in ((0, self.ok2), (1, self.ok1 & (kind >= 1))):
-            p, hits, entry = self.share[k], self.hits[k], self.have[k]
-            self.chance[k][self.run[k]] = p + (((kind == k) * _T - p >> _RATE) * ok)
-            self.table[k][self.at[k]] = np.where(entry ^ hits == fresh, fresh | np.minimum(hits + np.uint32(1), np.uint32(3)),
-                                                 np.where(hits > 0, entry - np.uint32(1), fresh))
-        self.escape += ((kind == 3) * _T - self.escape >> _RATE) * (kind >= 2)
+        p2, p1 = self.chance
+        p2 += (((kind == 0) * np.int32(_T - 1) - p2) >> _RATE) * self.ok2
+        low = kind > 0
+        p1 += (((kind == 1) * np.int32(_T - 1) - p1) >> _RATE) * (self.ok1 & low)
+        self.escape += (((kind == 3) * np.int32(_T - 1) - self.escape) >> _RATE) * (kind > 1)
+        self.table[0][self.at[0]] = x
+        self.table[1][self.at[1]] = x
         self.p2[:] = self.p1
         self.p1[:] = x
 
@@ -128,6 +135,17 @@ def _laid_out(blocks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndar
     return order, sizes[order], ids
 
 
+def _places(m: _Lanes, ahead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the coming ids of each lane: the first slot that holds them and how
+    many do. Steps come first."""
+    first = np.empty(ahead.shape, np.int32)
+    for i, (w, x) in enumerate(zip(m.window, ahead)):
+        first[i] = w.searchsorted(x)
+    slot = np.minimum(first, m.slots - 1) + (np.arange(len(first)) * m.slots)[:, None]
+    many = np.where(m.window.reshape(-1)[slot] == ahead, m.many.reshape(-1)[slot], np.int32(0))
+    return np.ascontiguousarray(first.T), np.ascontiguousarray(many.T)
+
+
 def _encode_lanes(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
     order, sizes, ids = _laid_out(blocks)
     steps = ids.shape[1]
@@ -137,13 +155,14 @@ def _encode_lanes(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
     words = np.zeros((n, 3 * steps + 4), np.uint32)
     width = words.shape[1]
     flat, put = words.reshape(-1), np.arange(n) * width
-    slot_from = slot_to = None
+    slot_from = slot_many = None
+    shifted = np.ascontiguousarray(ids.T) + np.uint32(1)
 
     def code(at, start, size):
         """One step for the lanes ``at`` (a slice or indices)."""
         r = span[at] >> np.uint64(_TOTAL)
-        lo = low[at] + r * start.view(np.uint64)
-        sp = r * size.view(np.uint64)
+        lo = low[at] + r * start.astype(np.uint64)
+        sp = r * size.astype(np.uint64)
         small = sp <= np.uint64(_MASK32)
         to = put[at]
         flat[to] = lo >> np.uint64(32)  # stays only if the place moves on
@@ -162,25 +181,23 @@ def _encode_lanes(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
         if t >= until:
             until = _next_due(t)
             if m.window is not None:
-                ahead = ids[:k, t:until]
-                slot_from = np.empty(ahead.shape, np.int64)
-                slot_to = np.empty(ahead.shape, np.int64)
-                for i in range(k):
-                    slot_from[i] = m.window[i].searchsorted(ahead[i])
-                    slot_to[i] = m.window[i].searchsorted(ahead[i], "right")
+                slot_from, slot_many = _places(m, ids[:k, t:until])
                 since = t
         m.predict()
-        x = ids[:k, t] + np.uint32(1)
-        kind = np.where(x == m.c2, 0, np.where(x == m.c1, 1, 3))
-        start = np.where(kind == 3, m.tail, np.where(kind == 0, 0, m.a))
-        size = np.where(kind == 3, _T - m.tail, np.where(kind == 0, m.a, m.base - m.a))
+        x = shifted[t, :k]
+        two = x == m.c2
+        one = x == m.c1
+        start, size, kind = m.tail, _T - m.tail, np.full(k, 3, np.int8)
         if m.slots:
-            first = slot_from[:k, t - since]
-            many = slot_to[:k, t - since] - first
-            held = (kind == 3) & (many > 0)
-            kind -= held
+            first, many = slot_from[t - since, :k], slot_many[t - since, :k]
+            held = many > 0
             start = np.where(held, m.base + first * m.unit, start)
             size = np.where(held, many * m.unit, size)
+            kind -= held
+        start, size = np.where(one, m.a, start), np.where(one, m.base - m.a, size)
+        start, size = np.where(two, 0, start), np.where(two, m.a, size)
+        kind[one] = 1
+        kind[two] = 0
         code(slice(0, k), start, size)
         out = np.flatnonzero(kind == 3)
         if len(out):
@@ -245,16 +262,15 @@ def _decode_lanes(blocks: list[tuple[tuple, memoryview]]) -> list[np.ndarray]:
         value = value << np.uint64(16) | flat[get]
         get += 1
     ids = np.zeros((n, steps), np.uint32)
-    first = many = None
-    lane_at = np.arange(n)
+    lane_at = np.arange(n, dtype=np.int32)
 
     def told(at):
         r = span[at] >> np.uint64(_TOTAL)
-        return r, np.minimum(value[at] // r, np.uint64(_T - 1)).view(np.int64)
+        return r, np.minimum(value[at] // r, np.uint64(_T - 1)).astype(np.int32)
 
     def take(at, r, start, size):
-        v = value[at] - r * start.view(np.uint64)
-        sp = r * size.view(np.uint64)
+        v = value[at] - r * start.astype(np.uint64)
+        sp = r * size.astype(np.uint64)
         small = sp <= np.uint64(_MASK32)
         of = get[at]
         shift = small * np.uint64(16)
@@ -268,26 +284,22 @@ def _decode_lanes(blocks: list[tuple[tuple, memoryview]]) -> list[np.ndarray]:
         k = m.n
         if _due(t):
             m.refresh(ids[:k, :t])
-            new = np.ones(m.window.shape, bool)
-            new[:, 1:] = m.window[:, 1:] != m.window[:, :-1]
-            slots = np.arange(m.window.shape[1])
-            first = np.maximum.accumulate(np.where(new, slots, 0), axis=1)
-            ends = np.concatenate((new[:, 1:], np.ones((k, 1), bool)), axis=1)
-            last = np.minimum.accumulate(np.where(ends, slots, len(slots))[:, ::-1], axis=1)[:, ::-1]
-            first, many = first.astype(np.int32), (last - first + 1).astype(np.int32)
         m.predict()
         here = slice(0, k)
         r, v = told(here)
-        kind = (v >= m.a).astype(np.int64) + (v >= m.base) + (v >= m.tail)
-        start = np.where(kind == 3, m.tail, np.where(kind == 0, 0, m.a))
-        size = np.where(kind == 3, _T - m.tail, np.where(kind == 0, m.a, m.base - m.a))
-        x = np.where(kind == 0, m.c2, m.c1)
+        kind = (v >= m.a).astype(np.int8) + (v >= m.base) + (v >= m.tail)
+        start, size = m.tail, _T - m.tail
+        x = m.c1
         if m.slots:
             held = kind == 2
-            slot = lane_at[:k] * m.slots + (v - m.base) // m.unit * held
-            start = np.where(held, m.base + first.reshape(-1)[slot] * m.unit, start)
-            size = np.where(held, many.reshape(-1)[slot] * m.unit, size)
+            slot = lane_at[:k] * np.int32(m.slots) + (v - m.base) // m.unit * held
+            start = np.where(held, m.base + m.first.reshape(-1)[slot] * m.unit, start)
+            size = np.where(held, m.many.reshape(-1)[slot] * m.unit, size)
             x = np.where(held, m.window.reshape(-1)[slot] + np.uint32(1), x)
+        one, two = kind == 1, kind == 0
+        start, size = np.where(one, m.a, start), np.where(one, m.base - m.a, size)
+        start, size = np.where(two, 0, start), np.where(two, m.a, size)
+        x = np.where(two, m.c2, x)
         take(here, r, start, size)
         out = np.flatnonzero(kind == 3)
         if len(out):
@@ -296,7 +308,7 @@ def _decode_lanes(blocks: list[tuple[tuple, memoryview]]) -> list[np.ndarray]:
                 r, v = told(out)
                 digit = v // wide
                 take(out, r, digit * wide, np.full(len(out), wide))
-                y |= digit << shift
+                y |= digit.astype(np.int64) << shift
             x[out] = y + 1
         ids[:k, t] = x - np.uint32(1)
         m.update(x, kind)
