@@ -26,7 +26,7 @@ import zlib
 import numpy as np
 
 BLOCK = 1024
-LANES = 4096
+LANES = 2048
 WINDOW = 512
 _REFRESH = 256
 _SLOT_BITS = 10
