@@ -1,17 +1,22 @@
-"""Quality rules: base counts and a hashed n-gram log-likelihood ratio.
+"""Quality rules: base counts and an n-gram log-likelihood ratio.
 
 Base rules are exact counts over a whole text. The model compares two
-multinomials over hashed word unigrams and bigrams: the trusted target
-(labelled good and not toxic) and the raw corpus (every document). A
-document's score is the sum of its n-grams' log ratios divided by their
-number; every document is held against one fixed threshold.
+multinomials over word unigrams and bigrams: the trusted target (labelled good
+and not toxic) and the raw corpus (every document). A document's score is the
+sum of its n-grams' log ratios divided by their number; every document is held
+against one fixed threshold.
 
 The trusted target is a bounded sample of the labelled rows: at most
 ``TRUSTED`` documents, those whose ids have the least hashes. A list of ids of
 that size goes to the tasks, so that no text is shuffled to meet its label.
-The raw counts cover every document: each task adds up its own, a grouped sum
-merges them, and the ``BUCKETS`` counts of both (a size fixed by a parameter,
-not by the data) are what the scoring pass gets.
+
+The raw counts cover every n-gram of every document, each under its 64-bit
+hash; they are a Spark table that grows with the corpus and never meets in one
+process. Documents are dealt into lots of about ``LOT_BYTES`` by a hash of id
+and text. A lot sends the distinct n-grams it holds, with their counts, to
+ranges of hashes, as many as there are lots; a range adds up what all lots
+sent and answers each lot with the totals of just its own n-grams, in their
+order. An n-gram that is in every document so costs a range one entry a lot.
 
 Cases: null and empty texts have no words, zero counts and ``base_failed``; a
 label that repeats counts as good only if all its rows are; labels with nulls
@@ -23,7 +28,8 @@ rows are counted and judged one by one; extra columns are not read.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,16 +37,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, col, id_and_text, over_batches, utf8
+from .common import bounded_batches, col, fresh_name, id_and_text, over_batches, utf8
 
 MIN_WORDS = 20
 WINDOW = 8
 MAX_REPEAT_PERCENT = 30
 #: Trusted documents that the target is fitted on, at most.
 TRUSTED = 50_000
-#: Hash buckets of the n-grams.
-BUCKETS = 1 << 18
-#: Occurrences at the overall trusted rate that each bucket gets besides its
+#: Bytes of text in a lot, about.
+LOT_BYTES = 1 << 24
+#: Occurrences at the overall trusted rate that each n-gram gets besides its
 #: own: a rare n-gram then says little for or against its only document.
 SMOOTHING = 20.0
 #: Least score (log ratio an n-gram) of a document that is kept.
@@ -95,55 +101,153 @@ def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
     return len(words), int(kinds[0] + kinds[3]), int(kinds[3]), copies, repeated_words(ids)
 
 
-def ngram_buckets(text: bytes, buckets: int = BUCKETS) -> np.ndarray:
-    """The hash buckets of a text's lower-cased unigrams and bigrams."""
+def ngram_hashes(text: bytes) -> np.ndarray:
+    """64-bit hashes of a text's lower-cased unigrams and bigrams."""
     ids, different = word_ids(text.lower().split())
     if not different:
-        return np.zeros(0, np.int64)
-    h = np.fromiter((zlib.crc32(w) for w in different), np.uint64, len(different))[ids]
-    mixed = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
-    both = np.concatenate((h * np.uint64(0xFF51AFD7ED558CCD), mixed))
-    return ((both >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+        return np.zeros(0, np.uint64)
+    h = np.fromiter((zlib.crc32(w) << 32 | zlib.crc32(w[::-1]) for w in different), np.uint64, len(different))[ids]
+    mixed = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + (h[1:] ^ h[1:] >> np.uint64(29)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    both = np.concatenate((h, mixed))
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        both = (both ^ both >> np.uint64(33)) * np.uint64(factor)
+    return both ^ both >> np.uint64(33)
+
+
+class Counts(NamedTuple):
+    """Occurrences by n-gram (sorted hashes), and all of the corpus."""
+
+    keys: np.ndarray
+    raw: np.ndarray
+    good: np.ndarray
+    all_raw: int
+    all_good: int
+
+
+class _Lot:
+    """The n-grams of some texts: those of each by their place in ``keys``."""
+
+    def __init__(self, texts: list[bytes], flags: list[bool]):
+        found = [np.unique(ngram_hashes(t), return_counts=True) for t in texts]
+        self.keys, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *[k for k, _ in found]]), return_inverse=True)
+        ends = np.cumsum([0, *[len(k) for k, _ in found]])
+        self.places = [at[i:j] for i, j in zip(ends, ends[1:])]
+        self.owns, self.flags = [n for _, n in found], flags
+        self.raw, self.good = np.zeros(len(self.keys), np.int64), np.zeros(len(self.keys), np.int64)
+        for place, own, good in zip(self.places, self.owns, flags):
+            self.raw[place] += own
+            self.good[place] += own * good
+
+
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Integers as planes of equal bytes, compressed."""
+    planes = b"".join(np.ascontiguousarray(a.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes() for a in arrays)
+    return pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int, arrays: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=8 * n * arrays, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(arrays, 8, n).transpose(0, 2, 1)).view(np.uint64)[:, :, 0]
+
+
+def _lot_of(table: pa.Table, id_col: str, text_col: str, trusted: pa.Array) -> _Lot:
+    ids = table.column(id_col).combine_chunks()
+    return _Lot([t or b"" for t in utf8(table.column(text_col).cast(pa.string()))], _flags(ids, trusted))
+
 
+_BLOCK = "lot long, hashes long, n long, block binary"
 
-def ngram_counts(docs: DataFrame, trusted: pa.Array, buckets: int = BUCKETS) -> DataFrame:
-    """``(bucket, raw, trusted)`` over all rows of ``docs(doc_id, text)``."""
+
+def _blocks(rows: list[tuple]) -> pa.Table:
+    kinds = (("lot", pa.int64()), ("hashes", pa.int64()), ("n", pa.int64()), ("block", pa.binary()))
+    return pa.table({name: pa.array([r[i] for r in rows], kind) for i, (name, kind) in enumerate(kinds)})
+
+
+def lots_of(docs: DataFrame, id_col: str, text_col: str, trusted: pa.Array, lot_bytes: int) -> tuple[DataFrame, str, int, int, int]:
+    """``docs`` with the number of its lot, that column's name, the number of
+    lots, and the n-grams of all and of the trusted documents."""
     held = docs.sparkSession.sparkContext.broadcast(trusted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, good = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        size = raw = good = 0
         for b in batches:
             for text, is_good in zip(utf8(b.column("text")), _flags(b.column("doc_id"), held.value)):
-                np.add.at(good if is_good else raw, ngram_buckets(text, buckets), 1)
-        total = raw + good
-        have = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(have), pa.array(total[have]), pa.array(good[have])], ["bucket", "raw", "trusted"])
+                n = max(0, 2 * len(text.split()) - 1)
+                size, raw, good = size + len(text), raw + n, good + n * is_good
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (size, raw, good)], ["size", "raw", "good"])
+
+    sums = over_batches(id_and_text(docs, id_col, text_col), run, "size long, raw long, good long")
+    size, raw, good = (x or 0 for x in sums.agg(F.sum("size"), F.sum("raw"), F.sum("good")).first())
+    lots, name = size // lot_bytes + 1, fresh_name(docs, "lot")
+    return docs.withColumn(name, F.pmod(F.xxhash64(col(id_col), col(text_col)), F.lit(lots))), name, lots, raw, good
+
+
+def ngram_totals(dealt: DataFrame, lot: str, lots: int, id_col: str, text_col: str, trusted) -> DataFrame:
+    """For each lot of ``dealt`` and each range of hashes: the corpus's raw
+    and trusted counts of the lot's n-grams there, in the hashes' order."""
+
+    def ask(table: pa.Table) -> pa.Table:
+        own = _lot_of(table, id_col, text_col, trusted.value)
+        of = ((own.keys >> np.uint64(32)) * np.uint64(lots)) >> np.uint64(32)
+        at = np.append(np.flatnonzero(np.diff(of, prepend=of[:1] + np.uint64(1))), len(of))
+        number = table.column(lot)[0].as_py()
+        return _blocks([(number, int(of[i]), int(j - i), _packed(np.diff(own.keys[i:j], prepend=np.uint64(0)), own.raw[i:j], own.good[i:j]))
+                        for i, j in zip(at, at[1:])])
+
+    def answer(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        got = [_unpacked(r["block"], r["n"], 3) for r in rows]
+        keys, at = np.unique(np.concatenate([np.cumsum(g[0], dtype=np.uint64) for g in got]), return_inverse=True)
+        total = np.zeros((2, len(keys)), np.uint64)
+        ends = np.cumsum([0, *[r["n"] for r in rows]])
+        for g, i, j in zip(got, ends, ends[1:]):
+            total[:, at[i:j]] += g[1:]
+        return _blocks([(r["lot"], r["hashes"], r["n"], _packed(*total[:, at[i:j]])) for r, i, j in zip(rows, ends, ends[1:])])
+
+    return dealt.groupBy(lot).applyInArrow(ask, _BLOCK).groupBy("hashes").applyInArrow(answer, _BLOCK)
+
+
+def judged_lots(docs: DataFrame, id_col: str, text_col: str, trusted: pa.Array, judge: Callable[[pa.Table, _Lot, list[float]], pa.Table],
+                schema, lot_bytes: int = LOT_BYTES) -> DataFrame:
+    """What ``judge`` makes of each lot's rows and their scores. Both uses of
+    the dealt rows have one plan, so that Spark shuffles them once."""
+    bounded_batches(docs.sparkSession)
+    held = docs.sparkSession.sparkContext.broadcast(trusted)
+    dealt, lot, lots, all_raw, all_good = lots_of(docs, id_col, text_col, trusted, lot_bytes)
+    totals = ngram_totals(dealt, lot, lots, id_col, text_col, held)
+
+    def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        own = _lot_of(rows, id_col, text_col, held.value)
+        got = [_unpacked(r["block"], r["n"], 2) for r in sorted(answers.to_pylist(), key=lambda r: r["hashes"])]
+        raw, good = np.concatenate([np.zeros((2, 0), np.uint64), *got], axis=1).astype(np.float64)
+        if len(raw) != len(own.keys):
+            raise ValueError(f"a lot of {len(own.keys)} n-grams was answered {len(raw)} totals")
+        scores = [_ratio(n, raw[at], good[at], all_raw, all_good, f) for at, n, f in zip(own.places, own.owns, own.flags)]
+        return judge(rows.drop_columns([lot]), own, scores)
 
-    parts = over_batches(docs, run, "bucket long, raw long, trusted long")
-    return parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
+    return dealt.groupBy(lot).cogroup(totals.groupBy("lot")).applyInArrow(run, schema)
 
 
-def fetched(counts: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
-    """The raw and the trusted count of each bucket: ``buckets`` rows at most."""
-    got = counts.toArrow()
-    out = np.zeros((2, buckets))
-    out[:, got.column("bucket").to_numpy()] = got.column("raw").to_numpy(), got.column("trusted").to_numpy()
-    return out
+def _ratio(own: np.ndarray, raw: np.ndarray, good: np.ndarray, all_raw: int, all_good: int, trusted: bool, smoothing: float = SMOOTHING) -> float:
+    n = own.sum()
+    if not n or not all_good:
+        return 0.0
+    rate = all_good / all_raw
+    target = np.maximum(good - own * trusted, 0) + smoothing * rate
+    base = np.maximum(raw - own, 0) + smoothing
+    return float((own * np.log(target / (rate * base))).sum() / n)
 
 
-def score(text: bytes, counts: np.ndarray, trusted: bool = False, smoothing: float = SMOOTHING) -> float:
+def score(text: bytes, counts: Counts, trusted: bool = False, smoothing: float = SMOOTHING) -> float:
     """The mean log ratio of a text's n-grams. Its own n-grams are taken out
     of the counts first, so that a document says nothing about itself and a
     trusted one has no advantage."""
-    raw, good = counts
-    at, own = np.unique(ngram_buckets(text, counts.shape[1]), return_counts=True)
-    n, rest = own.sum(), good.sum()
-    if not n or not rest:
+    keys, own = np.unique(ngram_hashes(text), return_counts=True)
+    if not len(counts.keys):
         return 0.0
-    rate = rest / raw.sum()
-    target = np.maximum(good[at] - own * trusted, 0) + smoothing * rate
-    base = np.maximum(raw[at] - own, 0) + smoothing
-    return float((own * np.log(target / (rate * base))).sum() / n)
+    at = np.minimum(np.searchsorted(counts.keys, keys), len(counts.keys) - 1)
+    there = counts.keys[at] == keys
+    return _ratio(own, counts.raw[at] * there, counts.good[at] * there, counts.all_raw, counts.all_good, trusted, smoothing)
 
 
 def trusted_ids(labels: DataFrame, bound: int = TRUSTED) -> pa.Array:
@@ -158,9 +262,12 @@ def trusted_ids(labels: DataFrame, bound: int = TRUSTED) -> pa.Array:
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def model(docs: DataFrame, trusted: pa.Array, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> np.ndarray:
-    """The counts of ``trusted`` documents and of all of ``docs``."""
-    return fetched(ngram_counts(id_and_text(docs, id_col, text_col), trusted, buckets), buckets)
+def model(docs: DataFrame, trusted: pa.Array, id_col: str = "doc_id", text_col: str = "text") -> Counts:
+    """The counts of ``trusted`` documents and of all of ``docs``, read into
+    one process: for looking at small tables, no query uses it."""
+    rows = id_and_text(docs, id_col, text_col).toArrow()
+    own = _lot_of(rows, "doc_id", "text", trusted)
+    return Counts(own.keys, own.raw, own.good, int(own.raw.sum()), int(own.good.sum()))
 
 
 def _flags(ids: pa.Array, trusted: pa.Array) -> list[bool]:
@@ -168,46 +275,33 @@ def _flags(ids: pa.Array, trusted: pa.Array) -> list[bool]:
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
+            threshold: float = THRESHOLD, lot_bytes: int = LOT_BYTES) -> DataFrame:
     """Id, base counts, score and verdict of every row of ``docs``."""
-    trusted = trusted_ids(labels)
-    held = docs.sparkSession.sparkContext.broadcast((model(docs, trusted, id_col, text_col, buckets), trusted))
     base = id_and_text(docs, id_col, text_col)
     kind = base.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, good = held.value
-        for b in batches:
-            texts = utf8(b.column("text"))
-            base = np.array([base_counts(t) for t in texts], np.int64).reshape(-1, 5)
-            scores = [score(t, counts, f) for t, f in zip(texts, _flags(b.column("doc_id"), good))]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(base[:, i]) for i in range(5)],
-                                              pa.array(scores, pa.float64())], ["doc_id", *_COUNTS, "score"])
+    def judge(rows: pa.Table, own: _Lot, scores: list[float]) -> pa.Table:
+        counts = np.array([base_counts(t) for t in utf8(rows.column("text"))], np.int64).reshape(-1, 5)
+        return pa.table([rows.column("doc_id"), *[pa.array(counts[:, i]) for i in range(5)], pa.array(scores, pa.float64())],
+                        ["doc_id", *_COUNTS, "score"])
 
-    judged = over_batches(base, run, f"doc_id {kind}, " + ", ".join(f"{n} long" for n in _COUNTS) + ", score double")
+    judged = judged_lots(base, "doc_id", "text", trusted_ids(labels), judge,
+                         f"doc_id {kind}, " + ", ".join(f"{n} long" for n in _COUNTS) + ", score double", lot_bytes)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return judged.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= threshold))
 
 
-def passes(text: bytes, counts: np.ndarray, trusted: bool = False, threshold: float = THRESHOLD) -> bool:
-    """The verdict on one text."""
+def base_fails(text: bytes) -> bool:
     words = text.split()
-    if len(words) < MIN_WORDS or 100 * repeated_words(word_ids(words)[0]) > MAX_REPEAT_PERCENT * len(words):
-        return False
-    return score(text, counts, trusted) >= threshold
+    return len(words) < MIN_WORDS or 100 * repeated_words(word_ids(words)[0]) > MAX_REPEAT_PERCENT * len(words)
 
 
 def kept(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
+         threshold: float = THRESHOLD, lot_bytes: int = LOT_BYTES) -> DataFrame:
     """The documents that pass, as they are."""
-    trusted = trusted_ids(labels)
-    held = docs.sparkSession.sparkContext.broadcast((model(docs, trusted, id_col, text_col, buckets), trusted))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, good = held.value
-        for b in batches:
-            texts, flags = utf8(b.column(text_col)), _flags(b.column(id_col), good)
-            yield b.filter(pa.array([passes(t or b"", counts, f, threshold) for t, f in zip(texts, flags)], pa.bool_()))
+    def judge(rows: pa.Table, own: _Lot, scores: list[float]) -> pa.Table:
+        texts = utf8(rows.column(text_col).cast(pa.string()))
+        return rows.filter(pa.array([s >= threshold and not base_fails(t or b"") for t, s in zip(texts, scores)], pa.bool_()))
 
-    bounded_batches(docs.sparkSession)
-    return docs.mapInArrow(run, docs.schema)
+    return judged_lots(docs, id_col, text_col, trusted_ids(labels), judge, docs.schema, lot_bytes)
