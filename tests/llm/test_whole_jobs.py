@@ -3,7 +3,7 @@
 import math
 from collections import Counter
 
-from tidemark.llm import quality
+from tidemark.llm import licences, quality
 
 
 def test_quality_counts_every_ngram_apart(spark):
@@ -43,3 +43,56 @@ def test_quality_rejects_junk_at_two_sizes(spark):
             out.append(judged.where(which).selectExpr(f"avg(int(score >= {quality.THRESHOLD}))").first()[0])
     assert kept[1] <= kept[0] <= 0.4 and kept[1] <= 0.1
     assert min(clean) >= 0.99
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+MIT = """The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_wrapped_licences(spark):
+    headers = {"Apache-2.0": (APACHE, 3), "GPL-3.0": (GPL, 3), "MIT": (MIT, 1), "BSD-2-Clause": (BSD, 3), "BSD-3-Clause": (BSD3, 4)}
+    forms = [lambda t: t, lambda t: "x = 1\n" + t + "\ny = 2\n", lambda t: t.replace("\n", "\r\n")]
+    for sign in ("# ", "// ", " * ", "-- ", ";; ", "dnl "):
+        forms.append(lambda t, sign=sign: "\n".join(sign + line for line in t.split("\n")))
+    want, rows = {}, []
+    for name, (text, n) in headers.items():
+        for form in forms:
+            want[len(rows)] = (name, n)
+            rows.append((len(rows), form(text)))
+    for text in ("Released under the. MIT License.", "Not released under the MIT License.", BSD.replace("1.", "Some other words.\n1.")):
+        want[len(rows)] = ("", 3 if "words" in text else 0)
+        rows.append((len(rows), text))
+    got = licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.licences, r.n_sentences) for r in got} == want

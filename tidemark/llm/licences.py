@@ -1,18 +1,24 @@
 """Licence scans by sentence rules.
 
-A text is cut into sentences at line ends and after ``. ! ?`` followed by
-white space. A sentence is normalised: A-Z lower-cased, every run of other
-characters than a-z and 0-9 one space, trimmed. Known licence sentences have
-identifiers; a document becomes the sequence of its sentences' identifiers,
-``-`` for the others. Licence rules are sequences of identifiers, tried in
-order: a rule that occurs claims its identifiers wherever it stands, so that
-a longer licence isn't read as a shorter one as well.
+A text is normalised: A-Z lower-cased, comment signs and list numbers at the
+start of lines left out, every run of other characters than a-z and 0-9 one
+space. A sentence is bounded by ``. ! ?`` before white space, by line ends, and
+by ``; :`` before white space. Line ends and ``; :`` may also stand inside a
+known sentence, so that one that is wrapped over lines, in a comment or not, is
+found; ``. ! ?`` may not. Known licence sentences have identifiers, and the
+longest that fits at a place is taken; a document becomes the sequence of its
+sentences' identifiers, ``-`` for what stands between them. Licence rules are
+sequences of identifiers, tried in order: a rule that occurs claims its
+identifiers wherever it stands, so that a longer licence isn't read as a
+shorter one as well.
 
 All of it is Spark expressions on each row, without a shuffle.
 
 Cases: null and empty texts hold no licence; a licence that repeats is named
 once; a sentence that belongs to no complete rule counts in ``n_sentences``
-alone; an empty table gives an empty result; extra columns are not read.
+alone; an empty table gives an empty result; extra columns are not read. The
+SQL twin cuts at every line end: it says the same for sentences on one line
+and doesn't know wrapped ones.
 """
 
 from __future__ import annotations
@@ -73,12 +79,24 @@ _CUT = r"[.!?]+[ \t\r]+|[\r\n]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_HARD, _SOFT, _KNOWN = "\x01", "\x02", "\x03"
+#: Comment signs and list numbers at the start of a line.
+_LEAD = r"(?<![^\r\n])[^a-z0-9\r\n]*+(?:(?:rem|dnl)[ \t]+)?(?:[0-9]{1,2}[.)][ \t]+)?"
+
+
 def sequence(text: F.Column, sentences: dict[str, str] = SENTENCES) -> F.Column:
     """The identifiers of a text's sentences, each between two spaces:
-    ``" - mit-by  - "`` and so on, ready to be searched."""
-    known = F.create_map(*[F.lit(x) for i, s in sentences.items() for x in (s, i)])
-    plain = lambda s: F.trim(F.regexp_replace(F.translate(s, _UPPER, _LOWER), "[^a-z0-9]+", " "))
-    ids = F.transform(F.split(text, _CUT), lambda s: F.coalesce(F.try_element_at(known, plain(s)), F.lit("-")))
+    ``" -  mit-by  - "`` and so on, ready to be searched."""
+    t = F.translate(text, _UPPER + _HARD + _SOFT + _KNOWN, _LOWER + "   ")
+    for pattern, by in ((_LEAD, ""), (r"[.!?]+[ \t\r\n]+", _HARD), (r"[;:]+[ \t]+|[;:]*[\r\n]+", _SOFT), (r"[^a-z0-9\x01\x02]+", " "),
+                        (r"(?<![ \x02])[ \x02]*+\x01[ \x01\x02]*", _HARD), (r" ?\x02[ \x02]*", _SOFT)):
+        t = F.regexp_replace(t, pattern, by)
+    t = F.concat(F.lit(_HARD), F.regexp_replace(t, r"^ +| +$|[;:]+$", ""), F.lit(_HARD))
+    longest = sorted(sentences.values(), key=len, reverse=True)
+    any_known = r"(?<=[\x01\x02])(?:" + "|".join(x.replace(" ", r"[ \x02]") for x in longest) + r")(?=[\x01\x02])"
+    known = F.create_map(*[F.lit(x) for i, x in sentences.items() for x in (x, i)])
+    ids = F.transform(F.split(F.regexp_replace(t, any_known, _KNOWN + "$0" + _KNOWN), _KNOWN), lambda x: F.coalesce(
+        F.try_element_at(known, F.translate(x, _SOFT, " ")), F.when(x.rlike("[a-z]"), F.lit("-"))))
     return F.concat(F.lit(" "), F.array_join(F.filter(ids, lambda i: i.isNotNull()), "  "), F.lit(" "))
 
 
