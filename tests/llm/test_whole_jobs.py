@@ -3,7 +3,7 @@
 import math
 from collections import Counter
 
-from tidemark.llm import licences, quality
+from tidemark.llm import html_text, licences, quality
 
 
 def test_quality_counts_every_ngram_apart(spark):
@@ -96,3 +96,18 @@ def test_wrapped_licences(spark):
         rows.append((len(rows), text))
     got = licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: (r.licences, r.n_sentences) for r in got} == want
+
+
+def test_silent_elements_without_end_tag():
+    def read(page):
+        return [b.text for b in html_text.blocks(page)]
+
+    for tag in ("button", "svg", "noscript", "object", "canvas", "template", "select", "iframe", "option", "datalist"):
+        assert read(f"<body><p>one</p><{tag} class='x'><p>two</p><p>three</p></body>") == ["one", "two", "three"], tag
+        assert read(f"<p>one</p><{tag}>no</{tag}><p>two</p>") == ["one", "two"], tag
+    assert read("<p>one</p><button><p>two</p><button>no</button><p>three</p>") == ["one", "two", "three"]
+    assert read("<html><head><meta charset=x><title>no</title><p>one</p><p>two</p>") == ["one", "two"]
+    assert read("<html><head><title>no</title><style>no</style><body><p>one</p>") == ["one"]
+    assert read("<html><head><title>no</title></head><p>one</p>") == ["one"]
+    for tag in ("script", "style", "title", "textarea"):
+        assert read(f"<p>one</p><{tag}><p>no</p>") == ["one"], tag

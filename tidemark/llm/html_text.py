@@ -14,7 +14,9 @@ same in every run and takes seconds. Every page of the table is read whole.
 Blocks: character references are decoded, white space inside a block becomes
 one space, blocks are trimmed, empty ones left out, the others joined by two
 line feeds in page order. Scripts, styles, comments, the head, and the
-controls of forms hold no text.
+controls of forms hold no text; one of these without an end tag is passed by
+and what follows it is read, but a script, style, title or textarea then takes
+the rest of the page.
 
 Cases: null or empty html has empty text; html that is cut short or has
 stray ends is read as far as it goes; text outside any tag is a block; null
@@ -54,6 +56,8 @@ _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z]+")
 # HTML element names by the role that the standard gives them.
 _SILENT = frozenset("script style noscript template head title svg canvas object iframe select textarea button option datalist".split())
+_RAW = frozenset("script style title textarea".split())  # nothing but their end tag is read in them
+_NOT_NESTED = frozenset("head noscript iframe select button option datalist".split())
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small"
                     " span strike strong sub sup time tt u var wbr".split())
@@ -82,6 +86,7 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
+    endless: set[str] = set()  # silent tags without an end tag from here on
     linked = links = 0
 
     def close() -> None:
@@ -108,9 +113,14 @@ def blocks(page: str) -> list[Block]:
             if tag not in _INLINE:
                 close()
             if not attributes.rstrip().endswith("/"):
-                stop = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|$)", re.I).search(page, at)
-                body = None if stop or tag != "head" else re.compile(r"<body\b", re.I).search(page, at)
-                at = stop.end() if stop else body.start() if body else end
+                stop = None if tag in endless else re.compile(rf"<(/?){re.escape(tag)}\b[^>]*(?:>|$)" if tag in _NOT_NESTED else
+                                                              rf"<(/){re.escape(tag)}\b[^>]*(?:>|$)", re.I).search(page, at)
+                if not stop:
+                    endless.add(tag)
+                if stop and stop[1]:
+                    at = stop.end()
+                elif tag in _RAW:
+                    at = end
             continue
         if tag in _INLINE:
             if tag in ("br", "img", "wbr"):
