@@ -124,3 +124,26 @@ def _checkpoint(spark: SparkSession, df: DataFrame) -> DataFrame:
 
     checkpoint_root(spark)
     return df.checkpoint(eager=True)
+
+
+#: Keys that hold over one part in so many of the rows go by broadcast.
+HOT_SHARE = 1000
+
+
+def spread_join(rows: DataFrame, table: DataFrame, key: str, count: str, share: int = HOT_SHARE) -> DataFrame:
+    """``rows`` with the columns of ``table`` (one row for each value of
+    ``key``, null among them, with the number ``count`` of its rows), but for
+    ``count``.
+
+    A key that holds over one part in ``share`` of all rows is joined where
+    its rows are: there are fewer than ``share`` such keys, so their part of
+    ``table`` is broadcast. All others meet their rows by a shuffle. Both
+    frames should be staged: they are read twice."""
+    total = table.agg(F.sum(count)).first()[0] or 0
+    name = fresh_name(rows, "of_key")
+    of = table.withColumnRenamed(key, name)
+    hot, rest = of.where(col(count) * share > total).drop(count), of.where(col(count) * share <= total).drop(count)
+    same = col(key).eqNullSafe(col(name))
+    here = rows.join(F.broadcast(hot), same)
+    others = rows.join(F.broadcast(hot.select(name)), same, "left_anti").join(rest, same)
+    return here.union(others).drop(name)
