@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import apply_engine_conf, read_table, scratch_path
-from . import decontamination, html_text, licences, mixing, quality, simhash, suffix_dedup, token_counts, token_files, url_filter
+from . import (
+    decontamination,
+    divergence,
+    html_text,
+    licences,
+    minhash,
+    mixing,
+    quality,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    token_files,
+    url_filter,
+    vector_codes,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,6 +96,21 @@ def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counted(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), cache)
 
 
+def minhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of all documents by their word shingles."""
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def vector_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all embeddings."""
+    return vector_codes.compressed(read_table(spark, sf_dir, "embeddings"))
+
+
+def divergence_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Term shares of all documents' sources against each other."""
+    return divergence.divergence(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_text": html_query,
     "op2_token_files": token_files_query,
@@ -93,9 +122,14 @@ QUERIES: dict[str, Query] = {
     "op8_quality": quality_query,
     "op9_mixing": mixing_query,
     "op10_token_counts": token_counts_query,
+    "op11_minhash": minhash_query,
+    "op12_vector_codes": vector_query,
+    "op13_divergence": divergence_query,
 }
 ORACLES: dict[str, str] = {
     "op5_licences": licences.oracle(),
+    "op12_vector_codes": vector_codes.oracle(),
+    "op13_divergence": divergence.oracle(),
 }
 
 
