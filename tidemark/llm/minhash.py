@@ -11,18 +11,19 @@ circularly by ``k``, gives coordinate ``k`` as the least image. ``BANDS`` keys
 of ``ROWS`` coordinates each name the buckets; a pair at the threshold misses
 all of them with a chance of 5e-8 (``(1 - 0.8 ** 4) ** 32``).
 
-Equal sets are one node. Nodes that buckets connect form groups, and links are
-confirmed on full sets, made from the texts of the nodes that share a bucket:
+Equal sets are one node. A node's group is named after the least node that it
+shares a bucket with. Links are confirmed on full sets, made from the texts of
+the nodes that share a bucket:
 
 1. A group is dealt into blocks of about ``BLOCK`` shingles. A block yields a
    spanning forest of its links: an inverted index of its sets counts what one
    set has in common with all others at once, and sets of the largest class
    need no comparison among themselves.
-2. A group of several blocks sends the first node of its largest class to all
-   its blocks, which joins what belongs together. Then every node that is not
-   of the largest class visits each block that holds a node of one of its
-   buckets, so that every candidate pair across blocks has been compared
-   unless both ends are already of one class.
+2. The node that names a group of several blocks visits them all, which joins
+   what belongs together.
+3. In a bucket whose nodes are not yet of one class, those outside its largest
+   class visit each other block that holds a node of it. Then every two nodes
+   of a bucket have been compared, unless they are of one class already.
 
 Neither emits the pairs of a group, and no group is held by one task whole.
 
@@ -233,27 +234,28 @@ def _links(rows: DataFrame, size: int, percent: int, visiting: bool) -> DataFram
     return over_batches(dealt, lambda batches: _blocks_of(batches, size, percent, visiting), "a long, b long")
 
 
-def _classes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``nodes`` with their class ``cls`` by ``edges``."""
+def _classes(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFrame:
+    """``nodes`` with the class ``cls`` that ``edges`` give to column ``node``."""
     comps = connected_components(edges).select(F.col("node").alias("of"), "component")
-    return nodes.join(comps, F.col("node") == F.col("of"), "left").withColumn("cls", F.coalesce("component", "node")).drop("of", "component")
+    return nodes.join(comps, F.col(node) == F.col("of"), "left").withColumn("cls", F.coalesce("component", node)).drop("of", "component")
 
 
-def candidate_groups(nodes: DataFrame) -> DataFrame:
-    """``(node, grp)`` of the nodes that share a bucket with another."""
+def shared_buckets(nodes: DataFrame) -> DataFrame:
+    """``(key, node, least)`` of the buckets that several nodes share."""
     buckets = nodes.select("node", F.explode("bands").alias("key"))
-    low = buckets.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    stars = buckets.join(low, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct()
-    return connected_components(stars).select("node", F.col("component").alias("grp"))
+    low = buckets.groupBy("key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    return buckets.join(low, "key").select("key", "node", "least")
 
 
-def links(docs: DataFrame, nodes: DataFrame, size: int = SIZE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """``(a, b)``: links of ``nodes``, enough of them to connect all that are
-    linked. ``docs`` holds the texts as ``doc_id, text, text_hash``."""
+def classes(docs: DataFrame, nodes: DataFrame, size: int = SIZE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """``(node, cls)`` of the nodes that share a bucket: the class that their
+    links give. ``docs`` holds the texts as ``doc_id, text, text_hash``."""
     spark = docs.sparkSession
-    members = nodes.select("node", "n", "digest", "text_hash", "doc_id").join(candidate_groups(nodes), "node")
-    large = members.groupBy("grp").agg(F.sum("n").alias("n")).where(F.col("n") > block).select(
-        F.col("grp").alias("of"), F.expr(f"CAST((n - 1) div {block} AS INT) + 1").alias("blocks"))
+    shared = cut_lineage(shared_buckets(nodes), spark, "minhash-buckets")
+    groups = shared.groupBy(F.col("node").alias("who")).agg(F.min("least").alias("grp"))
+    members = nodes.select("node", "n", "digest", "text_hash", "doc_id").join(groups, F.col("node") == F.col("who")).drop("who")
+    large = members.groupBy(F.col("grp").alias("of")).agg(F.sum("n").alias("n")).where(F.col("n") > block).select(
+        "of", F.expr(f"CAST((n - 1) div {block} AS INT) + 1").alias("blocks"))
     members = members.join(large, F.col("grp") == F.col("of"), "left").drop("of")
     members = members.withColumn("block", F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("node"), F.col("blocks"))).cast("int"))
     members = cut_lineage(members, spark, "minhash-members")
@@ -261,42 +263,40 @@ def links(docs: DataFrame, nodes: DataFrame, size: int = SIZE, percent: int = PE
     row = members.select("grp", "block", "blocks", F.lit(0).alias("role"), "node", F.col("node").alias("cls"), "digest",
                          F.col("text_hash").alias("h"), F.col("doc_id").alias("i"))
     held = docs.join(row, (F.col("text_hash") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("i"))).select("blocks", *_ROW)
-    if members.where("blocks IS NOT NULL").isEmpty():
-        return _links(held, size, percent, False)
     held = cut_lineage(held, spark, "minhash-texts")
-    inside = cut_lineage(_links(held, size, percent, False), spark, "minhash-links")
+    found = _links(held, size, percent, False)
 
-    hot = members.where("blocks IS NOT NULL").select("node", "grp", "block", "blocks")
-    hot_rows = held.where("blocks IS NOT NULL").drop("cls", "blocks")
-    of_hot = inside.join(hot.select(F.col("node").alias("a")), "a", "left_semi")
-
-    def visited(visits: DataFrame, by_class: DataFrame) -> DataFrame:
-        """Links of ``visits`` (``node, block``: where else it goes)."""
-        known = hot_rows.join(by_class.select("node", "cls"), "node")
-        visits = visits.select(F.col("node").alias("who"), F.col("block").alias("goes"))
+    def visited(visits: DataFrame, known: DataFrame) -> DataFrame:
+        """Links of ``visits`` (``who, to_grp, to_block``) among ``known``
+        texts with their classes."""
         guests = known.join(visits, F.col("node") == F.col("who")).select(
-            "grp", F.col("goes").alias("block"), F.lit(1).alias("role"), "node", "cls", "digest", "text")
-        hosts = known.join(guests.select("grp", "block").distinct(), ["grp", "block"], "left_semi")
-        return cut_lineage(_links(hosts.select(*_ROW).unionByName(guests), size, percent, True), spark, "minhash-visits")
-
-    def largest(by_class: DataFrame) -> DataFrame:
-        """The largest class of each group and its first node."""
-        counts = by_class.groupBy("grp", "cls").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("first"))
-        return counts.groupBy("grp").agg(F.max_by(F.struct("cls", "first"), F.struct("c", "cls")).alias("m")).select(
-            F.col("grp").alias("of"), F.col("m.cls").alias("main"), F.col("m.first").alias("first"))
-
-    by_class = cut_lineage(_classes(hot, of_hot), spark, "minhash-classes")
-    first = hot.join(largest(by_class), F.col("node") == F.col("first")).select(
-        "node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("goes"), "block").where("goes <> block")
-    across = visited(first.select("node", F.col("goes").alias("block")), by_class)
-
-    by_class = cut_lineage(_classes(hot, of_hot.union(across)), spark, "minhash-classes")
-    others = by_class.join(largest(by_class), F.col("grp") == F.col("of")).where("cls <> main").select("node")
-    keys = nodes.select("node", F.explode("bands").alias("key"))
-    there = keys.join(hot, "node").select("key", "block", "grp").distinct()
-    goes = keys.join(others, "node", "left_semi").join(hot.select("node", F.col("grp").alias("g"), F.col("block").alias("own")), "node")
-    goes = goes.join(there, "key").where("g = grp AND own <> block").select("node", "block").distinct()
-    return inside.union(across).union(visited(goes, by_class))
+            F.col("to_grp").alias("grp"), F.col("to_block").alias("block"), F.lit(1).alias("role"), "node", "cls", "digest", "text")
+        there = visits.select(F.col("to_grp").alias("grp"), F.col("to_block").alias("block")).distinct()
+        return _links(known.join(there, ["grp", "block"], "left_semi").select(*_ROW).unionByName(guests), size, percent, True)
+
+    large = members.where("blocks IS NOT NULL").select("grp", "blocks").distinct().join(members.select("node", F.col("block").alias("own")), F.col("grp") == F.col("node"))
+    everywhere = large.select(F.col("grp").alias("who"), F.col("grp").alias("to_grp"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("to_block"))
+    found = cut_lineage(found.union(visited(everywhere, held.drop("blocks"))), spark, "minhash-links")
+    by_class = cut_lineage(_classes(members.select("node", "grp", "block"), found), spark, "minhash-classes")
+
+    placed = shared.select("key", F.col("node").alias("who")).join(by_class, F.col("who") == F.col("node"))
+    counts = placed.groupBy("key", "cls").agg(F.count(F.lit(1)).alias("c"))
+    mixed = counts.groupBy(F.col("key").alias("of_key")).agg(F.max(F.struct("c", "cls")).alias("m"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    in_mixed = placed.join(mixed.select("of_key", F.col("m.cls").alias("main")), F.col("key") == F.col("of_key"))
+    blocks = in_mixed.select(F.col("key").alias("to_key"), F.col("grp").alias("to_grp"), F.col("block").alias("to_block")).distinct()
+    others = in_mixed.where("cls <> main").select("key", "who", "grp", "block")
+    visits = others.join(blocks, F.col("key") == F.col("to_key")).where("grp <> to_grp OR block <> to_block").select("who", "to_grp", "to_block").distinct()
+    visits = cut_lineage(visits, spark, "minhash-visits")
+    if visits.isEmpty():
+        return by_class.select("node", "cls")
+    known = held.drop("cls", "blocks").join(by_class.select(F.col("node").alias("of"), "cls"), F.col("node") == F.col("of"))
+    more = visited(visits, known)
+    cls_of = lambda end: by_class.select(F.col("node").alias(end), F.col("cls").alias(f"{end}_cls"))
+    more = more.join(cls_of("a"), "a").join(cls_of("b"), "b").select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b")).where("a <> b").distinct()
+    more = cut_lineage(more, spark, "minhash-links")
+    if more.isEmpty():
+        return by_class.select("node", "cls")
+    return _classes(by_class.select("node", F.col("cls").alias("first")), more, "first").select("node", "cls")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, percent: int = PERCENT,
@@ -312,7 +312,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = cut_lineage(nodes, spark, "minhash-nodes")
 
     texts = id_and_text(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
-    of = cut_lineage(_classes(nodes.select("node", "digest", "least_id", "copies"), links(texts, nodes, size, percent, block)), spark, "minhash-classes")
+    linked = classes(texts, nodes, size, percent, block).select(F.col("node").alias("linked_node"), "cls")
+    of = nodes.select("node", "digest", "least_id", "copies").join(linked, F.col("node") == F.col("linked_node"), "left")
+    of = of.withColumn("cls", F.coalesce("cls", "node"))
     least = of.groupBy("cls").agg(F.min("least_id").alias("component_id"))
     of = cut_lineage(of.join(least, "cls").select("digest", "component_id", "copies"), spark, "minhash-components")
     shown = rows.select("doc_id", F.col("n").alias("n_shingles"), "digest")
