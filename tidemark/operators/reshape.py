@@ -6,13 +6,15 @@ the columns (attribute names, measure headings, measurement periods); the
 rest are data. The column roles differ per file, so:
 
 1. the few header rows of every file are turned into one *descriptor* row
-   per file (attribute positions, and one struct per measure column) —
-   a table with one row per file, broadcast after a size check;
+   per file (attribute positions, one struct per measure column, and the
+   values that depend on the file alone). The join carries no hint: adaptive
+   execution broadcasts the descriptors if their measured size allows;
 2. each data row is joined to its file's descriptor and emits one output
    row per measure by ``explode``; attribute values are read by position.
 
-Data rows never shuffle and never meet a Python loop; each file's header is
-tied to its data by the file path and column position.
+Data rows never meet a Python loop, and shuffle only if the descriptors are
+too large to be broadcast; each file's header is tied to its data by the file
+path and column position.
 """
 
 from __future__ import annotations
@@ -79,14 +81,14 @@ def _explode_measures(data: DataFrame, desc: DataFrame, attrs: Sequence[str],
                       is_data: Column | None = None) -> DataFrame:
     """Join data rows with their file's descriptor and emit one row per
     measure column. The descriptor is one row per file, made from the header
-    rows alone, and broadcast: data rows never shuffle. Attribute cells are
+    rows alone. Attribute cells are
     stripped once per data row, before the explode; per-file values ride
     along from the descriptor, and ``is_data`` may filter by them. A file
     with more or fewer attribute columns than ``attrs`` fails the job."""
     n = len(attrs)
     desc = desc.withColumn("attr_pos", F.when(F.size("attr_pos") == n, F.col("attr_pos")).otherwise(F.raise_error(F.concat(
         F.size("attr_pos").cast("string"), F.lit(f" attribute columns, expected {n}, in "), F.col(FILE_PATH))).cast("array<int>")))
-    j = data.join(F.broadcast(desc), FILE_PATH)
+    j = data.join(desc, FILE_PATH)
     if is_data is not None:
         j = j.filter(is_data)
     j = j.filter(F.concat_ws("", "cells") != "")  # fully blank rows are skipped
@@ -139,17 +141,23 @@ def matrix_to_long(matrix: DataFrame, attrs: Sequence[str] = MEASURE_ATTRS,
 
 
 def display_matrix_to_long(matrix: DataFrame, offset: Column | int = 1,
-                           attrs: Sequence[str] = DISPLAY_ATTRS, n_attrs: int = 4) -> DataFrame:
+                           attrs: Sequence[str] = DISPLAY_ATTRS, n_attrs: int = 4, max_offset: int = 1,
+                           file_columns: Mapping[str, Column] | None = None) -> DataFrame:
     """RSH-3: display-measure matrices. The first ``n_attrs`` columns are
     attributes named from row 1; measure headings are on row ``1 + offset``
-    (offset 0 for HEDIS files, 1 otherwise; a Column may give it per file);
-    the measure code is the heading's last word and the description the
-    normalised rest; data start on row ``2 + offset``."""
+    (offset 0 for HEDIS files, 1 otherwise; a Column over ``src_file_path``
+    may give it per file, up to ``max_offset``); the measure code is the
+    heading's last word and the description the normalised rest; data start on
+    row ``2 + offset``.
+
+    The few rows that may be headers are picked by their number first; the
+    offset and the ``file_columns`` (as in RSH-2) are evaluated on the one row
+    a file that they make."""
+    file_columns = dict(file_columns or {})
     off = offset if isinstance(offset, Column) else F.lit(offset)
-    first = matrix.filter((F.col("row_idx") == 1) | (F.col("row_idx") == 1 + off)).withColumn("_off", off)
-    heads = first.groupBy(FILE_PATH, "_off").agg(
-        F.max(F.when(F.col("row_idx") == 1, F.col("cells"))).alias("a"),
-        F.max(F.when(F.col("row_idx") == 1 + F.col("_off"), F.col("cells"))).alias("h"))
+    heads = _header_rows(matrix, {f"r{k}": 1 + k for k in range(max_offset + 1)}).withColumn("_off", off)
+    at = F.array(*[F.col(f"r{k}") for k in range(max_offset + 1)])
+    heads = heads.select(FILE_PATH, "_off", F.col("r0").alias("a"), F.get(at, F.col("_off")).alias("h"))
     heads = heads.filter(F.col("a").isNotNull() & F.col("h").isNotNull())
     z = F.arrays_zip(F.col("a").alias("a"), F.col("h").alias("h"))
     keep = F.transform(z, lambda x: ~(x["a"].isNull() & x["h"].isNull()))
@@ -163,22 +171,24 @@ def display_matrix_to_long(matrix: DataFrame, offset: Column | int = 1,
                         normalize_name_col(all_but_last(h)).alias("measure_desc"))
 
     desc = heads.select(FILE_PATH, "_off", attr_pos.alias("attr_pos"),
-                        F.transform(meas_pos, measure).alias("measures"))
-    out = _explode_measures(matrix, desc, attrs, ["measure_code", "measure_desc"],
+                        F.transform(meas_pos, measure).alias("measures"), *[c.alias(n) for n, c in file_columns.items()])
+    out = _explode_measures(matrix, desc, attrs, ["measure_code", "measure_desc"], list(file_columns),
                             is_data=F.col("row_idx") >= 2 + F.col("_off"))
     return out.withColumn("measure_value", parse_percent("measure_value_raw"))
 
 
 def cutpoints_to_long(matrix: DataFrame, part: Column | str, default_org_type: str = "MA-PD",
                       names_row: int = 2, periods_row: int = 3,
-                      data_from: int = 4) -> DataFrame:
+                      data_from: int = 4, file_columns: Mapping[str, Column] | None = None) -> DataFrame:
     """RSH-4: cut-point grids (star level x measure) to rows.
 
     ``part`` is ``Part_C`` (star label in column 0, measures from column 1,
     ``org_type`` = ``MA-PD``) or ``Part_D`` (org type in column 0, label in
     column 1, measures from column 2); a Column gives it per file. Only rows
     whose lower-cased label matches ``(\\d+)\\s?star`` are kept; cells with an
-    empty measure name or a null value are skipped."""
+    empty measure name or a null value are skipped. ``file_columns`` as in
+    RSH-2."""
+    file_columns = dict(file_columns or {})
     p = part if isinstance(part, Column) else F.lit(part)
     # the part follows from the path: it is taken on the one row per file
     heads = _header_rows(matrix, {"n": names_row, "per": periods_row}).withColumn("part_type", p)
@@ -194,16 +204,16 @@ def cutpoints_to_long(matrix: DataFrame, part: Column | str, default_org_type: s
                         period["start"].alias("measure_period_start"),
                         period["end"].alias("measure_period_end"))
 
-    desc = heads.select(FILE_PATH, "part_type", F.transform(idx, measure).alias("measures"))
+    desc = heads.select(FILE_PATH, "part_type", F.transform(idx, measure).alias("measures"), *[c.alias(n) for n, c in file_columns.items()])
     data = matrix.filter(F.col("row_idx") >= data_from)
-    j = data.join(F.broadcast(desc), FILE_PATH)  # one row per file
+    j = data.join(desc, FILE_PATH)  # one row per file
     is_d = F.col("part_type") == "Part_D"
     label = F.when(is_d, F.get(F.col("cells"), 1)).otherwise(F.get(F.col("cells"), 0))
     org = F.when(is_d, F.get(F.col("cells"), 0)).otherwise(F.lit(default_org_type))
     j = j.select(FILE_PATH, "row_idx", "part_type", "cells", org.alias("org_type"),
-                 extract_int(F.lower(label), STAR_LABEL).alias("star"), "measures")
+                 extract_int(F.lower(label), STAR_LABEL).alias("star"), "measures", *file_columns)
     j = j.filter(F.col("star").isNotNull())
-    ex = j.select(FILE_PATH, "row_idx", "part_type", "org_type", "star", "cells", F.explode("measures").alias("m"))
+    ex = j.select(FILE_PATH, "row_idx", "part_type", "org_type", "star", "cells", *file_columns, F.explode("measures").alias("m"))
     value = F.get(F.col("cells"), F.col("m.i"))
     ex = ex.filter(F.col("m._name").isNotNull() & (F.col("m._name") != "") & value.isNotNull())
     rng = parse_range(value)
@@ -212,4 +222,4 @@ def cutpoints_to_long(matrix: DataFrame, part: Column | str, default_org_type: s
                      F.col("m.measure_period_start").alias("measure_period_start"),
                      F.col("m.measure_period_end").alias("measure_period_end"), "star",
                      rng["lower"].alias("lower_bound"), rng["upper"].alias("upper_bound"),
-                     value.alias("original_text"))
+                     value.alias("original_text"), *file_columns)

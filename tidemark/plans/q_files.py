@@ -107,3 +107,72 @@ def q_drop_empty_cells(spark, sf_dir):
                      F.when(F.col("p_size") > 45, F.lit(None).cast("double"))
                      .otherwise(F.col("p_retailprice")).alias("value"))
     return flt.drop_empty_cells(cells, "name", "value")
+
+
+@query("records_with_breaks", "SRC-1 SRC-5", """
+SELECT o_orderkey, 'first ' || o_orderstatus || chr(10) || 'of "' || o_orderpriority || '", two' AS note,
+       'then' || chr(10) || chr(10) || CAST(o_custkey AS VARCHAR) AS more, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS row_idx
+FROM orders
+""")
+def q_records_with_breaks(spark, sf_dir):
+    """Records with two quoted line breaks and more, one file a status: read
+    by as many tasks as their splits, numbered without gaps."""
+    path = scratch_path(spark, "records_with_breaks")
+    o = table(spark, sf_dir, "orders")
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    note = F.concat(F.lit("first "), F.col("o_orderstatus"), F.lit('\nof "'), F.col("o_orderpriority"), F.lit('", two'))
+    more = F.concat(F.lit("then\n\n"), F.col("o_custkey").cast("string"))
+    body = o.select("o_orderstatus", "o_orderkey", F.concat_ws(",", F.col("o_orderkey").cast("string"), quoted(note), quoted(more)).alias("line"))
+    head = o.select("o_orderstatus").distinct().select("o_orderstatus", F.lit(-1).cast("long").alias("o_orderkey"), F.lit("key,note,more").alias("line"))
+    (head.unionByName(body).repartition("o_orderstatus").sortWithinPartitions("o_orderstatus", "o_orderkey").select("o_orderstatus", "line")
+     .write.partitionBy("o_orderstatus").text(path))
+    m = src.read_matrix(spark, path).where("row_idx > 0")
+    return m.select(F.col("cells")[0].cast("bigint").alias("o_orderkey"), F.col("cells")[1].alias("note"), F.col("cells")[2].alias("more"), "row_idx")
+
+
+@query("drifting_headers", "SRC-1 SET-1 SNK-4", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_custkey END AS o_custkey, o_totalprice,
+       CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS o_orderpriority FROM orders
+""")
+def q_drifting_headers(spark, sf_dir):
+    """Files of three layouts in one read: columns in another order, one
+    missing, one that only some files have."""
+    root = scratch_path(spark, "drifting_headers")
+    o = table(spark, sf_dir, "orders")
+    layouts = {"F": ["o_totalprice", "o_orderkey"], "O": ["o_orderkey", "o_orderpriority", "o_custkey", "o_totalprice"],
+               "P": ["o_custkey", "o_totalprice", "o_orderkey"]}
+    for status, columns in layouts.items():
+        of = o.filter(F.col("o_orderstatus") == status) if status != "P" else o.filter(~F.col("o_orderstatus").isin("F", "O"))
+        of.select(columns).write.option("header", True).csv(f"{root}/status={status}")
+    t = src.read_csv_text(spark, root, recursiveFileLookup=True, with_path=False)
+    return t.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("o_custkey").cast("bigint").alias("o_custkey"),
+                    parse_number("o_totalprice").alias("o_totalprice"), "o_orderpriority")
+
+
+@query("workbook_sheets", "SRC-7 SRC-11", """
+SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y') AS workbook, 1 AS sheet_index, 'orders ' || o_orderstatus AS sheet_name FROM orders
+""")
+def q_workbook_sheets(spark, sf_dir):
+    """The sheets named ``orders ..`` of workbooks landed as text, a workbook
+    a year; the cover sheets stay unread."""
+    root = scratch_path(spark, "workbook_sheets")
+    o = table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy").alias("book"), "o_orderstatus", "o_orderkey", "o_custkey")
+    lines = o.select("book", F.concat(F.lit("1__orders "), "o_orderstatus").alias("sheet"), "o_orderkey",
+                     F.concat_ws(",", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")).alias("value"))
+    sheets = lines.select("book", "sheet").distinct()
+    heads = sheets.select("book", "sheet", F.lit(-1).cast("long").alias("o_orderkey"), F.lit("o_orderkey,o_custkey").alias("value"))
+    covers = sheets.select("book").distinct().select("book", F.lit("0__cover").alias("sheet"), F.lit(-1).cast("long").alias("o_orderkey"), F.lit("a cover").alias("value"))
+    staged = scratch_path(spark, "workbook_lines")
+    (lines.unionByName(heads).unionByName(covers).repartition("book", "sheet").sortWithinPartitions("book", "sheet", "o_orderkey")
+     .select("book", "sheet", "value").write.partitionBy("book", "sheet").text(staged))
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for r in src.list_files(spark, staged).select("path").collect():  # one text file a sheet: it gets the sheet's name
+        old = fs.Path(r["path"])
+        book, sheet = old.getParent().getParent().getName()[5:], old.getParent().getName()[6:]
+        new = fs.Path(f"{root}/{book}/{sheet.replace('%20', ' ')}.csv")
+        disk = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        disk.mkdirs(new.getParent())
+        disk.rename(old, new)
+    df = src.read_sheets(spark, root, 1)
+    return df.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("o_custkey").cast("bigint").alias("o_custkey"),
+                     "workbook", "sheet_index", "sheet_name")

@@ -182,9 +182,8 @@ def q_display_matrix(spark, sf_dir):
     m = heads.unionByName(rows)
     fname = base_name(F.col(FILE_PATH))
     offset = F.when(stem(fname).contains("HEDIS"), 0).otherwise(1)
-    long = R.display_matrix_to_long(m, offset)
-    return long.select(*R.DISPLAY_ATTRS, "measure_code", "measure_desc", "measure_value_raw", "measure_value",
-                       fname.alias("src_file_name"))
+    long = R.display_matrix_to_long(m, offset, file_columns={"src_file_name": fname})
+    return long.select(*R.DISPLAY_ATTRS, "measure_code", "measure_desc", "measure_value_raw", "measure_value", "src_file_name")
 
 
 CUT_C = "file:/reports/2024 Star Ratings Data Table - Part C Cut Points (Oct 11 2023).csv"

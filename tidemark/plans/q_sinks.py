@@ -125,6 +125,46 @@ def q_upsert_partitioned(spark, sf_dir):
     return snk.read_table(spark, path).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
 
 
+@query("upsert_null_keys", "SNK-5", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+       o_totalprice + CASE WHEN o_orderstatus = 'P' AND o_orderkey % 2 = 0 THEN 5 ELSE 0 END AS o_totalprice
+FROM orders WHERE o_orderkey IN (SELECT max(o_orderkey) FROM orders GROUP BY o_custkey)
+UNION ALL
+SELECT NULL, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END, max(o_totalprice) + 1 FROM orders GROUP BY o_orderstatus
+""")
+def q_upsert_null_keys(spark, sf_dir):
+    """Null partitions and null keys: rows of a null partition stay, a null
+    key is one row."""
+    path = scratch_path(spark, "upsert_null_keys")
+    o = table(spark, sf_dir, "orders").withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("P")))
+    last = o.groupBy("o_custkey").agg(F.max("o_orderkey").alias("o_orderkey")).select("o_orderkey")
+    rows = o.join(last, "o_orderkey").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    top = o.groupBy("o_orderstatus").agg(F.max("o_totalprice").alias("o_totalprice")).select(
+        F.lit(None).cast("long").alias("o_orderkey"), "o_orderstatus", "o_totalprice")
+    keys = ["o_orderkey", "o_orderstatus"]
+    snk.upsert(rows.unionByName(top), path, keys, partition_by=["o_orderstatus"])
+    again = rows.filter(F.col("o_orderstatus").isNull() & (F.col("o_orderkey") % 2 == 0)).withColumn("o_totalprice", F.col("o_totalprice") + 5)
+    snk.upsert(again.unionByName(top.withColumn("o_totalprice", F.col("o_totalprice") + 1)), path, keys, partition_by=["o_orderstatus"])
+    return snk.read_table(spark, path).select(*keys, "o_totalprice")
+
+
+@query("upsert_buckets", "SNK-5", """
+SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 7 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice FROM orders
+UNION ALL SELECT NULL, count(*), CAST(sum(o_custkey) AS DOUBLE) FROM orders
+""")
+def q_upsert_buckets(spark, sf_dir):
+    """A table without a natural partition, dealt by a hash of its key."""
+    path = scratch_path(spark, "upsert_buckets")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    total = o.agg(F.count(F.lit(1)).alias("o_custkey"), F.sum("o_custkey").cast("double").alias("o_totalprice")).select(
+        F.lit(None).cast("long").alias("o_orderkey"), "o_custkey", "o_totalprice")
+    snk.upsert(o.filter(F.col("o_custkey") % 3 > 0).unionByName(total.withColumn("o_totalprice", F.lit(0.0))), path, ["o_orderkey"], buckets=32)
+    snk.upsert(o.filter(F.col("o_custkey") % 3 == 0).unionByName(total), path, ["o_orderkey"], buckets=32)
+    twice = o.filter(F.col("o_custkey") % 7 == 0).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    snk.upsert(twice, path, ["o_orderkey"])  # the table knows its buckets
+    return snk.read_table(spark, path).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
 @query("replace_slice_nested_name", "SNK-1", """
 SELECT o_orderkey, 'reports/' || o_orderpriority || '/x=1.csv' AS src_file_name FROM orders WHERE o_orderpriority <> '1-URGENT'
 """)
@@ -230,7 +270,8 @@ def q_stream_load(spark, sf_dir):
     cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
     o.filter(F.col("o_orderstatus") != "P").write.mode("append").option("header", True).csv(landing)
     run_csv_load(spark, landing, cols, target, checkpoint=ckpt)
-    o.filter(F.col("o_orderstatus") == "P").write.mode("append").option("header", True).csv(landing)
+    swapped = o.filter(F.col("o_orderstatus") == "P").select(*reversed(cols))  # goes by the names in its header
+    swapped.write.mode("append").option("header", True).csv(landing)
     run_csv_load(spark, landing, cols, target, checkpoint=ckpt)  # only the new files
     t = snk.read_table(spark, target)
     return t.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"),

@@ -79,12 +79,11 @@ def display_measures(spark: SparkSession, root: str, load_date: _dt.date, patter
     m = src.read_matrix(spark, paths, width, encoding, stage=True, files=True)
     name = base_name(F.col(src.FILE_PATH))
     offset = F.when(stem(name).contains("HEDIS"), 0).otherwise(1)
-    long = display_matrix_to_long(m, offset)
+    long = display_matrix_to_long(m, offset, file_columns={
+        "performance_year": _year_folder(), "src_file_date": _required_date(underscore_date(stem(name)), name), "src_file_name": name})
     return long.select("contract_id", "contract_name", "organization_marketing_name", "parent_organization",
                        "measure_code", "measure_desc", "measure_value_raw", "measure_value",
-                       _year_folder().alias("performance_year"),
-                       _required_date(underscore_date(stem(name)), name).alias("src_file_date"),
-                       name.alias("src_file_name"), F.lit(load_date).alias("load_date"))
+                       "performance_year", "src_file_date", "src_file_name", F.lit(load_date).alias("load_date"))
 
 
 def cutpoints(spark: SparkSession, root: str, load_date: _dt.date, width: int | None = None) -> DataFrame:
@@ -104,13 +103,12 @@ def cutpoints(spark: SparkSession, root: str, load_date: _dt.date, width: int |
         part = classify_name(name)
         part = F.when(part == "Unknown", F.raise_error(F.concat(F.lit("unknown cut-point format: "), name))
                       .cast("string")).otherwise(part)
-        parts.append(cutpoints_to_long(m, part))
+        parts.append(cutpoints_to_long(m, part, file_columns={
+            "performance_year": path_year(name), "src_file_date": parenthesised_date(name), "src_file_name": name}))
     long = union_by_name(parts)
-    name = base_name(F.col(src.FILE_PATH))
-    return long.select(path_year(name).alias("performance_year"), "part_type", "org_type", "measure_code",
+    return long.select("performance_year", "part_type", "org_type", "measure_code",
                        "measure_name", "measure_period_start", "measure_period_end", "star",
-                       "lower_bound", "upper_bound", "original_text",
-                       parenthesised_date(name).alias("src_file_date"), name.alias("src_file_name"),
+                       "lower_bound", "upper_bound", "original_text", "src_file_date", "src_file_name",
                        F.lit(load_date).alias("load_date"))
 
 

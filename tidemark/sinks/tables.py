@@ -9,9 +9,10 @@ from plain Spark writes:
 * schema evolution = conform the batch to the table on write (new columns
   and wider numbers allowed, other misfits rejected). The table's schema is
   kept beside its data (``_table_schema.json``), so neither reads nor writes
-  open the footers of old slices;
-* upsert = anti-join of the old rows + one row per key of the new, for the
-  touched partitions alone if the table is partitioned by a part of the key,
+  open the footers of old slices. It is widened before the data are written:
+  a write that breaks off leaves a schema that holds for the old files too;
+* upsert = null-safe anti-join of the old rows + one row per key of the new,
+  for the touched partitions or hash buckets alone if the table has either,
   otherwise written to a fresh folder and swapped in;
 * a swap interrupted anywhere is finished or undone by the next access.
 """
@@ -22,7 +23,7 @@ import datetime as _dt
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,7 +95,9 @@ def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """The schema kept beside a table, if there is one."""
     fs, p = _fs(spark, f"{path.rstrip('/')}/{_SCHEMA_FILE}")
     if not fs.exists(p):
-        return None
+        p = _fs(spark, f"{path.rstrip('/')}/{_SCHEMA_FILE}.new")[1]  # whole: the old one went after it was written
+        if not fs.exists(p):
+            return None
     stream = fs.open(p)
     try:
         text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -104,12 +107,17 @@ def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
 
 
 def _store_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    fs, p = _fs(spark, f"{path.rstrip('/')}/{_SCHEMA_FILE}")
+    """Write the schema beside the old one, then put it in its place: at any
+    moment one of the two is there and whole."""
+    base = f"{path.rstrip('/')}/{_SCHEMA_FILE}"
+    fs, p = _fs(spark, base + ".new")
     stream = fs.create(p, True)
     try:
         stream.write(bytearray(schema.json().encode()))
     finally:
         stream.close()
+    _delete(spark, base)
+    _rename(spark, base + ".new", base)
 
 
 def read_table(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
@@ -118,7 +126,8 @@ def read_table(spark: SparkSession, path: str, merge_schema: bool = True) -> Dat
     recover(spark, path)
     schema = stored_schema(spark, path)
     if schema is not None:
-        return spark.read.schema(schema).parquet(path)
+        df = spark.read.schema(schema).parquet(path)
+        return df.drop(BUCKET) if BUCKET in schema.names else df
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
@@ -172,7 +181,7 @@ def conform_to_table(spark: SparkSession, df: DataFrame, path: str,
     if not path_exists(spark, path):
         return df
     table = stored_schema(spark, path) or read_table(spark, path).schema
-    ttypes = {f.name: f.dataType for f in table.fields if f.name != partition_key}
+    ttypes = {f.name: f.dataType for f in table.fields if f.name not in (partition_key, BUCKET)}
     cols = []
     for c in df.columns:
         raw = F.col(f"`{c}`")
@@ -189,15 +198,18 @@ def conform_to_table(spark: SparkSession, df: DataFrame, path: str,
     return df.select(*cols)
 
 
-def _extend_schema(spark: SparkSession, path: str, df: DataFrame, keys: Sequence[str]) -> None:
-    """Keep the schema of the table as it is after writing ``df``: its data
-    columns, then the partition columns as text."""
+def _extend_schema(spark: SparkSession, path: str, df: DataFrame, keys: Sequence[str], layout: dict | None = None) -> None:
+    """Keep the schema that the table has once ``df`` is written: its data
+    columns, then the partition columns as text. It is called before the data
+    are written, as it also holds for a table without them: a new column is
+    null in old files, and a wider type reads the narrower ones. A schema
+    that a first write left behind without data counts for nothing."""
     before = stored_schema(spark, path)
-    fields = {f.name: f.dataType for f in before.fields} if before else {}
+    fields = {f.name: f.dataType for f in before.fields} if before and _has_data(spark, path) else {}
     for f in df.schema.fields:
         fields[f.name] = _widened(fields[f.name], f.dataType) if f.name in fields else f.dataType
     data = [T.StructField(n, t) for n, t in fields.items() if n not in keys]
-    after = T.StructType(data + [T.StructField(k, T.StringType()) for k in keys])
+    after = T.StructType(data + [T.StructField(k, T.StringType(), metadata=layout if k == BUCKET else None) for k in keys])
     if after != before:
         _store_schema(spark, path, after)
 
@@ -222,15 +234,15 @@ def replace_slice(df: DataFrame, path: str, key: str, value=None,
     if value is not None and df.isEmpty():
         _delete(spark, _partition_folder(spark, path, key, value))
         return
+    if evolve:
+        _extend_schema(spark, path, df, [key])
     # rebalance by the slice key: AQE evens the output files per slice and
     # splits a hot slice over several tasks instead of one
     (df.hint("rebalance", key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(key).parquet(path))
-    if evolve:
-        _extend_schema(spark, path, df, [key])
 
 
-def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), layout: dict | None = None) -> None:
     """SNK-3: replace the whole table. The new content is written to a
     staging folder first; the old table is then moved aside, the staging
     folder moved in, and the old copy deleted last. Whatever step it stops
@@ -251,7 +263,7 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(staging)
-    _extend_schema(spark, staging, df, list(partition_by))
+    _extend_schema(spark, staging, df, list(partition_by), layout)
     fs, s = _fs(spark, staging + "/_SUCCESS")
     if not fs.exists(s):  # the mark that recover goes by
         fs.create(s, True).close()
@@ -262,36 +274,100 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     _delete(spark, old)
 
 
+#: Folder column of a table dealt into hash buckets; readers do not see it.
+BUCKET = "tidemark_bucket"
+
+
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    """The bucket of a key. Keys are hashed as text, each with its length, so
+    that nulls and the ends of neighbouring texts are told apart."""
+    texts = [F.col(f"`{k}`").cast("string") for k in keys]
+    return F.pmod(F.xxhash64(*[x for t in texts for x in (F.length(t), t)]), F.lit(buckets)).cast("string")
+
+
+def bucket_layout(spark: SparkSession, path: str) -> tuple[int, list[str]] | None:
+    """The number of buckets and the key columns of a bucketed table."""
+    schema = stored_schema(spark, path)
+    if schema is None or BUCKET not in schema.names:
+        return None
+    return schema[BUCKET].metadata["buckets"], list(schema[BUCKET].metadata["keys"])
+
+
+def rebucket(spark: SparkSession, path: str, keys: Sequence[str], buckets: int) -> None:
+    """Deal a table anew into ``buckets`` hash buckets of ``keys``: for a table
+    that had none, or whose buckets have grown too large to rewrite."""
+    df = read_table(spark, path).withColumn(BUCKET, _bucket(keys, buckets))
+    replace_table(df, path, [BUCKET], {"buckets": buckets, "keys": list(keys)})
+
+
+def _same(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> Column:
+    """Null-safe equality of the columns that two frames share."""
+    out = F.lit(True)
+    for c in columns:
+        out = out & a[f"`{c}`"].eqNullSafe(b[f"`{c}`"])
+    return out
+
+
 def upsert(df: DataFrame, path: str, keys: Sequence[str], order: Order | None = None,
-           partition_by: Sequence[str] = ()) -> None:
+           partition_by: Sequence[str] = (), buckets: int | None = None) -> None:
     """SNK-5: replace the stored row of every key present in ``df`` and insert
     new keys; one row per key afterwards (AGG-6 picks among new duplicates
-    by ``order``, so the winner does not depend on file order).
+    by ``order``, so the winner does not depend on file order). Null is a key
+    value like any other.
 
     With ``partition_by``, columns of the key, the table is partitioned by
     them and only the partitions that ``df`` has keys in are read and
-    rewritten; without, the whole table is written anew and swapped in."""
+    rewritten. A table without such columns takes ``buckets``: it is dealt by
+    a hash of the key, and only the buckets of ``df``'s keys are read and
+    rewritten (an existing table keeps its number; see ``rebucket``). With
+    neither, the whole table is written anew and swapped in. An empty text in
+    a partition column is stored as null, as folders can't tell them apart."""
     spark = df.sparkSession
     keys, parts = list(keys), list(partition_by)
     if not set(parts) <= set(keys):
         raise ValueError("a row's partition must follow from its key")
+    if parts and buckets:
+        raise ValueError("a table is dealt by partition columns or by buckets")
+    for c in parts:
+        df = df.withColumn(c, F.nullif(F.col(f"`{c}`").cast("string"), F.lit("")))
     new = one_per_key(df, keys, order)
-    if not path_exists(spark, path):
-        replace_table(new, path, parts)
+    there = path_exists(spark, path)
+    layout = bucket_layout(spark, path) if there else None
+    if layout and layout[1] != keys:
+        raise ValueError(f"the table is dealt by {layout[1]}, not by {keys}")
+    if not there:
+        if buckets:
+            new = new.withColumn(BUCKET, _bucket(keys, buckets))
+            replace_table(new, path, [BUCKET], {"buckets": buckets, "keys": keys})
+        else:
+            replace_table(new, path, parts)
         return
-    new = cut_lineage(conform_to_table(spark, new, path), spark, "upsert") if parts else conform_to_table(spark, new, path)
-    old = read_table(spark, path)
-    if parts:
-        touched = new.select(*parts).distinct()
-        old = old.join(touched, parts, "left_semi")  # prunes the other partitions
-    out = old.join(new.select(*keys), keys, "left_anti").unionByName(new, allowMissingColumns=True)
-    if not parts:
-        replace_table(out, path)
+    if buckets and not layout:
+        raise ValueError(f"{path} has no buckets; rebucket() deals it into some")
+    new = conform_to_table(spark, new, path)
+    if not layout and not parts:
+        old = read_table(spark, path)
+        replace_table(old.join(new, _same(old, new, keys), "left_anti").unionByName(new, allowMissingColumns=True), path)
         return
+    folders = parts
+    if layout:
+        was = {f.name: f.dataType for f in stored_schema(spark, path).fields}
+        wider = [k for k in keys if new.schema[k].dataType != was[k]]
+        if wider:
+            raise ValueError(f"key columns {wider} of a bucketed table keep their type")
+        folders, new = [BUCKET], new.withColumn(BUCKET, _bucket(keys, layout[0]))
+    new = cut_lineage(new, spark, "upsert")
+    if layout:  # at most as many as the table has buckets: the scan lists their folders alone
+        touched = [r[0] for r in new.select(BUCKET).distinct().collect()]
+        old = spark.read.schema(stored_schema(spark, path)).parquet(path).where(F.col(BUCKET).isin(touched))
+    else:
+        old, touched = read_table(spark, path), new.select(*parts).distinct()
+        old = old.join(touched, _same(old, touched, parts), "left_semi")
+    out = old.join(new, _same(old, new, keys), "left_anti").unionByName(new, allowMissingColumns=True)
     staged = cut_lineage(out, spark, "upsert")  # the table is read to its end before it is written
-    (staged.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*parts).parquet(path))
-    _extend_schema(spark, path, staged, parts)
+    _extend_schema(spark, path, staged, folders, {"buckets": layout[0], "keys": keys} if layout else None)
+    (staged.hint("rebalance", *folders).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*folders).parquet(path))
 
 
 def comment_columns(spark: SparkSession, table: str, comments: Mapping[str, str]) -> None:

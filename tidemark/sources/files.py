@@ -7,8 +7,7 @@ files are read by one scan; Spark splits and schedules them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from urllib.parse import unquote
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +15,8 @@ from pyspark.sql import types as T
 
 from ..functions.dates import base_name, parent_name
 from ..session import cut_lineage
-
-FILE_PATH = "src_file_path"
-
-
-def metadata_path() -> Column:
-    """Path of the file a row was read from, decoded (``_metadata.file_path``
-    is a URI: spaces come as ``%20``). ``+`` is protected from decoding."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+from . import records as rec
+from .records import FILE_PATH, metadata_path
 
 
 def metadata_name() -> Column:
@@ -35,63 +28,116 @@ def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def _quote_breaks(spark: SparkSession, paths: list[str], quote: str, options: dict) -> DataFrame:
-    """Per file ``(path, broken)``: whether some line has an odd number of
-    quotes, that is, whether a quoted value may run over a line end. One
-    distributed pass over the lines; large files are split."""
-    r = spark.read.format("text")
-    for k in ("recursiveFileLookup", "pathGlobFilter"):
-        if k in options:
-            r = r.option(k, options[k])
-    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit(quote), F.lit("")))
-    lines = r.load(paths).select(F.col("_metadata.file_path").alias("path"), (quotes % 2 == 1).alias("odd"))
-    return lines.groupBy("path").agg(F.bool_or("odd").alias("broken"))
-
-
 def read_csv_text(spark: SparkSession, paths: str | Sequence[str], sep: str = ",",
                   encoding: str | None = None, quote: str | None = None,
                   multiline: bool | None = None, with_path: bool = True, **options) -> DataFrame:
     """SRC-1: delimited text with a header row; every column a string.
 
     A doubled quote inside a quoted value is a quote, and a quoted value may
-    run over line ends. Only files in which that may be so are read whole by
-    one task each; a pass over the lines finds them (``multiline`` given:
-    taken as said, without that pass). ``quote=""`` makes quotes literal."""
+    run over line ends. Files whose headers differ load in one call: a column
+    goes by its name, whatever its place in a file, and is null in files that
+    lack it. One pass over the lines tells whether all headers are alike and
+    every line is a record; if so, Spark's reader takes the files as they are,
+    otherwise :func:`read_by_header` does. Large files are split either way.
+    ``multiline`` given: taken as said, without that pass, and all headers
+    have to be alike. ``quote=""`` makes quotes literal."""
     paths = _paths(paths)
-    quoted = quote != ""
-
-    def read(some: list[str], whole: bool) -> DataFrame:
-        # enforceSchema=false: a file whose header differs from the batch's
-        # fails the read instead of being mapped by position
-        r = (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
-             .option("sep", sep).option("multiLine", whole))
-        if quoted:
-            r = r.option("escape", quote or '"')
-        if encoding:
-            r = r.option("encoding", encoding)
-        if quote is not None:
-            r = r.option("quote", quote)
-        for k, v in options.items():
-            r = r.option(k, v)
-        df = r.csv(some)
-        return df.select("*", metadata_path().alias(FILE_PATH)) if with_path else df
-
-    if multiline is not None or not quoted:
-        return read(paths, bool(multiline))
-    found = _quote_breaks(spark, paths, quote or '"', options).cache()
-    broken = [r[0] for r in found.filter("broken").select("path").toLocalIterator()]
-    rest = [r[0] for r in found.filter("NOT broken").select("path").toLocalIterator()] if broken else paths
-    found.unpersist()
-    if not broken:
-        return read(paths, False)
-    options = {k: v for k, v in options.items() if k not in ("recursiveFileLookup", "pathGlobFilter")}
-    whole = read([_decoded(p) for p in broken], True)
-    return whole if not rest else read([_decoded(p) for p in rest], False).unionByName(whole)
-
-
-def _decoded(uri: str) -> str:
-    """A file's path as readers take it, from its URI."""
-    return unquote(uri)
+    mark = '"' if quote is None else quote
+    listing = {k: v for k, v in options.items() if k in ("recursiveFileLookup", "pathGlobFilter")}
+    by_line = (encoding or "UTF-8").lower() in rec.BY_LINE and len(listing) == len(options)
+    if multiline is None and by_line:
+        alike, broken = _layouts(rec.text_lines(spark, paths, encoding or "UTF-8", **listing), sep, mark)
+        if not alike or broken:
+            got = read_by_header(spark, paths, sep, encoding or "UTF-8", mark, breaks=None if broken else False, **listing)
+            return got if with_path else got.drop(FILE_PATH)
+    # enforceSchema=false: a file whose header differs from the batch's
+    # fails the read instead of being mapped by position
+    r = (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
+         .option("sep", sep).option("multiLine", bool(multiline)))
+    if mark:
+        r = r.option("escape", mark)
+    if encoding:
+        r = r.option("encoding", encoding)
+    if quote is not None:
+        r = r.option("quote", quote)
+    for k, v in options.items():
+        r = r.option(k, v)
+    df = r.csv(paths)
+    return df.select("*", metadata_path().alias(FILE_PATH)) if with_path else df
+
+
+def _layouts(lines: DataFrame, sep: str, quote: str) -> tuple[bool, bool]:
+    """Whether all files have the same first line, and whether some line ends
+    inside a quoted value. One pass; one row comes back."""
+    kept = lines.where(~rec._blank("line"))
+    ends = F.lit(0)
+    if quote:
+        sets, turns = rec._line_map(F.col("line"), sep, quote)
+        ends = (F.coalesce(sets, F.lit(0)) + turns) % 2
+    files = kept.groupBy(FILE_PATH).agg(F.min_by(F.regexp_replace("line", "\r$", ""), F.struct("block", "at")).alias("head"), F.max(ends).alias("ends"))
+    row = files.agg(F.min("head") == F.max("head"), F.max("ends") == 1).first()
+    return row[0] is not False, bool(row[1])
+
+
+def column_names(header: Column) -> Column:
+    """The names that Spark's CSV reader gives: a blank one is ``_c`` and its
+    place, one that occurs again (in any case) is followed by its place."""
+    lower = F.transform(header, lambda x: F.lower(x))
+    place = lambda i: i.cast("string")
+    return F.transform(header, lambda x, i: F.when(F.coalesce(x, F.lit("")) == "", F.concat(F.lit("_c"), place(i)))
+                       .when(F.size(F.filter(lower, lambda y: y == F.lower(x))) > 1, F.concat(x, place(i))).otherwise(x))
+
+
+def report_names(header: Column) -> Column:
+    """The names of a report's header row: blank ones are ``unnamed_<i>``,
+    repeated ones get ``.1``, ``.2``; blanks after the last name are none."""
+    size = F.array_max(F.transform(header, lambda x, i: F.when(x.isNotNull(), i + 1).otherwise(0)))
+    names = F.transform(F.slice(header, 1, size), lambda x, i: F.coalesce(x, F.concat(F.lit("unnamed_"), i.cast("string"))))
+    for _ in range(2):  # once more for a name that looks like a numbered one
+        names = _numbered(names)
+    return names
+
+
+def _numbered(names: Column) -> Column:
+    earlier = lambda x, i: F.size(F.filter(F.slice(names, 1, i), lambda y: y == x))
+    return F.transform(names, lambda x, i: F.when(earlier(x, i) > 0, F.concat(x, F.lit("."), earlier(x, i).cast("string"))).otherwise(x))
+
+
+def by_header(matrix: DataFrame, header_row: int, names: Callable[[Column], Column]) -> DataFrame:
+    """The rows after each file's ``header_row``, cells named by that row:
+    every name of any file is a column, in the order of the first file that
+    has it. One descriptor row a file, made from its header alone, holds the
+    place of every column; files of any number of layouts are one plan. Only
+    the different names come to the driver. A cell that is beyond the header
+    and not null fails the job."""
+    heads = matrix.where(F.col("row_idx") == header_row).select(FILE_PATH, names(F.col("cells")).alias("names"))
+    twice = F.raise_error(F.concat(F.lit("a column name occurs twice in "), F.col(FILE_PATH)))
+    heads = heads.withColumn("names", F.when(F.size(F.array_distinct("names")) < F.size("names"), twice.cast("array<string>")).otherwise(F.col("names")))
+    heads = cut_lineage(heads, matrix.sparkSession, "headers")
+    seen = heads.select(FILE_PATH, F.posexplode("names").alias("pos", "name")).groupBy("name").agg(F.min(F.struct(FILE_PATH, "pos")).alias("at"))
+    columns = [r["name"] for r in seen.orderBy("at").select("name").collect()]
+    if not columns:
+        raise ValueError("no header row found")
+    body = matrix.where(F.col("row_idx") > header_row)
+    layouts = heads.select("names").distinct().limit(2).collect()
+    if len(layouts) == 1:
+        beyond, cell = F.lit(len(columns)), lambda k: F.get(F.col("cells"), F.lit(k))
+    else:
+        places = F.transform(F.array(*[F.lit(c) for c in columns]), lambda c: (F.array_position("names", c) - 1).cast("int"))
+        body = body.join(heads.select(FILE_PATH, F.size("names").alias("n_names"), places.alias("places")), FILE_PATH)
+        beyond, cell = F.col("n_names"), lambda k: F.get(F.col("cells"), F.get(F.col("places"), F.lit(k)))  # no such place: null
+    over = F.concat_ws("", F.slice("cells", beyond + 1, F.greatest(F.size("cells"), F.lit(1)))) != ""
+    wrong = F.raise_error(F.concat(F.lit("cells beyond the header in "), F.col(FILE_PATH)))
+    body = body.withColumn("cells", F.when(over, wrong.cast("array<string>")).otherwise(F.col("cells")))
+    return body.select(*[cell(k).alias(c) for k, c in enumerate(columns)], FILE_PATH, "row_idx")
+
+
+def read_by_header(spark: SparkSession, paths: str | Sequence[str], sep: str = ",", encoding: str = "UTF-8", quote: str = '"',
+                   breaks: bool | None = None, **options) -> DataFrame:
+    """SRC-1 / SET-1: files with a header row each, of any number of layouts
+    and with line breaks in quoted values, in one scan."""
+    m = _cells(spark, paths, None, sep, encoding, quote, breaks, own_width=True, **options)
+    return by_header(cut_lineage(m, spark, "records"), 0, column_names).drop("row_idx")
 
 
 def read_tsv_text(spark: SparkSession, paths: str | Sequence[str], encoding: str = "ISO-8859-1",
@@ -106,27 +152,39 @@ def matrix_schema(width: int) -> T.StructType:
     return T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
 
 
-def matrix_width(spark: SparkSession, paths: str | Sequence[str], sep: str = ",") -> int:
-    """The most fields that a record of the files may have, from one pass over
-    their lines: separators in a line, and twice those of a line that opens or
-    closes a quoted line break (its record goes on in the next line)."""
-    lines = spark.read.text(_paths(paths)).select("value")
-    count = lambda x: F.octet_length("value") - F.octet_length(F.replace("value", F.lit(x), F.lit("")))
-    n = lines.agg(F.max(F.when(count('"') % 2 == 1, 2 * count(sep)).otherwise(count(sep)))).first()[0]
-    return (n or 0) + 1
+def matrix_width(spark: SparkSession, paths: str | Sequence[str], sep: str = ",", encoding: str = "UTF-8") -> int:
+    """The most fields that a record of the files has: exact, also for records
+    that run over several lines."""
+    n = rec.read_records(spark, _paths(paths), sep, encoding).agg(F.max(rec.field_count(F.col("record"), sep))).first()[0]
+    return n or 1
+
+
+def _cells(spark: SparkSession, paths: str | Sequence[str], width: int | None, sep: str, encoding: str, quote: str = '"',
+           breaks: bool | None = None, own_width: bool = False, **options) -> DataFrame:
+    """``src_file_path, row_idx, cells``; a record of more than ``width``
+    fields fails the job. Every row has ``width`` cells, or (``own_width``) as
+    many as its record."""
+    records = rec.read_records(spark, _paths(paths), sep, encoding, quote, breaks, **options)
+    width = width or records.agg(F.max(rec.field_count(F.col("record"), sep, quote))).first()[0] or 1
+    cells = records.withColumn("wide", rec.cells_of(F.col("record"), width + 1, sep, quote))
+    too_wide = F.raise_error(F.concat(F.lit(f"a record of more than {width} fields in "), F.col(FILE_PATH)))
+    over = F.get(F.col("wide"), F.lit(width)).isNotNull()
+    many = rec.field_count(F.col("record"), sep, quote) if own_width else F.lit(width)
+    return cells.select(FILE_PATH, "row_idx", F.when(over, too_wide.cast("array<string>")).otherwise(F.slice("wide", 1, many)).alias("cells"))
 
 
 def read_matrix(spark: SparkSession, paths: str | Sequence[str], width: int | None = None,
                 encoding: str = "UTF-8", sep: str = ",", stage: bool = False,
-                files: bool = False, multiline: bool = True) -> DataFrame:
+                files: bool = False, multiline: bool | None = None) -> DataFrame:
     """SRC-5: a headerless report file as indexed rows
     ``(src_file_path, row_idx, cells array<string>)``.
 
-    Quoted newlines are kept (multi-line mode: each file is one task; files
-    run in parallel). ``row_idx`` counts rows from 0 within each file; it is
-    ``id - min(id)`` over the file, the minimum being one row per file, which
-    is broadcast. ``width`` is taken from the files unless given; a record of
-    more fields than that fails the job, none is dropped.
+    Quoted line breaks are kept, and large files are split, those with such
+    breaks too (``sources.records``). ``row_idx`` counts the records of a file
+    from 0 without gaps. ``width`` is taken from the files unless given; a
+    record of more fields than that fails the job, none is dropped.
+    ``multiline`` says whether quoted line breaks occur; unless given, a pass
+    over the lines finds the files that have some.
 
     With ``stage`` the parsed rows are written once as Parquet under the
     shared checkpoint folder and read back: later passes (header rows,
@@ -134,25 +192,27 @@ def read_matrix(spark: SparkSession, paths: str | Sequence[str], width: int | No
     the header pass skips all but the first row group of each file, instead
     of parsing the text again. This also cuts the lineage.
 
-    ``multiline=False`` (files without quoted line breaks) makes a large file
-    splittable, so one huge file is read by many tasks instead of one. Splits
-    of a file keep their offset order in the partition numbering, so
-    ``row_idx`` is exact within the first split (which holds the header rows)
-    and increasing, with gaps, after it: enough for header detection and for
-    data-row identity and order."""
-    width = width or matrix_width(spark, paths, sep)
+    A file in an encoding whose line ends are not ASCII's (UTF-16) can't be
+    split: one task reads it whole."""
+    if encoding.lower() in rec.BY_LINE:
+        out = _cells(spark, paths, width, sep, encoding, breaks=multiline)
+    else:
+        out = _whole_files(spark, paths, width, encoding, sep)
+    return cut_lineage(out, spark, "matrix") if stage else out
+
+
+def _whole_files(spark: SparkSession, paths: str | Sequence[str], width: int | None, encoding: str, sep: str) -> DataFrame:
+    if width is None:
+        raise ValueError(f"the width of files in {encoding} has to be given")
     df = (spark.read.schema(matrix_schema(width + 1)).option("header", False)
-          .option("multiLine", multiline).option("encoding", encoding).option("sep", sep).option("escape", '"')
+          .option("multiLine", True).option("encoding", encoding).option("sep", sep).option("escape", '"')
           .option("mode", "PERMISSIVE").csv(_paths(paths)))
     too_wide = F.raise_error(F.concat(F.lit(f"a record of more than {width} fields in "), metadata_path()))
     first_cell = F.when(F.col(f"c{width}").isNotNull(), too_wide.cast("string")).otherwise(F.col("c0"))
-    df = df.select(metadata_path().alias(FILE_PATH),
-                   F.monotonically_increasing_id().alias("_mid"),
+    df = df.select(metadata_path().alias(FILE_PATH), F.monotonically_increasing_id().alias("_mid"),
                    F.array(first_cell, *[F.col(f"c{i}") for i in range(1, width)]).alias("cells"))
     first = df.groupBy(FILE_PATH).agg(F.min("_mid").alias("_mid0"))
-    out = df.join(F.broadcast(first), FILE_PATH)  # one row of (path, long) per file
-    out = out.select(FILE_PATH, (F.col("_mid") - F.col("_mid0")).alias("row_idx"), "cells")
-    return cut_lineage(out, spark, "matrix") if stage else out
+    return df.join(first, FILE_PATH).select(FILE_PATH, (F.col("_mid") - F.col("_mid0")).alias("row_idx"), "cells")
 
 
 def header_rows(matrix: DataFrame, header_row: Column | int) -> DataFrame:
@@ -171,43 +231,16 @@ def promote_header(matrix: DataFrame, skip: Column | int, names: Sequence[str])
 
 
 def read_with_preamble(spark: SparkSession, paths: str | Sequence[str], skip_rows: int,
-                       width: int | None = None, encoding: str = "UTF-8", stage: bool = False) -> DataFrame:
+                       width: int | None = None, encoding: str = "UTF-8") -> DataFrame:
     """SRC-3: skip ``skip_rows`` title lines; the next line is the header.
 
-    Files whose headers differ are grouped by header (the header row of each
-    file is the only thing collected: one row per file), each group is named
-    by its own header, and the groups are unioned by name (SET-1). Cells
-    beyond the header's last name fail the job; duplicate names get ``.1``;
-    blank names become ``unnamed_<i>``. With several header groups the parsed text is
-    staged once so that the groups do not re-read it."""
-    from ..functions.names import dedupe_names
-
-    width = width or matrix_width(spark, paths)
-    m = read_matrix(spark, paths, width, encoding, stage=stage)
-    heads = header_rows(m, skip_rows).collect()
-    groups: dict[tuple, list[str]] = {}
-    for r in heads:
-        groups.setdefault(tuple(r["header"]), []).append(r[FILE_PATH])
-    if len(groups) > 1 and not stage:
-        return read_with_preamble(spark, paths, skip_rows, width, encoding, stage=True)
-    parts = []
-    for header, files in groups.items():
-        raw = list(header)
-        while raw and raw[-1] is None:
-            raw.pop()
-        names = dedupe_names([h if h is not None else f"unnamed_{i}" for i, h in enumerate(raw)])
-        part = m.filter(F.col(FILE_PATH).isin(*files)) if len(groups) > 1 else m
-        rest = F.concat_ws("", F.slice("cells", len(names) + 1, width))
-        over = F.raise_error(F.concat(F.lit("cells beyond the header in "), F.col(FILE_PATH)))
-        part = part.withColumn("cells", F.when((F.col("row_idx") > skip_rows) & (rest != ""), over.cast("array<string>"))
-                               .otherwise(F.col("cells")))
-        parts.append(promote_header(part, skip_rows, names))
-    if not parts:
-        raise ValueError("no header row found")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    Files whose headers differ load in one scan by the names in their own
+    header rows (:func:`by_header`). Cells beyond the header's last name fail
+    the job; duplicate names get ``.1``; blank names become ``unnamed_<i>``.
+    The parsed text is staged once: header rows and data read it."""
+    m = read_matrix(spark, paths, width, encoding, stage=True)
+    out = by_header(m, skip_rows, report_names)
+    return out.select(FILE_PATH, "row_idx", *[F.col("`" + c.replace("`", "``") + "`") for c in out.columns if c not in (FILE_PATH, "row_idx")])
 
 
 def detect_header(matrix: DataFrame, first_cell: str, max_scan: int = 30) -> DataFrame:

@@ -16,10 +16,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sinks.tables import replace_slice
-from ..sources.files import metadata_name, metadata_path
+from ..sources.files import FILE_PATH, read_csv_text
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -28,6 +29,15 @@ def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+def rows_of(spark: SparkSession, paths: list[str], columns: list[str], **csv_options) -> DataFrame:
+    """The rows of some files as ``columns`` (each by its name in the file's
+    own header; null where a file lacks it) with the file's name and path."""
+    raw = read_csv_text(spark, paths, **csv_options)
+    there = {c.lower(): c for c in raw.columns}
+    named = [F.col(f"`{there[c.lower()]}`").alias(c) if c.lower() in there else F.lit(None).cast("string").alias(c) for c in columns]
+    return raw.select(*named, F.substring_index(FILE_PATH, "/", -1).alias("src_file_name"), FILE_PATH)
+
+
 def start_csv_load(spark: SparkSession, source_dir: str, columns: list[str], target: str,
                    transform: Transform | None = None, key: str = "src_file_name",
                    checkpoint: str | None = None, pattern: str = "*.csv",
@@ -36,27 +46,28 @@ def start_csv_load(spark: SparkSession, source_dir: str, columns: list[str], tar
     columns text, header row) into the partitioned table at ``target``,
     replacing the slice ``key`` (the file name by default) of each file.
 
+    The stream itself carries the files' paths alone (their content is not
+    read); a micro-batch reads its files as a batch load does, by the names in
+    their headers and with line breaks and quotes in quoted values.
+
     ``transform`` turns the raw text rows (with ``src_file_name`` and
     ``src_file_path`` added) into table rows. Returns the running query; with
     the default trigger it stops by itself once the files present are done."""
-    reader = (spark.readStream.format("csv").schema(text_schema(columns))
-              .option("header", True).option("pathGlobFilter", pattern))
+    reader = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+              .option("pathGlobFilter", pattern))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    for k, v in csv_options.items():
-        reader = reader.option(k, v)
-    raw = reader.load(source_dir).select(
-        "*", metadata_name().alias("src_file_name"),
-        metadata_path().alias("src_file_path"))
-    rows = transform(raw) if transform else raw
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        replace_slice(batch, target, key)
+        paths = [r["path"] for r in batch.select("path").collect()]  # a reader must be told them
+        if paths:
+            rows = rows_of(batch.sparkSession, paths, columns, **csv_options)
+            replace_slice(transform(rows) if transform else rows, target, key)
 
     # the checkpoint must be stable across runs (it is what remembers loaded
     # files); by default it sits beside the table, where readers ignore it
     ckpt = checkpoint or target.rstrip("/") + "/_stream_checkpoint"
-    return (rows.writeStream.foreachBatch(write_batch)
+    return (reader.load(source_dir).select("path").writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())
 
