@@ -23,7 +23,7 @@ HEADLINE = [
     "cpsc_combined_summary",
     "one_per_key",              # latest record per key (skew-safe min-struct)
     "ordered_concat",           # ordered label concatenation per key
-    "attach_dictionary",        # fact x dictionary (size-checked broadcast)
+    "attach_dictionary",        # fact x dictionary (broadcast by its measured size)
     "parse_money",              # text parsers
     "parse_zoned_timestamp",
     "parse_period",
@@ -39,7 +39,7 @@ HEADLINE = [
 
 # measured as well, beside the headline total
 MORE = ["display_matrix_to_long", "cutpoints_to_long", "typo_map_distance2", "upsert", "upsert_partitioned",
-        "csv_quoted_round_trip", "wide_matrix", "replace_slice_by_date", "evolve_schema"]
+        "csv_quoted_round_trip", "wide_matrix", "replace_slice_by_date", "evolve_schema", "upsert_buckets", "records_with_breaks", "drifting_headers"]
 
 
 def main() -> None:
