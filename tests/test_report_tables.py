@@ -162,6 +162,34 @@ def test_benefit_tables(spark, tmp_dir):
     assert rows["2024-01-01"].pbp_b1_amt == 5.0
 
 
+def test_snapshots_load_in_a_fixed_number_of_jobs(spark, tmp_dir):
+    """Layouts and numbers differ from file to file; all files of a table are
+    one read, one count and one write."""
+    dictionary = spark.createDataFrame([("pbp_b1", "amt", "NUM"), ("pbp_b1", "n", "NUM"), ("pbp_b1", "note", "CHAR")],
+                                       "file STRING, name STRING, type STRING")
+    heads = (["hnumber", "amt", "note"], ["NOTE", "hnumber", "extra"], ["n", "amt", "hnumber"])
+    tracker, jobs = spark.sparkContext.statusTracker(), []
+    for snapshots in (3, 11):
+        root, target = os.path.join(tmp_dir, f"in{snapshots}"), os.path.join(tmp_dir, f"t{snapshots}")
+        for k in range(snapshots):
+            head = heads[k % 3]
+            line = "\t".join({"amt": f"1,{k:03d}", "n": str(k), "extra": "x"}.get(h.lower(), f"{h.lower()} {k}") for h in head)
+            write(f"{root}/pbp-benefits-{2010 + k}/pbp_b1.txt", "\t".join(head) + "\n" + line + "\n", "latin-1")
+        spark.sparkContext.setJobGroup(f"snapshots {snapshots}", "")
+        files = B.latest_files(spark, root, "pbp_b1.txt")
+        assert B.dictionary_typed(spark, files, dictionary, "pbp_b1", target, LOAD) == snapshots
+        jobs.append(len(tracker.getJobIdsForGroup(f"snapshots {snapshots}")))
+        rows = {r.src_file_date: r for r in snk.read_table(spark, target).collect()}
+        for k in range(snapshots):
+            r = rows[f"{2010 + k}-01-01"]
+            have = {h.lower() for h in heads[k % 3]}
+            assert r.hnumber == f"hnumber {k}" and r.src_file_name == f"pbp-benefits-{2010 + k}/pbp_b1.txt"
+            assert r.amt == (1000.0 + k if "amt" in have else None) and r.n == (float(k) if "n" in have else None)
+            assert r.note == (f"note {k}" if "note" in have else None) and r.extra == ("x" if "extra" in have else None)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1], jobs
+
+
 def test_section_a_times(spark, tmp_dir):
     path = os.path.join(tmp_dir, "pbp-benefits-2024", "pbp_Section_A.txt")
     write(path, "PBP_A_HNUMBER\tPBP_A_SNP_PCT\tPBP_A_ENTRY_TIME\tPBP_A_COUNT\n"

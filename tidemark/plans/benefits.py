@@ -11,10 +11,10 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import quarter_start
+from ..functions.dates import parent_name, quarter_start
 from ..functions.names import normalize_name
 from ..functions.scalars import parse_number_strict, parse_thousands, parse_zoned_timestamp
 from ..operators import dictionary as D
@@ -22,6 +22,7 @@ from ..operators import incremental as inc
 from ..operators import nested as N
 from ..operators import projections as prj
 from ..operators.aggregates import one_per_key
+from ..session import cut_lineage
 from ..sinks import tables as snk
 from ..sources import files as src
 from .benefit_categories import DEFAULT_CATEGORY_LABELS
@@ -48,23 +49,44 @@ def _name_of(path_col):
                     F.regexp_extract(path_col, r"([^/]*)$", 1))
 
 
+def _file_name(df: DataFrame):
+    """``folder/file`` of the file a row was read from."""
+    return _name_of(F.col(src.FILE_PATH) if src.FILE_PATH in df.columns else src.metadata_path())
+
+
+def _snapshots(spark: SparkSession, files: DataFrame) -> DataFrame | None:
+    """The rows of all snapshot files, text by name (SRC-2, SET-1), with the
+    path of each row's file: one read, however many files and layouts."""
+    paths = [r["path"] for r in files.select("path").collect()]  # a reader must be told them
+    return src.read_tsv_text(spark, paths) if paths else None
+
+
+def snapshot_date():
+    """The snapshot date of a row's file, from its folder (PTH-6)."""
+    return quarter_start(parent_name(F.col(src.FILE_PATH)))
+
+
+def _write_slices(df: DataFrame, target: str) -> int:
+    """Replace the slice of every date that ``df`` holds, in one job; their
+    number."""
+    snk.replace_slice(df, target, "src_file_date")
+    return df.select("src_file_date").distinct().count()
+
+
 def dictionary_typed(spark: SparkSession, files: DataFrame, dictionary: DataFrame, file: str,
                      target: str, load_date: _dt.date) -> int:
-    """The dictionary-driven benefit tables (DIC-5): for each snapshot file,
-    TSV Latin-1 with literal quotes (SRC-2), numeric columns by the
-    dictionary (SCL-5), lineage, all-null columns dropped (PRJ-6), empty files
-    skipped, the date slice replaced (SNK-2). Snapshot files are few; each is
-    one distributed read."""
-    loaded = 0
-    for r in files.select("path", "src_file_date").collect():
-        text = src.read_tsv_text(spark, r["path"], with_path=False)
-        out = D.load_by_dictionary(text, dictionary, file, file_date=r["src_file_date"],
-                                   file_name=_name_of(src.metadata_path()), load_date=load_date, stage=True)
-        if out is None:
-            continue
-        snk.replace_slice(out, target, "src_file_date", value=r["src_file_date"])
-        loaded += 1
-    return loaded
+    """The dictionary-driven benefit tables (DIC-5): all snapshot files of a
+    table in one read, TSV Latin-1 with literal quotes (SRC-2), numeric
+    columns by the dictionary (SCL-5), each row with the date and name of its
+    file, all-null columns dropped (PRJ-6), the date slices replaced together
+    (SNK-2). A file without rows leaves its slice as it is. The number of jobs
+    does not depend on the number of files."""
+    text = _snapshots(spark, files)
+    if text is None:
+        return 0
+    out = D.load_by_dictionary(text, dictionary, file, file_date=snapshot_date(), file_name=_file_name(text),
+                               load_date=load_date, stage=True)
+    return _write_slices(out.drop(src.FILE_PATH), target) if out is not None else 0
 
 
 # The dictionary-driven benefit tables, by file name.
@@ -90,18 +112,18 @@ def load_benefit_table(spark: SparkSession, root: str, file: str, dictionary: Da
 
 
 def load_snapshots(spark: SparkSession, root: str, file: str, target: str, transform, since: _dt.date | None = None) -> int:
-    """The newest file of each snapshot date, each read, given to
-    ``transform(text, file_date)`` (Section A, plan areas), and written as
-    its date's slice (SNK-2)."""
-    loaded = 0
-    for r in latest_files(spark, root, f"{file}.txt", since).select("path", "src_file_date").collect():
-        text = src.read_tsv_text(spark, r["path"], with_path=False)
-        snk.replace_slice(transform(text, r["src_file_date"]), target, "src_file_date", value=r["src_file_date"])
-        loaded += 1
-    return loaded
-
-
-def section_a(text: DataFrame, dictionary: DataFrame, file_date: _dt.date, load_date: _dt.date,
+    """The newest file of each snapshot date, all read at once, given to
+    ``transform(text, file_date)`` (Section A, plan areas; ``file_date`` is
+    the column of each row's snapshot date), and written as their dates'
+    slices (SNK-2)."""
+    text = _snapshots(spark, latest_files(spark, root, f"{file}.txt", since))
+    if text is None:
+        return 0
+    out = transform(text, snapshot_date())
+    return _write_slices(cut_lineage(out, spark, "snapshots"), target)
+
+
+def section_a(text: DataFrame, dictionary: DataFrame, file_date: _dt.date | Column, load_date: _dt.date,
               file: str = "pbp_Section_A") -> DataFrame:
     """pbp_section_a: headers normalised, numeric columns where any
     dictionary row says NUM (DIC-3, strict after comma removal), ``*_time``
@@ -116,15 +138,15 @@ def section_a(text: DataFrame, dictionary: DataFrame, file_date: _dt.date, load_
     df = prj.cast_columns(df, parse_zoned_timestamp, suffixes=("_time",))
     if "pbp_a_last_data_entry_date" in df.columns:
         df = df.withColumn("pbp_a_last_data_entry_date", F.to_timestamp("pbp_a_last_data_entry_date"))
-    df = prj.with_lineage(df, file_date=file_date, load_date=load_date, file_name=_name_of(src.metadata_path()))
-    return prj.drop_all_null_columns(df)
+    df = prj.with_lineage(df, file_date=file_date, load_date=load_date, file_name=_file_name(df))
+    return prj.drop_all_null_columns(df.drop(src.FILE_PATH))
 
 
-def plan_area(text: DataFrame, file_date: _dt.date, load_date: _dt.date) -> DataFrame:
+def plan_area(text: DataFrame, file_date: _dt.date | Column, load_date: _dt.date) -> DataFrame:
     """pbp_plan_area / pbp_plan_region_area: ``contract_year`` strict int."""
     df = text.withColumn("contract_year", F.col("contract_year").cast("int"))
-    df = prj.with_lineage(df, file_date=file_date, load_date=load_date, file_name=_name_of(src.metadata_path()))
-    return prj.drop_all_null_columns(df)
+    df = prj.with_lineage(df, file_date=file_date, load_date=load_date, file_name=_file_name(df))
+    return prj.drop_all_null_columns(df.drop(src.FILE_PATH))
 
 
 def category_labels(metadata: DataFrame, year: int,

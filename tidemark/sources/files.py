@@ -82,7 +82,7 @@ def _layouts(lines: DataFrame, sep: str, quote: str) -> tuple[bool, bool]:
 def column_names(header: Column) -> Column:
     """The names that Spark's CSV reader gives: a blank one is ``_c`` and its
     place, one that occurs again (in any case) is followed by its place."""
-    lower = F.transform(header, lambda x: F.lower(x))
+    lower = _lower(header)
     place = lambda i: i.cast("string")
     return F.transform(header, lambda x, i: F.when(F.coalesce(x, F.lit("")) == "", F.concat(F.lit("_c"), place(i)))
                        .when(F.size(F.filter(lower, lambda y: y == F.lower(x))) > 1, F.concat(x, place(i))).otherwise(x))
@@ -103,27 +103,31 @@ def _numbered(names: Column) -> Column:
     return F.transform(names, lambda x, i: F.when(earlier(x, i) > 0, F.concat(x, F.lit("."), earlier(x, i).cast("string"))).otherwise(x))
 
 
+def _lower(names: Column) -> Column:
+    return F.transform(names, lambda x: F.lower(x))
+
+
 def by_header(matrix: DataFrame, header_row: int, names: Callable[[Column], Column]) -> DataFrame:
     """The rows after each file's ``header_row``, cells named by that row:
     every name of any file is a column, in the order of the first file that
-    has it. One descriptor row a file, made from its header alone, holds the
+    has it (and in its spelling: as in Spark, case does not tell names apart). One descriptor row a file, made from its header alone, holds the
     place of every column; files of any number of layouts are one plan. Only
     the different names come to the driver. A cell that is beyond the header
     and not null fails the job."""
     heads = matrix.where(F.col("row_idx") == header_row).select(FILE_PATH, names(F.col("cells")).alias("names"))
     twice = F.raise_error(F.concat(F.lit("a column name occurs twice in "), F.col(FILE_PATH)))
-    heads = heads.withColumn("names", F.when(F.size(F.array_distinct("names")) < F.size("names"), twice.cast("array<string>")).otherwise(F.col("names")))
+    heads = heads.withColumn("names", F.when(F.size(F.array_distinct(_lower(F.col("names")))) < F.size("names"), twice.cast("array<string>")).otherwise(F.col("names")))
     heads = cut_lineage(heads, matrix.sparkSession, "headers")
-    seen = heads.select(FILE_PATH, F.posexplode("names").alias("pos", "name")).groupBy("name").agg(F.min(F.struct(FILE_PATH, "pos")).alias("at"))
-    columns = [r["name"] for r in seen.orderBy("at").select("name").collect()]
+    seen = heads.select(FILE_PATH, F.posexplode("names").alias("pos", "name")).groupBy(F.lower("name")).agg(F.min(F.struct(FILE_PATH, "pos", "name")).alias("at"))
+    columns = [r["name"] for r in seen.orderBy("at").select("at.name").collect()]
     if not columns:
         raise ValueError("no header row found")
     body = matrix.where(F.col("row_idx") > header_row)
-    layouts = heads.select("names").distinct().limit(2).collect()
+    layouts = heads.select(_lower(F.col("names")).alias("names")).distinct().limit(2).collect()
     if len(layouts) == 1:
         beyond, cell = F.lit(len(columns)), lambda k: F.get(F.col("cells"), F.lit(k))
     else:
-        places = F.transform(F.array(*[F.lit(c) for c in columns]), lambda c: (F.array_position("names", c) - 1).cast("int"))
+        places = F.transform(F.array(*[F.lit(c) for c in columns]), lambda c: (F.array_position(_lower(F.col("names")), F.lower(c)) - 1).cast("int"))
         body = body.join(heads.select(FILE_PATH, F.size("names").alias("n_names"), places.alias("places")), FILE_PATH)
         beyond, cell = F.col("n_names"), lambda k: F.get(F.col("cells"), F.get(F.col("places"), F.lit(k)))  # no such place: null
     over = F.concat_ws("", F.slice("cells", beyond + 1, F.greatest(F.size("cells"), F.lit(1)))) != ""
