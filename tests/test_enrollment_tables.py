@@ -46,6 +46,55 @@ def test_cpsc_enrollment_contract_combined(spark, tmp_dir):
     assert row[0].organization_type == "Duplicate"
 
 
+def test_combined_joins_changed_months_alone(spark, tmp_dir):
+    """One changed month rewrites one slice; headers may drift between months."""
+    root = os.path.join(tmp_dir, "cpsc")
+    for m in range(1, 5):
+        write(f"{root}/a/CPSC_Enrollment_Info_2024_0{m}.csv", f"Contract Number,Plan ID,Enrollment\nH1,001,{m}\nH2,002,{m}0\n" if m != 3
+              else "Plan ID,Region,Contract Number,Enrollment\n001,West,H1,3\n002,East,H2,30\n")
+        write(f"{root}/b/CPSC_Contract_Info_2024_0{m}.csv", "Contract ID,Plan ID,Organization Type,Contract Effective Date\nH1,001,Local CCP,01/01/2024 0:00:00\n")
+    enroll, contract, combined = (os.path.join(tmp_dir, t) for t in ("e", "c", "j"))
+    assert P.cpsc_enrollment(spark, f"{root}/a", enroll, LOAD) == 4 and P.cpsc_contract(spark, f"{root}/b", contract, LOAD) == 4
+    names = {r[0] for r in snk.read_table(spark, enroll).select("src_file_name").distinct().collect()}
+    assert names == {f"CPSC_Enrollment_Info_2024_0{m}.csv" for m in range(1, 5)}  # the file's own name, drift or not
+    march = {r.contract_number: (r.enrollment, r.region) for r in snk.read_table(spark, enroll).where("src_file_date = '2024-03-01'").collect()}
+    assert march == {"H1": (3, "West"), "H2": (30, "East")}
+
+    def files():
+        return {d: sorted(n for n in os.listdir(os.path.join(combined, d)) if n.endswith(".parquet")) for d in os.listdir(combined) if "=" in d}
+
+    def whole():
+        return sorted(map(tuple, snk.read_table(spark, combined).select("contract_id", "plan_id", "src_file_date", "enrollment", "organization_type").collect()))
+
+    assert P.cpsc_combined(spark, enroll, contract, combined) == 4
+    before = files()
+    assert P.cpsc_combined(spark, enroll, contract, combined) == 0 and files() == before
+    day = dt.date(2024, 2, 1)
+    late = snk.read_table(spark, contract).where("src_file_date = '2024-02-01'").withColumn("organization_type", F.lit("PFFS"))
+    snk.replace_slice(late.withColumn("src_file_date", F.col("src_file_date").cast("date")), contract, "src_file_date", value=day)
+    assert P.cpsc_combined(spark, enroll, contract, combined) == 1
+    after = files()
+    assert [d for d in before if before[d] != after[d]] == ["src_file_date=2024-02-01"]
+    assert [r[4] for r in whole() if r[:3] == ("H1", "001", "2024-02-01")] == ["PFFS"]
+    snk.remove_slice(spark, enroll, "src_file_date", dt.date(2024, 1, 1))
+    snk.remove_slice(spark, contract, "src_file_date", dt.date(2024, 1, 1))
+    snk.remove_slice(spark, enroll, "src_file_date", dt.date(2024, 4, 1))  # its contracts stay: an empty slice
+    assert P.cpsc_combined(spark, enroll, contract, combined) == 2
+    assert {r[2] for r in whole()} == {"2024-02-01", "2024-03-01"}
+    changed = whole()
+    assert P.cpsc_combined(spark, enroll, contract, combined, everything=True) == 3 and whole() == changed
+
+
+def test_snp_files_of_several_layouts(spark, tmp_dir):
+    root, target = os.path.join(tmp_dir, "snp_many"), os.path.join(tmp_dir, "snp_many_t")
+    write(f"{root}/SNP_2023_09/a.csv", "Title\nContract Number,Plan ID,Plan Enrollment,Plan Geographic Name,\nH1,001,120,Statewide,\n")
+    write(f"{root}/SNP_2023_10/a.csv", "Title\nContract Number\nEnrollment,Contract Number,State\n7,H2,Ohio\n")
+    assert P.snpdata(spark, root, target, LOAD) == 2
+    rows = {r.contract_number: r for r in snk.read_table(spark, target).collect()}
+    assert (rows["H1"].plan_enrollment, rows["H1"].geographic_name, rows["H1"].state) == (120.0, "Statewide", None)
+    assert (rows["H2"].plan_enrollment, rows["H2"].state, rows["H2"].src_file_date) == (7.0, "Ohio", dt.date(2023, 10, 1))
+
+
 def test_plan_directory(spark, tmp_dir):
     src = os.path.join(tmp_dir, "dir")
     write(f"{src}/MA_Contract_directory_2024_03.csv",

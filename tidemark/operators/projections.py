@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from ..functions.names import camel_name, dedupe_names, normalize_name
 from ..functions.scalars import parse_number
-from ..sources.files import metadata_name
+from ..functions.dates import base_name
+from ..sources.files import FILE_PATH, metadata_name
 
 LINEAGE_COLUMNS = ("src_file_date", "src_file_name", "load_date")
 
@@ -150,8 +151,9 @@ def with_lineage(df: DataFrame, file_date: Column | _dt.date | str | None = None
                  file_name: Column | str | None = None) -> DataFrame:
     """PTH-1: ``src_file_date``, ``src_file_name``, ``load_date``.
 
-    ``file_name`` defaults to the name of the file each row was read from
-    (``_metadata.file_name``, available on file sources). ``load_date`` is an
+    ``file_name`` defaults to the name of the file each row was read from: of
+    its ``src_file_path`` if the rows have one, else ``_metadata.file_name``
+    (of rows straight from a file source). ``load_date`` is an
     argument so reruns are reproducible; it defaults to today."""
     def as_date(v):
         if isinstance(v, Column):
@@ -162,6 +164,7 @@ def with_lineage(df: DataFrame, file_date: Column | _dt.date | str | None = None
 
     name = (file_name if isinstance(file_name, Column)
             else F.lit(file_name) if file_name is not None
+            else base_name(F.col(FILE_PATH)) if FILE_PATH in df.columns
             else metadata_name())
     ld = as_date(load_date if load_date is not None else _dt.date.today())
     return df.withColumns({

@@ -20,6 +20,7 @@ from plain Spark writes:
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 import json
 from collections.abc import Mapping, Sequence
 
@@ -131,6 +132,62 @@ def read_table(spark: SparkSession, path: str, merge_schema: bool = True) -> Dat
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def read_note(spark: SparkSession, path: str, name: str) -> dict | None:
+    """A small JSON note kept beside a table's data; ``None`` if there is none
+    or it was cut short."""
+    text = _read_text(spark, f"{path.rstrip('/')}/{name}")
+    try:
+        return json.loads(text) if text is not None else None
+    except json.JSONDecodeError:
+        return None
+
+
+def write_note(spark: SparkSession, path: str, name: str, note: dict) -> None:
+    """Keep a small JSON note beside a table (``name`` begins with ``_``, so
+    that readers skip it)."""
+    fs, p = _fs(spark, f"{path.rstrip('/')}/{name}")
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(json.dumps(note).encode()))
+    finally:
+        stream.close()
+
+
+def slice_fingerprints(spark: SparkSession, paths: Sequence[str], key: str) -> dict[str, str]:
+    """For each value of the partition column ``key`` that any of the tables
+    has: a digest of the names, sizes and times of its files in all of them.
+    From the listings alone, an entry a slice."""
+    found: dict[str, list[str]] = {}
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    for n, path in enumerate(paths):
+        recover(spark, path)
+        fs, p = _fs(spark, path)
+        if not fs.exists(p):
+            continue
+        for folder in fs.listStatus(p):
+            name = folder.getPath().getName()
+            if folder.isDirectory() and name.startswith(key + "="):
+                marks = [f"{f.getPath().getName()} {f.getLen()} {f.getModificationTime()}" for f in fs.listStatus(folder.getPath())]
+                found.setdefault(unescape(name[len(key) + 1:]), []).append(f"{n}: " + ", ".join(sorted(marks)))
+    return {value: hashlib.sha256("; ".join(marks).encode()).hexdigest() for value, marks in sorted(found.items())}
+
+
+def remove_slice(spark: SparkSession, path: str, key: str, value) -> None:
+    """Delete one slice of a table."""
+    _delete(spark, _partition_folder(spark, path, key, value))
+
+
 def loaded_slices(spark: SparkSession, path: str, key: str) -> DataFrame | None:
     """The values of the partition column ``key`` that a table has, from its
     folder names alone; ``None`` without a table."""

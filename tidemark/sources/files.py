@@ -107,14 +107,16 @@ def _lower(names: Column) -> Column:
     return F.transform(names, lambda x: F.lower(x))
 
 
-def by_header(matrix: DataFrame, header_row: int, names: Callable[[Column], Column]) -> DataFrame:
-    """The rows after each file's ``header_row``, cells named by that row:
+def by_header(matrix: DataFrame, header_row: int | str, names: Callable[[Column], Column]) -> DataFrame:
+    """The rows after each file's ``header_row`` (a number, or the name of a
+    column that holds each file's), cells named by that row:
     every name of any file is a column, in the order of the first file that
     has it (and in its spelling: as in Spark, case does not tell names apart). One descriptor row a file, made from its header alone, holds the
     place of every column; files of any number of layouts are one plan. Only
     the different names come to the driver. A cell that is beyond the header
     and not null fails the job."""
-    heads = matrix.where(F.col("row_idx") == header_row).select(FILE_PATH, names(F.col("cells")).alias("names"))
+    at = F.col(header_row) if isinstance(header_row, str) else F.lit(header_row)
+    heads = matrix.where(F.col("row_idx") == at).select(FILE_PATH, names(F.col("cells")).alias("names"))
     twice = F.raise_error(F.concat(F.lit("a column name occurs twice in "), F.col(FILE_PATH)))
     heads = heads.withColumn("names", F.when(F.size(F.array_distinct(_lower(F.col("names")))) < F.size("names"), twice.cast("array<string>")).otherwise(F.col("names")))
     heads = cut_lineage(heads, matrix.sparkSession, "headers")
@@ -122,7 +124,7 @@ def by_header(matrix: DataFrame, header_row: int, names: Callable[[Column], Colu
     columns = [r["name"] for r in seen.orderBy("at").select("at.name").collect()]
     if not columns:
         raise ValueError("no header row found")
-    body = matrix.where(F.col("row_idx") > header_row)
+    body = matrix.where(F.col("row_idx") > at)
     layouts = heads.select(_lower(F.col("names")).alias("names")).distinct().limit(2).collect()
     if len(layouts) == 1:
         beyond, cell = F.lit(len(columns)), lambda k: F.get(F.col("cells"), F.lit(k))
