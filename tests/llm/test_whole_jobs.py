@@ -45,6 +45,33 @@ def test_quality_rejects_junk_at_two_sizes(spark):
     assert min(clean) >= 0.99
 
 
+def test_quality_lots_of_equal_rows(spark):
+    """Rows equal in id and text go to as many lots as their bytes need, and
+    are scored alike whatever the lots."""
+    text = " ".join(f"w{i % 37}" for i in range(300))
+    rows = [(None, text)] * 400 + [(i, f"{text} other{i} words{i % 5}") for i in range(40)] + [(50, ""), (51, None), (52, "\u2028 a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    lots = quality.packed_lots(docs, 1 << 15)
+    assert lots.count() >= 12 and lots.select("lot").distinct().count() == lots.count()
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    one, many = (sorted(map(tuple, quality.quality(docs, labels, lot_bytes=n).select("doc_id", "n_words", "score").collect()), key=repr) for n in (1 << 24, 1 << 14))
+    assert len(one) == len(rows) and [r[:2] for r in one] == [r[:2] for r in many]
+    assert max(abs(a[2] - b[2]) for a, b in zip(one, many)) < 1e-12
+    assert len({r[2] for r in one if r[0] is None}) == 1
+
+
+def test_ngrams_are_those_of_the_words():
+    texts = [b"", b"One two  one", b"\x0bA\xc3\xa9 b\n", b"x" * 5000 + b" y", b" ", b"one TWO"]
+    hashes, of = quality.ngrams(texts)
+    found = {}
+    for h, d in zip(hashes.tolist(), of.tolist()):
+        found.setdefault(d, []).append(h)
+    count = lambda t: max(0, 2 * len(t.split()) - 1)
+    assert {d: len(x) for d, x in found.items()} == {d: count(t) for d, t in enumerate(texts) if t.split()}
+    assert set(found[5]) <= set(found[1]) and len(set(found[1])) == 4 and not set(found[2]) & set(found[1])
+    assert quality.ngrams(texts * 300)[0].tolist()[:3] != [] and len(quality.ngrams(texts * 300)[0]) == 300 * len(hashes)
+
+
 APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
 you may not use this file except in compliance with the License.
 You may obtain a copy of the License at

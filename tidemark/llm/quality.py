@@ -10,13 +10,16 @@ The trusted target is a bounded sample of the labelled rows: at most
 ``TRUSTED`` documents, those whose ids have the least hashes. A list of ids of
 that size goes to the tasks, so that no text is shuffled to meet its label.
 
-The raw counts cover every n-gram of every document, each under its 64-bit
-hash; they are a Spark table that grows with the corpus and never meets in one
-process. Documents are dealt into lots of about ``LOT_BYTES`` by a hash of id
-and text. A lot sends the distinct n-grams it holds, with their counts, to
-ranges of hashes, as many as there are lots; a range adds up what all lots
-sent and answers each lot with the totals of just its own n-grams, in their
-order. An n-gram that is in every document so costs a range one entry a lot.
+The raw counts cover every n-gram of every document, each under a hash that
+is wide enough for the corpus (``hash_bits``: 42 bits, or 14 more than its
+n-grams number); they are never together in one process. A task packs its
+documents into lots of about ``LOT_BYTES``, each one compressed row, and deals
+them out. A lot sends the n-grams it holds, with their counts, to ranges of
+hashes, as many as the session has shuffle partitions; a range adds up what
+all lots sent and answers each lot with the totals of those of its n-grams
+that other lots hold as well, in their order. For all others the lot's own
+counts are the totals. An n-gram that is in every document so costs a range
+one entry a lot.
 
 Cases: null and empty texts have no words, zero counts and ``base_failed``; a
 label that repeats counts as good only if all its rows are; labels with nulls
@@ -29,15 +32,17 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from math import ceil, log2
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, col, fresh_name, id_and_text, over_batches, utf8
+from .common import bounded_batches, col, id_and_text, over_batches, utf8
 
 MIN_WORDS = 20
 WINDOW = 8
@@ -45,7 +50,9 @@ MAX_REPEAT_PERCENT = 30
 #: Trusted documents that the target is fitted on, at most.
 TRUSTED = 50_000
 #: Bytes of text in a lot, about.
-LOT_BYTES = 1 << 24
+LOT_BYTES = 28 << 20
+#: Bytes of text whose words are hashed at once.
+_CHUNK = 1 << 20
 #: Occurrences at the overall trusted rate that each n-gram gets besides its
 #: own: a rare n-gram then says little for or against its only document.
 SMOOTHING = 20.0
@@ -101,17 +108,63 @@ def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
     return len(words), int(kinds[0] + kinds[3]), int(kinds[3]), copies, repeated_words(ids)
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        h = (h ^ h >> np.uint64(33)) * np.uint64(factor)
+    return h ^ h >> np.uint64(33)
+
+
+def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each lower-cased word of some texts, and its text's number:
+    the word's bytes by powers of an odd number, mixed with its length."""
+    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    inside = ~_SPACE[data]
+    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if inside[0]:
+        edge = np.concatenate(([0], edge))
+    starts, sizes = edge[::2], edge[1::2] - edge[::2]
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32)
+    first = np.cumsum(sizes) - sizes
+    place = np.arange(first[-1] + sizes[-1]) - np.repeat(first, sizes)
+    powers = np.multiply.accumulate(np.full(int(sizes.max()), _ODD))
+    h = np.add.reduceat((_LOWER[data[inside]].astype(np.uint64) + np.uint64(1)) * powers[place], first)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return _mixed(h + sizes.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)), np.searchsorted(ends, starts, "right").astype(np.int32)
+
+
+def _ngram_chunks(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """64-bit hashes of the lower-cased unigrams and bigrams of texts, and the
+    number of the text that each is from, some texts at a time."""
+    i = 0
+    while i < len(texts):
+        j, size = i, 0
+        while j < len(texts) and (j == i or size + len(texts[j]) <= _CHUNK):
+            size += len(texts[j])
+            j += 1
+        h, d = _word_hashes(texts[i:j])
+        two = d[1:] == d[:-1]
+        pair = _mixed(h[:-1] * _ODD + (h[1:] ^ h[1:] >> np.uint64(29)) * np.uint64(0xC2B2AE3D27D4EB4F))[two]
+        yield np.concatenate((_mixed(h), pair)), np.concatenate((d, d[1:][two])) + np.int32(i)
+        i = j
+
+
+def ngrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All of ``_ngram_chunks``."""
+    hashes, of = zip(*_ngram_chunks(texts)) if texts else ((), ())
+    return np.concatenate([np.zeros(0, np.uint64), *hashes]), np.concatenate([np.zeros(0, np.int32), *of])
+
+
 def ngram_hashes(text: bytes) -> np.ndarray:
     """64-bit hashes of a text's lower-cased unigrams and bigrams."""
-    ids, different = word_ids(text.lower().split())
-    if not different:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter((zlib.crc32(w) << 32 | zlib.crc32(w[::-1]) for w in different), np.uint64, len(different))[ids]
-    mixed = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + (h[1:] ^ h[1:] >> np.uint64(29)) * np.uint64(0xC2B2AE3D27D4EB4F)
-    both = np.concatenate((h, mixed))
-    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
-        both = (both ^ both >> np.uint64(33)) * np.uint64(factor)
-    return both ^ both >> np.uint64(33)
+    return ngrams([text])[0]
 
 
 class Counts(NamedTuple):
@@ -124,19 +177,74 @@ class Counts(NamedTuple):
     all_good: int
 
 
-class _Lot:
-    """The n-grams of some texts: those of each by their place in ``keys``."""
+def hash_bits(all_ngrams: int) -> int:
+    """Bits of the hashes of a corpus with so many n-grams: one in 16,000 of
+    them at most shares its hash with another, at any size."""
+    return min(64, max(42, ceil(log2(all_ngrams + 1)) + 14))
+
 
-    def __init__(self, texts: list[bytes], flags: list[bool]):
-        found = [np.unique(ngram_hashes(t), return_counts=True) for t in texts]
-        self.keys, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *[k for k, _ in found]]), return_inverse=True)
-        ends = np.cumsum([0, *[len(k) for k, _ in found]])
-        self.places = [at[i:j] for i, j in zip(ends, ends[1:])]
-        self.owns, self.flags = [n for _, n in found], flags
-        self.raw, self.good = np.zeros(len(self.keys), np.int64), np.zeros(len(self.keys), np.int64)
-        for place, own, good in zip(self.places, self.owns, flags):
-            self.raw[place] += own
-            self.good[place] += own * good
+class _Lot:
+    """The n-grams of some texts: ``keys`` in order with their counts, and for
+    each text and n-gram its ``place`` in the keys, ``text`` and ``own`` count."""
+
+    def __init__(self, texts: list[bytes], flags: list[bool], bits: int = 64):
+        self.flags = np.array(flags, bool)
+        wide = max(1, len(texts) - 1).bit_length()
+        if bits + wide <= 64:  # hash and text in one number; arrays go as soon as they can
+            drop, up = np.uint64(64 - bits), np.uint64(wide)
+            chunks = [(h >> drop) << up | of.astype(np.uint64) for h, of in _ngram_chunks(texts)]
+            both = np.empty(sum(map(len, chunks)), np.uint64)
+            end = len(both)
+            while chunks:
+                last = chunks.pop()
+                both[end - len(last):end] = last
+                end -= len(last)
+            both.sort()
+            n, pair = len(both), np.ones(len(both), bool)
+            pair[1:] = both[1:] != both[:-1]
+            at = np.flatnonzero(pair)
+            both = both[at]
+            self.own = np.diff(at, append=n).astype(np.int32)
+            del at, pair
+            self.text = (both & np.uint64((1 << wide) - 1)).astype(np.int32)
+            both >>= up
+        else:
+            h, of = ngrams(texts)
+            h >>= np.uint64(64 - bits)
+            order = np.lexsort((of, h))
+            h, of = h[order], of[order]
+            pair = np.ones(len(h), bool)
+            pair[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
+            at = np.flatnonzero(pair)
+            self.own, self.text, both = np.diff(at, append=len(h)).astype(np.int32), of[at], h[at]
+        new = np.ones(len(both), bool)
+        new[1:] = both[1:] != both[:-1]
+        self.keys = both[new]
+        del both
+        self.place = np.cumsum(new, dtype=np.int32) - np.int32(1)
+        first = np.flatnonzero(new)
+        count = lambda x: np.add.reduceat(x, first) if len(first) else np.zeros(0, np.int64)
+        self.raw, self.good = count(self.own).astype(np.int64), count(self.own * self.flags[self.text]).astype(np.int64)
+
+    def scores(self, raw: np.ndarray, good: np.ndarray, all_raw: int, all_good: int, smoothing: float) -> np.ndarray:
+        """The texts' mean log ratios by the corpus's counts of ``keys``."""
+        total, n = np.zeros(len(self.flags)), np.zeros(len(self.flags))
+        if not all_good:
+            return total
+        for i in range(0, len(self.own), 1 << 19):
+            cut = slice(i, i + (1 << 19))
+            at, of, own = self.place[cut], self.text[cut], self.own[cut]
+            ratio = _log_ratio(own, raw[at], good[at], all_good / all_raw, self.flags[of], smoothing)
+            total += np.bincount(of, own * ratio, len(total))
+            n += np.bincount(of, own, len(n))
+        return total / np.maximum(n, 1)
+
+
+def _log_ratio(own, raw, good, rate: float, trusted, smoothing: float) -> np.ndarray:
+    """Log ratios of n-grams, a text's own occurrences taken out."""
+    target = np.maximum(good - own * trusted, 0) + smoothing * rate
+    base = np.maximum(raw - own, 0) + smoothing
+    return np.log(target / (rate * base))
 
 
 def _packed(*arrays: np.ndarray) -> bytes:
@@ -150,48 +258,82 @@ def _unpacked(data: bytes, n: int, arrays: int) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(arrays, 8, n).transpose(0, 2, 1)).view(np.uint64)[:, :, 0]
 
 
-def _lot_of(table: pa.Table, id_col: str, text_col: str, trusted: pa.Array) -> _Lot:
+def _lot_of(table: pa.Table, id_col: str, text_col: str, trusted: pa.Array, bits: int = 64) -> _Lot:
     ids = table.column(id_col).combine_chunks()
-    return _Lot([t or b"" for t in utf8(table.column(text_col).cast(pa.string()))], _flags(ids, trusted))
+    return _Lot([t or b"" for t in utf8(table.column(text_col).cast(pa.string()))], _flags(ids, trusted), bits)
 
 
-_BLOCK = "lot long, hashes long, n long, block binary"
+_BLOCK = "lot long, hashes long, n long, keys_crc long, block binary, mask binary"
 
 
 def _blocks(rows: list[tuple]) -> pa.Table:
-    kinds = (("lot", pa.int64()), ("hashes", pa.int64()), ("n", pa.int64()), ("block", pa.binary()))
+    kinds = (("lot", pa.int64()), ("hashes", pa.int64()), ("n", pa.int64()), ("keys_crc", pa.int64()), ("block", pa.binary()), ("mask", pa.binary()))
     return pa.table({name: pa.array([r[i] for r in rows], kind) for i, (name, kind) in enumerate(kinds)})
 
 
-def lots_of(docs: DataFrame, id_col: str, text_col: str, trusted: pa.Array, lot_bytes: int) -> tuple[DataFrame, str, int, int, int]:
-    """``docs`` with the number of its lot, that column's name, the number of
-    lots, and the n-grams of all and of the trusted documents."""
-    held = docs.sparkSession.sparkContext.broadcast(trusted)
+def corpus_totals(docs: DataFrame, id_col: str, text_col: str, trusted: pa.Array) -> tuple[int, int]:
+    """The n-grams of all and of the trusted documents."""
+    n = F.greatest(2 * F.regexp_count(F.coalesce(col(text_col).cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")) - 1, F.lit(0)).cast("long")
+    kind = docs.select(col(id_col)).schema[0].dataType.simpleString()
+    ids = docs.sparkSession.createDataFrame([(x,) for x in trusted.to_pylist()], f"good_id {kind}")
+    rows = docs.select(col(id_col).alias("own_id"), n.alias("n")).join(F.broadcast(ids), F.col("own_id") == F.col("good_id"), "left")  # TRUSTED ids at most
+    raw, good = rows.agg(F.sum("n"), F.sum(F.when(F.col("good_id").isNotNull(), F.col("n")))).first()
+    return raw or 0, good or 0
+
+
+def packed_lots(docs: DataFrame, lot_bytes: int) -> DataFrame:
+    """``lot, rows``: the rows of ``docs`` in lots, each compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = raw = good = 0
+        codec, made = pa.Codec("zstd", 6), 0
+        held: list[pa.RecordBatch] = []
+
+        def close() -> pa.RecordBatch:
+            nonlocal made
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held[0].schema) as out:
+                for x in held:
+                    out.write_batch(x)
+            held.clear()
+            data = sink.getvalue()
+            number = TaskContext.get().partitionId() << 32 | made
+            made += 1
+            packed = len(data).to_bytes(8, "little") + codec.compress(data, asbytes=True)
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([packed], pa.binary())], ["lot", "rows"])
+
+        size = 0
         for b in batches:
-            for text, is_good in zip(utf8(b.column("text")), _flags(b.column("doc_id"), held.value)):
-                n = max(0, 2 * len(text.split()) - 1)
-                size, raw, good = size + len(text), raw + n, good + n * is_good
-        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (size, raw, good)], ["size", "raw", "good"])
+            step = max(1, b.num_rows * (lot_bytes // 4) // max(1, b.nbytes))
+            for at in range(0, b.num_rows, step):  # a lot closes within a quarter of its size
+                part = b.slice(at, step)
+                held.append(part)
+                size += part.nbytes
+                if size >= lot_bytes:
+                    yield close()
+                    size = 0
+        if held:
+            yield close()
+
+    return over_batches(docs, run, "lot long, rows binary")
 
-    sums = over_batches(id_and_text(docs, id_col, text_col), run, "size long, raw long, good long")
-    size, raw, good = (x or 0 for x in sums.agg(F.sum("size"), F.sum("raw"), F.sum("good")).first())
-    lots, name = size // lot_bytes + 1, fresh_name(docs, "lot")
-    return docs.withColumn(name, F.pmod(F.xxhash64(col(id_col), col(text_col)), F.lit(lots))), name, lots, raw, good
 
+def _unpacked_rows(table: pa.Table) -> pa.Table:
+    data = table.column("rows")[0].as_buffer().to_pybytes()
+    whole = pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd")
+    return pa.ipc.open_stream(whole).read_all()
 
-def ngram_totals(dealt: DataFrame, lot: str, lots: int, id_col: str, text_col: str, trusted) -> DataFrame:
-    """For each lot of ``dealt`` and each range of hashes: the corpus's raw
-    and trusted counts of the lot's n-grams there, in the hashes' order."""
+
+def ngram_totals(lots: DataFrame, ranges: int, bits: int, id_col: str, text_col: str, trusted) -> DataFrame:
+    """For each lot and each range of hashes: which of the lot's n-grams there
+    other lots hold as well, and the corpus's raw and trusted counts of those,
+    in the hashes' order."""
 
     def ask(table: pa.Table) -> pa.Table:
-        own = _lot_of(table, id_col, text_col, trusted.value)
-        of = ((own.keys >> np.uint64(32)) * np.uint64(lots)) >> np.uint64(32)
+        own = _lot_of(_unpacked_rows(table), id_col, text_col, trusted.value, bits)
+        of = ((own.keys >> np.uint64(bits - 32)) * np.uint64(ranges)) >> np.uint64(32)
         at = np.append(np.flatnonzero(np.diff(of, prepend=of[:1] + np.uint64(1))), len(of))
-        number = table.column(lot)[0].as_py()
-        return _blocks([(number, int(of[i]), int(j - i), _packed(np.diff(own.keys[i:j], prepend=np.uint64(0)), own.raw[i:j], own.good[i:j]))
+        number, crc = table.column("lot")[0].as_py(), zlib.crc32(own.keys)
+        return _blocks([(number, int(of[i]), int(j - i), crc, _packed(np.diff(own.keys[i:j], prepend=np.uint64(0)), own.raw[i:j], own.good[i:j]), b"")
                         for i, j in zip(at, at[1:])])
 
     def answer(table: pa.Table) -> pa.Table:
@@ -199,43 +341,55 @@ def ngram_totals(dealt: DataFrame, lot: str, lots: int, id_col: str, text_col: s
         got = [_unpacked(r["block"], r["n"], 3) for r in rows]
         keys, at = np.unique(np.concatenate([np.cumsum(g[0], dtype=np.uint64) for g in got]), return_inverse=True)
         total = np.zeros((2, len(keys)), np.uint64)
+        holders = np.bincount(at, minlength=len(keys))
         ends = np.cumsum([0, *[r["n"] for r in rows]])
         for g, i, j in zip(got, ends, ends[1:]):
             total[:, at[i:j]] += g[1:]
-        return _blocks([(r["lot"], r["hashes"], r["n"], _packed(*total[:, at[i:j]])) for r, i, j in zip(rows, ends, ends[1:])])
+        out = []
+        for r, i, j in zip(rows, ends, ends[1:]):
+            mine = at[i:j]
+            shared = holders[mine] > 1
+            out.append((r["lot"], r["hashes"], r["n"], r["keys_crc"], _packed(*total[:, mine[shared]]), pa.compress(np.packbits(shared).tobytes(), "zstd", asbytes=True)))
+        return _blocks(out)
 
-    return dealt.groupBy(lot).applyInArrow(ask, _BLOCK).groupBy("hashes").applyInArrow(answer, _BLOCK)
+    return lots.groupBy("lot").applyInArrow(ask, _BLOCK).groupBy("hashes").applyInArrow(answer, _BLOCK)
 
 
-def judged_lots(docs: DataFrame, id_col: str, text_col: str, trusted: pa.Array, judge: Callable[[pa.Table, _Lot, list[float]], pa.Table],
+def judged_lots(docs: DataFrame, id_col: str, text_col: str, trusted: pa.Array, judge: Callable[[pa.Table, np.ndarray], pa.Table],
                 schema, lot_bytes: int = LOT_BYTES) -> DataFrame:
     """What ``judge`` makes of each lot's rows and their scores. Both uses of
-    the dealt rows have one plan, so that Spark shuffles them once."""
-    bounded_batches(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(trusted)
-    dealt, lot, lots, all_raw, all_good = lots_of(docs, id_col, text_col, trusted, lot_bytes)
-    totals = ngram_totals(dealt, lot, lots, id_col, text_col, held)
-
-    def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        own = _lot_of(rows, id_col, text_col, held.value)
-        got = [_unpacked(r["block"], r["n"], 2) for r in sorted(answers.to_pylist(), key=lambda r: r["hashes"])]
-        raw, good = np.concatenate([np.zeros((2, 0), np.uint64), *got], axis=1).astype(np.float64)
-        if len(raw) != len(own.keys):
-            raise ValueError(f"a lot of {len(own.keys)} n-grams was answered {len(raw)} totals")
-        scores = [_ratio(n, raw[at], good[at], all_raw, all_good, f) for at, n, f in zip(own.places, own.owns, own.flags)]
-        return judge(rows.drop_columns([lot]), own, scores)
-
-    return dealt.groupBy(lot).cogroup(totals.groupBy("lot")).applyInArrow(run, schema)
+    the packed lots have one plan, so that Spark shuffles them once."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    held = spark.sparkContext.broadcast(trusted)
+    all_raw, all_good = corpus_totals(docs, id_col, text_col, trusted)
+    bits, ranges = hash_bits(all_raw), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lots = packed_lots(docs, lot_bytes)
+    totals = ngram_totals(lots, ranges, bits, id_col, text_col, held)
+
+    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = _unpacked_rows(table)
+        own = _lot_of(rows, id_col, text_col, held.value, bits)
+        raw, good, at, crc = own.raw, own.good, 0, zlib.crc32(own.keys)
+        for r in sorted(answers.to_pylist(), key=lambda r: r["hashes"]):
+            mask = np.frombuffer(pa.decompress(r["mask"], decompressed_size=(r["n"] + 7) // 8, codec="zstd"), np.uint8)
+            shared = at + np.flatnonzero(np.unpackbits(mask, count=r["n"]))
+            raw[shared], good[shared] = _unpacked(r["block"], len(shared), 2)
+            at += r["n"]
+            if r["keys_crc"] != crc:
+                raise ValueError("a lot was made anew from documents in another order: write the documents to a table first")
+        if at != len(own.keys):
+            raise ValueError(f"a lot of {len(own.keys)} n-grams was answered {at}")
+        return judge(rows, own.scores(raw, good, all_raw, all_good, SMOOTHING))
+
+    return lots.groupBy("lot").cogroup(totals.groupBy("lot")).applyInArrow(run, schema)
 
 
 def _ratio(own: np.ndarray, raw: np.ndarray, good: np.ndarray, all_raw: int, all_good: int, trusted: bool, smoothing: float = SMOOTHING) -> float:
     n = own.sum()
     if not n or not all_good:
         return 0.0
-    rate = all_good / all_raw
-    target = np.maximum(good - own * trusted, 0) + smoothing * rate
-    base = np.maximum(raw - own, 0) + smoothing
-    return float((own * np.log(target / (rate * base))).sum() / n)
+    return float((own * _log_ratio(own, raw, good, all_good / all_raw, trusted, smoothing)).sum() / n)
 
 
 def score(text: bytes, counts: Counts, trusted: bool = False, smoothing: float = SMOOTHING) -> float:
@@ -280,7 +434,7 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     base = id_and_text(docs, id_col, text_col)
     kind = base.schema["doc_id"].dataType.simpleString()
 
-    def judge(rows: pa.Table, own: _Lot, scores: list[float]) -> pa.Table:
+    def judge(rows: pa.Table, scores: np.ndarray) -> pa.Table:
         counts = np.array([base_counts(t) for t in utf8(rows.column("text"))], np.int64).reshape(-1, 5)
         return pa.table([rows.column("doc_id"), *[pa.array(counts[:, i]) for i in range(5)], pa.array(scores, pa.float64())],
                         ["doc_id", *_COUNTS, "score"])
@@ -300,7 +454,7 @@ def kept(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
          threshold: float = THRESHOLD, lot_bytes: int = LOT_BYTES) -> DataFrame:
     """The documents that pass, as they are."""
 
-    def judge(rows: pa.Table, own: _Lot, scores: list[float]) -> pa.Table:
+    def judge(rows: pa.Table, scores: np.ndarray) -> pa.Table:
         texts = utf8(rows.column(text_col).cast(pa.string()))
         return rows.filter(pa.array([s >= threshold and not base_fails(t or b"") for t, s in zip(texts, scores)], pa.bool_()))
 
