@@ -12,9 +12,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 _NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 Order = Sequence[str | tuple[str, str]]
@@ -134,16 +136,90 @@ def group_median(df: DataFrame, keys: Sequence[str], column: str, name: str = "m
                  accuracy: int | None = None) -> DataFrame:
     """AGG-7: exact median (mean of the two middle values for even counts).
 
-    The exact form keeps a value-to-count map per group (partial per map
-    task). For groups too large for one task's memory pass ``accuracy``: the
-    median then comes from ``percentile_approx`` sketches of fixed size.
-    Threshold decisions ("median above t") are exact and O(1) per group with
+    This form keeps a value-to-count map per group (partial per map task). For
+    groups of more values than one task should hold, :func:`selected_median`
+    is exact with bounded state; with ``accuracy`` the median comes from
+    ``percentile_approx`` sketches of fixed size. Threshold decisions ("median above t") are exact and O(1) per group with
     :func:`median_exceeds`."""
     if accuracy:
         return df.groupBy(*keys).agg(F.percentile_approx(column, 0.5, accuracy).alias(name))
     return df.groupBy(*keys).agg(F.median(column).alias(name))
 
 
+#: Steps of the sketched histogram that narrows a bracket.
+_STEPS = 64
+
+
+def selected_median(df: DataFrame, keys: Sequence[str], column: str, name: str = "median", limit: int = 100_000) -> DataFrame:
+    """AGG-7 for hot groups: the exact median as :func:`group_median` gives
+    it, without a map of a group's values.
+
+    Groups of up to ``limit`` values go the plain way. For each other group a
+    bracket of values that holds the middle ranks is narrowed: a pass counts
+    the values below, at the ends of and inside a candidate bracket and
+    sketches its inside as a histogram of ``_STEPS`` steps of equal counts;
+    the counts, not the sketch, decide whether the candidate holds the ranks.
+    A pass leaves at most a few steps inside, so two or three passes bring
+    10^11 values below ``limit`` whatever their distribution; many equal
+    values end in a bracket without an inside. The last pass counts the
+    different values of the bracket. All state is fixed counts and sketches a
+    map task; the driver sees whether a group is still too large."""
+    spark, keys = df.sparkSession, list(keys)
+    rows = df.select(*[F.col(f"`{k}`") for k in keys], F.col(f"`{column}`").cast("double").alias("_v"))
+    groups = rows.groupBy(*keys).agg(F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    groups = cut_lineage(groups, spark, "median-groups")
+    hot = groups.where(F.col("_n") > limit)
+    if hot.isEmpty():
+        return group_median(df, keys, column, name)
+
+    def of(state: DataFrame) -> DataFrame:
+        """The rows of the groups of ``state`` inside their known brackets."""
+        named = state.toDF(*[f"_k{keys.index(c)}" if c in keys else c for c in state.columns])
+        same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], F.lit(True))
+        got = rows.where(F.col("_v").isNotNull()).join(named, same)
+        return got.where((F.col("_v") >= F.col("_from")) & (F.col("_v") <= F.col("_to"))).drop(*[f"_k{i}" for i in range(len(keys))])
+
+    state = hot.select(*keys, F.expr("(_n - 1) div 2").alias("_r1"), F.expr("_n div 2").alias("_r2"), "_lo", "_hi",
+                       F.col("_lo").alias("_from"), F.col("_hi").alias("_to"), F.lit(0).cast("long").alias("_below"), F.lit(1).alias("_margin"))
+    done = None
+    while True:
+        v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
+        inside = (v > lo) & (v < hi)
+        carried = ["_r1", "_r2", "_lo", "_hi", "_from", "_to", "_below", "_margin"]
+        seen = of(state).groupBy(*keys).agg(
+            *[F.first(c).alias(c) for c in carried], F.count(F.when(v < lo, 1)).alias("_lt"), F.count(F.when(v == lo, 1)).alias("_at_lo"),
+            F.count(F.when(inside, 1)).alias("_mid"), F.count(F.when((v == hi) & (lo < hi), 1)).alias("_at_hi"),
+            F.percentile_approx(F.when(inside, v), [i / _STEPS for i in range(_STEPS + 1)], 20 * _STEPS).alias("_steps"))
+        start = F.col("_below") + F.col("_lt")
+        holds = (start <= F.col("_r1")) & (F.col("_r2") < start + F.col("_at_lo") + F.col("_mid") + F.col("_at_hi"))
+        step = lambda r: (F.col(r) - start - F.col("_at_lo")) * _STEPS / F.greatest("_mid", F.lit(1))
+        i1 = (F.floor(step("_r1")) - F.col("_margin")).cast("int")
+        i2 = (F.ceil(step("_r2")) + F.col("_margin")).cast("int")
+        low = F.when(i1 < 0, lo).when(i1 >= _STEPS, F.element_at("_steps", -1)).otherwise(F.get(F.col("_steps"), i1))
+        high = F.when(F.col("_r2") < start + F.col("_at_lo"), lo).when(i2 > _STEPS, hi).otherwise(F.get(F.col("_steps"), F.greatest(i2, F.lit(0))))
+        keep = lambda new, old: F.when(holds, new).otherwise(F.col(old))
+        after = seen.select(
+            *keys, "_r1", "_r2", keep(low, "_from").alias("_lo"), keep(high, "_to").alias("_hi"), keep(lo, "_from").alias("_from"),
+            keep(hi, "_to").alias("_to"), keep(start, "_below").alias("_below"), (F.col("_margin") * F.when(holds, 1).otherwise(2)).alias("_margin"),
+            (holds & (F.col("_mid") <= limit)).alias("_done"))
+        after = cut_lineage(after, spark, "median-bracket")
+        found = after.where("_done").drop("_done")
+        done = found if done is None else done.union(found)
+        state = after.where("NOT _done").drop("_done")
+        if state.isEmpty():
+            break
+    values = of(done).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"), *[F.first(c).alias(c) for c in ("_r1", "_r2", "_below")])
+    order = Window.partitionBy(*keys).orderBy("_v")  # the different values of a bracket: limit and two at most
+    values = values.withColumn("_end", F.col("_below") + F.sum("_c").over(order))
+    pick = lambda r: F.min(F.when(F.col("_end") > F.col(r), F.col("_v")))
+    large = values.groupBy(*keys).agg((pick("_r1") * 0.5 + pick("_r2") * 0.5).alias(name))
+    if not keys:
+        return large
+    named = hot.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)])
+    same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], F.lit(True))
+    return group_median(df.join(named, same, "left_anti"), keys, column, name).union(large)
+
+
 def median_exceeds(df: DataFrame, keys: Sequence[str], column: str, threshold: float,
                    name: str = "median_exceeds") -> DataFrame:
     """Per group: is the exact median of ``column`` (nulls ignored; mean of

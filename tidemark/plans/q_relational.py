@@ -353,6 +353,21 @@ def q_group_median(spark, sf_dir):
     return m.withColumn("median_acctbal", F.round("median_acctbal", 4))
 
 
+@query("selected_median", "AGG-7", """
+SELECT l_returnflag, CASE WHEN l_linestatus = 'F' THEN NULL ELSE l_linenumber END AS mode, median(l_extendedprice) AS median_price,
+       median(l_quantity) AS median_quantity FROM lineitem GROUP BY ALL
+""")
+def q_selected_median(spark, sf_dir):
+    """Groups of very different size, a null key, prices that hardly repeat
+    and quantities that do."""
+    li = table(spark, sf_dir, "lineitem").withColumn("mode", F.when(F.col("l_linestatus") != "F", F.col("l_linenumber")))
+    keys = ["l_returnflag", "mode"]
+    price = agg.selected_median(li, keys, "l_extendedprice", "median_price", limit=500)
+    quantity = agg.selected_median(li, keys, "l_quantity", "median_quantity", limit=20).withColumnsRenamed({k: f"of_{k}" for k in keys})
+    same = F.col("l_returnflag").eqNullSafe(F.col("of_l_returnflag")) & F.col("mode").eqNullSafe(F.col("of_mode"))
+    return price.join(quantity, same).select(*keys, "median_price", "median_quantity")
+
+
 @query("most_common", "AGG-8 ORD-2", """
 SELECT p_brand, p_type, n FROM (
   SELECT p_brand, p_type, n, row_number() OVER (PARTITION BY p_brand ORDER BY n DESC, p_type) AS rn
