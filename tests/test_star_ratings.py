@@ -132,3 +132,33 @@ def test_overall_summary(spark, tmp_dir):
     assert r.overall_summary_raw == "Plan too new"
     assert r.disaster_py_minus_2 == "0" and r.disaster_py_minus_3 == "100"
     assert r.src_file_date == dt.date(2023, 10, 11) and r.performance_year == 2024
+
+
+def test_overall_summaries_of_all_years(spark, tmp_dir):
+    """Years with other headers load together, each renamed by its own year."""
+    root = os.path.join(tmp_dir, "years")
+    head = "Contract Number,Organization Type,Contract Name,Organization Marketing Name,Parent Organization,SNP,"
+    write(f"{root}/2024 Star Ratings/2024 Star Ratings Data Table - Summary Rating (Oct 13 2023).csv",
+          "Title\n" + head + "2022 Disaster %,2021 Disaster %,2024 Part C Summary,2024 Part D Summary,2024 Overall\n"
+          "H1,Local,\"Plan, one\",Market,Parent,No,5,6,4.5,4,Plan too new\n")
+    write(f"{root}/2022 Star Ratings/2022 Star Ratings Data Table - Summary Rating (Oct 8 2021).csv",
+          "Title\n" + head + "2022 Overall,2022 Part D Summary,2022 Part C Summary,2020 Disaster %\nH2,Local,Two,Market,Parent,Yes,3.5,3,2.5,9\n")
+    write(f"{root}/2022 Star Ratings/2022 Other (Oct 8 2021).csv", "x\n")
+    rows = {r.contract_number: r for r in S.overall_summaries(spark, root, LOAD).collect()}
+    a, b = rows["H1"], rows["H2"]
+    assert (a.performance_year, a.part_c_summary, a.overall_summary, a.overall_summary_raw) == (2024, 4.5, None, "Plan too new")
+    assert (a.disaster_py_minus_2, a.disaster_py_minus_3, a.contract_name) == ("5", "6", "Plan, one")
+    assert (b.performance_year, b.part_c_summary, b.part_d_summary, b.overall_summary) == (2022, 2.5, 3.0, 3.5)
+    assert (b.disaster_py_minus_2, b.disaster_py_minus_3, b.src_file_date) == ("9", None, dt.date(2021, 10, 8))
+
+
+def test_star_rating_files_by_rule(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "rules")
+    for name in ("2012_plan_ratings_and_display_measures/x/2012 Master_Table a data.csv", "2015_ratings/2015 Master Table a data.csv",
+                 "2012_plan_ratings_and_display_measures/2012 Measure Data.csv", "d/2013_Display_Measure.csv", "d/2014_Display_Measure_b.csv",
+                 "d/2016 HEDIS c.csv", "d/2012 HEDIS.csv", "d/2020 Display.csv"):
+        write(f"{root}/{name}", "x\n")
+    names = lambda paths: sorted(os.path.basename(p) for p in paths)
+    assert names(S._paths(spark, root, S.MEASURE_PATTERNS, deny_folders=S.MASTER_DENY_FOLDERS, denied=S.MASTER_TABLES)) == [
+        "2012 Measure Data.csv", "2015 Master Table a data.csv"]
+    assert names(S._paths(spark, root, S.DISPLAY_PATTERNS, after=S.DISPLAY_AFTER)) == ["2014_Display_Measure_b.csv", "2016 HEDIS c.csv"]

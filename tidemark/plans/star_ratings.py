@@ -20,7 +20,7 @@ from ..functions.dates import (
     stem,
     underscore_date,
 )
-from ..functions.names import normalize_name
+from ..functions.names import normalize_name, normalize_name_col
 from ..functions.scalars import parse_number
 from ..operators import projections as prj
 from ..operators.aggregates import union_by_name
@@ -49,20 +49,44 @@ def measure_file_date(name):
     return _required_date(F.coalesce(paren_text_date(name), underscore_date(stem(name))), name)
 
 
-def _paths(spark: SparkSession, root: str, patterns: Sequence[str], exclude: Sequence[str] = ()) -> list[str]:
+# Which files make a table, and folders of other layouts.
+MEASURE_PATTERNS = ("*Master[_ ]Table*data.csv", "*Measure Data*.csv")
+MASTER_TABLES = r"Master[_ ]Table.*data\.csv$"
+MASTER_DENY_FOLDERS = (
+    "2007_plan_ratings", "2008_plan_ratings", "2009_plan_ratings", "2010_plan_ratings_and_display_measures",
+    "2011_plan_ratings_and_display_measures", "2012_plan_ratings_and_display_measures", "2013_plan_ratings_and_display_measures",
+)
+DISPLAY_PATTERNS = ("*Display_Measure*.csv", "*HEDIS*.csv")
+DISPLAY_AFTER = "2013"
+
+
+def _paths(spark: SparkSession, root: str, patterns: Sequence[str], exclude: Sequence[str] = (), deny_folders: Sequence[str] = (),
+           denied: str = "", after: str | None = None) -> list[str]:
+    """Files by name pattern, but for those whose name holds a word of
+    ``exclude``, those that lie anywhere below a folder of ``deny_folders``
+    (only names like ``denied``, if given), and those whose name does not
+    begin with a year ``after`` the given one."""
     listings = [src.list_files(spark, root, p) for p in patterns]
     files = union_by_name(listings).dropDuplicates(["path"])
     for word in exclude:
         files = files.filter(~F.col("name").contains(word))
+    if deny_folders:
+        below = F.arrays_overlap(F.split("path", "/"), F.array(*[F.lit(d) for d in deny_folders]))
+        files = files.filter(~(below & F.col("name").rlike(denied)))
+    if after is not None:
+        files = files.filter(F.substring("name", 1, 4) > after)
     rows = files.select("path").collect()  # what the reader must be told, one per file
     return [r[0] for r in rows]
 
 
 def measure_values(spark: SparkSession, root: str, patterns: Sequence[str], load_date: _dt.date,
-                   exclude: Sequence[str] = (), width: int | None = None, encoding: str = "ISO-8859-1") -> DataFrame:
+                   exclude: Sequence[str] = (), width: int | None = None, encoding: str = "ISO-8859-1",
+                   deny_folders: Sequence[str] = (), denied: str = "") -> DataFrame:
     """starrating_measure_value / _star: every matching file through
-    read_matrix + matrix_to_long, with performance year and file date."""
-    paths = _paths(spark, root, patterns, exclude)
+    read_matrix + matrix_to_long, with performance year and file date.
+    Of the values, ``MEASURE_PATTERNS`` without the master tables
+    (``denied=MASTER_TABLES``) of the ``MASTER_DENY_FOLDERS``."""
+    paths = _paths(spark, root, patterns, exclude, deny_folders, denied)
     m = src.read_matrix(spark, paths, width, encoding, stage=True, files=True)
     name = base_name(F.col(src.FILE_PATH))
     long = matrix_to_long(m, file_columns={"performance_year": _year_folder(),
@@ -71,11 +95,13 @@ def measure_values(spark: SparkSession, root: str, patterns: Sequence[str], load
     return out.withColumn("load_date", F.lit(load_date))
 
 
-def display_measures(spark: SparkSession, root: str, load_date: _dt.date, pattern: str = "*Display*.csv",
+def display_measures(spark: SparkSession, root: str, load_date: _dt.date, pattern: str | None = None,
                      width: int | None = None, encoding: str = "ISO-8859-1") -> DataFrame:
-    """starrating_display_hedis_measure: offset 0 for files whose stem holds
-    ``HEDIS``, 1 otherwise; file date from the trailing ``YYYY_MM_DD``."""
-    paths = _paths(spark, root, [pattern])
+    """starrating_display_hedis_measure: the files of ``DISPLAY_PATTERNS``
+    whose name begins with a year after ``DISPLAY_AFTER`` (or those of
+    ``pattern``); offset 0 for files whose stem holds ``HEDIS``, 1 otherwise;
+    file date from the trailing ``YYYY_MM_DD``."""
+    paths = _paths(spark, root, [pattern]) if pattern else _paths(spark, root, DISPLAY_PATTERNS, after=DISPLAY_AFTER)
     m = src.read_matrix(spark, paths, width, encoding, stage=True, files=True)
     name = base_name(F.col(src.FILE_PATH))
     offset = F.when(stem(name).contains("HEDIS"), 0).otherwise(1)
@@ -143,6 +169,35 @@ def overall_summary(spark: SparkSession, paths: Sequence[str], performance_year:
                      date.alias("src_file_date"), name.alias("src_file_name"), F.lit(load_date).alias("load_date"))
 
 
+def overall_summaries(spark: SparkSession, root: str, load_date: _dt.date, encoding: str = "ISO-8859-1") -> DataFrame:
+    """starrating_overall_summary from its folder: all ``*Summary Rating*``
+    files of any year in one read. The year of a file is the first four
+    characters of its name; its header is renamed relative to that year
+    (PRJ-4) on the one header row a file, so the years load by name."""
+    paths = _paths(spark, root, ["*Summary Rating*.csv"])
+    year = F.substring(base_name(F.col(src.FILE_PATH)), 1, 4).cast("int")
+    disaster = lambda back: F.concat((year - back).cast("string"), F.lit("_disaster"))
+
+    def names(header):
+        def renamed(x):
+            n = normalize_name_col(x)
+            return (F.when(n.contains("part_c_summary"), "part_c_summary_raw").when(n.contains("part_d_summary"), "part_d_summary_raw")
+                    .when(n.contains("overall"), "overall_summary_raw").when(F.contains(n, disaster(2)), "disaster_py_minus_2")
+                    .when(F.contains(n, disaster(3)), "disaster_py_minus_3").otherwise(n))
+        return F.transform(src.report_names(header), renamed)
+
+    df = src.by_header(src.read_matrix(spark, paths, None, encoding, stage=True), 1, names)
+    missing = [c for c in SUMMARY_COLUMNS if c not in df.columns and c not in SUMMARY_PARSED]
+    df = df.withColumns({c: F.lit(None).cast("string") for c in missing})
+    df = df.withColumns({c: parse_number(f"{c}_raw") for c in SUMMARY_PARSED})
+    name = base_name(F.col(src.FILE_PATH))
+    return df.select(*SUMMARY_COLUMNS, year.alias("performance_year"), _required_date(paren_text_date(name), name).alias("src_file_date"),
+                     name.alias("src_file_name"), F.lit(load_date).alias("load_date"))
+
+
+SUMMARY_PARSED = ("part_c_summary", "part_d_summary", "overall_summary")
+
+
 def write_full(df: DataFrame, target: str) -> None:
     """SNK-3: the star-rating tables are rebuilt whole."""
     snk.replace_table(df, target)
