@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Largest Arrow batch that a Python worker gets, in bytes.
@@ -88,6 +88,22 @@ def digest_of(path: str) -> str:
     return h.hexdigest()
 
 
+def numbered(df: DataFrame, name: str, *order) -> DataFrame:
+    """``df`` with the place ``name`` (a long, from 0) of each row in an order.
+    Ranges of the order are sorted by themselves; the rows before a range come
+    from a sum over the ranges."""
+    from ..session import cut_lineage
+
+    spark = df.sparkSession
+    lots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(lots, *order).sortWithinPartitions(*order)
+    rows = cut_lineage(dealt.withColumns({"in_range": F.spark_partition_id(), "in_order": F.monotonically_increasing_id()}), spark, "numbered")
+    ranges = rows.groupBy(F.col("in_range").alias("of_range")).agg(F.min("in_order").alias("least"), F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("of_range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    ranges = ranges.select("of_range", (F.col("least") - F.coalesce(F.sum("n").over(before), F.lit(0))).alias("shift"))
+    return rows.join(ranges, F.col("in_range") == F.col("of_range")).select(*map(col, df.columns), (F.col("in_order") - F.col("shift")).alias(name))
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, component)`` for every end of an edge, ``component`` being the
     smallest node reachable.

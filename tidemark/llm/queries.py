@@ -82,11 +82,10 @@ def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
-    got, sizes, goal = mixing.mixed(read_table(spark, sf_dir, "documents"))
-    table = spark.createDataFrame([(s, sizes[s], float(goal[s])) for s in sizes],
-                                  "of string, source_size long, target double")
-    return got.join(table, F.col("members")[0].eqNullSafe(F.col("of"))).select(
-        "doc_id", "size", "source_size", "target", "taken", F.col("members")[0].alias("source"))
+    got, sources = mixing.mixed_with(read_table(spark, sf_dir, "documents"))
+    table = sources.select("of", F.col("words").alias("source_size"), "target")
+    rows = got.select("doc_id", "size", "taken", F.col("members")[0].alias("source"))
+    return rows.join(table, F.col("source").eqNullSafe(F.col("of"))).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
