@@ -335,6 +335,22 @@ def test_range_coder_blocks_stand_alone_and_are_checked():
         range_coder.decode(blocks[0][:-1])
 
 
+def test_range_coder_of_lanes_and_batches():
+    """Blocks of many lanes, several batches, and a skewed and repeating text
+    that costs less than its order-0 entropy."""
+    rng = np.random.default_rng(5)
+    piece = np.minimum(rng.geometric(0.02, 3000), 5000).astype(np.uint32)
+    ids = np.concatenate([piece if rng.random() < 0.3 else np.minimum(rng.geometric(0.02, 2000), 5000).astype(np.uint32) for _ in range(500)])
+    assert len(ids) > range_coder.BLOCK * range_coder.BATCH
+    blocks = range_coder.encode(ids, 49_408)
+    assert (range_coder.decode(b"".join(blocks)) == ids).all()
+    p = np.bincount(ids) / len(ids)
+    p = p[p > 0]
+    assert 8 * sum(map(len, blocks)) / len(ids) < -(p * np.log2(p)).sum()
+    alone = range_coder.encode(ids[3 * range_coder.BLOCK:4 * range_coder.BLOCK], 49_408)
+    assert alone == blocks[3:4]  # a block does not depend on its neighbours
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_pieces_agree_with_the_library(name):
     path = str(public_tokenizers.path(name))

@@ -1,168 +1,160 @@
 """Adaptive context-mixing range coder for token ids.
 
-A block of ids is coded on its own, from a fresh model, and carries its
-length and the checksums of its ids and of its words. Three predictions are
-mixed for every id, with shares that each block learns as it goes:
+A block of ``BLOCK`` ids is coded on its own, from a fresh model, and carries
+its length and the checksums of its ids and of its words. Three predictions
+are mixed for every id, with shares that each block learns as it goes:
 
 - order 2: the id that last followed the two ids before (by their hash);
 - order 1: the id that last followed the id before;
-- order 0: the ids of the block's last ``WINDOW``, each in proportion to its
-  count there, taken anew at doubling and then even distances.
-
-The total is laid out as [order 2 | order 1 | order 0 | escape]: one coding
-step gives an id that a prediction holds, an escape is followed by two
-further steps for the id itself. An order's share is the learnt chance that
-its candidate is right at its present run of successes; the escape's share is
-learnt as well. Encoder and decoder make the same integer steps.
-
-Many blocks are coded in step as lanes of numpy arrays, ``LANES`` at once.
+- order 0: all ids of the block so far, each in proportion to its count.
+
+A prediction that was right several times running counts for more: for each
+pair of runs of order 2 and order 1 (``_RUNS`` and more are one) the block
+keeps how often either, order 0 or none of them held the id, and codes by
+these counts which one does. An id of order 0 is then coded by its share, an
+id that the block has not had yet by its number (an escape).
+
+A block is cut into lanes of ``LANE`` ids, which are coded in step, each by a
+range coder of its own, and share the block's model: what one lane has learnt
+serves all. The model learns after every ``_LEARN`` steps, its table of counts
+is taken anew at the steps ``_COUNTED``. Many blocks are worked at together as
+numpy arrays, ``BATCH`` at once; encoder and decoder make the same integer
+steps, and no block depends on the others of its batch.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 
-BLOCK = 1024
-LANES = 2048
-WINDOW = 512
-_REFRESH = 256
-_SLOT_BITS = 10
+BLOCK = 1 << 16
+LANE = 512
+BATCH = 16
+#: Ids that are worked at together.
+LANES = BATCH
+_LEARN = 4
+_COUNTED = (1, 4, 12, 28, 64, 128, 240)
+_RUNS = 5
+_STATES = (_RUNS + 1) ** 2
+_SLOT_BITS = 15
 _SLOTS = 1 << _SLOT_BITS
 _TOTAL = 16  # bits of the total
 _T = 1 << _TOTAL
-_RATE = 4
-_MAGIC = b"TKB1"
+_PRIOR = np.array([2, 2, 4, 2], np.int64)  # order 2, order 1, order 0, escape
+_MAGIC = b"TKB2"
 _HEAD = struct.Struct("<4sIIIII")  # magic, vocabulary, ids, words, checksum of the ids, of the words
 _MASK32 = (1 << 32) - 1
 
 
-class _Lanes:
-    """The models of some blocks, at the same place in each. Chances are
-    parts of the total, as unsigned 32-bit integers."""
+class _Models:
+    """The models of some blocks; ``blk`` tells the block of each lane."""
 
-    def __init__(self, n: int, vocab: int):
-        self.n = n
-        self.row = (np.arange(n) * _SLOTS).astype(np.int32)
+    def __init__(self, blk: np.ndarray, n: int, vocab: int):
+        self.blk, self.n, self.vocab = blk, n, vocab
+        self.row = (blk * _SLOTS).astype(np.int64)
         self.table = [np.zeros(n * _SLOTS, np.uint32) for _ in range(2)]  # the id + 1; 0: none
-        self.chance = [np.full(n, _T // 4, np.int32) for _ in range(2)]
-        self.escape = np.full(n, _T // 2, np.int32)
-        self.p1 = np.zeros(n, np.uint32)
-        self.p2 = np.zeros(n, np.uint32)
-        self.window = None
-        self.slots = 0
+        self.run = [np.zeros(n * _SLOTS, np.int8) for _ in range(2)]
+        self.seen = np.zeros((n, _STATES, 4), np.int64)
+        self.seen += _PRIOR
+        self.counts = np.zeros(n * vocab, np.int32)
+        self.first, self.many = np.zeros(n * vocab, np.int32), np.zeros(n * vocab, np.int32)  # order 0: start and size of each id's share
+        self.holder, self.counted = np.zeros((n, _T), np.int32), False  # the id at each place
         self.digits = [(0, _T // vocab)] if vocab <= _T else [(12, _T // (-(-vocab >> 12))), (0, _T >> 12)]
-
-    def shrink(self, n: int) -> None:
-        """Go on with the first ``n`` lanes."""
-        self.n, self.row, self.chance = n, self.row[:n], [c[:n] for c in self.chance]
-        self.escape, self.p1, self.p2 = self.escape[:n], self.p1[:n], self.p2[:n]
-        if self.window is not None:
-            self.window, self.first, self.many = self.window[:n], self.first[:n], self.many[:n]
-
-    def refresh(self, past: np.ndarray) -> None:
-        """Order 0 from the last ids of each lane: the ids in order, and for
-        each slot the first slot of its id and how many it has."""
-        w = self.window = np.sort(past[:, -WINDOW:], axis=1)
-        self.slots = w.shape[1]
-        slots = np.arange(self.slots, dtype=np.int32)
-        new = np.ones(w.shape, bool)
-        new[:, 1:] = w[:, 1:] != w[:, :-1]
-        self.first = np.maximum.accumulate(np.where(new, slots, np.int32(0)), axis=1)
-        new[:, :-1] = new[:, 1:]
-        new[:, -1] = True
-        last = np.minimum.accumulate(np.where(new, slots, np.int32(self.slots))[:, ::-1], axis=1)[:, ::-1]
-        self.many = last - self.first + np.int32(1)
-
-    def predict(self) -> None:
-        """Lay out the shares: order 2 up to ``a``, order 1 up to ``base``,
-        order 0 in slots of ``unit`` up to ``tail``, then the escape. No share
-        that can be coded is empty."""
-        h = self.p1 * np.uint32(0x9E3779B1)
-        one = self.row + (h >> np.uint32(32 - _SLOT_BITS)).view(np.int32)
-        h += self.p2 * np.uint32(0x85EBCA77)
-        two = self.row + (h >> np.uint32(32 - _SLOT_BITS)).view(np.int32)
-        self.at = (two, one)
-        self.c2, self.c1 = self.table[0][two], self.table[1][one]
-        self.ok2 = self.c2 != 0
-        self.ok1 = (self.c1 != 0) & (self.c1 != self.c2)
-        p2, p1 = self.chance
-        self.a = (1 + p2 - (p2 >> 3)) * self.ok2
-        rest = _T - self.a
-        self.base = self.a + (1 + ((rest >> 1) * (p1 >> 1) >> _TOTAL - 1)) * self.ok1
-        rest = _T - self.base
-        if self.slots:
-            rest -= 1 + ((rest >> 1) * (self.escape >> 1) >> _TOTAL - 1)
-            self.unit = rest // np.int32(self.slots)
-            self.tail = self.base + self.unit * np.int32(self.slots)
-        else:
-            self.tail = self.base
-
-    def update(self, x: np.ndarray, kind: np.ndarray) -> None:
-        """Learn ``x`` (an id + 1); kind: 0 order 2, 1 order 1, 2 order 0, 3
-        escape. An order learns where those above it were wrong."""
-        p2, p1 = self.chance
-        p2 += (((kind == 0) * np.int32(_T - 1) - p2) >> _RATE) * self.ok2
-        low = kind > 0
-        p1 += (((kind == 1) * np.int32(_T - 1) - p1) >> _RATE) * (self.ok1 & low)
-        self.escape += (((kind == 3) * np.int32(_T - 1) - self.escape) >> _RATE) * (kind > 1)
-        self.table[0][self.at[0]] = x
-        self.table[1][self.at[1]] = x
-        self.p2[:] = self.p1
-        self.p1[:] = x
-
-
-def _due(t: int) -> bool:
-    return t >= 16 and (t & (t - 1) == 0 if t < _REFRESH else t % _REFRESH == 0)
-
-
-def _next_due(t: int) -> int:
-    t += 1
-    while not _due(t):
-        t += 1
-    return t
-
-
-def _laid_out(blocks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Blocks by falling length: their order, lengths and ids by lane."""
-    sizes = np.array([len(b) for b in blocks], np.int64)
-    order = np.argsort(-sizes, kind="stable")
-    ids = np.zeros((len(blocks), int(sizes.max(initial=0))), np.uint32)
-    for lane, i in enumerate(order.tolist()):
-        ids[lane, : sizes[i]] = blocks[i]
-    return order, sizes[order], ids
-
-
-def _places(m: _Lanes, ahead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For the coming ids of each lane: the first slot that holds them and how
-    many do. Steps come first."""
-    first = np.empty(ahead.shape, np.int32)
-    for i, (w, x) in enumerate(zip(m.window, ahead)):
-        first[i] = w.searchsorted(x)
-    slot = np.minimum(first, m.slots - 1) + (np.arange(len(first)) * m.slots)[:, None]
-    many = np.where(m.window.reshape(-1)[slot] == ahead, m.many.reshape(-1)[slot], np.int32(0))
-    return np.ascontiguousarray(first.T), np.ascontiguousarray(many.T)
-
-
-def _encode_lanes(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
-    order, sizes, ids = _laid_out(blocks)
-    steps = ids.shape[1]
-    n = len(blocks)
-    m = _Lanes(n, vocab)
+        self.shares()
+
+    def shares(self) -> None:
+        """Starts of the four outcomes' shares in each state. None is empty."""
+        total = self.seen.sum(axis=2, keepdims=True)
+        size = 1 + self.seen * (_T - 8) // total
+        ends = np.cumsum(size, axis=2)
+        self.bounds = np.zeros((self.n, _STATES, 5), np.int32)
+        self.bounds[:, :, 1:4] = ends[:, :, :3]
+        self.bounds[:, :, 4] = _T
+        self.bounds = self.bounds.reshape(-1, 5)
+
+    def count(self, blk: np.ndarray, ids: np.ndarray, holders: bool) -> None:
+        """Take the table of order 0 anew, with these ids besides; a decoder
+        needs the ``holders`` of all places too."""
+        flat, more = np.unique(blk * self.vocab + ids, return_counts=True)
+        self.counts[flat] += more
+        at = np.flatnonzero(self.counts)  # the ids so far, by block
+        counts, of = self.counts[at], at // self.vocab
+        total, kinds = np.bincount(of, counts, self.n), np.bincount(of, minlength=self.n)
+        size = 1 + (counts * ((_T - kinds) / np.maximum(total, 1))[of]).astype(np.int32)
+        ends = np.cumsum(size)
+        filled = np.bincount(of, size, self.n).astype(np.int64)
+        before = np.cumsum(filled) - filled
+        self.first[at] = ends - size - before[of]
+        self.many[at] = size
+        if holders:
+            held = np.repeat((at - of * self.vocab).astype(np.int32), size)
+            for b, (i, n) in enumerate(zip(before.tolist(), filled.tolist())):
+                self.holder[b, :n] = held[i:i + n]  # a place beyond the last share is never coded
+        self.counted = True
+
+    def look(self, k: int, p1: np.ndarray, p2: np.ndarray):
+        """For the first ``k`` lanes (in the last axis) after ids ``p1`` and
+        ``p2`` (each + 1): slots, candidates and the state."""
+        h = p1 * np.uint32(0x9E3779B1)
+        one = self.row[:k] + (h >> np.uint32(32 - _SLOT_BITS))
+        h = (h ^ h >> np.uint32(15)) + p2 * np.uint32(0x85EBCA77)
+        h ^= h >> np.uint32(16)
+        two = self.row[:k] + (h * np.uint32(0xC2B2AE35) >> np.uint32(32 - _SLOT_BITS))
+        c2, c1 = self.table[0][two], self.table[1][one]
+        r2, r1 = self.run[0][two], self.run[1][one] * (c1 != c2)
+        return two, one, c2, c1, r2, r1, self.blk[:k] * _STATES + r2 * np.int64(_RUNS + 1) + r1
+
+    def learn(self, x: np.ndarray, two, one, c2, c1, r2, state, kind) -> None:
+        """Learn what followed in some steps, all in the order of the steps
+        and lanes: of several in one slot the last stays."""
+        self.seen.reshape(-1)[:] += np.bincount(state * 4 + kind, minlength=self.seen.size)
+        self.shares()
+        hit = c2 == x
+        self.run[0][two] = np.where(hit, np.minimum(r2 + 1, _RUNS), 1)
+        self.table[0][two] = x
+        self.run[1][one] = np.where(c1 == x, np.minimum(self.run[1][one] + 1, _RUNS), 1)
+        self.table[1][one] = x
+
+
+def _laid_out(sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The lanes of blocks of these sizes, by falling length: block, number of
+    the lane in its block, and length."""
+    lanes = [(b, k, min(LANE, n - k * LANE)) for b, n in enumerate(sizes) for k in range(-(-n // LANE))]
+    out = np.array(lanes, np.int64).reshape(-1, 3)
+    return tuple(out[np.argsort(-out[:, 2], kind="stable")].T)
+
+
+def _spans(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """The steps between which the model learns or counts."""
+    last = int(sizes.max(initial=0))
+    stops = sorted({*range(0, last, _LEARN), *(c for c in _COUNTED if c < last), last})
+    return zip(stops, stops[1:])
+
+
+def _encode_batch(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
+    blk, lane, sizes = _laid_out([len(b) for b in blocks])
+    n, steps = len(blk), int(sizes.max(initial=0))
+    ids = np.zeros((n, steps), np.uint32)
+    for i in range(n):
+        ids[i, :sizes[i]] = blocks[blk[i]][lane[i] * LANE:lane[i] * LANE + sizes[i]]
+    m = _Models(blk, len(blocks), vocab)
+    x = np.zeros((steps + 2, n), np.uint32)  # two rows of none, then the ids + 1 by step
+    x[2:] = ids.T
+    x[2:] += 1
+    alive = np.searchsorted(-sizes, -np.arange(steps), "left")  # lanes that have a step
     low, span = np.zeros(n, np.uint64), np.full(n, (1 << 48) - 1, np.uint64)
-    words = np.zeros((n, 3 * steps + 4), np.uint32)
+    words = np.zeros((n, 4 * steps + 4), np.uint32)
     width = words.shape[1]
     flat, put = words.reshape(-1), np.arange(n) * width
-    slot_from = slot_many = None
-    shifted = np.ascontiguousarray(ids.T) + np.uint32(1)
 
     def code(at, start, size):
         """One step for the lanes ``at`` (a slice or indices)."""
         r = span[at] >> np.uint64(_TOTAL)
-        lo = low[at] + r * start.astype(np.uint64)
-        sp = r * size.astype(np.uint64)
+        lo = low[at] + r * start
+        sp = r * size
         small = sp <= np.uint64(_MASK32)
         to = put[at]
         flat[to] = lo >> np.uint64(32)  # stays only if the place moves on
@@ -171,41 +163,42 @@ def _encode_lanes(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
         low[at] = np.where(small, lo & np.uint64(_MASK32), lo) << shift
         span[at] = sp << shift
 
-    until = 0
-    for t in range(steps):
-        if m.n and sizes[m.n - 1] <= t:
-            m.shrink(int(np.searchsorted(-sizes, -t, "left")))
-        k = m.n
-        if _due(t):
-            m.refresh(ids[:k, :t])
-        if t >= until:
-            until = _next_due(t)
-            if m.window is not None:
-                slot_from, slot_many = _places(m, ids[:k, t:until])
-                since = t
-        m.predict()
-        x = shifted[t, :k]
-        two = x == m.c2
-        one = x == m.c1
-        start, size, kind = m.tail, _T - m.tail, np.full(k, 3, np.int8)
-        if m.slots:
-            first, many = slot_from[t - since, :k], slot_many[t - since, :k]
-            held = many > 0
-            start = np.where(held, m.base + first * m.unit, start)
-            size = np.where(held, many * m.unit, size)
-            kind -= held
-        start, size = np.where(one, m.a, start), np.where(one, m.base - m.a, size)
-        start, size = np.where(two, 0, start), np.where(two, m.a, size)
-        kind[one] = 1
-        kind[two] = 0
-        code(slice(0, k), start, size)
-        out = np.flatnonzero(kind == 3)
-        if len(out):
-            y = x[out].astype(np.int64) - 1
-            for shift, wide in m.digits:
-                code(out, (y >> shift) * wide, np.full(len(out), wide))
-                y &= (1 << shift) - 1
-        m.update(x, kind)
+    counted = 0
+    for t, until in _spans(sizes):
+        k = int(alive[t])
+        if t in _COUNTED:
+            there = np.arange(counted, t)[:, None] < sizes[None, :]
+            which = np.broadcast_to(blk, there.shape)[there]
+            m.count(which, x[2 + counted:2 + t][there].astype(np.int64) - 1, False)
+            counted = t
+        now = x[2 + t:2 + until, :k]
+        two, one, c2, c1, r2, r1, state = m.look(k, x[1 + t:1 + until, :k], x[t:until, :k])
+        kind = np.full(now.shape, 3, np.int64)
+        if m.counted:
+            own = m.blk[:k] * vocab + now - 1
+            own[now == 0] = 0  # past the lane's end
+            first, many = m.first[own].astype(np.uint64), m.many[own].astype(np.uint64)
+            kind[many > 0] = 2
+        kind[(now == c1) & (r1 > 0)] = 1
+        kind[(now == c2) & (r2 > 0)] = 0
+        at = state * 5 + kind
+        bounds = m.bounds.reshape(-1)
+        start = bounds[at].astype(np.uint64)
+        size = bounds[at + 1].astype(np.uint64) - start
+        for s in range(until - t):
+            k = int(alive[t + s])
+            code(slice(0, k), start[s, :k], size[s, :k])
+            of = np.flatnonzero(kind[s, :k] == 2)
+            if len(of):
+                code(of, first[s, of], many[s, of])
+            of = np.flatnonzero(kind[s, :k] == 3)
+            if len(of):
+                y = now[s, of].astype(np.uint64) - np.uint64(1)
+                for shift, wide in m.digits:
+                    code(of, (y >> np.uint64(shift)) * np.uint64(wide), np.uint64(wide))
+                    y &= np.uint64((1 << shift) - 1)
+        there = np.arange(now.shape[1])[None, :] < alive[t:until, None]
+        m.learn(*(a[there] for a in (now, two, one, c2, c1, r2, state, kind)))
     for shift in (32, 16, 0):
         flat[put] = low >> np.uint64(shift) if shift == 32 else low >> np.uint64(shift) & np.uint64(0xFFFF)
         put += 1
@@ -213,11 +206,13 @@ def _encode_lanes(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
     for c in range(int(used.max(initial=0)) - 1, 0, -1):  # what ran over goes to the word before
         words[:, c - 1] += words[:, c] >> 16
     words &= 0xFFFF
-    done: list[bytes] = [b""] * n
-    for lane, i in enumerate(order.tolist()):
-        body = words[lane, : used[lane]].astype(">u2").tobytes()
-        done[i] = _HEAD.pack(_MAGIC, vocab, sizes[lane], used[lane], zlib.crc32(blocks[i].astype("<u4").tobytes()),
-                             zlib.crc32(body)) + body
+    done = []
+    place = np.full((len(blocks), int(lane.max(initial=-1)) + 1), -1)
+    place[blk, lane] = np.arange(n)
+    for b, block in enumerate(blocks):
+        mine = place[b][place[b] >= 0]
+        body = used[mine].astype(">u2").tobytes() + b"".join(words[i, :used[i]].astype(">u2").tobytes() for i in mine)
+        done.append(_HEAD.pack(_MAGIC, vocab, len(block), len(body) // 2, zlib.crc32(block.astype("<u4").tobytes()), zlib.crc32(body)) + body)
     return done
 
 
@@ -226,7 +221,7 @@ def encode(ids: np.ndarray, vocab: int) -> list[bytes]:
     if len(ids) and int(ids.max()) >= vocab:
         raise ValueError("an id lies outside the vocabulary")
     blocks = [ids[i:i + BLOCK] for i in range(0, len(ids), BLOCK)]
-    return [x for i in range(0, len(blocks), LANES) for x in _encode_lanes(blocks[i:i + LANES], vocab)]
+    return [x for i in range(0, len(blocks), BATCH) for x in _encode_batch(blocks[i:i + BATCH], vocab)]
 
 
 def split(payload: bytes) -> list[tuple[tuple, memoryview]]:
@@ -245,24 +240,31 @@ def split(payload: bytes) -> list[tuple[tuple, memoryview]]:
     return out
 
 
-def _decode_lanes(blocks: list[tuple[tuple, memoryview]]) -> list[np.ndarray]:
+def _decode_batch(blocks: list[tuple[tuple, memoryview]]) -> list[np.ndarray]:
     vocab = blocks[0][0][1]
-    lengths = np.array([h[2] for h, _ in blocks], np.int64)
-    order = np.argsort(-lengths, kind="stable")
-    sizes = lengths[order]
-    n, steps = len(blocks), int(sizes.max(initial=0))
-    width = max(h[3] for h, _ in blocks) + 4
+    blk, lane, sizes = _laid_out([h[2] for h, _ in blocks])
+    n, steps = len(blk), int(sizes.max(initial=0))
+    alive = np.searchsorted(-sizes, -np.arange(steps), "left")
+    coded, used, begin = [], [], []
+    for h, body in blocks:
+        lanes = -(-h[2] // LANE)
+        got = np.frombuffer(body, ">u2")
+        used.append(got[:lanes].astype(np.int64))
+        coded.append(got[lanes:])
+        begin.append(np.cumsum(used[-1]) - used[-1])
+        if used[-1].sum() != len(coded[-1]):
+            raise ValueError("a block is damaged")
+    width = max([0, *(int(u.max(initial=0)) for u in used)]) + 4
     words = np.zeros((n, width), np.uint64)
-    for lane, i in enumerate(order.tolist()):
-        words[lane, : blocks[i][0][3]] = np.frombuffer(blocks[i][1], ">u2")
+    for i, (b, k) in enumerate(zip(blk.tolist(), lane.tolist())):
+        words[i, :used[b][k]] = coded[b][begin[b][k]:begin[b][k] + used[b][k]]
     flat, get = words.reshape(-1), np.arange(n) * width
-    m = _Lanes(n, vocab)
+    m = _Models(blk, len(blocks), vocab)
     span, value = np.full(n, (1 << 48) - 1, np.uint64), np.zeros(n, np.uint64)
     for _ in range(3):
         value = value << np.uint64(16) | flat[get]
         get += 1
-    ids = np.zeros((n, steps), np.uint32)
-    lane_at = np.arange(n, dtype=np.int32)
+    x = np.zeros((steps + 2, n), np.uint32)
 
     def told(at):
         r = span[at] >> np.uint64(_TOTAL)
@@ -278,46 +280,52 @@ def _decode_lanes(blocks: list[tuple[tuple, memoryview]]) -> list[np.ndarray]:
         get[at] = of + small
         span[at] = sp << shift
 
-    for t in range(steps):
-        if m.n and sizes[m.n - 1] <= t:
-            m.shrink(int(np.searchsorted(-sizes, -t, "left")))
-        k = m.n
-        if _due(t):
-            m.refresh(ids[:k, :t])
-        m.predict()
-        here = slice(0, k)
-        r, v = told(here)
-        kind = (v >= m.a).astype(np.int8) + (v >= m.base) + (v >= m.tail)
-        start, size = m.tail, _T - m.tail
-        x = m.c1
-        if m.slots:
-            held = kind == 2
-            slot = lane_at[:k] * np.int32(m.slots) + (v - m.base) // m.unit * held
-            start = np.where(held, m.base + m.first.reshape(-1)[slot] * m.unit, start)
-            size = np.where(held, m.many.reshape(-1)[slot] * m.unit, size)
-            x = np.where(held, m.window.reshape(-1)[slot] + np.uint32(1), x)
-        one, two = kind == 1, kind == 0
-        start, size = np.where(one, m.a, start), np.where(one, m.base - m.a, size)
-        start, size = np.where(two, 0, start), np.where(two, m.a, size)
-        x = np.where(two, m.c2, x)
-        take(here, r, start, size)
-        out = np.flatnonzero(kind == 3)
-        if len(out):
-            y = np.zeros(len(out), np.int64)
-            for shift, wide in m.digits:
-                r, v = told(out)
-                digit = v // wide
-                take(out, r, digit * wide, np.full(len(out), wide))
-                y |= digit.astype(np.int64) << shift
-            x[out] = y + 1
-        ids[:k, t] = x - np.uint32(1)
-        m.update(x, kind)
-    done: list = [None] * n
-    for lane, i in enumerate(order.tolist()):
-        got = ids[lane, : sizes[lane]]
-        if zlib.crc32(got.astype("<u4").tobytes()) != blocks[i][0][4]:
+    counted = 0
+    for t, until in _spans(sizes):
+        if t in _COUNTED:
+            there = np.arange(counted, t)[:, None] < sizes[None, :]
+            m.count(np.broadcast_to(blk, there.shape)[there], x[2 + counted:2 + t][there].astype(np.int64) - 1, True)
+            counted = t
+        learnt = []
+        for s in range(t, until):
+            k = int(alive[s])
+            here = slice(0, k)
+            two, one, c2, c1, r2, r1, state = m.look(k, x[1 + s, :k], x[s, :k])
+            r, v = told(here)
+            bounds = m.bounds[state]
+            kind = (v >= bounds[:, 1]).astype(np.int64) + (v >= bounds[:, 2]) + (v >= bounds[:, 3])
+            rows = np.arange(k)
+            start = bounds[rows, kind]
+            take(here, r, start, bounds[rows, kind + 1] - start)
+            now = np.where(kind == 0, c2, c1)
+            of = np.flatnonzero(kind == 2)
+            if len(of):
+                if not m.counted:
+                    raise ValueError("a block is damaged")
+                r, v = told(of)
+                got = m.holder[blk[of], v].astype(np.int64)
+                own = blk[of] * vocab + got
+                take(of, r, m.first[own], m.many[own])
+                now[of] = got + 1
+            of = np.flatnonzero(kind == 3)
+            if len(of):
+                y = np.zeros(len(of), np.int64)
+                for shift, wide in m.digits:
+                    r, v = told(of)
+                    digit = v // wide
+                    take(of, r, digit * wide, np.full(len(of), wide))
+                    y |= digit.astype(np.int64) << shift
+                now[of] = np.minimum(y, vocab - 1) + 1
+            x[2 + s, :k] = now
+            learnt.append((now, two, one, c2, c1, r2, state, kind))
+        m.learn(*(np.concatenate(a) for a in zip(*learnt)))
+    done = [np.zeros(h[2], np.uint32) for h, _ in blocks]
+    for i, (b, k, size) in enumerate(zip(blk.tolist(), lane.tolist(), sizes.tolist())):
+        done[b][k * LANE:k * LANE + size] = x[2:2 + size, i]
+    for got, (h, _) in zip(done, blocks):
+        got -= 1
+        if zlib.crc32(got.astype("<u4").tobytes()) != h[4]:
             raise ValueError("the ids of a block fail their checksum")
-        done[i] = got
     return done
 
 
@@ -326,5 +334,5 @@ def decode(payload: bytes) -> np.ndarray:
     blocks = split(payload)
     if len({h[1] for h, _ in blocks}) > 1:
         raise ValueError("blocks of different vocabularies")
-    parts = [x for i in range(0, len(blocks), LANES) for x in _decode_lanes(blocks[i:i + LANES])]
+    parts = [x for i in range(0, len(blocks), BATCH) for x in _decode_batch(blocks[i:i + BATCH])]
     return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
