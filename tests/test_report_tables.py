@@ -399,3 +399,26 @@ def test_landscape_end_to_end_and_hedis_pairs(spark, tmp_dir):
     pairs = {r.year: (r.data, r.dictionary) for r in R.hedis_pairs(spark, h).collect()}
     assert pairs == {"2024": ("HEDIS2024.xlsx", "MADictionary2024.xlsx"),
                      "2025": ("HEDIS2025.xlsx", "MADictionary2025.xlsx")}
+
+
+def test_payment_workbooks_end_to_end(spark, tmp_dir):
+    """Title rows, the sheet of results, a year without header, other files
+    beside, equal names in two folders, nothing new in a second run."""
+    root, target = os.path.join(tmp_dir, "pay"), os.path.join(tmp_dir, "pay_t")
+    title = "A title,,,,,,,\nanother,,,,,,,\n"
+    head = "County Code,State,County Name,Plan Type,SNP Plan Type,Avg Risk Score,Avg A/B PMPM Payment,Avg Rebate\n"
+    write(f"{root}/one/2024PartCCountyLevel.xlsx/0__notes.csv", "not this\n")
+    write(f"{root}/one/2024PartCCountyLevel.xlsx/1__result.csv", title + head + "1001,AL,Autauga,HMO,None,950.5,1.02,88\n1003,AL,Baldwin,HMO,None,901,0.98,70\n")
+    write(f"{root}/two/2024PartCCountyLevel.xlsx/0__Sheet1.csv", title + head + "1005,AL,Barbour,PPO,None,1.1,902,12\n")
+    write(f"{root}/one/2011PartCCountyLevel.xlsx/0__Sheet1.csv", "1007,AL,Bibb,HMO,None,1.2,800,11,5\n")
+    write(f"{root}/one/2024PartCPlanLevel.xlsx/0__Sheet1.csv", title + "x\n")
+    load = lambda: R.load_payments(spark, root, target, "partc_payment_county_level", LOAD)
+    assert load() == 3 and load() == 0
+    rows = {r.county_code: r for r in snk.read_table(spark, target).collect()}
+    assert set(rows) == {"01001", "01003", "01005", "01007"}
+    assert (rows["01001"].avg_risk_score, rows["01001"].avg_ab_pmpm_payment) == (1.02, 950.5)  # swapped in this file alone
+    assert (rows["01005"].avg_risk_score, rows["01005"].avg_ab_pmpm_payment) == (1.1, 902.0)
+    assert rows["01005"].src_file_name == "two/2024PartCCountyLevel.xlsx" and rows["01001"].src_file_name == "one/2024PartCCountyLevel.xlsx"
+    assert rows["01007"].avg_msa_monthly_deposit_payment == 5.0 and str(rows["01007"].src_file_date) == "2011-12-31"
+    write(f"{root}/three/2023PartCCountyLevel.xlsx/0__Sheet1.csv", title + head + "1009,AL,Blount,HMO,None,1.0,700,9\n")
+    assert load() == 1

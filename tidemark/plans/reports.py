@@ -265,50 +265,60 @@ def _drop_blank(df: DataFrame) -> DataFrame:
     return df.filter(keep)
 
 
+LANDED = (*META, "landed")
+
+
+def _landed_name(df: DataFrame):
+    """The name a workbook's rows are kept under: with its folder if the load
+    gives one (column ``landed``), so that equal names in two folders stay
+    apart, in their slices and in what is decided by file."""
+    return F.col("landed") if "landed" in df.columns else F.col("workbook")
+
+
 def payment_county(sheets: DataFrame, load_date: _dt.date) -> DataFrame:
     """partc_payment_county_level for one workbook's chosen sheet (header
     already skipped): SRC-12 with the optional MSA column, SCL-8 county code,
     PRJ-10 numbers, PRJ-9 swap check by file, PTH-3 year end."""
-    df = src.assign_header(sheets, COUNTY_HEADER, MSA_TAIL, ignore=META)
+    df = src.assign_header(sheets, COUNTY_HEADER, MSA_TAIL, ignore=LANDED)
     df = df.withColumn("county_code", zfill("county_code", 5))
     df = prj.cast_columns(df, parse_number, suffixes=("payment", "score"))
-    df = df.withColumn("src_file_name", F.col("workbook"))
+    df = df.withColumn("src_file_name", _landed_name(df))
     df = prj.swap_columns_if(df, "avg_risk_score", "avg_ab_pmpm_payment", 100.0, by=["src_file_name"])
     year = F.substring(F.col("workbook"), 1, 4)
     out = prj.with_lineage(df, file_date=year_end(year), load_date=load_date, file_name=F.col("src_file_name"))
-    return out.drop(*META)
+    return out.drop(*META, "landed")
 
 
 def payment_plan_partc(sheets: DataFrame, load_date: _dt.date) -> DataFrame:
     """partc_payment_plan_level: as the county table without code padding."""
-    df = src.assign_header(sheets, PARTC_PLAN_HEADER, MSA_TAIL, ignore=META)
+    df = src.assign_header(sheets, PARTC_PLAN_HEADER, MSA_TAIL, ignore=LANDED)
     df = prj.cast_columns(df, parse_number, suffixes=("payment", "score"))
-    df = df.withColumn("src_file_name", F.col("workbook"))
+    df = df.withColumn("src_file_name", _landed_name(df))
     df = prj.swap_columns_if(df, "avg_partc_risk_score", "avg_ab_pmpm_payment", 100.0, by=["src_file_name"])
     year = F.substring(F.col("workbook"), 1, 4)
     out = prj.with_lineage(df, file_date=year_end(year), load_date=load_date, file_name=F.col("src_file_name"))
-    return out.drop(*META)
+    return out.drop(*META, "landed")
 
 
 def payment_plan_partd(sheets: DataFrame, load_date: _dt.date) -> DataFrame:
     """partd_payment_plan_level: positional header, numbers; no swap check."""
-    df = src.assign_header(sheets, PARTD_PLAN_HEADER, ignore=META)
+    df = src.assign_header(sheets, PARTD_PLAN_HEADER, ignore=LANDED)
     df = prj.cast_columns(df, parse_number, suffixes=("payment", "score"))
     year = F.substring(F.col("workbook"), 1, 4)
-    out = prj.with_lineage(df, file_date=year_end(year), load_date=load_date, file_name=F.col("workbook"))
-    return out.drop(*META)
+    out = prj.with_lineage(df, file_date=year_end(year), load_date=load_date, file_name=_landed_name(df))
+    return out.drop(*META, "landed")
 
 
 def reconciliation(sheets: DataFrame, load_date: _dt.date, header: Sequence[str] = RECONCILIATION_HEADER,
                    label: str = "contract_number") -> DataFrame:
     """partd_reconciliation_*: SRC-12, FLT-3 totals row, PRJ-10 amounts,
     PTH-4 year from the name's characters 3-4."""
-    df = src.assign_header(sheets, header, ignore=META)
+    df = src.assign_header(sheets, header, ignore=LANDED)
     df = flt.drop_totals(df, label, "Totals")
     df = prj.cast_columns(df, parse_number, suffixes=("amount",))
     year = year_end(two_digit_year(stem(F.col("workbook")), 3))
     return prj.with_lineage(df.drop(src.FILE_PATH, "sheet_index", "sheet_name"), file_date=year,
-                            load_date=load_date, file_name=F.col("workbook")).drop("workbook")
+                            load_date=load_date, file_name=_landed_name(df)).drop("workbook", "landed")
 
 
 def reconciliation_parent(sheets: DataFrame, load_date: _dt.date) -> DataFrame:
@@ -474,11 +484,6 @@ def _year_in(workbook: str) -> str:
 
 # The sheet and the transform of each table of workbooks.
 WORKBOOK_TABLES = {
-    "partc_payment_county_level": (0, payment_county),
-    "partc_payment_plan_level": (0, payment_plan_partc),
-    "partd_payment_plan_level": (0, payment_plan_partd),
-    "partd_reconciliation_plan_level": (0, reconciliation),
-    "partd_reconciliation_parent_level": (1, reconciliation_parent),
     "lis_enrollment_by_plan": (None, _of_year(lambda s, y, d, b: lis_enrollment(s, y, d))),
     "mpf_benefit_summary": (None, mpf_benefit_summary),
     "hedis_general": ("general", _of_year(hedis_general)),
@@ -486,6 +491,54 @@ WORKBOOK_TABLES = {
 }
 
 
+# Of each payment table the workbooks, the transform, the columns
+# at most, the sheet (the first named so, else sheet 0; or a number), the rows
+# before the data, and those of years that land otherwise.
+PAYMENT_TABLES = {
+    "partc_payment_county_level": (r"PartCCountyLevel\.xlsx$", payment_county, len(COUNTY_HEADER) + len(MSA_TAIL), "result", 3, {"2011": 0}),
+    "partc_payment_plan_level": (r"PartCPlan.*Level\.xlsx$", payment_plan_partc, len(PARTC_PLAN_HEADER) + len(MSA_TAIL), "result", 3, {}),
+    "partd_payment_plan_level": (r"PartDPlans\.xlsx$", payment_plan_partd, len(PARTD_PLAN_HEADER), "result", 3, {}),
+    "partd_reconciliation_contract_level": (r"PartD Reconciliation\.xlsx$|PartDReconcilia.*\.xlsx$", reconciliation,
+                                            len(RECONCILIATION_HEADER), 0, 1, {}),
+    "partd_reconciliation_parent_level": (r"PartD Reconciliation\.xlsx$|PartDReconcilia.*\.xlsx$", reconciliation_parent,
+                                          len(PARENT_RECONCILIATION_HEADER), 1, 1, {}),
+}
+
+
+def load_payments(spark: SparkSession, root: str, target: str, table: str, load_date: _dt.date) -> int:
+    """One of ``PAYMENT_TABLES``, end to end: the table's workbooks under
+    ``root`` that the target has no slice of (INC-1), of each the sheet that
+    holds the result (SRC-8), its title rows skipped, columns by position
+    (SRC-12), kept as ``folder/workbook`` (SNK-1). Returns how many workbooks
+    were new."""
+    from ..operators.incremental import unprocessed
+    from ..sinks import tables as snk
+
+    pattern, transform, width, sheet, skip, other = PAYMENT_TABLES[table]
+    folder = F.regexp_extract("path", r"([^/]*)/[^/]*/[^/]*$", 1)
+    listed = src.list_sheets(spark, root).filter(F.col("workbook").rlike(pattern))
+    listed = listed.withColumn("src_file_name", F.concat(folder, F.lit("/"), F.col("workbook")))
+    done = snk.loaded_slices(spark, target, "src_file_name") if snk.path_exists(spark, target) else None
+    listed = unprocessed(listed, done, "src_file_name")
+    if isinstance(sheet, int):
+        picked = listed.filter(F.col("sheet_index") == sheet)
+    else:
+        best = src.pick_sheet(listed, sheet, workbook="src_file_name")
+        picked = listed.join(best, ["src_file_name", "sheet_index"], "left_semi")
+    paths = [r["path"] for r in picked.select("path").collect()]  # what the reader must be told, one per workbook
+    if not paths:
+        return 0
+    m = src.sheet_columns(src.read_matrix(spark, paths, width, stage=True))
+    first = F.lit(skip)
+    for year, rows in other.items():
+        first = F.when(F.col("workbook").startswith(year), rows).otherwise(first)
+    name = F.concat(F.regexp_extract(src.FILE_PATH, r"([^/]*)/[^/]*/[^/]*$", 1), F.lit("/"), F.col("workbook"))
+    cells = m.filter((F.col("row_idx") >= first) & (F.concat_ws("", "cells") != ""))
+    rows = cells.select(*[F.col("cells")[i].alias(f"c{i}") for i in range(width)], *META, name.alias("landed"))
+    snk.replace_slice(transform(rows, load_date), target, "src_file_name")
+    return len(paths)
+
+
 def hedis_pairs(spark: SparkSession, root: str, min_year: str = "2024", loaded: DataFrame | None = None) -> DataFrame:
     """INC-6 for HEDIS, without the data workbooks that ``loaded`` names in
     ``src_file_name`` (INC-1): per year, the data workbook (``HEDIS<yyyy>``) and its
