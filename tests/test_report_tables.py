@@ -422,3 +422,31 @@ def test_payment_workbooks_end_to_end(spark, tmp_dir):
     assert rows["01007"].avg_msa_monthly_deposit_payment == 5.0 and str(rows["01007"].src_file_date) == "2011-12-31"
     write(f"{root}/three/2023PartCCountyLevel.xlsx/0__Sheet1.csv", title + head + "1009,AL,Blount,HMO,None,1.0,700,9\n")
     assert load() == 1
+
+
+def test_hedis_workbooks_end_to_end(spark, tmp_dir):
+    root, measures, rau = (os.path.join(tmp_dir, n) for n in ("hedis_all", "hedis_m", "hedis_r"))
+
+    def year(y, extra=""):
+        book = f"{root}/HEDIS{y}.xlsx"
+        write(f"{book}/0__hedis_measures.csv", f"CMSContractNumber,MeasureCode,IndicatorKey,Rate,Lcl,Ucl,Numerator,Denominator{extra}\n"
+              f"H{y},BCS,bcs_rate,0.8,0.7,0.9,80,100{',x' if extra else ''}\nH9,BCS,bcs_rate,NQ,,,,{',y' if extra else ''}\n")
+        write(f"{book}/1__hedishos_frm.csv", f"ContractNumber,Rate1,Rate2\nH{y},NR,0.5\n")
+        write(f"{book}/2__hedishos_pao.csv", f"ContractNumber,Rate1,Rate2\nH{y},0.4,0.3\n")
+        write(f"{book}/3__hedishos_mui.csv", f"ContractNumber,Rate1,Rate2,Rate3\nH{y},0.1,0.2,0.9\n")
+        write(f"{book}/4__hedis_rau_measures.csv", "CMSContractNumber,MeasureCode,IndicatorKey,ObservedCount,ExpectedCount\n"
+              f"H{y},PCR,pcr_rate,5,6\n")
+        write(f"{root}/MADictionary{y}.xlsx/0__Sheet1.csv", "MeasureCode,IndicatorKey,MeasureName,ShortIndicatorName\n"
+              f"BCS,bcs_rate,Breast {y},BCS\nPCR,pcr_rate,Readmission {y},PCR\n")
+
+    year(2024)
+    year(2025, ",Extra")
+    year(2019)  # before the first year that is loaded
+    assert R.load_hedis(spark, root, measures, rau, LOAD) == 2 and R.load_hedis(spark, root, measures, rau, LOAD) == 0
+    rows = {(r.contract_number, r.indicator_key): r for r in snk.read_table(spark, measures).where("measure_code = 'BCS' AND contract_number <> 'H9'").collect()}
+    assert {k: r.measure_name for k, r in rows.items()} == {("H2024", "bcs_rate"): "Breast 2024", ("H2025", "bcs_rate"): "Breast 2025"}
+    assert rows["H2025", "bcs_rate"].src_file_name == "HEDIS2025.xlsx" and rows["H2025", "bcs_rate"].hedis_year == 2025
+    assert snk.read_table(spark, measures).count() == 2 * (2 + 2 + 2 + 3)
+    assert {(r.contract_number, r.measure_name) for r in snk.read_table(spark, rau).collect()} == {("H2024", "Readmission 2024"), ("H2025", "Readmission 2025")}
+    year(2026)
+    assert R.load_hedis(spark, root, measures, rau, LOAD) == 1 and snk.read_table(spark, rau).count() == 3

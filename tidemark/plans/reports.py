@@ -553,3 +553,37 @@ def hedis_pairs(spark: SparkSession, root: str, min_year: str = "2024", loaded:
     if loaded is not None:
         pairs = pairs.join(loaded.select(F.col("src_file_name").alias("data")), "data", "left_anti")
     return pairs
+
+
+# The HOS sheet of each measure code.
+HOS_SHEETS = {"FRM": "hedishos_frm", "PAO-HOS": "hedishos_pao", "MUI-HOS": "hedishos_mui"}
+
+
+def load_hedis(spark: SparkSession, root: str, measures: str, rau: str, load_date: _dt.date, min_year: str = "2024") -> int:
+    """hedis_measures and hedis_rau_measures, end to end: the workbooks under
+    ``root`` that either table lacks, each with its year's dictionary
+    (INC-6, INC-1); their sheets (SRC-7) to rows with dictionary names; all
+    years of a table written as their slices at once (SNK-1, SNK-4). Years
+    are few, their sheets distributed reads. Returns how many workbooks were
+    new to either table."""
+    from ..sinks import tables as snk
+
+    seen = set()
+
+    def sheet(workbook: str, kind: str | int) -> DataFrame:
+        return src.read_sheets(spark, f"{root.rstrip('/')}/{workbook}", kind)
+
+    def measures_of(r) -> DataFrame:
+        hos = {code: sheet(r["data"], kind) for code, kind in HOS_SHEETS.items()}
+        return hedis_measures(sheet(r["data"], "hedis_measures"), hos, sheet(r["dictionary"], 0), int(r["year"]), load_date, r["data"])
+
+    def rau_of(r) -> DataFrame:
+        return hedis_rau(sheet(r["data"], "hedis_rau_measures"), sheet(r["dictionary"], 0), int(r["year"]), load_date, r["data"])
+
+    for target, table in ((measures, measures_of), (rau, rau_of)):
+        done = snk.loaded_slices(spark, target, "src_file_name") if snk.path_exists(spark, target) else None
+        pairs = hedis_pairs(spark, root, min_year, done).collect()
+        if pairs:
+            snk.replace_slice(union_by_name([table(r) for r in pairs]), target, "src_file_name")
+            seen |= {r["data"] for r in pairs}
+    return len(seen)
