@@ -19,8 +19,14 @@ from tidemark.llm.queries import tokenizer_file
 from tidemark.session import apply_engine_conf, cut_lineage, read_table, scratch_path
 
 
+#: Bytes of text in a lot of the quality rules. The workers of a pipeline hold
+#: what other stages have left as well, so lots are smaller than the
+#: operator's own: less memory for more shuffled bytes, with equal results.
+LOT_BYTES = 10 << 20
+
+
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.kept(docs, read_table(spark, sf_dir, "labels"))
+    return quality.kept(docs, read_table(spark, sf_dir, "labels"), lot_bytes=LOT_BYTES)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
