@@ -7,13 +7,15 @@ rest are data. The column roles differ per file, so:
 
 1. the few header rows of every file are turned into one *descriptor* row
    per file (attribute positions, one struct per measure column, and the
-   values that depend on the file alone). The join carries no hint: adaptive
-   execution broadcasts the descriptors if their measured size allows;
+   values that depend on the file alone). The descriptors are staged, so that
+   their size is known when the join is planned: they are broadcast if it
+   allows, and no data row is shuffled for them;
 2. each data row is joined to its file's descriptor and emits one output
    row per measure by ``explode``; attribute values are read by position.
 
 Data rows never meet a Python loop, and shuffle only if the descriptors are
-too large to be broadcast; each file's header is tied to its data by the file
+too large to be broadcast (of many files, then, and a file of many rows is
+split as a skewed key); each file's header is tied to its data by the file
 path and column position.
 """
 
@@ -36,6 +38,7 @@ from ..functions.scalars import (
     split_heading,
     strip,
 )
+from ..session import cut_lineage
 from ..sources.files import FILE_PATH
 
 # ---------------------------------------------------------------------------
@@ -76,6 +79,13 @@ def _positions(pred_arr: Column) -> Column:
     return F.filter(idx, lambda i: F.get(pred_arr, i))
 
 
+def _with_descriptor(data: DataFrame, desc: DataFrame) -> DataFrame:
+    """Each data row with its file's descriptor, one row per file. An
+    aggregate's size is not known before it has run: planned with it, the join
+    would shuffle all data rows by file, a file to a task."""
+    return data.join(cut_lineage(desc, data.sparkSession, "descriptors"), FILE_PATH)
+
+
 def _explode_measures(data: DataFrame, desc: DataFrame, attrs: Sequence[str],
                       measure_fields: Sequence[str], file_fields: Sequence[str] = (),
                       is_data: Column | None = None) -> DataFrame:
@@ -88,7 +98,7 @@ def _explode_measures(data: DataFrame, desc: DataFrame, attrs: Sequence[str],
     n = len(attrs)
     desc = desc.withColumn("attr_pos", F.when(F.size("attr_pos") == n, F.col("attr_pos")).otherwise(F.raise_error(F.concat(
         F.size("attr_pos").cast("string"), F.lit(f" attribute columns, expected {n}, in "), F.col(FILE_PATH))).cast("array<int>")))
-    j = data.join(desc, FILE_PATH)
+    j = _with_descriptor(data, desc)
     if is_data is not None:
         j = j.filter(is_data)
     j = j.filter(F.concat_ws("", "cells") != "")  # fully blank rows are skipped
