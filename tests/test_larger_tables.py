@@ -17,3 +17,7 @@ def _joined_without_shuffle(spark, name: str) -> None:
 
 def test_display_matrix_rows_are_not_shuffled_by_file(spark):
     _joined_without_shuffle(spark, "display_matrix_to_long")
+
+
+def test_matrix_rows_are_not_shuffled_by_file(spark):
+    _joined_without_shuffle(spark, "matrix_to_long")
