@@ -21,3 +21,7 @@ def test_display_matrix_rows_are_not_shuffled_by_file(spark):
 
 def test_matrix_rows_are_not_shuffled_by_file(spark):
     _joined_without_shuffle(spark, "matrix_to_long")
+
+
+def test_cutpoint_rows_are_not_shuffled_by_file(spark):
+    _joined_without_shuffle(spark, "cutpoints_to_long")
