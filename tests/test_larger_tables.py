@@ -25,3 +25,20 @@ def test_matrix_rows_are_not_shuffled_by_file(spark):
 
 def test_cutpoint_rows_are_not_shuffled_by_file(spark):
     _joined_without_shuffle(spark, "cutpoints_to_long")
+
+
+def test_path_parts_need_no_regex_for_every_row(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.dates import base_name, parent_name
+    from tidemark.sources import files as src
+
+    paths = ["", "/", "a", "/a", "a/", "a/b", "/x y/b+c.csv", "s3://k/a/1__s.csv", None]
+    got = spark.createDataFrame([(p,) for p in paths], "p string").select("p", base_name("p"), parent_name("p"),
+                                                                          F.regexp_extract("p", r"([^/]*)$", 1), F.regexp_extract("p", r"([^/]*)/[^/]*$", 1)).collect()
+    assert all((r[1], r[2]) == (r[3], r[4]) for r in got)
+    folder = f"{tmp_dir}/book one"
+    spark.createDataFrame([("1+2", "é%")], "a string, b string").write.option("header", True).csv(f"{folder}/1__s.csv")
+    df = src.read_sheets(spark, tmp_dir).select("a", "b", "workbook")
+    assert df.first()[:2] == ("1+2", "é%")
+    assert "([^/]*)" not in _planned(df)  # its search starts anew at every place of a long path

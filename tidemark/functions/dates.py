@@ -39,12 +39,13 @@ def stem(c: str | Column) -> Column:
 
 def base_name(c: str | Column) -> Column:
     """Last path component of a path or URI."""
-    return F.regexp_extract(col_(c), r"([^/]*)$", 1)
+    return F.substring_index(col_(c), "/", -1)
 
 
 def parent_name(c: str | Column) -> Column:
     """Name of the folder that holds the file."""
-    return F.regexp_extract(col_(c), r"([^/]*)/[^/]*$", 1)
+    s = col_(c)
+    return F.when(~F.contains(s, F.lit("/")), F.lit("")).otherwise(F.substring_index(F.substring_index(s, "/", -2), "/", 1))
 
 
 def _safe_date(y: Column, m: Column, d: Column) -> Column:
