@@ -42,3 +42,17 @@ def test_path_parts_need_no_regex_for_every_row(spark, tmp_dir):
     df = src.read_sheets(spark, tmp_dir).select("a", "b", "workbook")
     assert df.first()[:2] == ("1+2", "é%")
     assert "([^/]*)" not in _planned(df)  # its search starts anew at every place of a long path
+
+
+def test_quoted_splits_meet_their_lines_without_a_shuffle(spark, tmp_dir):
+    from tidemark.sources import records as rec
+
+    with open(f"{tmp_dir}/m.csv", "w") as f:
+        f.write("a,b\n" + "".join(f'{k},"{k * 2654435761 % 1000003}\n\ny"\n' for k in range(20_000)))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")  # below the lines, above the splits
+    try:
+        plan = _planned(rec.quoted_records(rec.text_lines(spark, tmp_dir)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

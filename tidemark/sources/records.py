@@ -138,6 +138,7 @@ def quoted_records(lines: DataFrame, sep: str = ",", quote: str = '"') -> DataFr
     splits = splits.withColumn("state", state).withColumn("n", F.when(F.col("state") == 0, F.col("n0")).otherwise(F.col("n1")))
     splits = splits.select(F.col(FILE_PATH).alias("of"), F.col("block").alias("of_block"), "state",
                            F.coalesce(F.sum("n").over(prior), F.lit(0)).alias("base"))
+    splits = cut_lineage(splits, spark, "record-splits")  # its size known, the join need not shuffle the lines
 
     pick = lambda a, b: F.when(F.col("state") == 0, F.col(a)).otherwise(F.col(b))
     got = rows.join(splits, (F.col(FILE_PATH) == F.col("of")) & (F.col("block") == F.col("of_block")))
