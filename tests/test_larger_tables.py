@@ -44,6 +44,24 @@ def test_path_parts_need_no_regex_for_every_row(spark, tmp_dir):
     assert "([^/]*)" not in _planned(df)  # its search starts anew at every place of a long path
 
 
+def _matrix_of(spark, folder, text):
+    from tidemark.sources import files as src
+
+    with open(f"{folder}/m.csv", "w") as f:
+        f.write(text)
+    return src.read_matrix(spark, folder)
+
+
+def test_records_with_breaks_are_put_together_once(spark, tmp_dir):
+    m = _matrix_of(spark, tmp_dir, 'a,b\n1,"x\n\ny"\n')
+    plan = _planned(m)
+    assert "Window" not in plan and "Join" not in plan and "FileScan text" not in plan
+    assert sorted((r.row_idx, r.cells) for r in m.collect()) == [(0, ["a", "b"]), (1, ["1", "x\n\ny"])]
+    lone = "\u0001"  # a mark of the reader's own, as text
+    got = _matrix_of(spark, tmp_dir, f'a,b\n{lone},"x\n{lone}y"\n').collect()
+    assert sorted((r.row_idx, r.cells) for r in got) == [(0, ["a", "b"]), (1, [lone, f"x\n{lone}y"])]
+
+
 def test_quoted_splits_meet_their_lines_without_a_shuffle(spark, tmp_dir):
     from tidemark.sources import records as rec
 

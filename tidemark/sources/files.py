@@ -21,7 +21,7 @@ from .records import FILE_PATH, metadata_path
 
 def metadata_name() -> Column:
     """Decoded name of the file a row was read from."""
-    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return rec.decoded(F.col("_metadata.file_name"))
 
 
 def _paths(paths: str | Sequence[str]) -> list[str]:
@@ -171,11 +171,14 @@ def _cells(spark: SparkSession, paths: str | Sequence[str], width: int | None, s
     fields fails the job. Every row has ``width`` cells, or (``own_width``) as
     many as its record."""
     records = rec.read_records(spark, _paths(paths), sep, encoding, quote, breaks, **options)
-    width = width or records.agg(F.max(rec.field_count(F.col("record"), sep, quote))).first()[0] or 1
+    records = records.withColumn("n_fields", rec.field_count(F.col("record"), sep, quote))
+    if width is None:  # put together once for the count and the cells
+        records = cut_lineage(records, spark, "records")
+        width = records.agg(F.max("n_fields")).first()[0] or 1
     cells = records.withColumn("wide", rec.cells_of(F.col("record"), width + 1, sep, quote))
     too_wide = F.raise_error(F.concat(F.lit(f"a record of more than {width} fields in "), F.col(FILE_PATH)))
     over = F.get(F.col("wide"), F.lit(width)).isNotNull()
-    many = rec.field_count(F.col("record"), sep, quote) if own_width else F.lit(width)
+    many = F.col("n_fields") if own_width else F.lit(width)
     return cells.select(FILE_PATH, "row_idx", F.when(over, too_wide.cast("array<string>")).otherwise(F.slice("wide", 1, many)).alias("cells"))
 
 

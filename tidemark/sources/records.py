@@ -43,8 +43,14 @@ _BOTH, _OPENS, _CLOSES = "\u0001", "\u0002", "\u0003"
 
 def metadata_path() -> Column:
     """Path of the file a row was read from, decoded (``_metadata.file_path``
-    is a URI: spaces come as ``%20``). ``+`` is protected from decoding."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    is a URI: spaces come as ``%20``)."""
+    return decoded(F.col("_metadata.file_path"))
+
+
+def decoded(uri: Column) -> Column:
+    """A URI without its escapes, looked for only where there are some; ``+``
+    is protected from decoding."""
+    return F.when(F.contains(uri, F.lit("%")), F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))).otherwise(uri)
 
 
 def _listed(paths: str | Sequence[str]) -> list[str]:
@@ -72,16 +78,23 @@ def text_lines(spark: SparkSession, paths: str | Sequence[str], encoding: str =
 
 def _line_map(line: Column, sep: str, quote: str) -> tuple[Column, Column]:
     """A line as a map of states (0 outside, 1 inside): the constant that it
-    sets, if any, and whether it turns the state around after that."""
-    s, q = re.escape(sep), re.escape(quote)
-    before, after = f"(?<=^|{s})", f"(?={s}|\r?$)"
-    marks = F.replace(line, F.lit(2 * quote), F.lit(""))
-    for pattern, mark in ((f"{before}{q}{after}", _BOTH), (f"{before}{q}", _OPENS), (f"{q}{after}", _CLOSES), (f"[^{_BOTH}-{_CLOSES}]+", "")):
-        marks = F.regexp_replace(marks, pattern, mark)
-    sets = F.regexp_extract(marks, f"([{_OPENS}{_CLOSES}]){_BOTH}*$", 1)
-    turns = F.length(F.regexp_extract(marks, f"({_BOTH}*)$", 1)) % 2
-    has = F.contains(line, F.lit(quote))
-    return F.when(has & (sets != ""), (sets == _OPENS).cast("int")), F.when(has, turns).otherwise(F.lit(0))
+    sets, if any, and whether it turns the state around after that.
+
+    Plain replacements, as every line needs them: with a separator added at
+    both ends and each one doubled, every quote has its neighbours to itself."""
+    has, marks = F.contains(line, F.lit(quote)), line
+    for mark in (_BOTH, _OPENS, _CLOSES):  # ours alone
+        marks = F.replace(marks, F.lit(mark), F.lit(" "))
+    marks = F.when(F.endswith(marks, F.lit("\r")), marks.substr(F.lit(1), F.length(marks) - 1)).otherwise(marks)
+    marks = F.replace(F.replace(marks, F.lit(2 * quote), F.lit("")), F.lit(sep), F.lit(2 * sep))
+    marks = F.concat(F.lit(sep), marks, F.lit(sep))
+    for pattern, mark in ((sep + quote + sep, _BOTH), (sep + quote, _OPENS), (quote + sep, _CLOSES)):
+        marks = F.replace(marks, F.lit(pattern), F.lit(mark))
+    opened = F.substring_index(marks, _OPENS, -1)  # what follows the last quote that only opens
+    rest = F.substring_index(opened, _CLOSES, -1)
+    sets = F.when(F.contains(opened, F.lit(_CLOSES)), 0).when(F.contains(marks, F.lit(_OPENS)), 1)
+    turns = (F.octet_length(rest) - F.octet_length(F.replace(rest, F.lit(_BOTH), F.lit("")))) % 2
+    return F.when(has, sets), F.when(has, turns).otherwise(F.lit(0))
 
 
 def _blank(line: str | Column) -> Column:
@@ -89,11 +102,11 @@ def _blank(line: str | Column) -> Column:
 
 
 def broken_files(lines: DataFrame, sep: str = ",", quote: str = '"') -> DataFrame:
-    """The files in which some line that begins outside ends inside a quoted
-    value: one distributed pass."""
+    """``src_file_path, broken``: whether some line of the file that begins
+    outside ends inside a quoted value: one distributed pass."""
     sets, turns = _line_map(F.col("line"), sep, quote)
     ends = (F.coalesce(sets, F.lit(0)) + turns) % 2
-    return lines.groupBy(FILE_PATH).agg(F.max(ends).alias("ends")).where("ends = 1").select(FILE_PATH)
+    return lines.groupBy(FILE_PATH).agg((F.max(ends) == 1).alias("broken"))
 
 
 def plain_records(lines: DataFrame) -> DataFrame:
@@ -165,11 +178,15 @@ def read_records(spark: SparkSession, paths: str | Sequence[str], sep: str = ","
         return plain_records(lines)
     if breaks:
         return quoted_records(text_lines(spark, paths, encoding, **options), sep, quote)
-    found = [r[0] for r in broken_files(lines, sep, quote).toLocalIterator()]  # paths: a reader must be told them
+    found, others = [], False  # paths: a reader must be told them
+    for path, broken in broken_files(lines, sep, quote).toLocalIterator():
+        if broken:
+            found.append(path)
+        others = others or not broken
     if not found:
         return plain_records(lines)
-    rest = lines.where(~F.col(FILE_PATH).isin(found))
-    return plain_records(rest).union(quoted_records(text_lines(spark, found, encoding), sep, quote))
+    quoted = quoted_records(text_lines(spark, found, encoding), sep, quote)
+    return plain_records(lines.where(~F.col(FILE_PATH).isin(found))).union(quoted) if others else quoted
 
 
 def field_count(record: Column, sep: str = ",", quote: str = '"') -> Column:
@@ -179,6 +196,7 @@ def field_count(record: Column, sep: str = ",", quote: str = '"') -> Column:
     if quote:
         q = re.escape(quote)
         bare = F.regexp_replace(F.replace(record, F.lit(2 * quote), F.lit("")), f"(^|{re.escape(sep)}){q}[^{q}]*{q}", "$1")
+        bare = F.when(F.contains(record, F.lit(quote)), bare).otherwise(record)
     without = F.octet_length(F.replace(bare, F.lit(sep), F.lit("")))
     return ((F.octet_length(bare) - without) / len(sep.encode())).cast("int") + 1
 
