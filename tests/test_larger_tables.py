@@ -52,6 +52,12 @@ def _matrix_of(spark, folder, text):
     return src.read_matrix(spark, folder)
 
 
+def test_records_of_reports_are_put_together_once(spark, tmp_dir):
+    m = _matrix_of(spark, tmp_dir, "title\na,b\n1,2\n")
+    assert "FileScan text" not in _planned(m)  # the pass that counts the fields has staged them
+    assert sorted((r.row_idx, r.cells) for r in m.collect()) == [(0, ["title", None]), (1, ["a", "b"]), (2, ["1", "2"])]
+
+
 def test_records_with_breaks_are_put_together_once(spark, tmp_dir):
     m = _matrix_of(spark, tmp_dir, 'a,b\n1,"x\n\ny"\n')
     plan = _planned(m)
