@@ -80,3 +80,15 @@ def test_quoted_splits_meet_their_lines_without_a_shuffle(spark, tmp_dir):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_workers_that_read_token_files_hold_no_encoder(spark):
+    from public_tokenizers import path
+
+    from tidemark.llm import pieces
+
+    first = pieces.encoder(path("word_bpe_49k.json"))
+    first("some words to remember")
+    pieces.forget()
+    assert pieces.encoder.cache_info().currsize == 0
+    assert not pieces.encoder(path("word_bpe_49k.json")).pieces.keys() & {"some words to remember"}

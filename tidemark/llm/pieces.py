@@ -136,3 +136,8 @@ class Encoder:
 def encoder(path: str) -> Encoder:
     """A worker's encoder for a vocabulary file."""
     return Encoder(path)
+
+
+def forget() -> None:
+    """Let go of a worker's encoders and all that they remember."""
+    encoder.cache_clear()
