@@ -92,3 +92,25 @@ def test_workers_that_read_token_files_hold_no_encoder(spark):
     pieces.forget()
     assert pieces.encoder.cache_info().currsize == 0
     assert not pieces.encoder(path("word_bpe_49k.json")).pieces.keys() & {"some words to remember"}
+
+
+def test_folded_texts_of_a_dictionary_are_written_once(spark, tmp_dir):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.dictionary import build_dictionary
+    from tidemark.session import DICTIONARY_BYTES, apply_engine_conf
+
+    rows = spark.range(60_000).select(
+        F.lit("f").alias("file"), F.lit("n").alias("name"), F.when(F.col("id") < 30, "NUM").alias("type"), F.lit("1").alias("length"),
+        F.col("id").cast("string").alias("codes"), F.sha1(F.col("id").cast("string")).alias("code_values"), F.col("id").alias("row_idx"))
+    out = f"{tmp_dir}/dictionary"
+    build_dictionary(rows).write.parquet(out)
+    got = spark.read.parquet(out).groupBy(F.xxhash64("code_and_values"), F.length("code_and_values")).count().collect()
+    text = "; ".join(f"{r.codes}: {r.code_values}" for r in rows.orderBy("row_idx").collect())
+    want = spark.createDataFrame([(text,)], "t string").select(F.xxhash64("t"), F.length("t")).first()
+    assert [tuple(r) for r in got] == [(*want, 30)]
+    assert sum(os.path.getsize(f"{out}/{f}") for f in os.listdir(out)) < 2 * len(text)  # not 30 times
+    apply_engine_conf(spark)  # as every registered query does first
+    assert spark.conf.get(DICTIONARY_BYTES) == str(1 << 20)
