@@ -351,6 +351,18 @@ def test_range_coder_of_lanes_and_batches():
     assert alone == blocks[3:4]  # a block does not depend on its neighbours
 
 
+def test_range_coder_gives_the_bytes_of_its_format():
+    """Files written before can be read: the checksum is of this format's
+    first form, with tables that were not packed."""
+    k = np.arange(150_000, dtype=np.uint64)
+    ids = (k * k // np.uint64(7) + k % np.uint64(911) * np.uint64(31)) % np.uint64(997) * (k % np.uint64(50)) % np.uint64(49_408)
+    coded = b"".join(range_coder.encode(ids.astype(np.uint32), 49_408))
+    assert (len(coded), zlib.crc32(coded)) == (284_542, 3_473_181_988)
+    assert (range_coder.decode(coded) == ids).all()
+    with pytest.raises(ValueError):
+        range_coder.encode(ids[:9].astype(np.uint32), 1 << 28)
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_pieces_agree_with_the_library(name):
     path = str(public_tokenizers.path(name))

@@ -47,6 +47,9 @@ _PRIOR = np.array([2, 2, 4, 2], np.int64)  # order 2, order 1, order 0, escape
 _MAGIC = b"TKB2"
 _HEAD = struct.Struct("<4sIIIII")  # magic, vocabulary, ids, words, checksum of the ids, of the words
 _MASK32 = (1 << 32) - 1
+_ID_BITS = 28  # of a slot: the id + 1, above it its run
+_ID = np.uint32((1 << _ID_BITS) - 1)
+_LOW, _HIGH = np.uint64(_MASK32), np.uint64(32)  # of a share: its start and its size
 
 
 class _Models:
@@ -55,25 +58,27 @@ class _Models:
     def __init__(self, blk: np.ndarray, n: int, vocab: int):
         self.blk, self.n, self.vocab = blk, n, vocab
         self.row = (blk * _SLOTS).astype(np.int64)
-        self.table = [np.zeros(n * _SLOTS, np.uint32) for _ in range(2)]  # the id + 1; 0: none
-        self.run = [np.zeros(n * _SLOTS, np.int8) for _ in range(2)]
+        if vocab >= 1 << _ID_BITS:
+            raise ValueError("the vocabulary is too large")
+        self.table = [np.zeros(n * _SLOTS, np.uint32) for _ in range(2)]  # the id + 1 (0: none) and its run
         self.seen = np.zeros((n, _STATES, 4), np.int64)
         self.seen += _PRIOR
+        self.state0 = blk * _STATES
         self.counts = np.zeros(n * vocab, np.int32)
-        self.first, self.many = np.zeros(n * vocab, np.int32), np.zeros(n * vocab, np.int32)  # order 0: start and size of each id's share
-        self.holder, self.counted = np.zeros((n, _T), np.int32), False  # the id at each place
+        self.order0 = np.zeros(n * vocab, np.uint64)  # each id's share (0: none yet)
+        self.holder, self.counted = np.zeros(n << _TOTAL, np.int32), False  # the id at each place
         self.digits = [(0, _T // vocab)] if vocab <= _T else [(12, _T // (-(-vocab >> 12))), (0, _T >> 12)]
         self.shares()
 
     def shares(self) -> None:
-        """Starts of the four outcomes' shares in each state. None is empty."""
+        """The four outcomes' shares in each state. None is empty."""
         total = self.seen.sum(axis=2, keepdims=True)
         size = 1 + self.seen * (_T - 8) // total
-        ends = np.cumsum(size, axis=2)
-        self.bounds = np.zeros((self.n, _STATES, 5), np.int32)
-        self.bounds[:, :, 1:4] = ends[:, :, :3]
-        self.bounds[:, :, 4] = _T
-        self.bounds = self.bounds.reshape(-1, 5)
+        ends = np.cumsum(size, axis=2).reshape(-1, 4)
+        ends[:, 3] = _T
+        self.ends = [np.ascontiguousarray(ends[:, k], np.int32) for k in range(3)]
+        size = np.diff(ends, axis=1, prepend=0).astype(np.uint64)
+        self.outcome = (ends.astype(np.uint64) - size | size << _HIGH).reshape(-1)
 
     def count(self, blk: np.ndarray, ids: np.ndarray, holders: bool) -> None:
         """Take the table of order 0 anew, with these ids besides; a decoder
@@ -87,36 +92,37 @@ class _Models:
         ends = np.cumsum(size)
         filled = np.bincount(of, size, self.n).astype(np.int64)
         before = np.cumsum(filled) - filled
-        self.first[at] = ends - size - before[of]
-        self.many[at] = size
+        self.order0[at] = (ends - size - before[of]).astype(np.uint64) | size.astype(np.uint64) << _HIGH
         if holders:
             held = np.repeat((at - of * self.vocab).astype(np.int32), size)
             for b, (i, n) in enumerate(zip(before.tolist(), filled.tolist())):
-                self.holder[b, :n] = held[i:i + n]  # a place beyond the last share is never coded
+                self.holder[b << _TOTAL:(b << _TOTAL) + n] = held[i:i + n]  # a place beyond the last share is never coded
         self.counted = True
 
     def look(self, k: int, p1: np.ndarray, p2: np.ndarray):
         """For the first ``k`` lanes (in the last axis) after ids ``p1`` and
-        ``p2`` (each + 1): slots, candidates and the state."""
+        ``p2`` (each + 1): slots, what they hold, candidates and the state."""
         h = p1 * np.uint32(0x9E3779B1)
         one = self.row[:k] + (h >> np.uint32(32 - _SLOT_BITS))
-        h = (h ^ h >> np.uint32(15)) + p2 * np.uint32(0x85EBCA77)
+        h ^= h >> np.uint32(15)
+        h += p2 * np.uint32(0x85EBCA77)
         h ^= h >> np.uint32(16)
-        two = self.row[:k] + (h * np.uint32(0xC2B2AE35) >> np.uint32(32 - _SLOT_BITS))
-        c2, c1 = self.table[0][two], self.table[1][one]
-        r2, r1 = self.run[0][two], self.run[1][one] * (c1 != c2)
-        return two, one, c2, c1, r2, r1, self.blk[:k] * _STATES + r2 * np.int64(_RUNS + 1) + r1
-
-    def learn(self, x: np.ndarray, two, one, c2, c1, r2, state, kind) -> None:
+        h *= np.uint32(0xC2B2AE35)
+        two = self.row[:k] + (h >> np.uint32(32 - _SLOT_BITS))
+        s2, s1 = self.table[0].take(two), self.table[1].take(one)
+        c2, c1 = s2 & _ID, s1 & _ID
+        r2 = s2 >> np.uint32(_ID_BITS)
+        r1 = (s1 >> np.uint32(_ID_BITS)) * (c1 != c2)
+        return two, one, s2, s1, c2, c1, r2, r1, self.state0[:k] + (r2 * np.uint32(_RUNS + 1) + r1)
+
+    def learn(self, x: np.ndarray, two, one, s2, s1, state, kind) -> None:
         """Learn what followed in some steps, all in the order of the steps
         and lanes: of several in one slot the last stays."""
         self.seen.reshape(-1)[:] += np.bincount(state * 4 + kind, minlength=self.seen.size)
         self.shares()
-        hit = c2 == x
-        self.run[0][two] = np.where(hit, np.minimum(r2 + 1, _RUNS), 1)
-        self.table[0][two] = x
-        self.run[1][one] = np.where(c1 == x, np.minimum(self.run[1][one] + 1, _RUNS), 1)
-        self.table[1][one] = x
+        for table, slot, held in ((self.table[0], two, s2), (self.table[1], one, s1)):
+            run = np.minimum(held >> np.uint32(_ID_BITS), np.uint32(_RUNS - 1)) * (held & _ID == x)
+            table[slot] = x | (run + np.uint32(1)) << np.uint32(_ID_BITS)
 
 
 def _laid_out(sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -149,6 +155,7 @@ def _encode_batch(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
     words = np.zeros((n, 4 * steps + 4), np.uint32)
     width = words.shape[1]
     flat, put = words.reshape(-1), np.arange(n) * width
+    block0 = blk * vocab - 1
 
     def code(at, start, size):
         """One step for the lanes ``at`` (a slice or indices)."""
@@ -172,33 +179,36 @@ def _encode_batch(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
             m.count(which, x[2 + counted:2 + t][there].astype(np.int64) - 1, False)
             counted = t
         now = x[2 + t:2 + until, :k]
-        two, one, c2, c1, r2, r1, state = m.look(k, x[1 + t:1 + until, :k], x[t:until, :k])
+        two, one, s2, s1, c2, c1, r2, r1, state = m.look(k, x[1 + t:1 + until, :k], x[t:until, :k])
         kind = np.full(now.shape, 3, np.int64)
         if m.counted:
-            own = m.blk[:k] * vocab + now - 1
+            own = block0[:k] + now
             own[now == 0] = 0  # past the lane's end
-            first, many = m.first[own].astype(np.uint64), m.many[own].astype(np.uint64)
-            kind[many > 0] = 2
+            share = m.order0.take(own)
+            kind -= share != 0
+            start0, size0 = share & _LOW, share >> _HIGH
         kind[(now == c1) & (r1 > 0)] = 1
         kind[(now == c2) & (r2 > 0)] = 0
-        at = state * 5 + kind
-        bounds = m.bounds.reshape(-1)
-        start = bounds[at].astype(np.uint64)
-        size = bounds[at + 1].astype(np.uint64) - start
+        share = m.outcome.take(state * 4 + kind)
+        start, size = share & _LOW, share >> _HIGH
         for s in range(until - t):
             k = int(alive[t + s])
             code(slice(0, k), start[s, :k], size[s, :k])
             of = np.flatnonzero(kind[s, :k] == 2)
             if len(of):
-                code(of, first[s, of], many[s, of])
+                code(of, start0[s, of], size0[s, of])
             of = np.flatnonzero(kind[s, :k] == 3)
             if len(of):
                 y = now[s, of].astype(np.uint64) - np.uint64(1)
                 for shift, wide in m.digits:
                     code(of, (y >> np.uint64(shift)) * np.uint64(wide), np.uint64(wide))
                     y &= np.uint64((1 << shift) - 1)
-        there = np.arange(now.shape[1])[None, :] < alive[t:until, None]
-        m.learn(*(a[there] for a in (now, two, one, c2, c1, r2, state, kind)))
+        learnt = now, two, one, s2, s1, state, kind
+        if alive[until - 1] == now.shape[1]:
+            m.learn(*(a.reshape(-1) for a in learnt))
+        else:
+            there = np.arange(now.shape[1])[None, :] < alive[t:until, None]
+            m.learn(*(a[there] for a in learnt))
     for shift in (32, 16, 0):
         flat[put] = low >> np.uint64(shift) if shift == 32 else low >> np.uint64(shift) & np.uint64(0xFFFF)
         put += 1
@@ -271,8 +281,8 @@ def _decode_batch(blocks: list[tuple[tuple, memoryview]]) -> list[np.ndarray]:
         return r, np.minimum(value[at] // r, np.uint64(_T - 1)).astype(np.int32)
 
     def take(at, r, start, size):
-        v = value[at] - r * start.astype(np.uint64)
-        sp = r * size.astype(np.uint64)
+        v = value[at] - r * start
+        sp = r * size
         small = sp <= np.uint64(_MASK32)
         of = get[at]
         shift = small * np.uint64(16)
@@ -290,22 +300,21 @@ def _decode_batch(blocks: list[tuple[tuple, memoryview]]) -> list[np.ndarray]:
         for s in range(t, until):
             k = int(alive[s])
             here = slice(0, k)
-            two, one, c2, c1, r2, r1, state = m.look(k, x[1 + s, :k], x[s, :k])
+            two, one, s2, s1, c2, c1, _, _, state = m.look(k, x[1 + s, :k], x[s, :k])
             r, v = told(here)
-            bounds = m.bounds[state]
-            kind = (v >= bounds[:, 1]).astype(np.int64) + (v >= bounds[:, 2]) + (v >= bounds[:, 3])
-            rows = np.arange(k)
-            start = bounds[rows, kind]
-            take(here, r, start, bounds[rows, kind + 1] - start)
+            kind = (v >= m.ends[0].take(state)).astype(np.int64) + (v >= m.ends[1].take(state)) + (v >= m.ends[2].take(state))
+            share = m.outcome.take(state * 4 + kind)
+            take(here, r, share & _LOW, share >> _HIGH)
             now = np.where(kind == 0, c2, c1)
             of = np.flatnonzero(kind == 2)
             if len(of):
                 if not m.counted:
                     raise ValueError("a block is damaged")
                 r, v = told(of)
-                got = m.holder[blk[of], v].astype(np.int64)
-                own = blk[of] * vocab + got
-                take(of, r, m.first[own], m.many[own])
+                block = blk[of]
+                got = m.holder.take((block << _TOTAL) + v)
+                share = m.order0.take(block * vocab + got)
+                take(of, r, share & _LOW, share >> _HIGH)
                 now[of] = got + 1
             of = np.flatnonzero(kind == 3)
             if len(of):
@@ -313,11 +322,11 @@ def _decode_batch(blocks: list[tuple[tuple, memoryview]]) -> list[np.ndarray]:
                 for shift, wide in m.digits:
                     r, v = told(of)
                     digit = v // wide
-                    take(of, r, digit * wide, np.full(len(of), wide))
+                    take(of, r, (digit * wide).astype(np.uint64), np.uint64(wide))
                     y |= digit.astype(np.int64) << shift
                 now[of] = np.minimum(y, vocab - 1) + 1
             x[2 + s, :k] = now
-            learnt.append((now, two, one, c2, c1, r2, state, kind))
+            learnt.append((now, two, one, s2, s1, state, kind))
         m.learn(*(np.concatenate(a) for a in zip(*learnt)))
     done = [np.zeros(h[2], np.uint32) for h, _ in blocks]
     for i, (b, k, size) in enumerate(zip(blk.tolist(), lane.tolist(), sizes.tolist())):
