@@ -94,6 +94,28 @@ def test_workers_that_read_token_files_hold_no_encoder(spark):
     assert not pieces.encoder(path("word_bpe_49k.json")).pieces.keys() & {"some words to remember"}
 
 
+def test_forgotten_pieces_give_their_memory_back():
+    import subprocess
+    import sys
+
+    code = """
+import os
+from public_tokenizers import path
+from tidemark.llm import pieces
+def mb():
+    return int(open("/proc/self/statm").read().split()[1]) * os.sysconf("SC_PAGE_SIZE") / 1e6
+first = mb()
+ids_of = pieces.encoder(path("word_bpe_49k.json"))
+got = [ids_of(" ".join("".join(chr(97 + (k * 2654435761 >> s) % 26) for s in range(3, 24, 3)) for k in range(a, a + 100))) for a in range(0, 200_000, 100)]
+del ids_of, got
+most = mb()
+pieces.forget()
+print(most - first, mb() - first)
+"""
+    most, left = map(float, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=200).stdout.split())
+    assert left < most / 2, (most, left)
+
+
 def test_folded_texts_of_a_dictionary_are_written_once(spark, tmp_dir):
     import os
 

@@ -213,7 +213,8 @@ def _encode_batch(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
         flat[put] = low >> np.uint64(shift) if shift == 32 else low >> np.uint64(shift) & np.uint64(0xFFFF)
         put += 1
     used = put - np.arange(n) * width
-    for c in range(int(used.max(initial=0)) - 1, 0, -1):  # what ran over goes to the word before
+    words = words[:, :int(used.max(initial=0))]  # the rest was never touched
+    for c in range(words.shape[1] - 1, 0, -1):  # what ran over goes to the word before
         words[:, c - 1] += words[:, c] >> 16
     words &= 0xFFFF
     done = []
