@@ -141,12 +141,17 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def give_back() -> None:
+    """Give what a worker has freed back to the machine: of many small pieces,
+    the C library would keep nearly all."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def forget() -> None:
-    """Let go of a worker's encoders and all that they remember, and give the
-    memory back. An encoder and its memory refer to each other, and of many
-    small pieces the C library would keep nearly all."""
+    """Let go of a worker's encoders and all that they remember. An encoder
+    and its memory refer to each other, so that only a collection frees them."""
     if encoder.cache_info().currsize:
         encoder.cache_clear()
-        gc.collect()
-        with contextlib.suppress(OSError, AttributeError):  # a C library without it
-            ctypes.CDLL(None).malloc_trim(0)
+        give_back()

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import range_coder
 from .common import id_and_text, over_batches
-from .pieces import encoder, forget
+from .pieces import encoder, forget, give_back
 
 END_ID = 2
 SHARD_IDS = range_coder.BLOCK * range_coder.LANES
@@ -49,6 +49,7 @@ def write(docs: DataFrame, tokenizer_path: str, out: str, id_col: str = "doc_id"
     dealt = base.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()  # a worker may have run other stages
         ids_of, part, shard = encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         vocab, end = max(ids_of.vocab, end_id + 1), np.array([end_id], np.uint32).tobytes()
         names: list[pa.Array] = []
