@@ -50,6 +50,7 @@ _MASK32 = (1 << 32) - 1
 _ID_BITS = 28  # of a slot: the id + 1, above it its run
 _ID = np.uint32((1 << _ID_BITS) - 1)
 _LOW, _HIGH = np.uint64(_MASK32), np.uint64(32)  # of a share: its start and its size
+_FOUR, _ALL = np.uint64(4), np.uint64((1 << 64) - 1)
 
 
 class _Models:
@@ -65,11 +66,22 @@ class _Models:
         self.seen += _PRIOR
         self.state0 = blk * _STATES
         self.counts = np.zeros(n * vocab, np.int32)
-        self.order0 = np.zeros(n * vocab, np.uint64)  # each id's share (0: none yet)
-        self.holder, self.counted = np.zeros(n << _TOTAL, np.int32), False  # the id at each place
-        self.digits = [(0, _T // vocab)] if vocab <= _T else [(12, _T // (-(-vocab >> 12))), (0, _T >> 12)]
+        self.counted = False
+        # each id's share (0: none yet); behind the blocks' that of the first digit of an escape
+        self.order0 = np.zeros((n + 1) * vocab, np.uint64)
+        self.first, wide = (0, _T // vocab) if vocab <= _T else (12, _T // (-(-vocab >> 12)))
+        self.digits = [(0, _T >> 12)] if self.first else []  # the others, if any
+        digit = np.arange(-(-vocab >> self.first), dtype=np.uint64)
+        self.order0[n * vocab:][:len(digit)] = digit * np.uint64(wide) | np.uint64(wide) << _HIGH
+        self.wide, self.holder = wide, np.zeros(0, np.int32)
         self.shares()
 
+    def hold(self) -> None:
+        """What a decoder needs besides: the id, or the first digit of an
+        escape, at each place."""
+        self.holder = np.zeros((self.n + 1) << _TOTAL, np.int32)
+        self.holder[self.n << _TOTAL:] = np.minimum(np.arange(_T) // self.wide, (self.vocab - 1) >> self.first)
+
     def shares(self) -> None:
         """The four outcomes' shares in each state. None is empty."""
         total = self.seen.sum(axis=2, keepdims=True)
@@ -80,9 +92,8 @@ class _Models:
         size = np.diff(ends, axis=1, prepend=0).astype(np.uint64)
         self.outcome = (ends.astype(np.uint64) - size | size << _HIGH).reshape(-1)
 
-    def count(self, blk: np.ndarray, ids: np.ndarray, holders: bool) -> None:
-        """Take the table of order 0 anew, with these ids besides; a decoder
-        needs the ``holders`` of all places too."""
+    def count(self, blk: np.ndarray, ids: np.ndarray) -> None:
+        """Take the table of order 0 anew, with these ids besides."""
         flat, more = np.unique(blk * self.vocab + ids, return_counts=True)
         self.counts[flat] += more
         at = np.flatnonzero(self.counts)  # the ids so far, by block
@@ -93,7 +104,7 @@ class _Models:
         filled = np.bincount(of, size, self.n).astype(np.int64)
         before = np.cumsum(filled) - filled
         self.order0[at] = (ends - size - before[of]).astype(np.uint64) | size.astype(np.uint64) << _HIGH
-        if holders:
+        if len(self.holder):
             held = np.repeat((at - of * self.vocab).astype(np.int32), size)
             for b, (i, n) in enumerate(zip(before.tolist(), filled.tolist())):
                 self.holder[b << _TOTAL:(b << _TOTAL) + n] = held[i:i + n]  # a place beyond the last share is never coded
@@ -150,25 +161,29 @@ def _encode_batch(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
     x = np.zeros((steps + 2, n), np.uint32)  # two rows of none, then the ids + 1 by step
     x[2:] = ids.T
     x[2:] += 1
+    del ids
     alive = np.searchsorted(-sizes, -np.arange(steps), "left")  # lanes that have a step
     low, span = np.zeros(n, np.uint64), np.full(n, (1 << 48) - 1, np.uint64)
     words = np.zeros((n, 4 * steps + 4), np.uint32)
     width = words.shape[1]
     flat, put = words.reshape(-1), np.arange(n) * width
-    block0 = blk * vocab - 1
+    block0, escape0 = blk * vocab - 1, np.int64(len(blocks) * vocab)
 
     def code(at, start, size):
         """One step for the lanes ``at`` (a slice or indices)."""
         r = span[at] >> np.uint64(_TOTAL)
         lo = low[at] + r * start
         sp = r * size
-        small = sp <= np.uint64(_MASK32)
+        small = (sp <= _LOW).astype(np.uint64)
         to = put[at]
-        flat[to] = lo >> np.uint64(32)  # stays only if the place moves on
-        put[at] = to + small
-        shift = small * np.uint64(16)
-        low[at] = np.where(small, lo & np.uint64(_MASK32), lo) << shift
-        span[at] = sp << shift
+        flat[to] = lo >> _HIGH  # stays only if the place moves on
+        put[at] = to + small.view(np.int64)
+        small <<= _FOUR  # 16 bits move out
+        lo <<= small
+        lo &= _ALL >> small
+        low[at] = lo
+        sp <<= small
+        span[at] = sp
 
     counted = 0
     for t, until in _spans(sizes):
@@ -176,7 +191,7 @@ def _encode_batch(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
         if t in _COUNTED:
             there = np.arange(counted, t)[:, None] < sizes[None, :]
             which = np.broadcast_to(blk, there.shape)[there]
-            m.count(which, x[2 + counted:2 + t][there].astype(np.int64) - 1, False)
+            m.count(which, x[2 + counted:2 + t][there].astype(np.int64) - 1)
             counted = t
         now = x[2 + t:2 + until, :k]
         two, one, s2, s1, c2, c1, r2, r1, state = m.look(k, x[1 + t:1 + until, :k], x[t:until, :k])
@@ -184,25 +199,29 @@ def _encode_batch(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
         if m.counted:
             own = block0[:k] + now
             own[now == 0] = 0  # past the lane's end
-            share = m.order0.take(own)
-            kind -= share != 0
-            start0, size0 = share & _LOW, share >> _HIGH
+            kind -= m.order0.take(own) != 0
         kind[(now == c1) & (r1 > 0)] = 1
         kind[(now == c2) & (r2 > 0)] = 0
         share = m.outcome.take(state * 4 + kind)
         start, size = share & _LOW, share >> _HIGH
+        escaped = kind == 3
+        own = np.where(escaped, escape0 + (now - np.uint32(1) >> np.uint32(m.first)), block0[:k] + now)
+        own[now == 0] = 0
+        share = m.order0.take(own)
+        start0, size0 = share & _LOW, share >> _HIGH
+        second = kind > 1
         for s in range(until - t):
             k = int(alive[t + s])
             code(slice(0, k), start[s, :k], size[s, :k])
-            of = np.flatnonzero(kind[s, :k] == 2)
-            if len(of):
-                code(of, start0[s, of], size0[s, of])
-            of = np.flatnonzero(kind[s, :k] == 3)
+            of = np.flatnonzero(second[s, :k])
             if len(of):
+                code(of, start0[s].take(of), size0[s].take(of))
+            if m.digits:
+                of = np.flatnonzero(escaped[s, :k])
                 y = now[s, of].astype(np.uint64) - np.uint64(1)
                 for shift, wide in m.digits:
+                    y &= np.uint64((1 << m.first) - 1)
                     code(of, (y >> np.uint64(shift)) * np.uint64(wide), np.uint64(wide))
-                    y &= np.uint64((1 << shift) - 1)
         learnt = now, two, one, s2, s1, state, kind
         if alive[until - 1] == now.shape[1]:
             m.learn(*(a.reshape(-1) for a in learnt))
@@ -271,6 +290,7 @@ def _decode_batch(blocks: list[tuple[tuple, memoryview]]) -> list[np.ndarray]:
         words[i, :used[b][k]] = coded[b][begin[b][k]:begin[b][k] + used[b][k]]
     flat, get = words.reshape(-1), np.arange(n) * width
     m = _Models(blk, len(blocks), vocab)
+    m.hold()
     span, value = np.full(n, (1 << 48) - 1, np.uint64), np.zeros(n, np.uint64)
     for _ in range(3):
         value = value << np.uint64(16) | flat[get]
@@ -284,18 +304,23 @@ def _decode_batch(blocks: list[tuple[tuple, memoryview]]) -> list[np.ndarray]:
     def take(at, r, start, size):
         v = value[at] - r * start
         sp = r * size
-        small = sp <= np.uint64(_MASK32)
+        small = (sp <= _LOW).astype(np.uint64)
         of = get[at]
-        shift = small * np.uint64(16)
-        value[at] = v << shift | flat[of] * small
-        get[at] = of + small
-        span[at] = sp << shift
+        more = flat.take(of)
+        more *= small
+        get[at] = of + small.view(np.int64)
+        small <<= _FOUR  # 16 bits come in
+        v <<= small
+        v |= more
+        value[at] = v
+        sp <<= small
+        span[at] = sp
 
     counted = 0
     for t, until in _spans(sizes):
         if t in _COUNTED:
             there = np.arange(counted, t)[:, None] < sizes[None, :]
-            m.count(np.broadcast_to(blk, there.shape)[there], x[2 + counted:2 + t][there].astype(np.int64) - 1, True)
+            m.count(np.broadcast_to(blk, there.shape)[there], x[2 + counted:2 + t][there].astype(np.int64) - 1)
             counted = t
         learnt = []
         for s in range(t, until):
@@ -303,29 +328,30 @@ def _decode_batch(blocks: list[tuple[tuple, memoryview]]) -> list[np.ndarray]:
             here = slice(0, k)
             two, one, s2, s1, c2, c1, _, _, state = m.look(k, x[1 + s, :k], x[s, :k])
             r, v = told(here)
-            kind = (v >= m.ends[0].take(state)).astype(np.int64) + (v >= m.ends[1].take(state)) + (v >= m.ends[2].take(state))
+            kind = sum((v >= ends.take(state)).view(np.int8) for ends in m.ends)
             share = m.outcome.take(state * 4 + kind)
             take(here, r, share & _LOW, share >> _HIGH)
             now = np.where(kind == 0, c2, c1)
-            of = np.flatnonzero(kind == 2)
+            of = np.flatnonzero(kind > 1)
             if len(of):
-                if not m.counted:
+                escaped = kind.take(of) == 3
+                if not m.counted and not escaped.all():
                     raise ValueError("a block is damaged")
                 r, v = told(of)
-                block = blk[of]
+                block = np.where(escaped, m.n, blk.take(of))
                 got = m.holder.take((block << _TOTAL) + v)
                 share = m.order0.take(block * vocab + got)
                 take(of, r, share & _LOW, share >> _HIGH)
+                if m.digits:
+                    at = np.flatnonzero(escaped)
+                    y, lanes = got[at] << m.first, of[at]
+                    for shift, wide in m.digits:
+                        r, v = told(lanes)
+                        digit = v // wide
+                        take(lanes, r, (digit * wide).astype(np.uint64), np.uint64(wide))
+                        y |= digit << shift
+                    got[at] = np.minimum(y, vocab - 1)
                 now[of] = got + 1
-            of = np.flatnonzero(kind == 3)
-            if len(of):
-                y = np.zeros(len(of), np.int64)
-                for shift, wide in m.digits:
-                    r, v = told(of)
-                    digit = v // wide
-                    take(of, r, (digit * wide).astype(np.uint64), np.uint64(wide))
-                    y |= digit.astype(np.int64) << shift
-                now[of] = np.minimum(y, vocab - 1) + 1
             x[2 + s, :k] = now
             learnt.append((now, two, one, s2, s1, state, kind))
         m.learn(*(np.concatenate(a) for a in zip(*learnt)))

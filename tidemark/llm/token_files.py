@@ -53,38 +53,41 @@ def write(docs: DataFrame, tokenizer_path: str, out: str, id_col: str = "doc_id"
         ids_of, part, shard = encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         vocab, end = max(ids_of.vocab, end_id + 1), np.array([end_id], np.uint32).tobytes()
         names: list[pa.Array] = []
-        held: list[bytes] = []
+        sizes: list[np.ndarray] = []
+        held: list[np.ndarray] = []
 
         def close() -> pa.RecordBatch:
             nonlocal shard
-            all_ids = np.frombuffer(b"".join(held), np.uint32)
-            sizes = [len(x) // 4 for x in held]
-            rows = pa.concat_arrays(names)
-            held.clear()
-            names.clear()
+            all_ids, rows, lengths = np.concatenate(held), pa.concat_arrays(names), pa.array(np.concatenate(sizes))
+            for x in (names, sizes, held):
+                x.clear()
             out_row = pa.RecordBatch.from_arrays([
                 pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([len(all_ids)], pa.int64()),
                 pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
-                pa.array([sizes], pa.list_(pa.int64())),
+                pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), lengths),
                 pa.array([b"".join(range_coder.encode(all_ids, vocab))], pa.binary())],
                 ["part", "shard", "n_ids", "doc_ids", "sizes", "blocks"])
             shard += 1
             return out_row
 
-        n = 0
+        n = 0  # ids held
         for b in batches:
             of = b.column("doc_id")
             since = 0
-            for i, text in enumerate(b.column("text").to_pylist()):
-                held.append(ids_of(text) + end)
-                n += len(held[-1]) // 4
-                if n >= shard_ids:
-                    names.append(of.slice(since, i + 1 - since))
-                    since, n = i + 1, 0
-                    yield close()
-            if since < len(of):
-                names.append(of.slice(since))
-        if held:
+            for ids, size in ids_of.many(b.column("text"), end):
+                ends, at = np.cumsum(size), 0  # at: documents of these that are dealt with
+                while at < len(size):
+                    before = int(ends[at - 1]) if at else 0
+                    until = min(int(np.searchsorted(ends, before + shard_ids - n)) + 1, len(size))
+                    names.append(of.slice(since + at, until - at))
+                    sizes.append(size[at:until])
+                    held.append(ids[before:int(ends[until - 1])])
+                    n, at = n + len(held[-1]), until
+                    if n >= shard_ids:
+                        yield close()
+                        n = 0
+                since += len(size)
+        if names:
             yield close()
 
     schema = f"part int, shard int, n_ids long, doc_ids array<{kind}>, sizes array<long>, blocks binary"
