@@ -62,6 +62,9 @@ _PROBES = ("The quick, brown\nfox; is 12 oclock!!  Ünïted straße\n\n ÿ x-y (
            "one  two\t three\n\nfour ", "", " ", "###&&& word%%% A1b2 ...", "«été» — 北京 İstanbul ǅ")
 
 
+#: Made as the module loads, as pyarrow loads pandas with its first array and
+#: a process keeps that: it is not an encoder's memory.
+_NO_RUNS, _NO_IDS = pa.array([], pa.string()), pa.array([], pa.list_(pa.uint32()))
 #: What a byte of a plain text belongs to; all white space there ends a run.
 _SPACE, _LETTER, _DIGIT, _MARK, _OTHER = range(5)
 
@@ -185,7 +188,7 @@ class Encoder:
 
     def _start_anew(self) -> None:
         """Let go of the runs of columns, and of their ids beside them."""
-        self.known, self.known_ids = pa.array([], pa.string()), pa.array([], pa.list_(pa.uint32()))
+        self.known, self.known_ids = _NO_RUNS, _NO_IDS
 
     def _merged(self, runs: list[str]) -> pa.ListArray:
         """The ids of many runs. The library gets some at once; where its ids
