@@ -136,3 +136,53 @@ def test_folded_texts_of_a_dictionary_are_written_once(spark, tmp_dir):
     assert sum(os.path.getsize(f"{out}/{f}") for f in os.listdir(out)) < 2 * len(text)  # not 30 times
     apply_engine_conf(spark)  # as every registered query does first
     assert spark.conf.get(DICTIONARY_BYTES) == str(1 << 20)
+
+
+def test_described_rows_of_a_name_are_dealt_out(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.dictionary import build_dictionary
+
+    rows = spark.range(60_000).select(
+        F.lit("f").alias("file"), F.lit("n").alias("name"), F.when(F.col("id") < 2400, "NUM").alias("type"), F.lit("1").alias("length"),
+        F.col("id").cast("string").alias("codes"), F.sha1(F.col("id").cast("string")).alias("code_values"), F.col("id").alias("row_idx"))
+    tasks = build_dictionary(rows).select(F.spark_partition_id().alias("task"), "type").groupBy("task").count().collect()  # 7 GB of text, not made
+    assert sum(r["count"] for r in tasks) == 2400
+    assert max(r["count"] for r in tasks) < 1600  # a join by name gives all to one task
+
+
+def test_dealt_out_rows_are_those_of_the_plain_join(spark, monkeypatch):
+    from tidemark.operators import dictionary as D
+
+    rows = [(k, f, n, t, "1" if t else None, c, v) for k, (f, n, t, c, v) in enumerate(
+        [("f", "a", "NUM" if k % 3 else None, f"{k % 7}" if k % 5 else None, f"v{k}") for k in range(300)]
+        + [("f", "b", "CHAR", None, "no codes"), ("f", "c", None, "1", "not described"), ("g", "a", "NUM", "1", "é; x"), ("g", "a", "NUM", "1", "é; x")]
+        + [("f", None, "NUM", "1", "x"), (None, "a", "NUM", "1", "x"), (None, None, "NUM", None, "x"), ("f", "d", "NUM", "0", "")])]
+    raw = spark.createDataFrame(rows, "row_idx long, file string, name string, type string, length string, codes string, code_values string")
+    want = D.build_dictionary(raw)
+    assert "REPARTITION_BY_NUM" not in _planned(want)  # little text: no copies
+    monkeypatch.setattr(D, "PART_BYTES", 1000)
+    monkeypatch.setattr(D, "PART_ROWS", 16)
+    got = D.build_dictionary(raw)
+    plan = _planned(got)
+    assert plan.count("Exchange hashpartitioning(_part") == plan.count("REPARTITION_BY_NUM") == 2  # and not dealt out again
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert want.count() == 200 + 7
+
+
+def test_folded_texts_are_not_compared_for_statistics(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tidemark.operators.dictionary import build_dictionary
+    from tidemark.session import FOLDED_STATISTICS, apply_engine_conf
+
+    raw = spark.createDataFrame([(0, "f", "n", "NUM", "1", "1", "one")], "row_idx long, file string, name string, type string, length string, codes string, code_values string")
+    build_dictionary(raw).write.parquet(f"{tmp_dir}/d")
+    group = pq.read_metadata(glob.glob(f"{tmp_dir}/d/*.parquet")[0]).row_group(0)
+    has = {group.column(i).path_in_schema: bool(group.column(i).statistics and group.column(i).statistics.has_min_max) for i in range(group.num_columns)}
+    assert not has["code_and_values"] and has["name"]
+    apply_engine_conf(spark)  # as every registered query does first
+    assert spark.conf.get(FOLDED_STATISTICS) == "true"
